@@ -1,0 +1,19 @@
+"""Cutting lineage so that lost executors cost no more than their own tasks."""
+
+from __future__ import annotations
+
+import os
+import tempfile
+
+from pyspark.sql import DataFrame
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The same rows, written to the shared checkpoint folder. The session's
+    ``spark.checkpoint.dir`` names it; only where that is unset, as in tests,
+    a temporary one is made."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        where = context.getConf().get("spark.checkpoint.dir") or f"file://{tempfile.mkdtemp(prefix='normalake-', dir=os.environ.get('TMPDIR'))}"
+        context.setCheckpointDir(where)
+    return df.checkpoint(eager=True)
