@@ -71,17 +71,14 @@ def joined(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"\n".join(parts), np.uint8), at
 
 
-def _cut(member: np.ndarray, lo: int, n: int) -> int:
-    """Where a block from lo ends: after a byte outside words, if there is one
-    in reach; a longer run is cut (its pieces are joined by the caller)."""
-    hi = min(lo + BLOCK, n)
-    if hi == n:
-        return hi
-    gap = np.flatnonzero(~member[max(lo, hi - 4096) : hi])
-    if not len(gap):
-        gap = np.flatnonzero(~member[lo:hi])
-        return lo + int(gap[-1]) + 1 if len(gap) else hi
-    return max(lo, hi - 4096) + int(gap[-1]) + 1
+def _cut(member: np.ndarray) -> int:
+    """How much of a full block to take: up to its last byte outside words, or
+    all of it if it is one long word (its pieces are joined by the caller)."""
+    for back in (4096, len(member)):
+        gap = np.flatnonzero(~member[-back:])
+        if len(gap):
+            return len(member) - min(back, len(member)) + int(gap[-1]) + 1
+    return len(member)
 
 
 def hashed_words(data: np.ndarray, kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -92,7 +89,7 @@ def hashed_words(data: np.ndarray, kind: str) -> tuple[np.ndarray, np.ndarray, n
     lo, carry = 0, None  # carry: an unfinished word as (start, hash, length)
     while lo < n:
         member = table[data[lo : min(lo + BLOCK, n)]]
-        hi = lo + _cut(member, 0, len(member)) if lo + BLOCK < n else n
+        hi = lo + _cut(member) if lo + BLOCK < n else n
         member = member[: hi - lo]
         edge = np.flatnonzero(np.diff(np.concatenate(([0], member.view(np.int8), [0]))))
         s, e = edge[::2], edge[1::2]
@@ -102,7 +99,7 @@ def hashed_words(data: np.ndarray, kind: str) -> tuple[np.ndarray, np.ndarray, n
             h = (sums[e] - sums[s]) * back[s]
             s, e = s + lo, e + lo
             if carry is not None and s[0] == lo:
-                h[0] = carry[1] + h[0] * _U(pow(_BASE, carry[2], 1 << 64))
+                h[:1] = carry[1] + h[:1] * _U(pow(_BASE, carry[2], 1 << 64))
                 s[0] = carry[0]
                 carry = None
             if carry is not None:

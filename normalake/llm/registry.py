@@ -5,7 +5,9 @@ from __future__ import annotations
 from importlib import import_module
 
 _MODULES = {
+    "op1_language_id": "langid",
     "op4_exact_dedup": "exact_dedup",
+    "op5_toxicity": "toxicity",
     "op7_sharding": "sharding",
 }
 
