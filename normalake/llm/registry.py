@@ -8,7 +8,10 @@ _MODULES = {
     "op1_language_id": "langid",
     "op4_exact_dedup": "exact_dedup",
     "op5_toxicity": "toxicity",
+    "op6_best_fit_packing": "packing",
     "op7_sharding": "sharding",
+    "op9_decontamination": "decontaminate",
+    "op10_near_dedup": "near_dedup",
 }
 
 
