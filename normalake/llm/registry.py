@@ -6,10 +6,13 @@ from importlib import import_module
 
 _MODULES = {
     "op1_language_id": "langid",
+    "op2_url_filter": "urls",
+    "op3_pii": "pii",
     "op4_exact_dedup": "exact_dedup",
     "op5_toxicity": "toxicity",
     "op6_best_fit_packing": "packing",
     "op7_sharding": "sharding",
+    "op8_license_scan": "licenses",
     "op9_decontamination": "decontaminate",
     "op10_near_dedup": "near_dedup",
 }
