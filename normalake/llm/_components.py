@@ -20,7 +20,7 @@ def _star(pairs: DataFrame, large: bool) -> DataFrame:
         both = pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     both = both.withColumn("s", salt("v"))
     least = both.groupBy("u").agg(F.min("v").alias("m"), salts_seen("s").alias("seen")).withColumn("m", F.least("u", "m"))
-    joined = both.join(per_salt(least, "seen", "s"), ["u", "s"])
+    joined = both.join(per_salt(least, "seen", "s").hint("shuffle_hash"), ["u", "s"])
     if large:
         out = joined.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
@@ -28,14 +28,17 @@ def _star(pairs: DataFrame, large: bool) -> DataFrame:
     return out.where(F.col("u") != F.col("v")).distinct()
 
 
+def _unfinished(pairs: DataFrame) -> bool:
+    """Whether a node has two targets, or is a target and has one."""
+    ends = pairs.select("u", F.lit(1).alias("as_u"), F.lit(0).alias("as_v")).union(pairs.select(F.col("v").alias("u"), F.lit(0), F.lit(1)))
+    seen = ends.groupBy("u").agg(F.sum("as_u").alias("as_u"), F.max("as_v").alias("as_v"))
+    return bool(seen.agg(F.max(F.when((F.col("as_u") > 1) | ((F.col("as_u") > 0) & (F.col("as_v") > 0)), 1).otherwise(0))).collect()[0][0])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """edges (u, v) of long ids -> (node, root): each linked node other than
     its component's smallest, with that smallest node."""
-    pairs = stored(edges.select("u", "v").where(F.col("u") != F.col("v")).distinct())
-    before = None
-    while True:
+    pairs = stored(_star(edges.select("u", "v").where(F.col("u") != F.col("v")), False))
+    while _unfinished(pairs):
         pairs = stored(_star(_star(pairs, True), False))
-        now = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).collect()[0]
-        if now == before:
-            return pairs.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        before = now
+    return pairs.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -136,7 +136,7 @@ def _hub_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     members = members.withColumn("s", salt("id"))
     keys = members.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last"), F.count("*").alias("size"), salts_seen("s").alias("seen")).where("size > 1")
     larger = per_salt(keys.where("size > 2").select("key", "hub", "seen"), "seen", "s")
-    rest = members.join(larger, ["key", "s"]).where("id != hub").select("key", "hub", "id")
+    rest = members.join(larger.hint("shuffle_hash"), ["key", "s"]).where("id != hub").select("key", "hub", "id")
     two = keys.where("size = 2").select(F.col("hub").alias("u"), F.col("last").alias("v"))
     return two, rest
 
@@ -147,7 +147,7 @@ def _labelled(members: DataFrame, roots: DataFrame) -> DataFrame:
     own = members.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select("key", "id", F.coalesce("root", "id").alias("root"))
     own = own.withColumn("s", salt("id"))
     keys = own.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size"), salts_seen("s").alias("seen")).where("low < high").drop("low", "high")
-    return own.join(per_salt(keys, "seen", "s"), ["key", "s"]).select("key", "id", "root", "size")
+    return own.join(per_salt(keys, "seen", "s").hint("shuffle_hash"), ["key", "s"]).select("key", "id", "root", "size")
 
 
 def _pairs_within(members: DataFrame, *on: str) -> DataFrame:
@@ -169,31 +169,40 @@ def _prefixes(members: DataFrame, docs: DataFrame) -> DataFrame:
     return listed.withColumn("rank", rank).where(f"rank <= n - ceil(n * {PERCENT} / 100.0) + 1 AND often > 1").select("key", "shingle", "id", "root")
 
 
+def _still_open(members: DataFrame, roots: DataFrame) -> tuple[DataFrame, int]:
+    """Members of keys in several components, and most members of a key."""
+    found = stored(_labelled(members, roots))
+    return found, found.agg(F.max("size")).collect()[0][0] or 0
+
+
+def _as_edges(roots: DataFrame) -> DataFrame:
+    return roots.select(F.col("node").alias("u"), F.col("root").alias("v"))
+
+
 def near_links(reps: DataFrame, docs: DataFrame) -> DataFrame:
     """reps (doc_id, bands), docs (doc_id, text) -> (node, root) of linked ids."""
     members = reps.select(F.explode("bands").alias("key"), F.col("doc_id").alias("id"))
     two, rest = _hub_pairs(members)
     rest = stored(rest)
-    edges = stored(_confirmed(two.union(rest.select(F.col("hub").alias("u"), F.col("id").alias("v"))), docs))
-    roots = components(edges)
-    open_ = stored(_labelled(rest.select("key", "id"), roots))
+    roots = components(_confirmed(two.union(rest.select(F.col("hub").alias("u"), F.col("id").alias("v"))), docs))
+    open_, most = _still_open(rest.select("key", "id"), roots)
     for _ in range(MORE_HUBS):
-        large = open_.where(F.col("size") > SMALL)
-        if not large.take(1):
+        if most <= SMALL:
             break
-        _, more = _hub_pairs(large.select("key", "id"))
+        two, more = _hub_pairs(open_.where(F.col("size") > SMALL).select("key", "id"))
         more = stored(more)
-        edges = stored(edges.union(_confirmed(more.select(F.col("hub").alias("u"), F.col("id").alias("v")), docs)))
-        roots = components(edges)
+        new = _confirmed(two.union(more.select(F.col("hub").alias("u"), F.col("id").alias("v"))), docs)
+        roots = components(_as_edges(roots).union(new))
         left = more.select("key", "id").union(open_.where(F.col("size") <= SMALL).select("key", "id"))
-        open_ = stored(_labelled(left, roots))
-    pairs = _pairs_within(open_.where(F.col("size") <= SMALL), "key")
-    large = open_.where(F.col("size") > SMALL)
-    if large.take(1):
-        pairs = pairs.union(_pairs_within(_prefixes(large.select("key", "id", "root"), docs), "key", "shingle"))
-    if not open_.take(1):
+        open_, most = _still_open(left, roots)
+    if not most:
         return roots
-    return components(edges.union(_confirmed(pairs, docs)))
+    pairs = _pairs_within(open_.where(F.col("size") <= SMALL), "key")
+    if most > SMALL:
+        large = open_.where(F.col("size") > SMALL).select("key", "id", "root")
+        pairs = pairs.union(_pairs_within(_prefixes(large, docs), "key", "shingle"))
+    new = stored(_confirmed(pairs, docs))
+    return components(_as_edges(roots).union(new)) if new.take(1) else roots
 
 
 def near_dedup(docs: DataFrame) -> DataFrame:
@@ -205,7 +214,7 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     classes = stored(linkable.groupBy("c1", "c2", "n").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), salts_seen("s").alias("seen")))
     roots = near_links(classes, docs)
     by_class = classes.drop("bands").join(roots, F.col("doc_id") == F.col("node"), "left").select("c1", "c2", "n", "seen", F.coalesce("root", "doc_id").alias("component_id"))
-    found = linkable.drop("bands").join(per_salt(by_class, "seen", "s"), ["c1", "c2", "n", "s"]).select("doc_id", "n", "component_id")
+    found = linkable.drop("bands").join(per_salt(by_class, "seen", "s").hint("shuffle_hash"), ["c1", "c2", "n", "s"]).select("doc_id", "n", "component_id")
     alone = rows.where("n = 0 OR doc_id IS NULL").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     out = found.union(alone)
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
