@@ -16,4 +16,12 @@ def stored(df: DataFrame) -> DataFrame:
     if not context.getCheckpointDir():
         where = context.getConf().get("spark.checkpoint.dir") or f"file://{tempfile.mkdtemp(prefix='normalake-', dir=os.environ.get('TMPDIR'))}"
         context.setCheckpointDir(where)
-    return df.checkpoint(eager=True)
+    # a checkpoint keeps the plan's inferred constraints, and these multiply
+    # from step to step of an iteration until planning takes longer than work
+    conf, name = df.sparkSession.conf, "spark.sql.constraintPropagation.enabled"
+    before = conf.get(name, "true")
+    conf.set(name, "false")
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        conf.set(name, before)

@@ -12,8 +12,7 @@ the longest text.
 
 from __future__ import annotations
 
-import functools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +23,23 @@ _BASE = 0x9E3779B97F4A7C15
 _U = np.uint64
 
 
-@functools.lru_cache(None)
+class Memo:
+    """A function that remembers its results in its process; pickled, it goes
+    without them."""
+
+    def __init__(self, f: Callable):
+        self.f, self.got = f, {}
+
+    def __call__(self, *args):
+        if args not in self.got:
+            self.got[args] = self.f(*args)
+        return self.got[args]
+
+    def __reduce__(self):
+        return Memo, (self.f,)
+
+
+@Memo
 def classes(kind: str) -> np.ndarray:
     """Which bytes belong to a word. ``word``: letters, digits, all above
     0x7F. ``nonspace``: all but space and 0x09-0x0D."""
@@ -37,7 +52,7 @@ def classes(kind: str) -> np.ndarray:
     return t
 
 
-@functools.lru_cache(None)
+@Memo
 def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     rng = np.random.Generator(np.random.PCG64(20240229))
     values = rng.integers(1, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)

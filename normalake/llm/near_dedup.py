@@ -9,8 +9,8 @@ similarity of 0.75 a pair misses all 64 bands of 6 values with a probability of
 Equal sets are one class from the start; classes meet in buckets (band, key).
 In a bucket the smallest class is the hub and is compared with all others:
 linear in the bucket.  What remains are pairs of members that are neither the
-hub nor already in one component: buckets of up to SMALL such members list
-them; larger ones first take further hubs, then compare only members that
+hub nor already in one component: buckets with up to SMALL such pairs a member
+list them; others first take further hubs, then compare only members that
 share one of their rarest shingles of the bucket (a prefix filter, which loses
 no pair with a similarity of 0.75).  Components are found by star contraction.
 No step gathers a bucket, group or component in one task or on the driver.
@@ -143,11 +143,14 @@ def _hub_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _labelled(members: DataFrame, roots: DataFrame) -> DataFrame:
     """members (key, id) of the keys whose members are in several components,
-    with their component's root and their number."""
+    with their component's root and the key's open pairs by member."""
     own = members.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select("key", "id", F.coalesce("root", "id").alias("root"))
     own = own.withColumn("s", salt("id"))
-    keys = own.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size"), salts_seen("s").alias("seen")).where("low < high").drop("low", "high")
-    return own.join(per_salt(keys, "seen", "s").hint("shuffle_hash"), ["key", "s"]).select("key", "id", "root", "size")
+    each = own.groupBy("key", "root").agg(F.count("*").alias("n"), salts_seen("s").alias("seen"))
+    keys = each.groupBy("key").agg(F.count("*").alias("roots"), F.sum("n").alias("size"), F.sum(F.col("n") * F.col("n")).alias("squares"), F.bit_or("seen").alias("seen")).where("roots > 1")
+    # pairs of different components for each member
+    keys = keys.select("key", "seen", F.expr("(size * size - squares) div (2 * size)").alias("load"))
+    return own.join(per_salt(keys, "seen", "s").hint("shuffle_hash"), ["key", "s"]).select("key", "id", "root", "load")
 
 
 def _pairs_within(members: DataFrame, *on: str) -> DataFrame:
@@ -170,9 +173,10 @@ def _prefixes(members: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def _still_open(members: DataFrame, roots: DataFrame) -> tuple[DataFrame, int]:
-    """Members of keys in several components, and most members of a key."""
+    """Members of keys in several components, and the largest load (-1: none)."""
     found = stored(_labelled(members, roots))
-    return found, found.agg(F.max("size")).collect()[0][0] or 0
+    most = found.agg(F.max("load")).collect()[0][0]
+    return found, -1 if most is None else most
 
 
 def _as_edges(roots: DataFrame) -> DataFrame:
@@ -189,17 +193,17 @@ def near_links(reps: DataFrame, docs: DataFrame) -> DataFrame:
     for _ in range(MORE_HUBS):
         if most <= SMALL:
             break
-        two, more = _hub_pairs(open_.where(F.col("size") > SMALL).select("key", "id"))
+        two, more = _hub_pairs(open_.where(F.col("load") > SMALL).select("key", "id"))
         more = stored(more)
         new = _confirmed(two.union(more.select(F.col("hub").alias("u"), F.col("id").alias("v"))), docs)
         roots = components(_as_edges(roots).union(new))
-        left = more.select("key", "id").union(open_.where(F.col("size") <= SMALL).select("key", "id"))
+        left = more.select("key", "id").union(open_.where(F.col("load") <= SMALL).select("key", "id"))
         open_, most = _still_open(left, roots)
-    if not most:
+    if most < 0:
         return roots
-    pairs = _pairs_within(open_.where(F.col("size") <= SMALL), "key")
+    pairs = _pairs_within(open_.where(F.col("load") <= SMALL), "key")
     if most > SMALL:
-        large = open_.where(F.col("size") > SMALL).select("key", "id", "root")
+        large = open_.where(F.col("load") > SMALL).select("key", "id", "root")
         pairs = pairs.union(_pairs_within(_prefixes(large, docs), "key", "shingle"))
     new = stored(_confirmed(pairs, docs))
     return components(_as_edges(roots).union(new)) if new.take(1) else roots
