@@ -1,0 +1,349 @@
+"""Each operator against brute force and on awkward inputs."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from normalake.llm import _boosting, _text, decontaminate, exact_dedup, langid, licenses, near_dedup, packing, pii, registry, sharding, toxicity, urls
+from normalake.llm._components import components
+
+WORDS = [f"w{i}" for i in range(300)]
+
+
+def text_of(rng, n):
+    return " ".join(rng.choice(WORDS) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rng = random.Random(3)
+    base = [text_of(rng, rng.choice([3, 8, 60, 200])) for _ in range(60)]
+    near = []
+    for t in base[:20]:
+        w = t.split()
+        for _ in range(2):
+            v = list(w)
+            for _ in range(max(0, len(w) // 60)):
+                v[rng.randrange(len(v))] = "changed"
+            near.append(" ".join(v))
+    texts = [*base, *near, *base[:10], "", "", None, " \t\n", "A  b c", "a b c", "x" * 50_000, "mot " * 30_000]
+    rows = [(i, t, ["en", "fr", None][i % 3], f"s{i % 4}", 7) for i, t in enumerate(texts)]
+    rows += [(5, texts[5], "en", "s1", 7), (None, "no id here at all my friend", None, None, None), (None, None, None, None, None)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, kept int").repartition(3).cache()
+
+
+@pytest.fixture(scope="module")
+def rows(docs):
+    return [(r.doc_id, r.text) for r in docs.collect()]
+
+
+@pytest.fixture(scope="module")
+def nothing(docs):
+    return docs.where("false")
+
+
+def test_word_hashes_do_not_depend_on_blocks(monkeypatch):
+    text = "ab cd é9 " + "z" * 5000 + " ÀB,c-d  end" * 300
+    data, at = _text.joined(pa.array([text, None, "tail"]))
+    s, e, h = _text.hashed_words(data, "nonspace")
+    assert [bytes(data[a:b]).decode() for a, b in zip(s, e)] == text.split() + ["tail"]
+    monkeypatch.setattr(_text, "BLOCK", 64)
+    s2, e2, h2 = _text.hashed_words(data, "nonspace")
+    assert (s == s2).all() and (e == e2).all() and (h == h2).all()
+    assert len(set(h.tolist())) == len({w.lower() if w.isascii() else w for w in text.split() + ["tail"]})
+
+
+def squeezed(t):
+    return re.sub(r"[\x20\x09-\x0D]", "", t or "")
+
+
+def test_exact_dedup(docs, rows, nothing):
+    got = exact_dedup.exact_dedup(docs).collect()
+    groups = {}
+    for i, t in rows:
+        groups.setdefault(squeezed(t), []).append((i, t or ""))
+    want = []
+    for body, members in groups.items():
+        keep = min(members, key=lambda m: (-len(m[1]), m[0] is None, m[0] or 0))[0]
+        want += [(i, keep, len(members), i == keep, hashlib.sha256(body.encode()).hexdigest()) for i, _ in members]
+    assert Counter(map(tuple, got)) == Counter(want)
+    assert exact_dedup.exact_dedup(nothing).count() == 0
+
+
+def test_sharding(docs, rows, nothing):
+    got = sharding.shard_by_bytes(docs, 4).collect()
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in got) == Counter((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in rows)
+    order = sorted(got, key=lambda r: (r.shard, r.slot))
+    total, before, slots = sum(r.size for r in got), 0, Counter()
+    for r in order:
+        assert r.slot == slots[r.shard]
+        slots[r.shard] += 1
+        assert r.shard == min(3, 4 * (2 * before + r.size) // (2 * total))
+        before += r.size
+    ids = [r.doc_id for r in order if r.doc_id is not None]
+    assert ids == sorted(ids)
+    assert sharding.shard_by_bytes(nothing).count() == 0
+    with pytest.raises(ValueError):
+        sharding.shard_by_bytes(docs, 0)
+
+
+def brute_near(rows):
+    sets = {}
+    for i, t in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate({a: a + 32 for a in range(65, 91)}))
+        sets.setdefault(i, set()).update({tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set())
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = [i for i in sets if i is not None and sets[i]]
+    for a in ids:
+        for b in ids:
+            if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {i: (len(s), find(i), i == find(i)) for i, s in sets.items()}
+
+
+def test_near_dedup(docs, rows, nothing):
+    got = near_dedup.near_dedup(docs).collect()
+    want = brute_near([r for r in rows if r[0] is not None])
+    assert len(got) == len(rows)
+    for r in got:
+        if r.doc_id is None:
+            assert r.component_id is None and r.kept
+        else:
+            assert (r.n_shingles, r.component_id, r.kept) == want[r.doc_id]
+    assert near_dedup.near_dedup(nothing).count() == 0
+
+
+def test_near_dedup_in_crowded_buckets(spark, monkeypatch):
+    """Chains and a common passage, with every bucket treated as crowded."""
+    rng = random.Random(8)
+    passage = text_of(rng, 60).split()
+    texts = []
+    for _ in range(25):
+        texts.append(" ".join([*passage, *text_of(rng, 15).split()]))
+    w = text_of(rng, 80).split()
+    for _ in range(25):
+        w[rng.randrange(len(w))] = rng.choice(WORDS)
+        w[rng.randrange(len(w))] = rng.choice(WORDS)
+        texts.append(" ".join(w))
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute_near(rows)
+    for small, hubs in ((32, 3), (0, 1)):
+        monkeypatch.setattr(near_dedup, "SMALL", small)
+        monkeypatch.setattr(near_dedup, "MORE_HUBS", hubs)
+        assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_dedup.near_dedup(df).collect()} == want
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(12)] + [(20, 30), (25, 30), (7, 40), (50, 50)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == {**{i: 0 for i in range(1, 13)}, 40: 0, 25: 20, 30: 20}
+    assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_language_id(spark, docs, rows, nothing):
+    rng = random.Random(1)
+    speak = {"en": "the and of to with tion ing", "fr": "le la que aux des ment eau", "de": "der und ein sch keit ung"}
+    make = lambda k: " ".join(rng.choice(speak[k].split()) + rng.choice(["", "a", "es"]) for _ in range(rng.choice([4, 30])))
+    data = [(k, make(k)) for _ in range(150) for k in speak]
+    model = langid.train([t for _, t in data[:300]], [k for k, _ in data[:300]])
+    best, score = langid.score_texts(pa.array([t for _, t in data[300:]]), model)
+    assert np.mean([model["names"][b] == k for b, (k, _) in zip(best, data[300:])]) > 0.95
+    assert ((score > 0) & (score <= 1)).all()
+    # a text is scored as a whole, alone or among others
+    one = langid.score_texts(pa.array([data[300][1]]), model)
+    assert abs(one[1][0] - score[0]) < 1e-6
+    got = langid.language_id(docs, model).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        if not re.search(r"[A-Za-z\x80-\U0010FFFF]", r.text or ""):
+            assert r.lang_pred == "und" and r.score == 0 and r.rejected
+        else:
+            assert r.lang_pred in speak
+    assert langid.language_id(nothing, model).count() == 0
+    assert langid.fit(nothing) is None
+    assert {r.lang_pred for r in langid.language_id(docs, None).collect()} == {"und"}
+
+
+def test_toxicity_learns_from_document_labels(docs, rows, nothing, spark):
+    rng = random.Random(2)
+    make = lambda bad: ". ".join(text_of(rng, 12) + (" " + rng.choice(["vile", "foul"]) if bad and k == 2 else "") for k in range(5)) + "."
+    data = [(make(y), y) for y in [0, 1] * 300]
+    model = toxicity.train([t for t, _ in data[:400]], [y for _, y in data[:400]])
+    score, found = toxicity.score_texts(pa.array([t for t, _ in data[400:]]), model)
+    assert np.mean((score >= 0.5) == np.array([y for _, y in data[400:]])) > 0.97
+    for (t, y), f in zip(data[400:], found):
+        if y and f:
+            assert any(w in t[f[0]["start"] : f[0]["end"]] for w in ("vile", "foul"))
+    got = toxicity.toxicity(docs.drop("kept").withColumnRenamed("source", "score"), model).collect()
+    assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got)
+    assert all(r.score == 0 for r in got if not (r.text or "").strip())
+    assert toxicity.toxicity(nothing, model).count() == 0
+    assert toxicity.fit(nothing, spark.createDataFrame([], "doc_id long, toxic int")) is None
+
+
+def test_urls(spark):
+    cases = [
+        (1, "HTTP://Sub.EXAMPLE.com/en/7x?q=1", "sub.example.com", "/en/7x", "example.com/en/7", "allow"),
+        (2, "https://example.com/en/6#top", "example.com", "/en/6", "com/en/", "block"),
+        (3, "https://example.net/de/8", "example.net", "/de/8", "example.net/de/8", "block"),
+        (4, "https://notexample.net/de/81", "notexample.net", "/de/81", "net/de/", "allow"),
+        (5, "no scheme casino", "", "", None, "block"),
+        (6, None, "", "", None, "allow"),
+        (7, "https://a.org?x=casinos", "a.org", "", None, "allow"),
+        (8, "https://free.a.io/x-bets", "free.a.io", "/x-bets", None, "block"),
+        (9, "https://free.a.io/free", "free.a.io", "/free", None, "allow"),
+        (10, "", "", "", None, "allow"),
+    ]
+    got = urls.judge(spark.createDataFrame([(i, u) for i, u, *_ in cases], "page_id long, url string")).collect()
+    assert {(r.page_id, r.host, r.path, r.rule, r.verdict) for r in got} == {(i, *rest) for i, _, *rest in cases}
+
+
+BASE = (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"))
+
+
+def luhn(s):
+    return sum((2 * int(x) - 9 if int(x) > 4 else 2 * int(x)) if i % 2 else int(x) for i, x in enumerate(reversed(s))) % 10 == 0
+
+
+def base_spans(t):
+    out = []
+    for kind, p in BASE:
+        for m in re.finditer(p, t or ""):
+            g = re.sub("[^0-9]", "", m[0])
+            if kind == "email" or kind == "ip" and all(int(x) <= 255 for x in m[0].split(".")) or kind == "card" and 16 <= len(g) <= 19 and luhn(g) or kind == "phone" and 8 <= len(g) <= 15:
+                out.append(f"{kind}:{m.start()}:{m.end()}")
+    return out
+
+
+def test_pii(spark):
+    rng = random.Random(4)
+    parts = ["a@b.c", "_d@e.f", ".@d.e-", "x@y", "1.2.3.4", "300.1.1.1", "0001.02.3.255", "4111 1111 1111 1111", "4111-1111-1111-1112", "+1 (2) 3.4-5 678 9", "+12", " ", "é", "😀", ".", "-", "12", "word ", "(at)", "\n"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 40))) for _ in range(300)]
+    texts += [None, "", "1" * 5000, "4111 1111 1111 1111 " * 120, "x" * 50_000 + "@a.b", "call (017) 555-7713 or mail joe (at) x (dot) com"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumnRenamed("spans", "spans")
+    got = pii.digest(pii.pii_spans(df, pii.train(spark))).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        want = base_spans(texts[r.doc_id])
+        assert r.base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest()
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(s.startswith(k + ":") for s in want) for k in pii.KINDS]
+        assert set(want) <= set(r.spans.split(",")) | {""}
+    assert {s.split(":")[0] for s in got[-1].spans.split(",")} >= {"email", "phone"}
+    assert pii.pii_spans(df.where("false"), {}).count() == 0
+
+
+def test_boosting_sql_gives_the_same_margins(spark):
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(300, 3))
+    y = ((x[:, 0] > 0) ^ (x[:, 1] > 0.5)).astype(float)
+    trees = _boosting.boost(x, y)
+    f = _boosting.margin(x, trees)
+    assert np.mean((f > 0) == y) > 0.9
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "i int, x array<double>")
+    got = {r.i: r.f for r in df.selectExpr("i", f"{_boosting.as_sql(trees, ['x[0]', 'x[1]', 'x[2]'])} AS f").collect()}
+    assert all(abs(got[i] - f[i]) < 1e-9 for i in got)
+
+
+def test_licenses(spark, docs, rows, nothing):
+    texts = ["Licensed under CC BY-NC 4.0.", "Released under the MIT  License.", "the mit and the license", None, "", "gnu general public license GNU GENERAL PUBLIC LICENSE", "cc", "by", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"]
+    df = spark.createDataFrame([*enumerate(texts), *[(100 + i, t) for i, (_, t) in enumerate(rows)]], "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.license_scan(df.coalesce(1)).collect()}
+    for i, r in got.items():
+        w = licenses.words(r.text or "")
+        places = sorted(k for p, _ in licenses.PHRASES for k in range(len(w)) if w[k : k + len(p.split())] == p.split())
+        assert (r.n_words, r.n_base, r.first_word, r.last_word) == (len(w), len(places), places[0] if places else None, places[-1] if places else None)
+        assert 0 <= r.score <= 1 and set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(","))
+    assert got[0].labels == "cc-by,cc-by-nc" and got[1].labels == "mit" and got[2].labels == "" and got[8].labels == "mit" and got[8].base_labels == ""
+    assert got[6].n_base == 0 and got[7].n_base == 0
+    assert licenses.license_scan(nothing.select("doc_id", "text")).count() == 0
+
+
+def test_decontamination(spark):
+    items = [(1, "Tom buys 12 apples and 7 pears in the market of Lisbon for 30 euros"), (2, "a short one"), (3, None), (None, "nine words are here but the id is missing"), (4, "straße und häuser in der großen stadt am meer")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    cases = {
+        10: ("filler " * 5 + items[0][1] + " more", {1}),
+        11: (items[0][1].upper(), {1}),
+        12: ("so Tom buys 40 apples and 9 pears in the market of Porto for 55 euros", {1}),
+        13: ("so Tom buys 7 apples and 7 pears in the market of Porto for 55 euros", set()),
+        14: ("buys apples and pears in a market", set()),
+        15: (items[4][1].upper(), {4}),
+        16: ("a short one", set()),
+        17: (None, set()),
+        18: ("", set()),
+        19: (items[0][1] + "\n" + items[4][1], {1, 4}),
+    }
+    docs = spark.createDataFrame([(i, t, "x") for i, (t, _) in cases.items()], "doc_id long, text string, coverage string")
+    want = {(i, k) for i, (_, ks) in cases.items() for k in ks}
+    local = decontaminate.leaks(docs, bench)
+    assert {(r.doc_id, r.item_id) for r in local.collect()} == want
+    joined = decontaminate.leaks(docs, bench, max_windows=0)
+    assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, local.collect()))
+    assert {r.doc_id for r in decontaminate.clean(docs, bench).collect()} == set(cases) - {i for i, _ in want}
+    assert decontaminate.clean(docs, bench).columns == docs.columns
+    assert decontaminate.leaks(docs, bench.where("false")).count() == 0
+    assert decontaminate.leaks(docs.where("false"), bench).count() == 0
+
+
+def brute_pack(lengths, sources, clusters, capacity):
+    bins, out = [], [0] * len(lengths)
+    for i in sorted(range(len(lengths)), key=lambda i: (-lengths[i], i)):
+        fits = [(b[0], k) for k, b in enumerate(bins) if b[0] >= lengths[i] and (sources[i] is None or sources[i] not in b[1]) and (clusters[i] is None or clusters[i] not in b[2])]
+        if fits:
+            k = min(fits)[1]
+        else:
+            k = len(bins)
+            bins.append([capacity, set(), set()])
+        bins[k][0] -= lengths[i]
+        bins[k][1].add(sources[i])
+        bins[k][2].add(clusters[i])
+        out[i] = k
+    return out
+
+
+def test_packing(spark, docs, rows, nothing):
+    rng = random.Random(6)
+    for _ in range(20):
+        n = 80
+        lengths = [rng.randrange(0, 50) for _ in range(n)]
+        sources = [rng.choice(["a", "b", "c", None, "a"]) for _ in range(n)]
+        clusters = [rng.choice([None, 1, 2, 3]) for _ in range(n)]
+        assert packing.pack(lengths, sources, clusters, 64) == brute_pack(lengths, sources, clusters, 64)
+    got = packing.best_fit(docs, capacity=100, block=50).collect()
+    pieces = Counter()
+    for r in got:
+        pieces[r.doc_id] += r.n_words
+    want = Counter()
+    for i, t in rows:
+        want[i] += len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    assert {k: v for k, v in pieces.items() if v} == {k: v for k, v in want.items() if v}
+    assert Counter(r.doc_id for r in got if r.piece == 0) == Counter(i for i, _ in rows)
+    bins = {}
+    for r in got:
+        bins.setdefault((r.block, r.bin), []).append(r)
+    for members in bins.values():
+        assert sum(m.n_words for m in members) <= 100
+        at = 0
+        for m in sorted(members, key=lambda m: (m.bin_start, m.n_words)):
+            assert m.bin_start == at
+            at += m.n_words
+    assert packing.best_fit(nothing).count() == 0
+
+
+def test_registry_names_all_ten():
+    assert sorted(int(k[2:].split("_")[0]) for k in registry.queries()) == list(range(1, 11))
+    assert set(registry.oracle_sql()) <= set(registry.queries())
