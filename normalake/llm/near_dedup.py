@@ -38,7 +38,7 @@ from normalake.llm._text import grams, hashed_words, joined, mix, small_batches,
 
 WORDS, BANDS, ROWS = 5, 64, 6
 PERMUTATIONS = BANDS * ROWS // 2
-SMALL, MORE_HUBS = 32, 3
+SMALL, MORE_HUBS = 256, 3
 #: Links have 100 * intersection >= PERCENT * union.
 PERCENT = 75
 
