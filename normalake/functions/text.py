@@ -7,8 +7,6 @@ import sys
 import unicodedata
 
 import pandas as pd
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -50,7 +48,7 @@ def strip_accents(c: Column) -> Column:
 def _normal(form: str):
     @F.pandas_udf("string")
     def normal(s: pd.Series) -> pd.Series:
-        return pc.utf8_normalize(pa.array(s, pa.string()), form).to_pandas()
+        return pd.Series([unicodedata.normalize(form, x) if isinstance(x, str) else None for x in s], dtype=object)
 
     return normal
 

@@ -58,7 +58,7 @@ def errors(gold: DataFrame, pred: DataFrame) -> DataFrame:
 
     def pair(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = ["doc", "category", "kind", "start", "end", "pred_start", "pred_end"]
-        table = lambda rows: pd.DataFrame(rows, columns=names).astype({c: "Int64" for c in names[3:]})
+        table = lambda rows: pd.DataFrame(rows, columns=names, dtype=object)
         key, sides = None, ([], [])
         for frame in frames:
             out = []

@@ -95,7 +95,8 @@ def _walk_all(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 rows += [base | row for row in walk(xml or "")]
             except ElementTree.ParseError as e:
                 rows.append(base | {"error": str(e)})
-        yield pd.DataFrame(rows, columns=_NAMES).astype({"ordem": "Int32"})
+        # plain objects: a string column of several Arrow chunks is not taken back
+        yield pd.DataFrame(rows, columns=_NAMES, dtype=object)
 
 
 def walked(docs: DataFrame) -> DataFrame:

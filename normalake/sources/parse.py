@@ -55,7 +55,7 @@ def parse(rows: DataFrame, model: Callable[[str], str], html: bool = False) -> D
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             got = [first_object(model((t or "")[:most])) for t in frame["text"]]
-            yield pd.DataFrame({"id": frame["id"], "json": [None if g is None else json.dumps(g, ensure_ascii=False) for g in got], "ok": [accepted(g) for g in got]})
+            yield pd.DataFrame({"id": frame["id"], "json": [None if g is None else json.dumps(g, ensure_ascii=False) for g in got], "ok": [accepted(g) for g in got]}, dtype=object)
 
     return rows.select("id", "text").mapInPandas(run, "id string, json string, ok boolean")
 

@@ -79,8 +79,7 @@ def segment(docs: DataFrame) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = [(doc, k, a, b, int(ARTICLE.match(t[a:b])[1]) if k == "art_marcador" else None) for doc, t in zip(frame["doc"], frame["text"]) if t for k, a, b in spans(t)]
-            out = pd.DataFrame(rows, columns=["doc", "category", "start", "end", "number"])
-            yield out.astype({"number": "Int64"})
+            yield pd.DataFrame(rows, columns=["doc", "category", "start", "end", "number"], dtype=object)
 
     kind = docs.schema["doc"].dataType.simpleString()
     return docs.select("doc", "text").mapInPandas(run, f"doc {kind}, category string, start long, end long, number long")
