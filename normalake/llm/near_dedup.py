@@ -9,7 +9,8 @@ similarity of 0.75 a pair misses all 64 bands of 6 values with a probability of
 Equal sets are one class from the start; classes meet in buckets (band, key).
 In a bucket the smallest class is the hub and is compared with all others:
 linear in the bucket.  What remains are pairs of members that are neither the
-hub nor already in one component: buckets with up to SMALL such pairs a member
+hub nor already in one component, and whose distances from the hub do not rule
+a link out (Jaccard distance is a metric): buckets with up to SMALL such pairs a member
 list them; others first take further hubs, then compare only members that
 share one of their rarest shingles of the bucket (a prefix filter, which loses
 no pair with a similarity of 0.75).  Components are found by star contraction.
@@ -27,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -38,7 +39,7 @@ from normalake.llm._text import grams, hashed_words, joined, mix, small_batches,
 
 WORDS, BANDS, ROWS = 5, 64, 6
 PERMUTATIONS = BANDS * ROWS // 2
-SMALL, MORE_HUBS = 256, 3
+SMALL, MORE_HUBS = 256, 1
 #: Links have 100 * intersection >= PERCENT * union.
 PERCENT = 75
 
@@ -86,19 +87,32 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def _identify(batch: pa.RecordBatch, sets: list[np.ndarray]) -> dict[str, pa.Array]:
+    """doc_id, set size, and 128 bits that name the set."""
+    c1 = np.array([mix(x * np.uint64(3)).sum(dtype=np.uint64) for x in sets], np.uint64).view(np.int64)
+    c2 = np.array([mix(x ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64) for x in sets], np.uint64).view(np.int64)
+    return {"doc_id": batch.column("doc_id"), "n": pa.array([len(x) for x in sets], pa.int64()), "c1": pa.array(c1), "c2": pa.array(c2)}
+
+
+_NAMED = "doc_id long, n long, c1 long, c2 long"
+
+
+def _name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in small_batches(batches, "text"):
+        columns = _identify(batch, shingle_sets(batch.column("text")))
+        yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     a, b = _permutations()
     for batch in small_batches(batches, "text"):
         sets = shingle_sets(batch.column("text"))
-        size = np.array([len(x) for x in sets], np.int64)
-        c1 = np.array([mix(x * np.uint64(3)).sum(dtype=np.uint64) for x in sets], np.uint64).view(np.int64)
-        c2 = np.array([mix(x ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64) for x in sets], np.uint64).view(np.int64)
-        some = np.flatnonzero(size)
-        keys = band_keys(np.stack([signature(sets[i], a, b) for i in some])) if len(some) else np.zeros((0, BANDS), np.int64)
+        some = [x for x in sets if len(x)]
+        keys = band_keys(np.stack([signature(x, a, b) for x in some])) if some else np.zeros((0, BANDS), np.int64)
         offsets = np.zeros(len(sets) + 1, np.int32)
-        np.cumsum((size > 0) * BANDS, out=offsets[1:])
-        bands = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel()))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(size), pa.array(c1), pa.array(c2), bands], names=["doc_id", "n", "c1", "c2", "bands"])
+        np.cumsum([BANDS * (len(x) > 0) for x in sets], out=offsets[1:])
+        columns = _identify(batch, sets) | {"bands": pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel()))}
+        yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
 def _list_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,13 +124,9 @@ def _list_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], names=["id", "shingles"])
 
 
-def _linked(one: str, other: str) -> Column:
-    common = F.size(F.array_intersect(one, other))
-    return 100 * common >= PERCENT * (F.size(one) + F.size(other) - common)
-
-
-def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (u, v) that are links, by their full sets. Many pairs may have
+def _compared(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (u, v) with the sizes of their full sets' intersection and
+    union (common, every). Many pairs may have
     the same u: its set goes to a salt only if a pair with it is there."""
     pairs = stored(pairs.distinct())
     ids = pairs.select(F.col("u").alias("doc_id")).union(pairs.select(F.col("v").alias("doc_id"))).distinct()
@@ -127,7 +137,18 @@ def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     hubs = per_salt(salted.groupBy("u").agg(salts_seen("s").alias("seen")), "seen", "s")
     ones = hubs.join(sets.select(F.col("id").alias("u"), F.col("shingles").alias("one")), "u")
     others = salted.join(sets.select(F.col("id").alias("v"), F.col("shingles").alias("other")), "v")
-    return others.join(ones, ["u", "s"]).where(_linked("one", "other")).select("u", "v").distinct()
+    met = others.join(ones, ["u", "s"]).select("u", "v", F.size(F.array_intersect("one", "other")).alias("common"), (F.size("one") + F.size("other")).alias("both"))
+    return met.select("u", "v", "common", (F.col("both") - F.col("common")).alias("every"))
+
+
+def _links(compared: DataFrame) -> DataFrame:
+    return compared.where(100 * F.col("common") >= PERCENT * F.col("every")).select("u", "v")
+
+
+def _placed(rest: DataFrame, compared: DataFrame) -> DataFrame:
+    """rest (key, hub, id) with the distance from the hub."""
+    far = compared.groupBy(F.col("u").alias("hub"), F.col("v").alias("id")).agg(F.min(1 - F.col("common") / F.col("every")).alias("far"))
+    return rest.join(far, ["hub", "id"]).select("key", "id", "far")
 
 
 def _hub_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -144,19 +165,21 @@ def _hub_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _labelled(members: DataFrame, roots: DataFrame) -> DataFrame:
     """members (key, id) of the keys whose members are in several components,
     with their component's root and the key's open pairs by member."""
-    own = members.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select("key", "id", F.coalesce("root", "id").alias("root"))
+    own = members.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select("key", "id", "far", F.coalesce("root", "id").alias("root"))
     own = own.withColumn("s", salt("id"))
     each = own.groupBy("key", "root").agg(F.count("*").alias("n"), salts_seen("s").alias("seen"))
     keys = each.groupBy("key").agg(F.count("*").alias("roots"), F.sum("n").alias("size"), F.sum(F.col("n") * F.col("n")).alias("squares"), F.bit_or("seen").alias("seen")).where("roots > 1")
     # pairs of different components for each member
     keys = keys.select("key", "seen", F.expr("(size * size - squares) div (2 * size)").alias("load"))
-    return own.join(per_salt(keys, "seen", "s").hint("shuffle_hash"), ["key", "s"]).select("key", "id", "root", "load")
+    return own.join(per_salt(keys, "seen", "s").hint("shuffle_hash"), ["key", "s"]).select("key", "id", "far", "root", "load")
 
 
 def _pairs_within(members: DataFrame, *on: str) -> DataFrame:
-    one = members.select(*on, F.col("id").alias("u"), F.col("root").alias("root_u"))
-    other = members.select(*on, F.col("id").alias("v"), F.col("root").alias("root_v"))
-    return one.join(other, list(on)).where("u < v AND root_u != root_v").select("u", "v").distinct()
+    """Pairs of different components. As Jaccard distance is a metric, members
+    whose distances from the hub differ by more than a link's cannot be linked."""
+    one = members.select(*on, F.col("id").alias("u"), F.col("root").alias("root_u"), F.col("far").alias("far_u"))
+    other = members.select(*on, F.col("id").alias("v"), F.col("root").alias("root_v"), F.col("far").alias("far_v"))
+    return one.join(other, list(on)).where(f"u < v AND root_u != root_v AND abs(far_u - far_v) <= {1 - PERCENT / 100 + 1e-9}").select("u", "v").distinct()
 
 
 def _prefixes(members: DataFrame, docs: DataFrame) -> DataFrame:
@@ -164,12 +187,12 @@ def _prefixes(members: DataFrame, docs: DataFrame) -> DataFrame:
     which two sets with a similarity of PERCENT must share one."""
     ids = members.select(F.col("id").alias("doc_id")).distinct()
     sets = docs.join(ids.hint("shuffle_hash"), "doc_id", "left_semi").mapInArrow(_list_sets, "id long, shingles array<long>")
-    listed = stored(members.join(sets, "id").select("key", "id", "root", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle")))
+    listed = stored(members.join(sets, "id").select("key", "id", "far", "root", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle")))
     listed = listed.withColumn("s", salt("id"))
     often = listed.groupBy("key", "shingle").agg(F.count("*").alias("often"), salts_seen("s").alias("seen"))
     listed = listed.join(per_salt(often, "seen", "s"), ["key", "shingle", "s"])
     rank = F.row_number().over(Window.partitionBy("key", "id").orderBy("often", "shingle"))
-    return listed.withColumn("rank", rank).where(f"rank <= n - ceil(n * {PERCENT} / 100.0) + 1 AND often > 1").select("key", "shingle", "id", "root")
+    return listed.withColumn("rank", rank).where(f"rank <= n - ceil(n * {PERCENT} / 100.0) + 1 AND often > 1").select("key", "shingle", "id", "far", "root")
 
 
 def _still_open(members: DataFrame, roots: DataFrame) -> tuple[DataFrame, int]:
@@ -188,38 +211,40 @@ def near_links(reps: DataFrame, docs: DataFrame) -> DataFrame:
     members = reps.select(F.explode("bands").alias("key"), F.col("doc_id").alias("id"))
     two, rest = _hub_pairs(members)
     rest = stored(rest)
-    roots = components(_confirmed(two.union(rest.select(F.col("hub").alias("u"), F.col("id").alias("v"))), docs))
-    open_, most = _still_open(rest.select("key", "id"), roots)
+    compared = stored(_compared(two.union(rest.select(F.col("hub").alias("u"), F.col("id").alias("v"))), docs))
+    roots = components(_links(compared))
+    open_, most = _still_open(_placed(rest, compared), roots)
     for _ in range(MORE_HUBS):
         if most <= SMALL:
             break
         two, more = _hub_pairs(open_.where(F.col("load") > SMALL).select("key", "id"))
         more = stored(more)
-        new = _confirmed(two.union(more.select(F.col("hub").alias("u"), F.col("id").alias("v"))), docs)
-        roots = components(_as_edges(roots).union(new))
-        left = more.select("key", "id").union(open_.where(F.col("load") <= SMALL).select("key", "id"))
+        compared = stored(_compared(two.union(more.select(F.col("hub").alias("u"), F.col("id").alias("v"))), docs))
+        roots = components(_as_edges(roots).union(_links(compared)))
+        left = _placed(more, compared).union(open_.where(F.col("load") <= SMALL).select("key", "id", "far"))
         open_, most = _still_open(left, roots)
     if most < 0:
         return roots
     pairs = _pairs_within(open_.where(F.col("load") <= SMALL), "key")
     if most > SMALL:
-        large = open_.where(F.col("load") > SMALL).select("key", "id", "root")
+        large = open_.where(F.col("load") > SMALL).select("key", "id", "far", "root")
         pairs = pairs.union(_pairs_within(_prefixes(large, docs), "key", "shingle"))
-    new = stored(_confirmed(pairs, docs))
+    new = stored(_links(_compared(pairs, docs)))
     return components(_as_edges(roots).union(new)) if new.take(1) else roots
 
 
 def near_dedup(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text) -> doc_id, n_shingles, component_id, kept."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = stored(docs.mapInArrow(_sign, "doc_id long, n long, c1 long, c2 long, bands array<long>"))
-    rows = signed.withColumn("s", salt("doc_id", "n"))
-    linkable = rows.where("n > 0 AND doc_id IS NOT NULL")
-    classes = stored(linkable.groupBy("c1", "c2", "n").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), salts_seen("s").alias("seen")))
+    # the sets are named twice, which costs less than keeping every signature
+    signed = docs.mapInArrow(_sign, _NAMED + ", bands array<long>").withColumn("s", salt("doc_id", "n"))
+    rows = docs.mapInArrow(_name, _NAMED).withColumn("s", salt("doc_id", "n"))
+    real = "n > 0 AND doc_id IS NOT NULL"
+    classes = stored(signed.where(real).groupBy("c1", "c2", "n").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), salts_seen("s").alias("seen")))
     roots = near_links(classes, docs)
     by_class = classes.drop("bands").join(roots, F.col("doc_id") == F.col("node"), "left").select("c1", "c2", "n", "seen", F.coalesce("root", "doc_id").alias("component_id"))
-    found = linkable.drop("bands").join(per_salt(by_class, "seen", "s").hint("shuffle_hash"), ["c1", "c2", "n", "s"]).select("doc_id", "n", "component_id")
-    alone = rows.where("n = 0 OR doc_id IS NULL").select("doc_id", "n", F.col("doc_id").alias("component_id"))
+    found = rows.where(real).join(per_salt(by_class, "seen", "s").hint("shuffle_hash"), ["c1", "c2", "n", "s"]).select("doc_id", "n", "component_id")
+    alone = rows.where(f"NOT ({real})").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     out = found.union(alone)
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
