@@ -16,12 +16,12 @@ def stored(df: DataFrame) -> DataFrame:
     if not context.getCheckpointDir():
         where = context.getConf().get("spark.checkpoint.dir") or f"file://{tempfile.mkdtemp(prefix='normalake-', dir=os.environ.get('TMPDIR'))}"
         context.setCheckpointDir(where)
-    # a checkpoint keeps the plan's inferred constraints, and these multiply
-    # from step to step of an iteration until planning takes longer than work
-    conf, name = df.sparkSession.conf, "spark.sql.constraintPropagation.enabled"
-    before = conf.get(name, "true")
-    conf.set(name, "false")
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        conf.set(name, before)
+    out = df.checkpoint(eager=True)
+    # a checkpoint keeps its plan's size estimate and constraints; joins
+    # multiply these from step to step of an iteration until planning takes
+    # longer than work, so its leaf is made anew without them
+    leaf = out._jdf.queryExecution().logical()
+    jvm, session = context._jvm, df.sparkSession._jsparkSession
+    none = jvm.scala.Option.empty()
+    plain = leaf.copy(leaf.output(), leaf.rdd(), leaf.outputPartitioning(), leaf.outputOrdering(), False, none, session, none, none)
+    return DataFrame(jvm.org.apache.spark.sql.classic.Dataset.ofRows(session, plain), df.sparkSession)
