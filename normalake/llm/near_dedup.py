@@ -9,11 +9,16 @@ similarity of 0.75 a pair misses all 64 bands of 6 values with a probability of
 Equal sets are one class from the start; classes meet in buckets (band, key).
 In a bucket the smallest class is the hub and is compared with all others:
 linear in the bucket.  What remains are pairs of members that are neither the
-hub nor already in one component, and whose distances from the hub do not rule
-a link out (Jaccard distance is a metric): buckets with up to SMALL such pairs a member
-list them; others first take further hubs, then compare only members that
-share one of their rarest shingles of the bucket (a prefix filter, which loses
-no pair with a similarity of 0.75).  Components are found by star contraction.
+hub nor already in one component.  Buckets with up to SMALL such pairs a member list
+them, but for those whose distances from the hub rule a link out (Jaccard
+distance is a metric).  In others only shingles that several components have
+count, as only these can be in a new link's intersection.  Pairs that share a
+rare one (in up to RARE open documents) are found by it.  All other pairs meet
+in frequent shingles alone: a member with too few of them for the bucket's
+smallest set goes, one further hub (the member with most) is compared, and then
+members outside a bucket's largest component meet only members of the set sizes
+that their frequent shingles allow.  No bound loses a link.  Components are
+found by star contraction.
 No step gathers a bucket, group or component in one task or on the driver.
 
 Defined cases: fewer than 5 words: the whole sequence is one shingle; no words,
@@ -30,7 +35,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from normalake.llm._components import components
 from normalake.llm._skew import per_salt, salt, salts_seen
@@ -39,7 +43,7 @@ from normalake.llm._text import grams, hashed_words, joined, mix, small_batches,
 
 WORDS, BANDS, ROWS = 5, 64, 6
 PERMUTATIONS = BANDS * ROWS // 2
-SMALL, MORE_HUBS = 256, 1
+SMALL, RARE = 2, 16
 #: Links have 100 * intersection >= PERCENT * union.
 PERCENT = 75
 
@@ -148,58 +152,92 @@ def _links(compared: DataFrame) -> DataFrame:
 def _placed(rest: DataFrame, compared: DataFrame) -> DataFrame:
     """rest (key, hub, id) with the distance from the hub."""
     far = compared.groupBy(F.col("u").alias("hub"), F.col("v").alias("id")).agg(F.min(1 - F.col("common") / F.col("every")).alias("far"))
-    return rest.join(far, ["hub", "id"]).select("key", "id", "far")
+    return rest.join(far, ["hub", "id"]).drop("hub")
 
 
-def _hub_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """members (key, id) -> the pairs of each key's smallest id with the
-    others, and the members of keys with three or more, with their hub."""
+def _hub_pairs(members: DataFrame, order: str = "id") -> tuple[DataFrame, DataFrame]:
+    """members (key, id) -> the pairs of each key's first id by the order with
+    the others, and the members of keys with three or more, with their hub."""
     members = members.withColumn("s", salt("id"))
-    keys = members.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last"), F.count("*").alias("size"), salts_seen("s").alias("seen")).where("size > 1")
+    keys = members.groupBy("key").agg(F.expr(f"min(struct({order} AS o, id)).id").alias("hub"), F.min("id").alias("least"), F.max("id").alias("last"), F.count("*").alias("size"), salts_seen("s").alias("seen")).where("size > 1")
     larger = per_salt(keys.where("size > 2").select("key", "hub", "seen"), "seen", "s")
     rest = members.join(larger.hint("shuffle_hash"), ["key", "s"]).where("id != hub").select("key", "hub", "id")
-    two = keys.where("size = 2").select(F.col("hub").alias("u"), F.col("last").alias("v"))
+    two = keys.where("size = 2").select(F.col("least").alias("u"), F.col("last").alias("v"))
     return two, rest
 
 
 def _labelled(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """members (key, id) of the keys whose members are in several components,
-    with their component's root and the key's open pairs by member."""
-    own = members.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select("key", "id", "far", F.coalesce("root", "id").alias("root"))
+    """members (key, id, ...) of the keys whose members are in several
+    components, with their component's root, whether that is not the key's
+    largest (apart), and the key's open pairs by member (load)."""
+    own = members.drop("root", "load", "apart").join(roots.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     own = own.withColumn("s", salt("id"))
-    each = own.groupBy("key", "root").agg(F.count("*").alias("n"), salts_seen("s").alias("seen"))
-    keys = each.groupBy("key").agg(F.count("*").alias("roots"), F.sum("n").alias("size"), F.sum(F.col("n") * F.col("n")).alias("squares"), F.bit_or("seen").alias("seen")).where("roots > 1")
+    each = own.groupBy("key", "root").agg(F.count("*").alias("m"), salts_seen("s").alias("seen"))
+    keys = each.groupBy("key").agg(F.count("*").alias("roots"), F.sum("m").alias("size"), F.sum(F.col("m") * F.col("m")).alias("squares"), F.max(F.struct("m", "root")).alias("most"), F.bit_or("seen").alias("seen")).where("roots > 1")
     # pairs of different components for each member
-    keys = keys.select("key", "seen", F.expr("(size * size - squares) div (2 * size)").alias("load"))
-    return own.join(per_salt(keys, "seen", "s").hint("shuffle_hash"), ["key", "s"]).select("key", "id", "far", "root", "load")
+    keys = keys.select("key", "seen", F.col("most.root").alias("main"), F.expr("(size * size - squares) div (2 * size)").alias("load"))
+    return own.join(per_salt(keys, "seen", "s").hint("shuffle_hash"), ["key", "s"]).withColumn("apart", F.expr("root != main")).drop("s", "main")
 
 
-def _pairs_within(members: DataFrame, *on: str) -> DataFrame:
-    """Pairs of different components. As Jaccard distance is a metric, members
-    whose distances from the hub differ by more than a link's cannot be linked."""
-    one = members.select(*on, F.col("id").alias("u"), F.col("root").alias("root_u"), F.col("far").alias("far_u"))
-    other = members.select(*on, F.col("id").alias("v"), F.col("root").alias("root_v"), F.col("far").alias("far_v"))
-    return one.join(other, list(on)).where(f"u < v AND root_u != root_v AND abs(far_u - far_v) <= {1 - PERCENT / 100 + 1e-9}").select("u", "v").distinct()
+def _sides(members: DataFrame, *names: str) -> tuple[DataFrame, DataFrame]:
+    one, other = (members.select(*names, *(F.col(k).alias(f"{k}_{e}") for k in members.columns if k not in names)) for e in "uv")
+    return one, other
 
 
-def _prefixes(members: DataFrame, docs: DataFrame) -> DataFrame:
-    """members (key, id, root) with the shingles, rarest in the key first, of
-    which two sets with a similarity of PERCENT must share one."""
+_NEAR = f"root_u != root_v AND abs(far_u - far_v) <= {1 - PERCENT / 100 + 1e-9}"
+_PAIR = ["least(id_u, id_v) AS u", "greatest(id_u, id_v) AS v"]
+
+
+def _listed(members: DataFrame) -> DataFrame:
+    """Pairs of different components in each key."""
+    one, other = _sides(members.select("key", "id", "root", "far"), "key")
+    return one.join(other, "key").where(f"id_u < id_v AND {_NEAR}").selectExpr(*_PAIR)
+
+
+def _shared(members: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """members (key, id, root, ...) -> ids with their set's size n and q, how
+    many of its frequent shingles other components have too; and the pairs
+    that share rare shingles and may be linked."""
     ids = members.select(F.col("id").alias("doc_id")).distinct()
     sets = docs.join(ids.hint("shuffle_hash"), "doc_id", "left_semi").mapInArrow(_list_sets, "id long, shingles array<long>")
-    listed = stored(members.join(sets, "id").select("key", "id", "far", "root", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle")))
+    listed = members.select("id", "root").distinct().join(stored(sets), "id").select("id", "root", F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("shingle"))
     listed = listed.withColumn("s", salt("id"))
-    often = listed.groupBy("key", "shingle").agg(F.count("*").alias("often"), salts_seen("s").alias("seen"))
-    listed = listed.join(per_salt(often, "seen", "s"), ["key", "shingle", "s"])
-    rank = F.row_number().over(Window.partitionBy("key", "id").orderBy("often", "shingle"))
-    return listed.withColumn("rank", rank).where(f"rank <= n - ceil(n * {PERCENT} / 100.0) + 1 AND often > 1").select("key", "shingle", "id", "far", "root")
-
-
-def _still_open(members: DataFrame, roots: DataFrame) -> tuple[DataFrame, int]:
-    """Members of keys in several components, and the largest load (-1: none)."""
-    found = stored(_labelled(members, roots))
-    most = found.agg(F.max("load")).collect()[0][0]
-    return found, -1 if most is None else most
+    often = listed.groupBy("shingle").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("often"), salts_seen("s").alias("seen")).where("a != b").select("shingle", "often", "seen")
+    found = stored(listed.join(per_salt(often, "seen", "s").hint("shuffle_hash"), ["shingle", "s"]).drop("s"))
+    # an id with several texts has the looser figures of these
+    sizes = found.groupBy("id", "n").agg(F.count(F.expr(f"CASE WHEN often > {RARE} THEN 1 END")).alias("q")).groupBy("id").agg(F.min("n").alias("n"), F.max("q").alias("q"))
+    sizes = stored(sizes)
+    one, other = _sides(found.where(f"often <= {RARE}").select("shingle", "id", "root"), "shingle")
+    pairs = one.join(other, "shingle").where("id_u < id_v AND root_u != root_v").groupBy("id_u", "id_v").agg(F.count("*").alias("rare"))
+    one, other = _sides(sizes)
+    pairs = pairs.join(one, "id_u").join(other, "id_v").where(f"{100 + PERCENT} * (rare + least(q_u, q_v)) >= {PERCENT} * (n_u + n_v)")
+    return sizes, pairs.selectExpr(*_PAIR)
+
+
+def _ranged(members: DataFrame) -> DataFrame:
+    """members (key, id, n, q, ...) that may still have a link by frequent
+    shingles, with the sizes, low to high, that its partner can have."""
+    own = members.drop("low", "high").withColumn("s", salt("id"))
+    ends = own.groupBy("key").agg(F.min("n").alias("least"), F.max("n").alias("most"), salts_seen("s").alias("seen"))
+    own = own.join(per_salt(ends, "seen", "s").hint("shuffle_hash"), ["key", "s"])
+    own = own.withColumn("low", F.expr(f"greatest(least, (n * {PERCENT} + 99) div 100)"))
+    own = own.withColumn("high", F.expr(f"least(most, n * 100 div {PERCENT}, q * {100 + PERCENT} div {PERCENT} - n)"))
+    return own.where("low <= high").drop("s", "least", "most")
+
+
+def _probed(members: DataFrame) -> DataFrame:
+    """Pairs of a member outside its key's largest component with one of
+    another component, where each has a size that the other allows."""
+    one, other = _sides(members.select("key", "id", "root", "far", "n", "low", "high", "apart"), "key")
+    one = one.where("apart_u").withColumn("size", F.explode(F.expr("sequence(low_u, high_u)")))
+    met = one.join(other.withColumn("size", F.col("n_v")), ["key", "size"])
+    return met.where(f"{_NEAR} AND n_u BETWEEN low_v AND high_v").selectExpr(*_PAIR)
+
+
+def _most(open_: DataFrame) -> int:
+    """The largest load (-1: none)."""
+    most = open_.agg(F.max("load")).collect()[0][0]
+    return -1 if most is None else most
 
 
 def _as_edges(roots: DataFrame) -> DataFrame:
@@ -213,22 +251,21 @@ def near_links(reps: DataFrame, docs: DataFrame) -> DataFrame:
     rest = stored(rest)
     compared = stored(_compared(two.union(rest.select(F.col("hub").alias("u"), F.col("id").alias("v"))), docs))
     roots = components(_links(compared))
-    open_, most = _still_open(_placed(rest, compared), roots)
-    for _ in range(MORE_HUBS):
-        if most <= SMALL:
-            break
-        two, more = _hub_pairs(open_.where(F.col("load") > SMALL).select("key", "id"))
+    open_ = stored(_labelled(_placed(rest, compared), roots))
+    pairs = _listed(open_.where(f"load <= {SMALL}"))
+    if _most(open_) > SMALL:
+        large = open_.where(f"load > {SMALL}")
+        sizes, sharing = _shared(large, docs)
+        large = stored(_labelled(_ranged(large.join(sizes, "id")), roots))
+        two, more = _hub_pairs(large.select("key", "id", "q"), "-q")
         more = stored(more)
         compared = stored(_compared(two.union(more.select(F.col("hub").alias("u"), F.col("id").alias("v"))), docs))
         roots = components(_as_edges(roots).union(_links(compared)))
-        left = _placed(more, compared).union(open_.where(F.col("load") <= SMALL).select("key", "id", "far"))
-        open_, most = _still_open(left, roots)
-    if most < 0:
+        large = stored(_labelled(_placed(more, compared).join(sizes, "id"), roots))
+        pairs = pairs.union(sharing).union(_probed(_ranged(large)))
+    pairs = stored(pairs.distinct())
+    if not pairs.take(1):
         return roots
-    pairs = _pairs_within(open_.where(F.col("load") <= SMALL), "key")
-    if most > SMALL:
-        large = open_.where(F.col("load") > SMALL).select("key", "id", "far", "root")
-        pairs = pairs.union(_pairs_within(_prefixes(large, docs), "key", "shingle"))
     new = stored(_links(_compared(pairs, docs)))
     return components(_as_edges(roots).union(new)) if new.take(1) else roots
 

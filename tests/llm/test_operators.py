@@ -141,9 +141,9 @@ def test_near_dedup_in_crowded_buckets(spark, monkeypatch):
     rows = list(enumerate(texts))
     df = spark.createDataFrame(rows, "doc_id long, text string")
     want = brute_near(rows)
-    for small, hubs in ((32, 3), (0, 1)):
+    for small, rare in ((1000, 16), (0, 16), (0, 0), (0, 3)):
         monkeypatch.setattr(near_dedup, "SMALL", small)
-        monkeypatch.setattr(near_dedup, "MORE_HUBS", hubs)
+        monkeypatch.setattr(near_dedup, "RARE", rare)
         assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_dedup.near_dedup(df).collect()} == want
 
 
