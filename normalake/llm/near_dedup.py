@@ -43,7 +43,7 @@ from normalake.llm._text import grams, hashed_words, joined, mix, small_batches,
 
 WORDS, BANDS, ROWS = 5, 64, 6
 PERMUTATIONS = BANDS * ROWS // 2
-SMALL, RARE = 2, 16
+SMALL, RARE = 8, 16
 #: Links have 100 * intersection >= PERCENT * union.
 PERCENT = 75
 
@@ -155,11 +155,10 @@ def _placed(rest: DataFrame, compared: DataFrame) -> DataFrame:
     return rest.join(far, ["hub", "id"]).drop("hub")
 
 
-def _hub_pairs(members: DataFrame, order: str = "id") -> tuple[DataFrame, DataFrame]:
-    """members (key, id) -> the pairs of each key's first id by the order with
-    the others, and the members of keys with three or more, with their hub."""
+def _hub_pairs(members: DataFrame, hub: str = "min(id)") -> tuple[DataFrame, DataFrame]:
+    """members (key, id) -> the pairs of each key's hub with the others, and the members of keys with three or more, with their hub."""
     members = members.withColumn("s", salt("id"))
-    keys = members.groupBy("key").agg(F.expr(f"min(struct({order} AS o, id)).id").alias("hub"), F.min("id").alias("least"), F.max("id").alias("last"), F.count("*").alias("size"), salts_seen("s").alias("seen")).where("size > 1")
+    keys = members.groupBy("key").agg(F.expr(hub).alias("hub"), F.min("id").alias("least"), F.max("id").alias("last"), F.count("*").alias("size"), salts_seen("s").alias("seen")).where("size > 1")
     larger = per_salt(keys.where("size > 2").select("key", "hub", "seen"), "seen", "s")
     rest = members.join(larger.hint("shuffle_hash"), ["key", "s"]).where("id != hub").select("key", "hub", "id")
     two = keys.where("size = 2").select(F.col("least").alias("u"), F.col("last").alias("v"))
@@ -257,7 +256,7 @@ def near_links(reps: DataFrame, docs: DataFrame) -> DataFrame:
         large = open_.where(f"load > {SMALL}")
         sizes, sharing = _shared(large, docs)
         large = stored(_labelled(_ranged(large.join(sizes, "id")), roots))
-        two, more = _hub_pairs(large.select("key", "id", "q"), "-q")
+        two, more = _hub_pairs(large.select("key", "id", "q"), "max(struct(q, id)).id")
         more = stored(more)
         compared = stored(_compared(two.union(more.select(F.col("hub").alias("u"), F.col("id").alias("v"))), docs))
         roots = components(_as_edges(roots).union(_links(compared)))
