@@ -8,7 +8,7 @@ import tempfile
 from pyspark.sql import DataFrame
 
 
-def stored(df: DataFrame) -> DataFrame:
+def checkpointed(df: DataFrame) -> DataFrame:
     """The same rows, written to the shared checkpoint folder. The session's
     ``spark.checkpoint.dir`` names it; only where that is unset, as in tests,
     a temporary one is made."""
@@ -16,12 +16,17 @@ def stored(df: DataFrame) -> DataFrame:
     if not context.getCheckpointDir():
         where = context.getConf().get("spark.checkpoint.dir") or f"file://{tempfile.mkdtemp(prefix='normalake-', dir=os.environ.get('TMPDIR'))}"
         context.setCheckpointDir(where)
-    out = df.checkpoint(eager=True)
+    return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """As checkpointed, for use in iterations: without the plan's estimates."""
+    out = checkpointed(df)
     # a checkpoint keeps its plan's size estimate and constraints; joins
     # multiply these from step to step of an iteration until planning takes
     # longer than work, so its leaf is made anew without them
     leaf = out._jdf.queryExecution().logical()
-    jvm, session = context._jvm, df.sparkSession._jsparkSession
+    jvm, session = df.sparkSession._jvm, df.sparkSession._jsparkSession
     none = jvm.scala.Option.empty()
     plain = leaf.copy(leaf.output(), leaf.rdd(), leaf.outputPartitioning(), leaf.outputOrdering(), False, none, session, none, none)
     return DataFrame(jvm.org.apache.spark.sql.classic.Dataset.ofRows(session, plain), df.sparkSession)

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from normalake.llm._store import stored
+from normalake.llm._store import checkpointed
 
 SHARDS = 8
 
@@ -35,7 +35,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     slim = slim.withColumn("tie", F.monotonically_increasing_id())
     order = ["doc_id", "size", "text_crc32", "tie"]
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = stored(slim.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()))
+    ranged = checkpointed(slim.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()))
     totals = ranged.groupBy("part").agg(F.sum("size").alias("part_size"), F.count("*").alias("part_rows"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
