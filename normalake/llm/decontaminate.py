@@ -4,9 +4,11 @@ Method: texts become words (letters, digits; lower case, sharp s as ss) and
 their canonical form, in which numbers, unit words and names (a capitalised
 word within a sentence) are typed placeholders.  Windows of WINDOW words are
 hash-joined twice, as they are and in canonical form.  Matches of one item on
-one diagonal (text position less item position) belong to one occurrence; a
-canonical match counts only if, over the occurrence, each slot value of the
-item has one value in the text and the other way round.  A document is
+one diagonal (text position less item position) belong to one occurrence.
+Plain matches always count.  Over the occurrence each slot value of the item
+should have one value in the text and the other way round: slot words that
+break this are not counted as covered, and where one was changed, canonical
+matches over it and those that overlap them are left out.  A document is
 contaminated by an item if an occurrence covers at least COVER of its words.
 
 The item windows are broadcast if they are at most MAX_WINDOWS (their number is
@@ -22,6 +24,7 @@ Items without item_id are left out.  Rows of one doc_id are judged together.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -81,16 +84,34 @@ def _names(texts: pa.Array, n: int) -> np.ndarray:
     return capital & (np.diff(number, prepend=-1) == 0)
 
 
-def windows(words: dict, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, canonical hash, usable, canonical differs) by first word."""
-    plain, canon, first = words["plain"], words["canon"], words["first"]
-    m = max(0, len(plain) - size + 1)
-    text = np.searchsorted(first, np.arange(len(plain)), side="right")
-    whole = text[:m] == text[size - 1 : size - 1 + m]
-    slots = np.concatenate(([0], np.cumsum(plain != canon)))
-    many = slots[size : size + m] - slots[:m]
-    # a canonical hash never equals a plain one
-    return grams(plain, size), grams(canon, size) ^ np.uint64(0x5A5A5A5A), whole, (many > 0) & (many < size)
+def streams(words: dict) -> list[dict]:
+    """The token streams whose windows are matched: of each token its key, first
+    word, number of words, value and whether it is a slot. The first is plain."""
+    plain, canon = words["plain"], words["canon"]
+    slot, at, one = plain != canon, np.arange(len(plain)), np.ones(len(plain), np.int64)
+    both = {"start": at, "n": one, "val": plain, "slot": slot}
+    return [{"key": plain, **both}, {"key": canon, **both}]
+
+
+def windows(words: dict, stream: dict, size: int, canonical: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The first tokens of the usable windows, and their hashes."""
+    start, first = stream["start"], words["first"]
+    m = max(0, len(start) - size + 1)
+    text = np.searchsorted(first, start, side="right")
+    use = text[:m] == text[size - 1 : size - 1 + m]
+    h = grams(stream["key"], size)
+    if canonical:
+        slots = np.concatenate(([0], np.cumsum(stream["slot"])))
+        many = slots[size : size + m] - slots[:m]
+        use &= (many > 0) & (many < size)
+        h ^= np.uint64(0x5A5A5A5A)  # a canonical hash never equals a plain one
+    at = np.flatnonzero(use)
+    return at, h[at]
+
+
+def tokens_in(words: dict, stream: dict) -> np.ndarray:
+    """The number of the stream's tokens in each text."""
+    return np.diff(np.searchsorted(stream["start"], words["first"]))
 
 
 class Index:
@@ -99,56 +120,154 @@ class Index:
     def __init__(self, items: list[tuple[int, str]]):
         self.ids = np.array([i for i, _ in items], np.int64)
         words = words_of(pa.array([t for _, t in items], pa.string()))
-        first = words["first"]
-        self.plain, self.canon, self.first = words["plain"], words["canon"], first
-        self.length = np.diff(first)
-        self.sizes = sorted({int(min(WINDOW, n)) for n in self.length if n >= SHORTEST})
+        self.first = words["first"]
+        self.length = np.diff(self.first)
+        self.streams = streams(words)
+        got: dict[int, list] = {}
+        for k, stream in enumerate(self.streams):
+            many = tokens_in(words, stream)
+            for size in range(SHORTEST, WINDOW + 1):
+                at, h = windows(words, stream, size, k > 0)
+                item = np.searchsorted(self.first, stream["start"][at], side="right") - 1
+                use = np.minimum(many[item], WINDOW) == size
+                if use.any():
+                    got.setdefault(size, []).append((h[use], at[use], np.full(use.sum(), k)))
         self.by_size = {}
-        for size in self.sizes:
-            h, c, whole, slotted = windows(words, size)
-            item = np.searchsorted(first, np.arange(len(h)), side="right") - 1
-            use = whole & (np.minimum(self.length[item], WINDOW) == size)
-            at = np.concatenate((np.flatnonzero(use), np.flatnonzero(use & slotted)))
-            key = np.concatenate((h[use], c[use & slotted]))
+        for size, parts in got.items():
+            key, at, kind = (np.concatenate(x) for x in zip(*parts))
             order = np.argsort(key, kind="stable")
-            key, at = key[order], at[order]
+            key, at, kind = key[order], at[order], kind[order]
             seen = np.zeros(1 << 16, bool)
             seen[(key >> np.uint64(48)).astype(np.int64)] = True
-            self.by_size[size] = key, at, seen
+            self.by_size[size] = key, at, kind, seen
 
     def matches(self, words: dict) -> dict[tuple[int, int], float]:
         """{(text, item): the largest share that an occurrence covers}."""
-        at_text, at_item, sizes = [], [], []
-        for size, (key, at, seen) in self.by_size.items():
-            h, c, whole, slotted = windows(words, size)
-            for values, use in ((h, whole), (c, whole & slotted)):
-                maybe = np.flatnonzero(use & seen[(values >> np.uint64(48)).astype(np.int64)])
-                lo, hi = np.searchsorted(key, values[maybe]), np.searchsorted(key, values[maybe], side="right")
+        theirs, found = streams(words), []
+        for size, (key, at, kind, seen) in self.by_size.items():
+            for k, stream in enumerate(theirs):
+                t, values = windows(words, stream, size, k > 0)
+                maybe = seen[(values >> np.uint64(48)).astype(np.int64)]
+                t, values = t[maybe], values[maybe]
+                lo, hi = np.searchsorted(key, values), np.searchsorted(key, values, side="right")
                 many = hi - lo
                 if many.sum():
                     where = np.repeat(lo, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-                    at_text.append(np.repeat(maybe, many)), at_item.append(at[where]), sizes.append(np.full(len(where), size))
-        if not at_text:
+                    found.append((np.repeat(t, many), np.full(len(where), k), at[where], kind[where], np.full(len(where), size)))
+        if not found:
             return {}
-        t, i, size = np.concatenate(at_text), np.concatenate(at_item), np.concatenate(sizes)
-        text = np.searchsorted(words["first"], t, side="right") - 1
-        item = np.searchsorted(self.first, i, side="right") - 1
-        frame = pd.DataFrame({"text": text, "item": item, "off": t - i, "i": i, "size": size}).drop_duplicates()
+        t, tk, i, ik, size = (np.concatenate(x) for x in zip(*found))
+        q, p, pe = np.zeros(len(t), np.int64), np.zeros(len(t), np.int64), np.zeros(len(t), np.int64)
+        for k, (mine, its) in enumerate(zip(self.streams, theirs)):
+            q[tk == k] = its["start"][t[tk == k]]
+            p[ik == k] = mine["start"][i[ik == k]]
+            last = (i + size - 1)[ik == k]
+            pe[ik == k] = mine["start"][last] + mine["n"][last]
+        text = np.searchsorted(words["first"], q, side="right") - 1
+        item = np.searchsorted(self.first, p, side="right") - 1
+        q, p, pe = q - words["first"][text], p - self.first[item], pe - self.first[item]
+        frame = pd.DataFrame({"text": text, "item": item, "length": self.length[item], "q": q, "p": p, "pe": pe, "t": t, "tk": tk, "i": i, "ik": ik, "size": size})
+        frame = enough(in_bands(frame), ["text", "item", "band"])
         out: dict[tuple[int, int], float] = {}
-        for (x, y, off), g in frame.groupby(["text", "item", "off"], sort=False):
-            covered = np.unique((g["i"].to_numpy()[:, None] + np.arange(int(g["size"].iloc[0]))).ravel())
-            share = len(covered) / self.length[y]
-            if share >= COVER and consistent(self.plain[covered], words["plain"][covered + off], self.canon[covered] != self.plain[covered]):
-                out[x, y] = max(out.get((x, y), 0.0), float(share))
+        for (x, y, _), g in frame.groupby(["text", "item", "band"], sort=False):
+            listed = []
+            for t, tk, i, ik, size in zip(g["t"], g["tk"], g["i"], g["ik"], g["size"]):
+                a, b = self.streams[ik], theirs[tk]
+                a, b = ({c: s[c][at : at + size] for c in ("start", "n", "val", "slot")} for s, at in ((a, i), (b, t)))
+                listed.append((kind_of(ik, tk), a["start"] - self.first[y], a["n"], b["start"] - words["first"][x], b["n"], a["val"], b["val"], a["slot"], b["slot"]))
+            share = covered(int(self.length[y]), listed)
+            if share >= COVER:
+                out[x, y] = max(out.get((x, y), 0.0), share)
         return out
 
 
-def consistent(ours: np.ndarray, theirs: np.ndarray, slot: np.ndarray) -> bool:
-    """Equal outside slots; in slots, values correspond one to one."""
-    if not np.array_equal(ours[~slot], theirs[~slot]):
+def kind_of(ours: int, theirs: int) -> int:
+    """0 for a plain match, 1 for a canonical one, by the two streams."""
+    return min(max(ours, theirs), 1)
+
+
+def in_bands(frame: pd.DataFrame) -> pd.DataFrame:
+    """Each match with the occurrence it belongs to."""
+    return frame.assign(band=frame["q"] - frame["p"])
+
+
+def enough(frame: pd.DataFrame, by: list[str]) -> pd.DataFrame:
+    """The groups whose matches span at least COVER of the item's words."""
+    frame = frame.sort_values([*by, "p", "pe"])
+    group = frame.groupby(by, sort=False)
+    before = frame.assign(top=group["pe"].cummax()).groupby(by, sort=False)["top"].shift(fill_value=0)
+    new = (frame["pe"] - np.maximum(frame["p"], before)).clip(lower=0)
+    return frame[new.groupby([frame[k] for k in by]).transform("sum") >= COVER * frame["length"]]
+
+
+def covered(length: int, listed: list[tuple]) -> float:
+    """The share of the item's words that the matches of one occurrence cover.
+    A match: kind; of the item's tokens first word and number of words; the
+    same of the text's; values of both; slots of both. An item word has one
+    place in the text and the other way round; the longest diagonals go first."""
+    to, used, counted = np.full(length, -1), set(), np.zeros(length, bool)
+    slots: dict[int, tuple[int, int]] = {}
+    lines: dict[int, list] = {}
+    for x in listed:
+        if x[0] == 0:
+            lines.setdefault(int(x[3][0] - x[1][0]), []).append(x)
+    words = {off: {int(p): (int(a), int(b) if s else int(a), bool(o)) for x in line for p, a, b, o, s in zip(x[1], x[5], x[6], x[7], x[8])} for off, line in lines.items()}
+    for off in sorted(words, key=lambda k: (-len(words[k]), k)):
+        for p, (a, b, slot) in words[off].items():
+            if to[p] < 0 and p + off not in used:
+                to[p], counted[p] = p + off, True
+                used.add(p + off)
+                if slot:
+                    slots[p] = a, b
+    chosen = [x for x in _in_order(listed, 1) if _placed(x, to, used)]
+    pairs = set(slots.values()) | {y for x in chosen for y in _pairs(x)}
+    ours, theirs = Counter(a for a, _ in pairs), Counter(b for _, b in pairs)
+    broken = {(a, b) for a, b in pairs if ours[a] > 1 or theirs[b] > 1}
+    doubt, drop = np.zeros(length, bool), np.zeros(length, bool)
+    for x in chosen:
+        if any(y in broken and y[0] != y[1] for y in _pairs(x)):
+            doubt[_span(x)] = True
+    for x in chosen:
+        if not doubt[_span(x)].any():
+            counted[_span(x)] = True
+            for p, n, a, b, slot in zip(x[1], x[2], x[5], x[6], x[7]):
+                drop[p : p + n] |= bool(slot) and (int(a), int(b)) in broken
+    drop[[p for p, y in slots.items() if y in broken]] = True
+    return float((counted & ~drop).sum() / length)
+
+
+def _span(x: tuple) -> slice:
+    return slice(int(x[1][0]), int(x[1][-1] + x[2][-1]))
+
+
+def _pairs(x: tuple) -> set[tuple[int, int]]:
+    return {(int(a), int(b)) for a, b, slot in zip(x[5], x[6], x[7]) if slot}
+
+
+def _in_order(listed: list[tuple], kind: int) -> list[tuple]:
+    """The matches of a kind, those of the fullest diagonals first."""
+    off = lambda x: int(x[3][0] - x[1][0])
+    some = [x for x in listed if x[0] == kind]
+    many = Counter(map(off, some))
+    return sorted(some, key=lambda x: (-many[off(x)], off(x), int(x[1][0]), len(x[1]), tuple(map(int, x[2])), tuple(map(int, x[4]))))
+
+
+def _placed(x: tuple, to: np.ndarray, used: set[int]) -> bool:
+    """Give the words of a canonical match their places, unless it is not equal
+    outside slots or a word has or is another's place."""
+    if not np.array_equal(x[5][~x[7]], x[6][~x[7]]):
         return False
-    pairs = set(zip(ours[slot].tolist(), theirs[slot].tolist()))
-    return len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs})
+    new = {}
+    for p, n, q, m in zip(*(map(int, x[k]) for k in (1, 2, 3, 4))):
+        for j in range(n):
+            place = q + min(j, m - 1)
+            if to[p + j] != place:
+                if to[p + j] >= 0 or place in used:
+                    return False
+                new[p + j] = place
+    to[list(new)] = list(new.values())
+    used.update(new.values())
+    return True
 
 
 def _index(benchmark: DataFrame) -> Index | None:
@@ -177,37 +296,45 @@ def leaks(docs: DataFrame, benchmark: DataFrame, max_windows: int = MAX_WINDOWS)
 
 
 def _windows_listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every window of 5 to WINDOW words, plain and canonical, with its words."""
+    """Every window of 5 to WINDOW tokens of each stream, with its tokens."""
     for batch in small_batches(batches, "text", 1 << 18):
         words = words_of(batch.column("text"))
         first = words["first"]
-        for size in range(SHORTEST, WINDOW + 1):
-            h, c, whole, slotted = windows(words, size)
-            for values, use in ((h, whole), (c, whole & slotted)):
-                at = np.flatnonzero(use)
+        for k, stream in enumerate(streams(words)):
+            many = tokens_in(words, stream)
+            for size in range(SHORTEST, WINDOW + 1):
+                at, h = windows(words, stream, size, k > 0)
                 if not len(at):
                     continue
-                row = np.searchsorted(first, at, side="right") - 1
-                each = [pa.FixedSizeListArray.from_arrays(pa.array(np.lib.stride_tricks.sliding_window_view(words[k], size)[at].ravel().view(np.int64)), size).cast(pa.list_(pa.int64())) for k in ("plain", "canon")]
-                yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(row)), batch.column("row").take(pa.array(row)), pa.array(values[at].view(np.int64)), pa.array(np.full(len(at), size, np.int32)), pa.array(at - first[row]), pa.array(first[row + 1] - first[row]), *each], names=["id", "row", "h", "size", "pos", "length", "plain", "canon"])
+                row = np.searchsorted(first, stream["start"][at], side="right") - 1
+                each = [np.lib.stride_tricks.sliding_window_view(stream[c], size)[at] for c in ("start", "n", "val", "slot")]
+                each[0] = each[0] - first[row][:, None]
+                each = [pa.FixedSizeListArray.from_arrays(pa.array(x.ravel().view(np.int64) if x.dtype != bool else x.ravel()), size) for x in each]
+                each = [x.cast(pa.list_(x.type.value_type)) for x in each]
+                yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(row)), batch.column("row").take(pa.array(row)), pa.array(h.view(np.int64)), pa.array(np.full(len(at), size, np.int32)), pa.array(np.full(len(at), k, np.int32)), pa.array(many[row]), pa.array(first[row + 1] - first[row]), *each], names=["id", "row", "h", "size", "k", "tokens", "length", "start", "n", "val", "slot"])
+
+
+_LISTED = "id long, row long, h long, size int, k int, tokens long, length long, start array<long>, n array<long>, val array<long>, slot array<boolean>"
 
 
-_LISTED = "id long, row long, h long, size int, pos long, length long, plain array<long>, canon array<long>"
+def _judged(frame: pd.DataFrame) -> pd.DataFrame:
+    """The coverage of one occurrence."""
+    columns = [[np.array(v) for v in frame[c]] for c in ("start", "n", "their_start", "their_n", "val", "their_val", "slot", "their_slot")]
+    listed = list(zip(map(kind_of, frame["k"], frame["their_k"]), *columns))
+    return frame[["doc_id", "t", "item_id", "i"]].head(1).assign(coverage=covered(int(frame["length"].iloc[0]), listed))
 
 
 def _leaks_joined(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The same by a shuffled hash join, for benchmarks of any size."""
     theirs = docs.select(F.col("doc_id").alias("id"), F.monotonically_increasing_id().alias("row"), "text").mapInArrow(_windows_listed, _LISTED)
     items = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(F.col("item_id").cast("long").alias("id"), F.monotonically_increasing_id().alias("row"), "text")
-    ours = items.mapInArrow(_windows_listed, _LISTED).where(f"size = least(length, {WINDOW})")
-    a = theirs.select(F.col("id").alias("doc_id"), F.col("row").alias("t"), "h", "size", F.col("pos").alias("at"), F.col("plain").alias("theirs"))
-    b = ours.select(F.col("id").alias("item_id"), F.col("row").alias("i"), "h", "size", "pos", "length", F.col("plain").alias("ours"), "canon")
-    met = a.join(b, ["h", "size"]).select("doc_id", "t", "item_id", "i", "length", (F.col("at") - F.col("pos")).alias("off"), F.explode(F.expr("transform(sequence(0, size - 1), k -> struct(pos + k AS p, ours[k] AS a, theirs[k] AS b, ours[k] != canon[k] AS slot))")).alias("x"))
-    words = met.select("doc_id", "t", "item_id", "i", "length", "off", "x.*").distinct()
-    by = ["doc_id", "t", "item_id", "i", "length", "off"]
-    seen = words.groupBy(*by).agg(F.countDistinct("p").alias("covered"), F.count_if(~F.col("slot") & (F.col("a") != F.col("b"))).alias("wrong"), F.count_distinct(F.when(F.col("slot"), F.struct("a", "b"))).alias("pairs"), F.count_distinct(F.when(F.col("slot"), F.col("a"))).alias("n_a"), F.count_distinct(F.when(F.col("slot"), F.col("b"))).alias("n_b"))
-    good = seen.where(f"covered / length >= {COVER} AND wrong = 0 AND pairs = n_a AND pairs = n_b")
-    return good.groupBy("doc_id", "t", "item_id", "i").agg(F.max(F.col("covered") / F.col("length")).alias("coverage")).select("doc_id", "item_id", "coverage")
+    ours = items.mapInArrow(_windows_listed, _LISTED).where(f"size = least(tokens, {WINDOW})")
+    a = theirs.select(F.col("id").alias("doc_id"), F.col("row").alias("t"), "h", "size", *[F.col(c).alias(f"their_{c}") for c in ("k", "start", "n", "val", "slot")])
+    b = ours.select(F.col("id").alias("item_id"), F.col("row").alias("i"), "h", "size", "k", "length", "start", "n", "val", "slot")
+    off = F.col("their_start")[0] - F.col("start")[0]
+    met = a.join(b, ["h", "size"]).withColumn("band", off)
+    seen = met.groupBy("t", "i", "band").applyInPandas(_judged, "doc_id long, t long, item_id long, i long, coverage double")
+    return seen.where(f"coverage >= {COVER}").groupBy("doc_id", "t", "item_id", "i").agg(F.max("coverage").alias("coverage")).select("doc_id", "item_id", "coverage")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

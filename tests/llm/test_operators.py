@@ -299,6 +299,25 @@ def test_decontamination(spark):
     assert decontaminate.leaks(docs.where("false"), bench).count() == 0
 
 
+def both_ways(spark, items, cases):
+    """The leaks found by broadcast, which the join must find as well."""
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    got = sorted(map(tuple, decontaminate.leaks(docs, bench).collect()))
+    assert sorted(map(tuple, decontaminate.leaks(docs, bench, max_windows=0).collect())) == got
+    return {(i, k): c for i, k, c in got}
+
+
+def test_decontamination_of_copies_with_a_repeated_value_changed(spark):
+    """A nearly verbatim copy counts by its untouched words, whether the old or
+    the new value stands elsewhere in the item."""
+    a, b, c = (" ".join(WORDS[k : k + 13]) for k in (0, 20, 40))
+    twice, other = f"{a} 60 {b} 60 {c}", f"{a} 60 {b} 80 {c}"
+    cases = [twice.replace("60", "80", 1), twice[::-1].replace("06", "08", 1)[::-1], other.replace("60", "80")]
+    got = both_ways(spark, [twice, other], cases)
+    assert {(0, 0), (1, 0), (2, 1)} <= set(got)
+
+
 def brute_pack(lengths, sources, clusters, capacity):
     bins, out = [], [0] * len(lengths)
     for i in sorted(range(len(lengths)), key=lambda i: (-lengths[i], i)):
