@@ -3,8 +3,12 @@
 Method: texts become words (letters, digits; lower case, sharp s as ss) and
 their canonical form, in which numbers, unit words and names (a capitalised
 word within a sentence) are typed placeholders.  Windows of WINDOW words are
-hash-joined twice, as they are and in canonical form.  Matches of one item on
-one diagonal (text position less item position) belong to one occurrence.
+hash-joined as they are and in canonical form, the latter also with each run
+of numbers or names as one placeholder, and with capitalised words that begin
+a sentence as names.  Matches of one item whose diagonals (text position less
+item position) differ by no more than the item's length belong to one
+occurrence: bands of twice that width, each overlapping the next by half.  A
+word has one place, so one passage does not count for each of its repeats.
 Plain matches always count.  Over the occurrence each slot value of the item
 should have one value in the text and the other way round: slot words that
 break this are not counted as covered, and where one was changed, canonical
@@ -34,7 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from normalake.llm._text import grams, hash_of, hashed_words, joined, small_batches, word_ranges
+from normalake.llm._text import grams, hash_of, hashed_words, joined, mix, small_batches, word_ranges
 
 WINDOW, SHORTEST, COVER = 8, 5, 0.5
 MAX_WINDOWS = 2_000_000
@@ -60,37 +64,56 @@ def words_of(texts: pa.Array) -> dict:
         many = np.concatenate(([0], np.cumsum(digit)))
         number = many[ends] - many[starts] == ends - starts
     unit = np.isin(plain, hash_of(UNITS))
-    name = _names(texts, len(plain))
-    canon[name & ~number] = PLACEHOLDERS[2]
-    canon[unit] = PLACEHOLDERS[1]
-    canon[number] = PLACEHOLDERS[0]
-    return {"plain": plain, "canon": canon, "first": word_ranges(starts, at)}
+    capital, begins = _names(texts, len(plain))
+    kind = np.where(number, 1, np.where(unit, 2, np.where(capital & ~begins, 3, 0)))
+    canon[kind > 0] = np.array(PLACEHOLDERS)[kind[kind > 0] - 1]
+    return {"plain": plain, "canon": canon, "first": word_ranges(starts, at), "kind": kind, "starter": capital & begins & (kind == 0), "begins": begins}
 
 
-def _names(texts: pa.Array, n: int) -> np.ndarray:
-    """Words with an ASCII capital first and a lower-case letter next that do
-    not begin a sentence. Folding keeps the words' number and order."""
+def _names(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Words with an ASCII capital first and a lower-case letter next, and
+    words that begin a sentence. Folding keeps the words' number and order."""
     data, _ = joined(texts)
     starts, ends, _ = hashed_words(data, "word")
-    if len(starts) != n:
-        return np.zeros(n, bool)
-    if not n:
-        return np.zeros(0, bool)
+    if len(starts) != n or not n:
+        return np.zeros(n, bool), np.zeros(n, bool)
     nxt = data[np.minimum(starts + 1, len(data) - 1)]
     capital = (data[starts] >= 65) & (data[starts] <= 90) & (ends - starts > 1) & (((nxt >= 97) & (nxt <= 122)) | (nxt >= 128))
     stop = np.zeros(256, bool)
     stop[[10, 13, 33, 46, 58, 63]] = True
     number = np.concatenate(([0], np.cumsum(stop[data])))[starts]
-    return capital & (np.diff(number, prepend=-1) == 0)
+    return capital, np.diff(number, prepend=-1) != 0
+
+
+def _runs(words: dict, kind: np.ndarray) -> dict:
+    """Each run of number words, or of names within a sentence, as one token."""
+    plain, n = words["plain"], len(kind)
+    edge = np.zeros(n + 1, bool)
+    edge[words["first"]] = True
+    more = np.zeros(n, bool)
+    more[1:] = (kind[1:] == kind[:-1]) & ((kind[1:] == 1) | (kind[1:] == 3) & ~words["begins"][1:])
+    start = np.flatnonzero(~(more & ~edge[:-1]))
+    many = np.diff(start, append=n)
+    if n:
+        at = np.arange(n) - np.repeat(start, many)
+        val = mix(np.add.reduceat(plain * np.power(np.uint64(0xC2B2AE3D27D4EB4F), at.astype(np.uint64)), start))
+    else:
+        val = plain
+    val = np.where(many > 1, val, plain[start])
+    key = val.copy()
+    key[kind[start] > 0] = np.array(PLACEHOLDERS)[kind[start][kind[start] > 0] - 1]
+    return {"key": key, "start": start, "n": many, "val": val, "slot": kind[start] > 0}
 
 
 def streams(words: dict) -> list[dict]:
     """The token streams whose windows are matched: of each token its key, first
-    word, number of words, value and whether it is a slot. The first is plain."""
-    plain, canon = words["plain"], words["canon"]
-    slot, at, one = plain != canon, np.arange(len(plain)), np.ones(len(plain), np.int64)
-    both = {"start": at, "n": one, "val": plain, "slot": slot}
-    return [{"key": plain, **both}, {"key": canon, **both}]
+    word, number of words, value and whether it is a slot; of the last two, also
+    which tokens make a window worth having. The first is plain. A word's value
+    is that of its run, as '1' of '1,250' may well have two values."""
+    plain, canon, kind = words["plain"], words["canon"], words["kind"]
+    runs, named = _runs(words, kind), _runs(words, np.where(words["starter"], 3, kind))
+    both = {"start": np.arange(len(plain)), "n": np.ones(len(plain), np.int64), "val": np.repeat(runs["val"], runs["n"]), "slot": kind > 0}
+    return [{"key": plain, **both}, {"key": canon, **both}, {**runs, "need": runs["n"] > 1}, {**named, "need": words["starter"][named["start"]]}]
 
 
 def windows(words: dict, stream: dict, size: int, canonical: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -104,6 +127,9 @@ def windows(words: dict, stream: dict, size: int, canonical: bool) -> tuple[np.n
         slots = np.concatenate(([0], np.cumsum(stream["slot"])))
         many = slots[size : size + m] - slots[:m]
         use &= (many > 0) & (many < size)
+        if "need" in stream:
+            need = np.concatenate(([0], np.cumsum(stream["need"])))
+            use &= need[size : size + m] > need[:m]
         h ^= np.uint64(0x5A5A5A5A)  # a canonical hash never equals a plain one
     at = np.flatnonzero(use)
     return at, h[at]
@@ -182,13 +208,15 @@ class Index:
 
 
 def kind_of(ours: int, theirs: int) -> int:
-    """0 for a plain match, 1 for a canonical one, by the two streams."""
-    return min(max(ours, theirs), 1)
+    """By the two streams: 0 for a plain match, 1 for a canonical one, 2 for one
+    with a name that begins a sentence."""
+    return (0, 1, 1, 2)[max(ours, theirs)]
 
 
 def in_bands(frame: pd.DataFrame) -> pd.DataFrame:
-    """Each match with the occurrence it belongs to."""
-    return frame.assign(band=frame["q"] - frame["p"])
+    """Each match with both occurrences it belongs to."""
+    band = (frame["q"] - frame["p"]) // frame["length"]
+    return pd.concat((frame.assign(band=band), frame.assign(band=band - 1)), ignore_index=True)
 
 
 def enough(frame: pd.DataFrame, by: list[str]) -> pd.DataFrame:
@@ -233,6 +261,14 @@ def covered(length: int, listed: list[tuple]) -> float:
             for p, n, a, b, slot in zip(x[1], x[2], x[5], x[6], x[7]):
                 drop[p : p + n] |= bool(slot) and (int(a), int(b)) in broken
     drop[[p for p, y in slots.items() if y in broken]] = True
+    for x in _in_order(listed, 2):
+        new = _pairs(x) - pairs
+        one = len({a for a, _ in new}) == len({b for _, b in new}) == len(new)
+        if one and not any(ours[a] or theirs[b] for a, b in new) and not doubt[_span(x)].any() and not _pairs(x) & broken and _placed(x, to, used):
+            counted[_span(x)] = True
+            pairs |= new
+            ours.update(a for a, _ in new)
+            theirs.update(b for _, b in new)
     return float((counted & ~drop).sum() / length)
 
 
@@ -331,8 +367,8 @@ def _leaks_joined(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     ours = items.mapInArrow(_windows_listed, _LISTED).where(f"size = least(tokens, {WINDOW})")
     a = theirs.select(F.col("id").alias("doc_id"), F.col("row").alias("t"), "h", "size", *[F.col(c).alias(f"their_{c}") for c in ("k", "start", "n", "val", "slot")])
     b = ours.select(F.col("id").alias("item_id"), F.col("row").alias("i"), "h", "size", "k", "length", "start", "n", "val", "slot")
-    off = F.col("their_start")[0] - F.col("start")[0]
-    met = a.join(b, ["h", "size"]).withColumn("band", off)
+    band = F.expr("cast(floor((their_start[0] - start[0]) / length) AS long)")
+    met = a.join(b, ["h", "size"]).withColumn("band", F.explode(F.array(band, band - 1)))
     seen = met.groupBy("t", "i", "band").applyInPandas(_judged, "doc_id long, t long, item_id long, i long, coverage double")
     return seen.where(f"coverage >= {COVER}").groupBy("doc_id", "t", "item_id", "i").agg(F.max("coverage").alias("coverage")).select("doc_id", "item_id", "coverage")
 

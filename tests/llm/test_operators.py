@@ -318,6 +318,28 @@ def test_decontamination_of_copies_with_a_repeated_value_changed(spark):
     assert {(0, 0), (1, 0), (2, 1)} <= set(got)
 
 
+def test_decontamination_adds_up_over_shifts(spark):
+    """Words put in or left out, values of another number of words and other
+    names at the starts of sentences do not hide an item."""
+    w = WORDS[:44]
+    put = lambda *v: " ".join(x for k, y in enumerate(v) for x in (*w[4 * k : 4 * k + 4], y)) + " w44"
+    values = put("30", "Lisbon", "7", "Oslo", "5")
+    names = "Tom has nine red hens. Anna has four blue hens more. Ben sold all but two of them."
+    again = " ".join(w[:8]) + " " + " ".join(w[:8]) + " " + " ".join(w[:8])
+    items = [" ".join(w), values, names, again]
+    cases = [
+        " ".join([*w[:15], "new", *w[15:30], "words", *w[30:]]),
+        " ".join([*w[:15], *w[16:30], *w[31:]]),
+        put("1,250", "New York", "2,400", "Los Angeles", "9,150"),
+        names.replace("Tom", "Jim").replace("Anna", "Eva").replace("Ben", "Max"),
+        "x " + " ".join(w[:8]) + " y",
+    ]
+    got = both_ways(spark, items, cases)
+    assert {(0, 0), (1, 0), (2, 1), (3, 2)} <= set(got)
+    assert min(got[0, 0], got[1, 0] + 0.1, got[2, 1], got[3, 2]) > 0.9
+    assert (4, 3) not in got
+
+
 def brute_pack(lengths, sources, clusters, capacity):
     bins, out = [], [0] * len(lengths)
     for i in sorted(range(len(lengths)), key=lambda i: (-lengths[i], i)):
