@@ -1,9 +1,11 @@
 """Toxicity: multiple-instance learning with noisy-or over sentences.
 
 Method: a sentence (text up to ``.``, ``!``, ``?`` or a line end) has the
-probability sigmoid(bias + sum of its distinct hashed words' weights); a document is toxic unless all its sentences are clean: 1 - prod(1 - p).  Weights are
+probability sigmoid(bias + sum of its distinct hashed words' weights), or 0 if
+none of its words has a weight, so that clean text may have any length; a
+document is toxic unless all its sentences are clean: 1 - prod(1 - p).  Weights are
 trained from document labels alone, by Adagrad on the noisy-or likelihood;
-rows held back from that calibrate the document score.
+rows held back from that calibrate the document score where it is not 0.
 Sentences with p >= 0.5 are then the located ones.
 
 Learns labels only of rows with crc32(doc_id as text) mod 5 other than 0: of
@@ -54,7 +56,8 @@ def _distinct(sentence: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def _probabilities(weights: np.ndarray, bias: float, sentence: np.ndarray, bucket: np.ndarray, n: int) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(bias + np.bincount(sentence, weights[bucket], minlength=n), -30, 30)))
+    p = 1 / (1 + np.exp(-np.clip(bias + np.bincount(sentence, weights[bucket], minlength=n), -30, 30)))
+    return np.where(np.bincount(sentence, minlength=n) > 0, p, 0.0)
 
 
 def calibrated(score: np.ndarray, scale: tuple[float, float]) -> np.ndarray:
@@ -73,14 +76,19 @@ def train(texts: list[str], toxic: list[int], weight_clean: float = 1.0) -> dict
     model = _train([t for t, h in zip(texts, held) if not h], [t for t, h in zip(toxic, held) if not h]) | {"scale": (1.0, 0.0)}
     rest = [t for t, h in zip(texts, held) if h]
     score, y = score_texts(pa.array(rest, pa.string()), model)[0], np.array(toxic, float)[held]
+    score, y = score[score > 0], y[score > 0]
     p = np.clip(score, 1e-9, 1 - 1e-9)
     x = np.stack((np.log(p / (1 - p)), np.ones(len(p))), 1)
     each = np.where(y > 0, 1.0, weight_clean)
     beta = np.array([1.0, 0.0])
+    loss = lambda b: each @ np.logaddexp(0, np.where(y > 0, -1, 1) * (x @ b)) + ((b - [1.0, 0.0]) ** 2).sum() / 2
     for _ in range(30):  # Newton's method for two numbers, with a weak prior at no change
         q = 1 / (1 + np.exp(-np.clip(x @ beta, -50, 50)))
         grad = x.T @ (each * (y - q)) - (beta - [1.0, 0.0])
-        beta = beta + np.linalg.solve((x.T * (each * q * (1 - q))) @ x + np.eye(2), grad)
+        step = np.linalg.solve((x.T * (each * q * (1 - q))) @ x + np.eye(2), grad)
+        while loss(beta + step) > loss(beta) and np.abs(step).max() > 1e-9:
+            step = step / 2
+        beta = beta + step
     return model | {"scale": (float(max(beta[0], 0.1)), float(beta[1]))}
 
 

@@ -195,6 +195,17 @@ def test_toxicity_learns_from_document_labels(docs, rows, nothing, spark):
     assert toxicity.fit(nothing, spark.createDataFrame([], "doc_id long, toxic int")) is None
 
 
+def test_toxicity_of_clean_text_does_not_grow_with_its_length():
+    rng = random.Random(12)
+    make = lambda bad: ". ".join(text_of(rng, 12) + (" " + rng.choice(["vile", "foul"]) if bad and k == 2 else "") for k in range(5)) + "."
+    data = [(make(y), y) for y in [0, 1] * 300]
+    model = toxicity.train([t for t, _ in data], [y for _, y in data])
+    clean = [" ".join(make(0) for _ in range(n // 5)) for n in (1000, 10_000, 100_000)]
+    score, found = toxicity.score_texts(pa.array([*clean, clean[2] + " so vile. " + clean[0]]), model)
+    assert (score[:3] < 0.5).all() and score[3] >= 0.5
+    assert not any(found[:3]) and len(found[3]) == 1
+
+
 def test_urls(spark):
     cases = [
         (1, "HTTP://Sub.EXAMPLE.com/en/7x?q=1", "sub.example.com", "/en/7x", "example.com/en/7", "allow"),
