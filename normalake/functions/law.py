@@ -41,9 +41,19 @@ def urn_part(urn: Column, part: str) -> Column:
 
 
 def parse_date(c: Column) -> Column:
-    """An ISO day, a time zone after it ignored; null if there is none."""
+    """An ISO day, a time zone after it ignored: 2020-01-02, 20200102, or by
+    week, 2020-W01-4, 2020W014, 2020-W01 and 2020W01 (its Monday); null if it is
+    none."""
     clean = F.regexp_replace(c, r"([+-]\d{2}:\d{2}|Z)$", "")
-    return F.when(clean.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(clean, "yyyy-MM-dd"))
+    week = r"^(\d{4})(?:-W(\d{2})(?:-([1-7]))?|W(\d{2})([1-7])?)$"
+    part = lambda *ks: F.coalesce(*[F.nullif(F.regexp_extract(clean, week, k), F.lit("")) for k in ks]).try_cast("int")
+    # the first week is the one with the fourth of January
+    fourth = F.make_date(part(1), F.lit(1), F.lit(4))
+    monday = F.date_add(F.date_sub(fourth, F.weekday(fourth)), (part(2, 4) - 1) * 7)
+    last = F.make_date(part(1), F.lit(12), F.lit(28))
+    exists = part(2, 4).between(1, F.weekofyear(last))
+    by_week = F.when(exists, F.date_add(monday, F.coalesce(part(3, 5), F.lit(1)) - 1))
+    return F.when(clean.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(clean, "yyyy-MM-dd")).when(clean.rlike(r"^\d{8}$"), F.try_to_date(clean, "yyyyMMdd")).when(clean.rlike(week), by_week)
 
 
 def publication_date(urn: Column) -> Column:
@@ -105,13 +115,15 @@ def _token_label(t: Column) -> Column:
     n = tail.try_cast("int")
     art = F.concat(F.lit("Art. "), ordinal(n), F.when(F.size(F.split(t, "-")) > 2, F.concat(F.lit("-"), F.upper(F.element_at(F.split(t, "-"), -1)))).otherwise(F.lit("")))
     return (
-        F.when(t == "ementa", "Ementa").when(t == "preambulo", "Preâmbulo").when(t == "titulo-lei", "Título")
+        F.when(t == "ementa", "Ementa").when(t == "preambulo", "Preâmbulo").when(t == "titulo-lei", "Título da lei")
         .when(t.rlike(r"^art-\d"), art)
         .when(t == "par-unico", "Parágrafo único")
         .when(t.rlike(r"^par-\d"), F.concat(F.lit("§ "), ordinal(n)))
         .when(t.rlike(r"^inc-\d"), roman(n))
         .when(t.rlike(r"^ali-[a-z]$"), F.concat(tail, F.lit(")")))
-        .when(t.rlike(r"^item-\d"), tail)
+        .when(t.rlike(r"^item-\d"), F.concat(F.lit("item "), tail))
+        .when(t.rlike(r"^disp-transitoria-\d"), F.concat(F.lit("Disposição Transitória "), F.element_at(F.split(t, "-"), 3)))
+        .when(t.rlike(r"^disp-final-\d"), F.concat(F.lit("Disposição Final "), F.element_at(F.split(t, "-"), 3)))
         .when(t.rlike(r"^anexo-\d"), F.concat(F.lit("Anexo "), roman(n)))
         .when(t.rlike(r"^liv-\d"), F.concat(F.lit("Livro "), roman(n)))
         .when(t.rlike(r"^parte-\d"), F.concat(F.lit("Parte "), roman(n)))
@@ -140,6 +152,26 @@ def law_url(law: Column, base: str = "/") -> Column:
     return F.concat(F.lit(base.rstrip("/") + "/lei?id="), F.url_encode(law))
 
 
+def details_url(item: Column, base: str = "https://archive.org") -> Column:
+    """The page of an archived item."""
+    return F.concat(F.lit(f"{base}/details/"), F.url_encode(item))
+
+
+def file_url(item: Column, file: str, base: str = "https://archive.org") -> Column:
+    """A file of an archived item; law.xml is a law's document, parsed_meta.json
+    the record of its parse."""
+    return F.concat(F.lit(f"{base}/download/"), F.url_encode(item), F.lit(f"/{file}"))
+
+
+def search_url(query: Column, base: str = "https://archive.org") -> Column:
+    return F.concat(F.lit(f"{base}/search?query="), F.url_encode(query))
+
+
+def coverage_label(place: Column) -> Column:
+    """Where a place's law holds: its state's name in Brazil, else Brazil."""
+    return F.coalesce(F.concat(_mapped(F.lower(place), STATES), F.lit(", Brazil")), F.lit("Brazil"))
+
+
 def sources(c: Column) -> Column:
     """The JSON list of sources; anything else is an empty list."""
     return F.coalesce(F.from_json(c, FONTES), F.array().cast(FONTES))

@@ -11,7 +11,10 @@ KEY = ["tipo", "numero", "rendicao", "formato", "sha256"]
 
 
 def append(index: DataFrame, rows: DataFrame) -> DataFrame:
-    """Rows not there yet by KEY; unidentified rows also by source."""
+    """Rows not there yet by KEY, unidentified rows also by source; of rows
+    equal in these within the batch, one."""
+    source = F.when(F.coalesce("numero", F.lit("")) == "", F.col("source"))
+    rows = rows.groupBy(*KEY, source.alias("_of")).agg(F.min(F.struct(*rows.columns)).alias("_r")).select("_r.*")
     i, r = index.alias("i"), rows.alias("r")
     same = F.lit(True)
     for c in KEY:
@@ -47,9 +50,14 @@ def reconcile(holding: DataFrame, known: DataFrame, index: DataFrame) -> tuple[D
     return append(index, found), remove(holding, found)
 
 
-def resolve(raw: DataFrame, index: DataFrame, seq: str, base: str = "https://archive.org/download/", prefix: str = "norma") -> DataFrame:
+def resolve(raw: DataFrame, index: DataFrame, seq: str, base: str = "https://archive.org/download/", prefix: str = "norma", rendicao: str | None = None, suffix: str | None = None) -> DataFrame:
     """raw (ente, fonte, tipo, numero) with the URL of the newest capture's
-    bytes, null if there is none."""
+    bytes, null if there is none; rendicao and suffix (the format) choose among
+    the captures."""
+    if rendicao is not None:
+        index = index.where(F.col("rendicao") == rendicao)
+    if suffix is not None:
+        index = index.where(F.col("formato") == suffix.lstrip("."))
     last = newest(index, seq, "tipo", "numero").select("tipo", F.col("numero").cast("bigint").alias("numero"), "formato", content_name(F.col("sha256")).alias("name"))
     met = raw.join(last, ["tipo", "numero"], "left")
     item = F.format_string("%s_%s_%s_%s_%04d-%04d", F.lit(prefix), "ente", "fonte", "tipo", bucket_start(F.col("numero")), bucket_start(F.col("numero")) + BUCKET - 1)

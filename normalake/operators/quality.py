@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from normalake.functions import law
 
-RAW_ID = r"^[a-z]+-?raw-[a-z][a-z0-9-]*-[a-z]+-[a-z0-9-]+$|^raw-[a-z0-9-]+$"
+#: place, source and key, after an optional prefix.
+RAW_ID = r"^(?:[a-z]+-)?raw-[a-z][a-z0-9-]*-[a-z]+-[a-z0-9-]+$"
+#: A parsed document's canonical id: place, kind, number of five digits at least, year.
+PARSED_ID = r"^[a-z]+-([a-z][a-z0-9-]*)-([a-z]+)-(\d{5,})-(\d{4})$"
 
 
 def _out(df: DataFrame, rule: str, message: Column) -> DataFrame:
@@ -28,9 +31,15 @@ def total_excludes_partial(df: DataFrame) -> DataFrame:
 
 
 def revocation_has_author(df: DataFrame) -> DataFrame:
-    """Expiry names no author, every other revocation does."""
-    bad = F.col("dispositivo_revogado") & ((F.coalesce("dispositivo_revogado_tipo", F.lit("")) == "caducidade") == F.col("dispositivo_revogado_por").isNotNull())
-    return _out(df.where(bad).select("lei_id", "dispositivo_path").distinct(), "VAL3", F.col("dispositivo_path"))
+    """Expiry names no author, every other kind of revocation does, of a
+    provision or of the whole law; one without a kind is not judged."""
+
+    def bad(kind: str, author: str) -> Column:
+        return (F.coalesce(kind, F.lit("")) != "") & ((F.col(kind) == "caducidade") == F.col(author).isNotNull())
+
+    one = df.where(F.col("dispositivo_revogado") & bad("dispositivo_revogado_tipo", "dispositivo_revogado_por")).select("lei_id", "dispositivo_path")
+    whole = df.where(F.col("lei_revogada") & bad("lei_revogada_tipo", "lei_revogada_por")).select("lei_id", F.lit("lei").alias("dispositivo_path"))
+    return _out(one.union(whole).distinct(), "VAL3", F.col("dispositivo_path"))
 
 
 def paths(df: DataFrame) -> DataFrame:
@@ -49,7 +58,8 @@ def paths(df: DataFrame) -> DataFrame:
 def urns(df: DataFrame) -> DataFrame:
     one = df.select("lei_id", "urn_lex_lei").distinct().where("urn_lex_lei IS NOT NULL")
     broken = _out(one.where(law.urn_part(F.col("urn_lex_lei"), "tipo").isNull()), "VAL5", F.col("urn_lex_lei"))
-    padded = _out(one.where(law.urn_part(F.col("urn_lex_lei"), "numero").rlike("^0[0-9]+$")), "VAL14", F.col("urn_lex_lei"))
+    # a number that is left with five digits or more may have the zero of its own
+    padded = _out(one.where(law.urn_part(F.col("urn_lex_lei"), "numero").rlike("^0+[0-9]{0,4}$")), "VAL14", F.col("urn_lex_lei"))
     return broken.union(padded)
 
 
@@ -70,10 +80,17 @@ def source_ids(df: DataFrame) -> DataFrame:
 
 
 def urn_matches_id(df: DataFrame) -> DataFrame:
-    """The URN's number and year against those of the table."""
-    one = df.select("lei_id", "urn_lex_lei", "numero_lei", "ano_lei").distinct().where("urn_lex_lei IS NOT NULL")
-    bad = (law.urn_part(F.col("urn_lex_lei"), "numero") != F.col("numero_lei")) | (F.substring(law.urn_part(F.col("urn_lex_lei"), "data"), 1, 4).try_cast("int") != F.col("ano_lei"))
-    return _out(one.where(bad), "VAL10", F.col("urn_lex_lei"))
+    """The URN's kind, year and number against those of a canonical id, one row
+    for each that differs or is missing; a canonical id needs a URN. Other ids
+    are not judged."""
+    one = df.select("lei_id", "urn_lex_lei").distinct().where(F.col("lei_id").rlike(PARSED_ID))
+    of = lambda k: F.regexp_extract("lei_id", PARSED_ID, k)
+    part = lambda name: law.urn_part(F.col("urn_lex_lei"), name)
+    bare = lambda n: F.regexp_replace(n, "^0+(?=.)", "")
+    sound = part("tipo").isNotNull()  # a URN that cannot be taken apart is VAL5
+    differs = {"tipo": sound & (part("tipo") != of(2)), "ano": sound & (F.substring(part("data"), 1, 4) != of(4)), "numero": sound & ~F.coalesce(bare(part("numero")) == bare(of(3)), F.lit(False))}
+    why = F.array_compact(F.array(F.when(F.col("urn_lex_lei").isNull(), "urn"), *[F.when(bad, k) for k, bad in differs.items()]))
+    return _out(one.select("lei_id", F.explode(why).alias("why")), "VAL10", F.col("why"))
 
 
 def unique_paths(tree: DataFrame) -> DataFrame:
@@ -92,9 +109,14 @@ def parsed_fields(df: DataFrame) -> DataFrame:
     return _out(df.where(bad).select("lei_id").distinct(), "VAL19", F.lit("tipo, numero, ano"))
 
 
+def repeated(df: DataFrame, *key: str) -> DataFrame:
+    """Keys of more than one row, with their number n."""
+    return df.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1")
+
+
 def require_unique(df: DataFrame, key: str) -> DataFrame:
     """The same rows; fails if a key repeats."""
-    many = df.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").limit(1).collect()
+    many = repeated(df, key).limit(1).collect()
     if many:
         raise ValueError(f"Duplicate {key} detected: {many[0][key]}")
     return df
@@ -109,4 +131,7 @@ def violations(df: DataFrame) -> DataFrame:
 
 
 def summary(found: DataFrame) -> DataFrame:
-    return found.agg(F.count("*").alias("total"), F.countDistinct("file").alias("files"), F.when(F.count("*") > 0, 1).otherwise(0).alias("exit_code"))
+    """Totals, and the exit code: 2 if a document cannot be parsed (VAL0), 1 for
+    any other violation, else 0."""
+    code = F.when(F.coalesce(F.bool_or(F.col("rule") == "VAL0"), F.lit(False)), 2).when(F.count("*") > 0, 1).otherwise(0)
+    return found.agg(F.count("*").alias("total"), F.countDistinct("file").alias("files"), code.alias("exit_code"))

@@ -49,12 +49,23 @@ def errors(gold: DataFrame, pred: DataFrame) -> DataFrame:
     rest = gold.join(pred.select(*SPAN).distinct(), SPAN, "left_anti").select(*SPAN, F.lit(0).alias("side")).union(pred.join(gold.select(*SPAN).distinct(), SPAN, "left_anti").select(*SPAN, F.lit(1).alias("side")))
 
     def close(key, golds, preds) -> list[tuple]:
-        used, out = set(), []
+        """Both sides in order of their starts. Predictions that end before a
+        gold span ends are none of a later one's, so each enters a window once
+        and leaves it once taken or passed."""
+        out, window, taken, ahead = [], [], set(), 0
         for start, end in golds:
-            hit = next((i for i, (a, b) in enumerate(preds) if i not in used and a < end and start < b), None)
-            used.add(hit)
-            out.append((*key, "fn" if hit is None else "boundary", start, end, *((None, None) if hit is None else preds[hit])))
-        return out + [(*key, "fp", None, None, *p) for i, p in enumerate(preds) if i not in used]
+            while ahead < len(preds) and preds[ahead][0] < end:
+                window.append(ahead)
+                ahead += 1
+            window = [i for i in window if preds[i][1] > start]
+            fits = next((k for k, i in enumerate(window) if preds[i][0] < end), None)
+            if fits is None:
+                out.append((*key, "fn", start, end, None, None))
+            else:
+                i = window.pop(fits)
+                taken.add(i)
+                out.append((*key, "boundary", start, end, *preds[i]))
+        return out + [(*key, "fp", None, None, *p) for i, p in enumerate(preds) if i not in taken]
 
     def pair(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = ["doc", "category", "kind", "start", "end", "pred_start", "pred_end"]
@@ -76,6 +87,14 @@ def errors(gold: DataFrame, pred: DataFrame) -> DataFrame:
     return ordered.mapInPandas(pair, f"doc {kind}, category string, kind string, start long, end long, pred_start long, pred_end long")
 
 
+def category_gaps(spans: DataFrame, space: DataFrame) -> DataFrame:
+    """Categories of spans that the label space lacks (unknown), and those of
+    the space without a span (without examples)."""
+    used = spans.select("category").distinct()
+    unknown = used.join(space, "category", "left_anti").select("category", F.lit("unknown").alias("what"))
+    return unknown.union(space.select("category").join(used, "category", "left_anti").select("category", F.lit("without examples").alias("what")))
+
+
 def error_groups(found: DataFrame) -> DataFrame:
     rank = F.when(F.col("kind") == "boundary", 0).when(F.col("kind") == "fn", 1).otherwise(2)
     return found.groupBy("kind", "category").agg(F.count("*").alias("n")).orderBy(rank, "category")

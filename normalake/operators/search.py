@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from normalake.functions.text import like_pattern
@@ -30,6 +30,11 @@ def predicates(term: str = "", ente: str | None = None, kinds=None, year: int |
     return reduce(lambda a, b: a & b, found)
 
 
+def valid_year(given: str) -> int | None:
+    """A year from 1900 to 2099, else None, which filters nothing."""
+    return int(given) if given.isdigit() and 1900 <= int(given) <= 2099 else None
+
+
 def clamp(page: float = 0, size: float = PAGE_SIZE) -> tuple[int, int]:
     """Row limit and offset of a page."""
     size = min(PAGE_MOST, max(1, math.trunc(size))) if math.isfinite(size) else PAGE_SIZE
@@ -42,9 +47,11 @@ def _paged(df: DataFrame, order: list, page: float, size: float) -> DataFrame:
 
 
 def representative(df: DataFrame) -> DataFrame:
-    """One row for each norm."""
-    order = [(F.col("dispositivo_path") == "ementa").desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in _TIES]]
-    return df.withColumn("_rn", F.row_number().over(Window.partitionBy("lei_id").orderBy(*order))).where("_rn = 1").drop("_rn")
+    """One row for each norm: its summary, else its first provision; nulls come
+    last. An aggregation with map-side combination, not a window."""
+    other = ~F.coalesce(F.col("dispositivo_path") == "ementa", F.lit(False))
+    key = F.struct(other, *[x for c in _TIES for x in (F.col(c).isNull(), F.col(c))])
+    return df.groupBy("lei_id").agg(F.min_by(F.struct(*df.columns), key).alias("r")).select("r.*")
 
 
 def search(df: DataFrame, term: str = "", page: float = 0, size: float = PAGE_SIZE, **filters) -> DataFrame:

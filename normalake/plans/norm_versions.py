@@ -10,12 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from normalake.plans.base import table
+from normalake.sources.tables import stored_once
 
 _K = "CAST(l_partkey AS STRING)"
 _PAD = f"CASE WHEN length({_K}) < 5 THEN lpad({_K}, 5, '0') ELSE {_K} END"
 _PATH = "CASE l_linenumber WHEN 1 THEN 'ementa' WHEN 2 THEN 'art-1' WHEN 3 THEN 'art-1-par-1' WHEN 4 THEN 'art-1-par-2' WHEN 5 THEN 'art-2' WHEN 6 THEN 'art-2-inc-1' ELSE 'art-2-inc-1-ali-a' END"
 _DAY = "CAST({} AS STRING)"
-_SOURCE = "concat('{{\"ia_id\": \"raw-', CAST({} AS STRING), '\", \"diverge\": ', {}, ', \"texto_divergente\": ', {}, '}}')"
+_SOURCE = "concat('{{\"ia_id\": \"', CASE WHEN ({0}) % 7 = 0 THEN 'raw-' ELSE 'raw-xx-portal-lei-' END, CAST({0} AS STRING), '\", \"diverge\": ', {1}, ', \"texto_divergente\": ', {2}, '}}')"
 _DIV = "(src % 9 = 0)"
 
 #: Each step's columns, in order.
@@ -69,6 +70,14 @@ SECOND = {
 
 
 def norm_versions(spark: SparkSession, d: str) -> DataFrame:
+    """The versions table as Parquet, as readers of the read side have it: made
+    at its first use, rows of one norm together, so that filters and columns
+    reach the scan and statistics prune a look-up by norm."""
+    inputs = [f"{d}/{t}.parquet" for t in ("lineitem", "part", "supplier", "nation")]
+    return stored_once(spark, "versions", inputs, lambda: derived(spark, d).repartitionByRange("lei_id").sortWithinPartitions("lei_id", "dispositivo_path"))
+
+
+def derived(spark: SparkSession, d: str) -> DataFrame:
     """One shuffle by norm serves the grouping, both windows and the join."""
     lines = table(spark, d, "lineitem").select("l_partkey", "l_linenumber", F.to_date("l_shipdate").alias("em"), "l_orderkey", "l_suppkey")
     base = lines.repartition("l_partkey").groupBy("l_partkey", "l_linenumber", "em").agg(F.min("l_orderkey").alias("src"), F.min("l_suppkey").alias("sk"))

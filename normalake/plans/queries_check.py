@@ -12,15 +12,27 @@ from normalake.streaming import ledger as streams
 c = F.col
 V = f"WITH {CTE} "
 
+def _named(v):
+    """The versions under canonical ids, some of which differ from their URN."""
+    year = F.when(c("data_publicacao").isNull(), "1900").when(c("lei_revogada"), "1800").otherwise(F.year("data_publicacao").cast("string"))
+    number = F.when(c("numero_lei").cast("long") % 8 == 0, F.concat("numero_lei", F.lit("1"))).otherwise(c("numero_lei"))
+    urn = F.concat(F.lit("urn:lex:br;rondonia:estadual:"), "tipo_lei", F.lit(":"), c("data_publicacao").cast("string"), F.lit(";"), number)
+    return v.select(F.concat(F.lit("norma-ro-lei-"), F.lpad("numero_lei", 6, "0"), F.lit("-"), year).alias("lei_id"), urn.alias("urn_lex_lei"))
+
+
 _RULES = {
-    "val1_divergence_has_text": (quality.divergence_has_text, "SELECT lei_id AS file, 'VAL1' AS rule, versao_id || ' ' || (x->>'ia_id') AS message FROM (SELECT lei_id, versao_id, unnest(CAST(fontes AS JSON[])) AS x FROM versoes) WHERE coalesce(CAST(x->>'diverge' AS BOOLEAN), false) <> (coalesce(x->>'texto_divergente', '') <> '')"),
+    "val1_divergence_has_text": (lambda v: quality.divergence_has_text(v.withColumn("fontes", F.replace("fontes", F.lit('"v3"'), F.lit("null")))), "SELECT lei_id AS file, 'VAL1' AS rule, versao_id || ' ' || (x->>'ia_id') AS message FROM (SELECT lei_id, versao_id, unnest(CAST(fontes AS JSON[])) AS x FROM versoes) WHERE x->>'texto_divergente' = 'v3'"),
     "val2_total_excludes_partial": (quality.total_excludes_partial, "SELECT DISTINCT lei_id AS file, 'VAL2' AS rule, dispositivo_path AS message FROM versoes WHERE lei_revogada AND dispositivo_revogado"),
-    "val3_revocation_author": (lambda v: quality.revocation_has_author(v.withColumn("dispositivo_revogado_tipo", F.when(c("dispositivo_ordem") == 1, "caducidade").otherwise(c("dispositivo_revogado_tipo")))), "SELECT DISTINCT lei_id AS file, 'VAL3' AS rule, dispositivo_path AS message FROM versoes WHERE dispositivo_revogado AND dispositivo_ordem = 1"),
+    "val3_revocation_author": (lambda v: quality.revocation_has_author(v.withColumn("dispositivo_revogado_tipo", F.when(c("dispositivo_ordem") == 1, "caducidade").when(c("dispositivo_ordem") != 2, c("dispositivo_revogado_tipo"))).withColumn("dispositivo_revogado_por", F.when(c("dispositivo_path") != "ementa", c("dispositivo_revogado_por"))).withColumn("lei_revogada_por", F.when(c("ano_lei") % 2 == 0, c("lei_revogada_por")))), """SELECT DISTINCT lei_id AS file, 'VAL3' AS rule, dispositivo_path AS message FROM versoes WHERE dispositivo_revogado AND (dispositivo_ordem = 1 OR dispositivo_path = 'ementa')
+      UNION ALL SELECT DISTINCT lei_id, 'VAL3', 'lei' FROM versoes WHERE lei_revogada AND ano_lei % 2 = 1"""),
     "val4_paths": (lambda v: quality.paths(v.withColumn("dispositivo_path", F.when(c("dispositivo_path") == "art-2-inc-1", "art-9-inc-1").when(c("dispositivo_path") == "art-2", "artigo-2").otherwise(c("dispositivo_path")))), "SELECT DISTINCT lei_id AS file, 'VAL4' AS rule, CASE dispositivo_path WHEN 'art-2' THEN 'artigo-2: unknown path' ELSE 'art-9-inc-1: not under its parent' END AS message FROM versoes WHERE dispositivo_path IN ('art-2', 'art-2-inc-1')"),
-    "val5_urns": (lambda v: quality.urns(v.withColumn("urn_lex_lei", F.when(c("ano_lei") % 2 == 0, c("urn_lex_lei")).otherwise(F.concat(F.regexp_replace("urn_lex_lei", "_", ""))))), "SELECT DISTINCT lei_id AS file, 'VAL5' AS rule, urn_lex_lei AS message FROM versoes WHERE urn_lex_lei IS NOT NULL AND ano_lei % 2 = 0"),
+    "val5_urns": (lambda v: quality.urns(v.withColumn("urn_lex_lei", F.when(c("ano_lei") % 2 == 0, c("urn_lex_lei")).otherwise(F.concat(F.regexp_replace("urn_lex_lei", "_", ""))))), "SELECT DISTINCT lei_id AS file, 'VAL5' AS rule, urn_lex_lei AS message FROM versoes WHERE urn_lex_lei IS NOT NULL AND ano_lei % 2 = 0 UNION ALL SELECT DISTINCT lei_id, 'VAL14', replace(urn_lex_lei, '_', '') FROM versoes WHERE urn_lex_lei IS NOT NULL AND ano_lei % 2 = 1 AND numero_lei = '0'"),
     "val6_starts_declared": (quality.starts_declared, "SELECT lei_id AS file, 'VAL6' AS rule, versao_id AS message FROM versoes WHERE em <> data_publicacao AND alterado_por IS NULL AND inicio_tipo = 'data-publicacao'"),
-    "val8_source_ids": (lambda v: quality.source_ids(v.withColumn("fontes", F.replace("fontes", F.lit("raw-1"), F.lit("RAW 1")))), "SELECT DISTINCT lei_id AS file, 'VAL8' AS rule, x->>'ia_id' AS message FROM (SELECT lei_id, unnest(CAST(replace(fontes, 'raw-1', 'RAW 1') AS JSON[])) AS x FROM versoes) WHERE starts_with(x->>'ia_id', 'RAW')"),
-    "val10_urn_matches_id": (lambda v: quality.urn_matches_id(v.withColumn("urn_lex_lei", F.regexp_replace("urn_lex_lei", "_", "")).withColumn("ano_lei", F.when(c("lei_revogada"), c("ano_lei") + 1).otherwise(c("ano_lei")))), "SELECT DISTINCT lei_id AS file, 'VAL10' AS rule, replace(urn_lex_lei, '_', '') AS message FROM versoes WHERE urn_lex_lei IS NOT NULL AND lei_revogada"),
+    "val8_source_ids": (quality.source_ids, "SELECT DISTINCT lei_id AS file, 'VAL8' AS rule, x->>'ia_id' AS message FROM (SELECT lei_id, unnest(CAST(fontes AS JSON[])) AS x FROM versoes) WHERE NOT starts_with(x->>'ia_id', 'raw-xx')"),
+    "val10_urn_matches_id": (lambda v: quality.urn_matches_id(_named(v)), """SELECT file, 'VAL10' AS rule, message FROM (SELECT DISTINCT 'norma-ro-lei-' || lpad(numero_lei, 6, '0') || '-' || CASE WHEN lei_revogada THEN '1800' ELSE CAST(year(data_publicacao) AS VARCHAR) END AS file, lei_revogada, numero_lei, tipo_lei, data_publicacao FROM versoes WHERE data_publicacao IS NOT NULL) n,
+      (VALUES ('ano'), ('tipo'), ('numero')) m(message) WHERE (message = 'ano' AND lei_revogada) OR (message = 'tipo' AND tipo_lei <> 'lei') OR (message = 'numero' AND CAST(numero_lei AS BIGINT) % 8 = 0)
+      UNION ALL SELECT DISTINCT 'norma-ro-lei-' || lpad(numero_lei, 6, '0') || '-1900', 'VAL10', 'urn' FROM versoes WHERE data_publicacao IS NULL"""),
+    "val14_padded_numbers": (lambda v: quality.urns(v.withColumn("urn_lex_lei", F.concat(F.lit("urn:lex:br;x:estadual:lei:1990-01-01;"), F.when(c("ano_lei") % 2 == 0, "0").otherwise("00000"), (c("numero_lei").cast("long") * 97).cast("string")))), "SELECT DISTINCT lei_id AS file, 'VAL14' AS rule, 'urn:lex:br;x:estadual:lei:1990-01-01;' || CASE WHEN ano_lei % 2 = 0 THEN '0' ELSE '00000' END || CAST(CAST(numero_lei AS BIGINT) * 97 AS VARCHAR) AS message FROM versoes WHERE CAST(numero_lei AS BIGINT) * 97 < 10000"),
     "val13_unique_paths": (lambda v: quality.unique_paths(v.select("lei_id", "dispositivo_path")), "SELECT lei_id AS file, 'VAL13' AS rule, dispositivo_path AS message FROM versoes GROUP BY 1, 3 HAVING count(*) > 1"),
     "val17_one_source": (quality.one_source, "SELECT lei_id AS file, 'VAL17' AS rule, versao_id AS message FROM versoes WHERE num_fontes <> 1"),
     "val19_parsed_fields": (lambda v: quality.parsed_fields(v.withColumn("numero_lei", F.when(c("lei_revogada"), "s/n").otherwise(c("numero_lei")))), "SELECT DISTINCT lei_id AS file, 'VAL19' AS rule, 'tipo, numero, ano' AS message FROM versoes WHERE lei_revogada"),
@@ -76,12 +88,24 @@ def _(spark, d):
     return scoring.metrics(scoring.counts(*_spans(spark, d)))
 
 
-@query("jn7_span_errors")
+_PAIRED = """, gr AS (SELECT doc, category, list({'s': "start", 'e': "end"} ORDER BY "start", "end") AS gs FROM g WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.doc = g.doc AND p.category = g.category AND p."start" = g."start" AND p."end" = g."end") GROUP BY 1, 2),
+pr AS (SELECT doc, category, list({'s': "start", 'e': "end"} ORDER BY "start", "end") AS ps FROM p WHERE NOT EXISTS (SELECT 1 FROM g WHERE p.doc = g.doc AND p.category = g.category AND p."start" = g."start" AND p."end" = g."end") GROUP BY 1, 2),
+b AS (SELECT coalesce(gr.doc, pr.doc) AS doc, coalesce(gr.category, pr.category) AS category, coalesce(gs, []) AS gs, coalesce(ps, []) AS ps FROM gr FULL JOIN pr ON gr.doc = pr.doc AND gr.category = pr.category),
+r AS (SELECT *, CAST(0 AS BIGINT) AS i, CAST([] AS BIGINT[]) AS hits FROM b
+  UNION ALL SELECT doc, category, gs, ps, i + 1, list_append(hits, coalesce(list_filter(range(1, len(ps) + 1), lambda j: NOT list_contains(hits, j) AND ps[j].s < gs[i + 1].e AND gs[i + 1].s < ps[j].e)[1], 0)) FROM r WHERE i < len(gs)),
+f AS (SELECT * FROM r WHERE i = len(gs)),
+e AS (SELECT doc, category, CASE WHEN hits[n] = 0 THEN 'fn' ELSE 'boundary' END AS kind, gs[n].s AS "start", gs[n].e AS "end", CASE WHEN hits[n] > 0 THEN ps[hits[n]].s END AS pred_start, CASE WHEN hits[n] > 0 THEN ps[hits[n]].e END AS pred_end
+    FROM (SELECT *, unnest(range(1, len(gs) + 1)) AS n FROM f)
+  UNION ALL SELECT doc, category, 'fp', NULL, NULL, ps[n].s, ps[n].e FROM (SELECT *, unnest(range(1, len(ps) + 1)) AS n FROM f) WHERE NOT list_contains(hits, n)) """
+_REC = _S.replace("WITH ", "WITH RECURSIVE ", 1) + _PAIRED
+
+
+@query("jn7_span_errors", _REC + "SELECT * FROM e")
 def _(spark, d):
     return scoring.errors(*_spans(spark, d))
 
 
-@query("agg22_error_groups")
+@query("agg22_error_groups", _REC + "SELECT kind, category, count(*) AS n FROM e GROUP BY 1, 2")
 def _(spark, d):
     return scoring.error_groups(scoring.errors(*_spans(spark, d)))
 
@@ -97,10 +121,10 @@ def _(spark, d):
     return g.select("category").union(p.select("category")).distinct()
 
 
-@query("jn13_unknown_categories", _S + "SELECT DISTINCT category, 'unknown' AS what FROM p WHERE category NOT IN (SELECT category FROM g)")
+@query("jn13_unknown_categories", _S + "SELECT DISTINCT category, 'unknown' AS what FROM p WHERE category NOT IN (SELECT category FROM g) UNION ALL SELECT 'Z', 'without examples'")
 def _(spark, d):
     g, p = _spans(spark, d)
-    return p.join(g.select("category").distinct(), "category", "left_anti").select("category", F.lit("unknown").alias("what")).distinct()
+    return scoring.category_gaps(p, g.select("category").union(spark.createDataFrame([("Z",)], "category string")).distinct())
 
 
 @query("win11_adjacent_overlaps", _S + 'SELECT doc, category, "start", "end", next_start FROM (SELECT *, lead("start") OVER (PARTITION BY doc ORDER BY "start", "end", category) AS next_start FROM g) WHERE next_start < "end"')
@@ -120,9 +144,9 @@ def _(spark, d):
     return scoring.missing(table(spark, d, "lineitem").select(c("l_orderkey").alias("doc"), c("l_linenumber").alias("n")))
 
 
-@query("win12_duplicate_keys", "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
+@query("win12_duplicate_keys", "SELECT l_partkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
 def _(spark, d):
-    return table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("n")).where("n > 1")
+    return quality.repeated(table(spark, d, "lineitem"), "l_partkey", "l_linenumber")
 
 
 @query("str1_ledger_stream", "SELECT event_type AS url, count(*) AS tentativas, max_by(event_id, ts::VARCHAR || printf('%012d', event_id)) AS ultima FROM events GROUP BY 1")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from normalake.functions import identity as I
 from normalake.functions import law
-from normalake.operators import captures, scoring
+from normalake.operators import captures, scoring, search
 from normalake.plans.base import query, table
 from normalake.plans.norm_versions import CTE, norm_versions
 from normalake.plans.queries_check import _S, _spans
@@ -33,22 +35,30 @@ def _(spark, d):
     return table(spark, d, "customer").select(F.concat(F.lit("ro_"), k).alias("id"), F.upper("c_mktsegment").alias("titulo"), I.last_segment(F.concat(F.lit("lei-"), k)).alias("numero"))
 
 
-@query("flt15_magic_bytes", "SELECT page_id FROM pages WHERE starts_with(html, '<!DO')")
+@query("flt15_magic_bytes", "SELECT page_id FROM pages WHERE page_id % 3 = 0")
 def _(spark, d):
-    return table(spark, d, "pages").where(F.substring(c("html").cast("binary"), 1, 4) == F.lit(b"<!DO")).select("page_id")
+    """Downloads of which every third is a PDF, by its first bytes."""
+    content = F.when(c("page_id") % 3 == 0, F.concat(F.lit("%PDF-1.7"), "html")).when(c("page_id") % 3 == 1, F.concat(F.lit(" %PDF"), "html")).otherwise(c("html")).cast("binary")
+    return table(spark, d, "pages").where(files.is_pdf(content)).select("page_id")
 
 
-@query("flt21_robots_denied", "SELECT page_id FROM pages WHERE NOT regexp_matches(url, '^https?://[^/]*/es/')")
+@query("flt21_robots_allowed", """WITH u AS (SELECT DISTINCT url, nullif(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)', 1), '') AS host, coalesce(nullif(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+(/[^#]*)', 1), ''), '/') AS path FROM pages WHERE url IS NOT NULL)
+SELECT url, host IS NOT NULL AND CASE length(host) % 3 WHEN 0 THEN starts_with(path, '/en/7') OR NOT starts_with(path, '/en/') WHEN 1 THEN NOT starts_with(path, '/es/') ELSE true END AS allowed FROM u""")
 def _(spark, d):
-    denied = spark.createDataFrame([("/es/",)], "prefix string")
-    p = table(spark, d, "pages").withColumn("path", F.regexp_extract("url", "^https?://[^/]*(/.*)$", 1))
-    return p.join(F.broadcast(denied), F.startswith("path", "prefix"), "left_anti").select("page_id")  # one row
+    """Hosts with rules of the agent's own, for all agents, and without any."""
+    pages = table(spark, d, "pages").where("url IS NOT NULL")
+    hosts = pages.select(F.regexp_extract("url", "^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)", 1).alias("host")).distinct()
+    own = "# rules\nUser-agent: *\nDisallow: /\n\nUser-Agent: other\nUser-agent: Norma-Crawler\nAllow: /en/7\nDisallow: /en/ # but one\n"
+    robots = hosts.select("host", F.when(F.length("host") % 3 == 0, F.lit(own)).when(F.length("host") % 3 == 1, F.lit("User-agent: *\r\nDisallow: /es/\r\nAllow: /\r\n")).otherwise(F.lit("User-agent: *\nDisallow:\n")).alias("text"))
+    return files.robots_allowed(pages, robots, "norma-crawler")
 
 
-@query("flt22_valid_year", "SELECT p_partkey, CASE WHEN p_size * 50 BETWEEN 1900 AND 2099 THEN p_size * 50 END AS ano FROM part")
+@query("flt22_valid_year", V + "SELECT '1997' AS entrada, count(*) AS n FROM versoes WHERE ate IS NULL AND year(em) = 1997 UNION ALL SELECT i, count(*) FROM versoes, (VALUES ('1850'), ('x'), ('')) v(i) WHERE ate IS NULL GROUP BY 1")
 def _(spark, d):
-    y = (c("p_size") * 50).cast("int")
-    return table(spark, d, "part").select("p_partkey", F.when(y.between(1900, 2099), y).alias("ano"))
+    """A year that is none filters nothing."""
+    v = norm_versions(spark, d)
+    each = [v.where(search.predicates(year=search.valid_year(y))).agg(F.count("*").alias("n")).select(F.lit(y).alias("entrada"), "n") for y in ("1997", "1850", "x", "")]
+    return reduce(lambda a, b: a.union(b), each)
 
 
 @query("jn5_overlapping_spans", _S + 'SELECT doc, category, "start", "end" FROM g WHERE EXISTS (SELECT 1 FROM p WHERE g.doc = p.doc AND g.category = p.category AND g."start" < p."end" AND p."start" < g."end")')
@@ -74,7 +84,8 @@ def _(spark, d):
     return table(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("sha"))
 
 
-@query("txt12_content_name")
+#: The UUID's name space of host names, as bytes, before the digest.
+@query("txt12_content_name", "SELECT doc_id, substr(sha1(from_hex('6ba7b8109dad11d180b400c04fd430c8') || encode(sha256(text))), 1, 8) AS nome FROM documents")
 def _(spark, d):
     return table(spark, d, "documents").select("doc_id", I.content_name(F.sha2("text", 256)).alias("nome"))
 
@@ -84,6 +95,40 @@ def _(spark, d):
     return table(spark, d, "part").select(I.safe_path(F.lower("p_name")).alias("nome")).distinct()
 
 
+@query("law16_evidence_urls", "SELECT p_partkey, 'https://archive.org/details/' || url_encode(p_name) AS pagina, 'https://archive.org/download/' || url_encode(p_name) || '/law.xml' AS arquivo, 'https://archive.org/search?query=' || url_encode(p_name) AS busca FROM (SELECT p_partkey, replace(p_name, ' ', '_') AS p_name FROM part)")
+def _(spark, d):
+    item = F.replace("p_name", F.lit(" "), F.lit("_"))
+    return table(spark, d, "part").select("p_partkey", law.details_url(item).alias("pagina"), law.file_url(item, "law.xml").alias("arquivo"), law.search_url(item).alias("busca"))
+
+
+@query("txt26_coverage_label", "SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'Rondônia, Brazil' WHEN 1 THEN 'São Paulo, Brazil' ELSE 'Brazil' END AS cobertura FROM customer")
+def _(spark, d):
+    place = F.element_at(F.array(*map(F.lit, ("ro", "SP", "federal", "nowhere"))), (c("c_custkey") % 4 + 1).cast("int"))
+    return table(spark, d, "customer").select("c_custkey", law.coverage_label(place).alias("cobertura"))
+
+
+@query("src13_archived_urls", "SELECT DISTINCT url FROM pages WHERE page_id % 4 <> 3")
+def _(spark, d):
+    code = F.element_at(F.array(*map(F.lit, ("200", "301", "302", "404"))), (c("page_id") % 4 + 1).cast("int"))
+    return files.archived_urls(table(spark, d, "pages").select(c("url").alias("original"), code.alias("statuscode")))
+
+
+@query("src21_raw_ids", "SELECT DISTINCT 'raw-ro-portal-lei-' || CASE WHEN c_custkey < 100000 THEN lpad(CAST(c_custkey AS VARCHAR), 5, '0') ELSE CAST(c_custkey AS VARCHAR) END AS raw_id FROM customer WHERE c_custkey % 3 <> 2")
+def _(spark, d):
+    """Three indexes, one of which is not there; with one that fails there is nothing."""
+    k = c("c_custkey")
+    index = lambda n: table(spark, d, "customer").where(k % 3 == n).select(F.lit("lei").alias("tipo"), k.cast("string").alias("numero"))
+    if files.raw_ids([lambda: index(0), lambda: 1 // 0], "ro", "portal") is not None:
+        raise ValueError("a part was taken for all")
+    return files.raw_ids([lambda: index(0), lambda: None, lambda: index(1)], "ro", "portal")
+
+
+@query("str9_full_rebuild", "SELECT p_name AS id FROM (SELECT DISTINCT p_name FROM part) WHERE p_name NOT IN (SELECT p_name FROM part WHERE p_partkey % 3 = 0)")
+def _(spark, d):
+    p = table(spark, d, "part")
+    return files.missing_files(p.select(c("p_name").alias("id")), p.where("p_partkey % 3 = 0").select(F.concat("p_name", F.lit(".xml")).alias("name")))[0]
+
+
 @query("txt28_resolve_capture")
 def _(spark, d):
     idx = index_rows(spark, d)

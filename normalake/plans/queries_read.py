@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from normalake.functions import law, text
-from normalake.operators import coverage, provisions, search
+from normalake.operators import coverage, provisions, quality, search
 from normalake.plans.base import query, table
 from normalake.plans.norm_versions import CTE, norm_versions
 from normalake.schema import EXPORT_COLUMNS, VERSIONS
@@ -183,7 +183,7 @@ def _(spark, d):
 
 @query("win4_sibling_order", V + "SELECT versao_id, row_number() OVER (PARTITION BY lei_id, dispositivo_parent_path ORDER BY dispositivo_path, em) - 1 AS ordem FROM versoes")
 def _(spark, d):
-    return norm_versions(spark, d).selectExpr("versao_id", "CAST(row_number() OVER (PARTITION BY lei_id, dispositivo_parent_path ORDER BY dispositivo_path, em) - 1 AS BIGINT) AS ordem")
+    return provisions.sibling_order(norm_versions(spark, d).select("versao_id", "lei_id", "dispositivo_parent_path", "dispositivo_path", "em"), "dispositivo_path", "em").select("versao_id", "ordem")
 
 
 @query("win5_nearest_ancestor", V + """, p AS (SELECT DISTINCT lei_id, dispositivo_path AS path, dispositivo_parent_path AS parent, CASE WHEN dispositivo_revogado THEN dispositivo_revogado_em END AS v FROM versoes),
@@ -191,7 +191,7 @@ r AS (SELECT lei_id, path, parent, v, (SELECT v FROM p q WHERE q.lei_id = p.lei_
 SELECT lei_id, path, parent, v, coalesce(v1, (SELECT v FROM p q WHERE q.lei_id = r.lei_id AND q.path = r.g)) AS inherited FROM r""")
 def _(spark, d):
     p = norm_versions(spark, d).select("lei_id", F.col("dispositivo_path").alias("path"), F.col("dispositivo_parent_path").alias("parent"), F.when(F.col("dispositivo_revogado"), F.col("dispositivo_revogado_em")).alias("v")).distinct()
-    return provisions.nearest_ancestor(p, "v", 3)
+    return provisions.nearest_ancestor(p, "v")
 
 
 @query("win7_current_rows", V + "SELECT versao_id FROM (SELECT *, row_number() OVER (PARTITION BY lei_id, dispositivo_path ORDER BY (ate IS NULL) DESC, em DESC, versao_id DESC) AS rn FROM versoes) WHERE rn = 1")
@@ -212,7 +212,7 @@ t AS (SELECT lei_id, dispositivo_path, 0 AS depth, printf('%08d:%s', dispositivo
   UNION ALL SELECT n.lei_id, n.dispositivo_path, t.depth + 1, t.sort_key || '/' || printf('%08d:%s', n.dispositivo_ordem, n.dispositivo_path) FROM n JOIN t ON n.lei_id = t.lei_id AND n.dispositivo_parent_path = t.dispositivo_path AND NOT n.is_root)
 SELECT * FROM t""")
 def _(spark, d):
-    return provisions.ordered_tree(norm_versions(spark, d), 4).select("lei_id", "dispositivo_path", "depth", "sort_key")
+    return provisions.ordered_tree(norm_versions(spark, d)).select("lei_id", "dispositivo_path", "depth", "sort_key")
 
 
 @query("agg14_history", V + "SELECT lei_id, dispositivo_path, min(dispositivo_ordem) AS ordem, count(*) AS versoes, string_agg(versao_id, ';' ORDER BY em, versao_id) AS ids FROM versoes GROUP BY 1, 2 HAVING count(*) > 1 OR bool_or(ate IS NOT NULL OR alterado_por IS NOT NULL)")
@@ -283,20 +283,22 @@ def _(spark, d):
     return norm_versions(spark, d).select(F.col("dispositivo_path").alias("path")).distinct().withColumn("trilha", law.breadcrumb(F.col("path")))
 
 
-@query("set6_unique_versions", V + "SELECT versao_id FROM versoes GROUP BY 1 HAVING count(*) > 1")
+@query("set6_unique_versions", V + "SELECT versao_id, count(*) AS n FROM (SELECT versao_id FROM versoes UNION ALL SELECT versao_id FROM versoes WHERE num_fontes = 2) GROUP BY 1 HAVING count(*) > 1")
 def _(spark, d):
-    return norm_versions(spark, d).groupBy("versao_id").agg(F.count("*").alias("n")).where("n > 1").select("versao_id")
+    """Two sets of laws put together: the ids that both have."""
+    v = norm_versions(spark, d)
+    return quality.repeated(v.select("versao_id").union(v.where("num_fontes = 2").select("versao_id")), "versao_id")
 
 
-@query("val7_increasing_dates", V + "SELECT versao_id FROM (SELECT versao_id, em, lag(em) OVER (PARTITION BY lei_id, dispositivo_path ORDER BY num_fontes, versao_id) AS before FROM versoes) WHERE em <= before")
+@query("val7_increasing_dates", V + "SELECT lei_id AS file, 'VAL7' AS rule, dispositivo_path || '#' || CAST(em AS VARCHAR) AS message FROM (SELECT *, lag(em) OVER (PARTITION BY lei_id, dispositivo_path ORDER BY num_fontes || versao_id) AS before FROM versoes) WHERE em <= before")
 def _(spark, d):
-    return norm_versions(spark, d).selectExpr("versao_id", "em", "lag(em) OVER (PARTITION BY lei_id, dispositivo_path ORDER BY num_fontes, versao_id) AS before").where("em <= before").select("versao_id")
+    return quality.increasing(norm_versions(spark, d).withColumn("pos", F.concat(F.col("num_fontes").cast("string"), "versao_id")))
 
 
-@query("jn15_provenance", V + """, f AS (SELECT versao_id, unnest(CAST(fontes AS JSON[])) AS x FROM versoes), k AS (SELECT versao_id, CAST(regexp_extract(x->>'ia_id', '^raw-(\\d+)$', 1) AS BIGINT) AS sk FROM f)
+@query("jn15_provenance", V + """, f AS (SELECT versao_id, unnest(CAST(fontes AS JSON[])) AS x FROM versoes), k AS (SELECT versao_id, CAST(regexp_extract(x->>'ia_id', '(\\d+)$', 1) AS BIGINT) AS sk FROM f)
 SELECT versao_id, s_suppkey, s_name, n_name FROM k JOIN supplier ON sk = s_suppkey LEFT JOIN nation ON s_nationkey = n_nationkey""")
 def _(spark, d):
-    k = norm_versions(spark, d).select("versao_id", F.explode(law.sources(F.col("fontes"))).alias("f")).select("versao_id", F.regexp_extract("f.ia_id", r"^raw-(\d+)$", 1).cast("bigint").alias("s_suppkey"))
+    k = norm_versions(spark, d).select("versao_id", F.explode(law.sources(F.col("fontes"))).alias("f")).select("versao_id", F.regexp_extract("f.ia_id", r"(\d+)$", 1).cast("bigint").alias("s_suppkey"))
     s, n = table(spark, d, "supplier"), table(spark, d, "nation")
     return k.join(s, "s_suppkey").join(n, s["s_nationkey"] == n["n_nationkey"], "left").select("versao_id", "s_suppkey", "s_name", "n_name")
 

@@ -9,7 +9,7 @@ from normalake.functions import law, text
 from normalake.operators import sampling
 from normalake.plans.base import query, table
 from normalake.sources import files, generators
-from normalake.sources.segmenter import segment, structure
+from normalake.sources.segmenter import against_gold, segment, structure
 
 c = F.col
 
@@ -164,7 +164,7 @@ def _(spark, d):
     return generators.sequential(spark, ["https://a.example/{num}.pdf", "https://b.example/{num}"], 1, 5000, known).select("num", "url")
 
 
-@query("src15_state_portal", "SELECT printf('lc-%05d', n) AS chave, 'Lei Complementar nº ' || n AS titulo, 'https://portal.example/LC' || n || '.pdf' AS url FROM range(1, 2001) r(n)")
+@query("src15_state_portal", "SELECT printf('lc-%05d', n) AS chave, 'Lei Complementar nº ' || n || ' (Rondônia)' AS titulo, 'https://portal.example/LC' || n || '.pdf' AS url FROM range(1, 2001) r(n)")
 def _(spark, d):
     return generators.state_portal(spark, "lc", 1, 2000, "https://portal.example/")
 
@@ -190,10 +190,11 @@ def _(spark, d):
     return table(spark, d, "part").select(c("p_size").alias("n")).distinct().select("n", law.roman(c("n")).alias("romano"), law.ordinal(c("n")).alias("ordinal"))
 
 
-@query("law5_parse_date", "SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS dia FROM orders")
+@query("law5_parse_date", "SELECT o_orderkey, CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS dia FROM orders")
 def _(spark, d):
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
-    raw = F.when(c("o_orderkey") % 3 == 0, F.concat(F.substring(day, 1, 8), F.lit("45"))).when(c("o_orderkey") % 3 == 1, F.concat(day, F.lit("Z"))).otherwise(F.concat(day, F.lit("-03:00")))
+    week = F.format_string("%04d-W%02d-%d", F.extract(F.lit("YEAROFWEEK"), "o_orderdate"), F.weekofyear("o_orderdate"), F.weekday("o_orderdate") + 1)
+    raw = F.when(c("o_orderkey") % 6 == 0, F.concat(F.substring(day, 1, 8), F.lit("45"))).when(c("o_orderkey") % 6 == 3, F.replace(day, F.lit("-"))).when(c("o_orderkey") % 6 == 1, week).when(c("o_orderkey") % 3 == 1, F.concat(day, F.lit("Z"))).otherwise(F.concat(day, F.lit("-03:00")))
     return table(spark, d, "orders").select("o_orderkey", law.parse_date(raw).alias("dia"))
 
 
@@ -235,17 +236,97 @@ def _(spark, d):
     return sampling.pool_manifest(docs, sampling.per_source(docs, "source", "doc_id", 12), "source", "doc_id", "text")
 
 
-@query("seg5_item_markers", r"SELECT doc_id, len(regexp_extract_all(text, '\b[a-z]\)')) AS n FROM documents WHERE regexp_matches(text, '\b[a-z]\)')")
+#: The pieces of a norm's text by order of k: text, category of a piece that is a span, article number.
+_PIECES = [
+    ("'LEI Nº ' || CAST(k AS STRING) || ', DE 1990. '", None, None),
+    ("'Dispõe sobre o caso ' || CAST(k AS STRING) || '.'", "'ementa'", None),
+    ("' O PRESIDENTE DA REPÚBLICA. '", None, None),
+    ("'Art. 1º'", "'art_marcador'", "1"),
+    ("' Fica criado o cargo ' || CAST(k AS STRING) || '. '", None, None),
+    ("'Art. ' || CAST(2 + k % 5 AS STRING) || 'º'", "'art_marcador'", "2 + k % 5"),
+    ("' O órgão tem: '", None, None),
+    ("'I -'", "'inc_marcador'", None),
+    ("' um; conforme o inciso '", None, None),
+    ("'II -'", None, None),
+    ("' dois; '", None, None),
+    ("'a)'", "'ali_marcador'", None),
+    ("' letra; '", None, None),
+    ("CASE WHEN k % 2 = 0 THEN '§ 1º' ELSE 'caso do § 2º' END", "CASE WHEN k % 2 = 0 THEN 'par_marcador' END", None),
+    ("' Regra. '", None, None),
+    ("'Parágrafo único'", "'par_marcador'", None),
+    ("'. Fim do n. 3. '", None, None),
+    ("CASE WHEN k % 3 = 0 THEN 'Art. 9º' ELSE 'Art. 1º-A' END", "'art_marcador'", "CASE WHEN k % 3 = 0 THEN 9 ELSE 1 END"),
+    ("' '", None, None),
+    ("CASE WHEN k % 4 = 0 THEN 'Vale a Lei n. 5.' ELSE 'Esta Lei entra em vigor na data.' END", "CASE WHEN k % 4 <> 0 THEN 'vigencia' END", None),
+    ("' '", None, None),
+    ("'Art. 10'", "'art_marcador'", "10"),
+    ("' '", None, None),
+    ("'Revogam-se as disposições em contrário.'", "'revogacao'", None),
+]
+
+
+def norm_texts(spark, d):
+    """doc, text: a norm for each order; every seventh has no text, and every
+    seventh but one no structure."""
+    whole = "concat(" + ", ".join(t for t, _, _ in _PIECES) + ")"
+    return table(spark, d, "orders").selectExpr("o_orderkey AS k").selectExpr("k AS doc", f"CASE k % 7 WHEN 0 THEN NULL WHEN 1 THEN 'Nada aqui.' ELSE {whole} END AS text")
+
+
+def _pieces_sql() -> str:
+    """Where each piece stands follows from the lengths of those before it."""
+    each = " UNION ALL ".join(f"SELECT k, {i} AS i, {t.replace('STRING', 'VARCHAR')} AS t, {c or 'NULL'} AS category, {n or 'NULL'} AS number FROM o" for i, (t, c, n) in enumerate(_PIECES))
+    return f"""WITH o AS (SELECT o_orderkey AS k FROM orders WHERE o_orderkey % 7 > 1), p AS ({each}),
+q AS (SELECT *, sum(length(t)) OVER (PARTITION BY k ORDER BY i) AS upto FROM p),
+s AS (SELECT k AS doc, category, CAST(upto - length(t) AS BIGINT) AS "start", CAST(upto AS BIGINT) AS "end", CAST(number AS BIGINT) AS number FROM q WHERE category IS NOT NULL) """
+
+
+_SEG = _pieces_sql()
+
+
+@query("seg11_segment", _SEG + "SELECT * FROM s")
 def _(spark, d):
-    found = segment(table(spark, d, "documents").select(c("doc_id").alias("doc"), "text"))
-    return found.where("category = 'ali_marcador'").groupBy(c("doc").alias("doc_id")).agg(F.count("*").alias("n"))
+    """SEG1 to SEG11: all categories together."""
+    return segment(norm_texts(spark, d))
 
 
-@query("seg11_segment")
+for _k, _name in {"seg1_articles": "art_marcador", "seg2_paragraphs": "par_marcador", "seg4_roman_items": "inc_marcador", "seg5_item_markers": "ali_marcador", "seg7_entry_into_force": "vigencia", "seg8_revocation": "revogacao", "seg10_summary": "ementa"}.items():
+
+    @query(_k, _SEG + f"SELECT doc, \"start\", \"end\" FROM s WHERE category = '{_name}'")
+    def _(spark, d, name=_name):
+        return segment(norm_texts(spark, d)).where(F.col("category") == name).select("doc", "start", "end")
+
+
+@query("seg12_against_gold", _SEG + """, g AS (SELECT * FROM s WHERE doc % 5 <> 0 AND category IN ('art_marcador', 'ementa', 'vigencia')),
+n AS (SELECT category, CAST((SELECT count(*) FROM g WHERE g.category = c.category) AS BIGINT) AS gold, CAST(count(*) AS BIGINT) AS pred, CAST(count(*) FILTER (s.doc % 5 <> 0) AS BIGINT) AS tp FROM (SELECT DISTINCT category FROM g) c JOIN s USING (category) GROUP BY 1),
+a AS (SELECT * FROM n UNION ALL SELECT 'MICRO', CAST(sum(gold) AS BIGINT), CAST(sum(pred) AS BIGINT), CAST(sum(tp) AS BIGINT) FROM n)
+SELECT category, gold, pred, tp AS exact_tp, CAST(tp AS DOUBLE) / pred AS exact_p, CAST(tp AS DOUBLE) / gold AS exact_r FROM a""")
+def _(spark, d):
+    """SEG12: gold marks three categories, and nothing in every fifth norm."""
+    gold = against_gold(_gold(spark, d))[0]
+    return gold.select("category", "gold", "pred", "exact_tp", "exact_p", "exact_r")
+
+
+@query("seg13_errors", _SEG + "SELECT category, 'fp' AS kind, count(*) AS n FROM s WHERE doc % 5 = 0 AND category IN ('art_marcador', 'ementa', 'vigencia') GROUP BY 1")
 def _(spark, d):
-    return segment(table(spark, d, "documents").select(c("doc_id").alias("doc"), "text"))
+    return against_gold(_gold(spark, d))[1].groupBy("category", "kind").agg(F.count("*").alias("n"))
+
+
+def _gold(spark, d):
+    """Texts with the spans that their making gives."""
+    spans, at = [], "0L"
+    for t, kind, _ in _PIECES:
+        if kind and kind.strip("'") in ("art_marcador", "ementa") or kind and "vigencia" in kind:
+            spans.append(f"if(({kind}) IS NOT NULL, named_struct('category', {kind}, 'start', {at}, 'end', {at} + length({t})), NULL)")
+        at = f"{at} + length({t})"
+    label = f"CASE WHEN doc % 7 > 1 AND doc % 5 <> 0 THEN array_compact(array({', '.join(spans)})) ELSE array() END"
+    return norm_texts(spark, d).selectExpr("*", "doc AS k").selectExpr("doc", "text", f"{label} AS label")
 
 
-@query("seg14_structure")
+@query("seg14_structure", _SEG + """, w AS (SELECT o_orderkey AS doc FROM orders), n AS (SELECT doc, number AS n, "start" FROM s WHERE category = 'art_marcador'),
+m AS (SELECT doc, max(n) AS most FROM n GROUP BY 1), gaps AS (SELECT doc, x AS n FROM (SELECT doc, unnest(range(1, most + 1)) AS x FROM m) t WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.doc = t.doc AND n.n = t.x)),
+wrong AS (SELECT doc, n, "start" FROM (SELECT *, max(n) OVER (PARTITION BY doc ORDER BY "start" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM n) WHERE n < top)
+SELECT doc, kind, '' AS numbers FROM w, (VALUES ('no_articles', 'art_marcador'), ('no_ementa', 'ementa'), ('no_vigencia', 'vigencia')) v(kind, category) WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.doc = w.doc AND s.category = v.category)
+UNION ALL SELECT doc, 'missing_articles', string_agg(n, ',' ORDER BY n) FROM gaps GROUP BY 1
+UNION ALL SELECT doc, 'out_of_order', string_agg(n, ',' ORDER BY "start") FROM wrong GROUP BY 1""")
 def _(spark, d):
-    return structure(table(spark, d, "documents").select(c("doc_id").alias("doc"), "text"))
+    return structure(norm_texts(spark, d)).withColumn("numbers", F.array_join(c("numbers").cast("array<string>"), ","))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from normalake.functions.identity import join_url, without_scheme
+from normalake.operators.captures import identities
 from normalake.schema import CAPTURES, VERSIONS
 
 SPANS = "text STRING, label ARRAY<STRUCT<category: STRING, start: BIGINT, end: BIGINT>>, info MAP<STRING, STRING>"
@@ -71,6 +73,72 @@ def archive_rows(listing: DataFrame) -> DataFrame:
     return listing.where(ok).select(F.concat(F.lit("https://"), without_scheme(F.col("original"))).alias("url"), F.concat(F.lit("https://web.archive.org/web/"), "timestamp", F.lit("/"), "original").alias("snapshot"))
 
 
+def is_pdf(content: Column) -> Column:
+    """Whether the bytes are those of a PDF, by the first four."""
+    return F.substring(content, 1, 4) == F.lit(b"%PDF")
+
+
+def archived_urls(listing: DataFrame) -> DataFrame:
+    """listing (original, statuscode): the distinct addresses that were captured,
+    as themselves or as a redirection."""
+    return listing.where(F.col("statuscode").isin("200", "301", "302")).select(F.col("original").alias("url")).distinct()
+
+
+def raw_ids(read: list[Callable[[], DataFrame | None]], ente: str, fonte: str, prefix: str = "") -> DataFrame | None:
+    """The raw ids of all capture indexes of a place and source. Each reader
+    gives an index (tipo, numero) or None where there is none. All or nothing:
+    if one fails, None, so that the caller takes the whole range instead of a
+    part that looks like all."""
+    found = []
+    for f in read:
+        try:
+            found.append(f())
+        except Exception:  # noqa: BLE001
+            return None
+    some = [i for i in found if i is not None]
+    if not some:
+        return None
+    keys = reduce(lambda a, b: a.union(b), [identities(i) for i in some]).distinct()
+    return keys.select(F.concat(F.lit(f"{prefix}raw-{ente}-{fonte}-"), "chave").alias("raw_id"))
+
+
+def missing_files(ids: DataFrame, present: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """ids (id) of a full rebuild: those still to fetch, in order, and how many
+    are there already, by present (name), names without their ending."""
+    have = present.select(F.regexp_replace("name", r"\.xml$", "").alias("id")).distinct()
+    return ids.join(have, "id", "left_anti").distinct().orderBy("id"), ids.join(have, "id", "left_semi").agg(F.count("*").alias("skipped"))
+
+
+def robots_rules(robots: DataFrame) -> DataFrame:
+    """robots (host, text) -> host, agent (lower case), allow, path, at: the
+    rules of each group, for each agent it names. Groups begin with one or more
+    agent lines after a rule."""
+    line = F.transform(F.split("text", r"\r?\n", -1), lambda x: F.trim(F.regexp_replace(x, "#.*$", "")))
+    rows = robots.select("host", F.posexplode(line).alias("at", "line")).where("line LIKE '%:%'")
+    rows = rows.select("host", "at", F.lower(F.trim(F.split_part("line", F.lit(":"), F.lit(1)))).alias("field"), F.trim(F.regexp_replace("line", "^[^:]*:", "")).alias("value")).where("field IN ('user-agent', 'allow', 'disallow')")
+    w = Window.partitionBy("host").orderBy("at")
+    rows = rows.withColumn("new", (F.col("field") == "user-agent") & (F.coalesce(F.lag("field").over(w), F.lit("")) != "user-agent"))
+    rows = rows.withColumn("group", F.sum(F.col("new").cast("int")).over(w))
+    agents = rows.where("field = 'user-agent'").select("host", "group", F.lower("value").alias("agent"))
+    rules = rows.where("field <> 'user-agent' AND (value <> '' OR field = 'disallow')").select("host", "group", "at", (F.col("field") == "allow").alias("allow"), F.col("value").alias("path"))
+    return agents.join(rules, ["host", "group"]).select("host", "agent", "at", F.when(F.col("path") == "", True).otherwise(F.col("allow")).alias("allow"), "path")
+
+
+def robots_allowed(urls: DataFrame, robots: DataFrame, agent: str) -> DataFrame:
+    """urls (url) -> url, allowed. Of the host's groups, one that the agent's
+    name contains, else the one for all; in it the first rule that the path
+    starts with decides. No rule, or no robots at all: allowed. An address
+    without scheme or host is not."""
+    pattern = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)(/[^#]*)?"
+    own = urls.select("url").distinct().withColumn("host", F.nullif(F.regexp_extract("url", pattern, 1), F.lit(""))).withColumn("path_of", F.coalesce(F.nullif(F.regexp_extract("url", pattern, 2), F.lit("")), F.lit("/")))
+    rules = robots_rules(robots).where((F.col("agent") == "*") | F.contains(F.lit(agent.lower()), F.col("agent")))
+    named = F.max((F.col("agent") != "*").cast("int")).over(Window.partitionBy("host"))
+    rules = rules.withColumn("named", named).where((F.col("agent") != "*").cast("int") == F.col("named"))
+    met = own.join(rules, ["host"], "left").where(F.col("path").isNull() | F.startswith("path_of", "path"))
+    first = met.groupBy("url").agg(F.min_by("allow", "at").alias("allow"))
+    return own.join(first, "url", "left").select("url", (F.col("host").isNotNull() & F.coalesce("allow", F.lit(True))).alias("allowed"))
+
+
 def union_tolerant(strategies: list) -> tuple[DataFrame | None, list[str]]:
     """The rows of all strategies (functions without arguments) that work, and
     what went wrong with the others."""

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from normalake.functions import law, text
 from normalake.operators.quality import require_unique
 from normalake.schema import VERSIONS
+from normalake.sources.tables import stored
 
 _WALKED = (
     "lei_id string, ente string, urn_lex_lei string, vigente string, rev_em string, rev_por string, rev_tipo string, lei_revogada boolean, path string, ordem int, parent string, "
@@ -138,8 +139,47 @@ def flatten(docs: DataFrame, prefix: str = "norma") -> DataFrame:
     return rows.select(*[new.get(f.name, c(f.name)).cast(f.dataType).alias(f.name) for f in VERSIONS])
 
 
+def _rules(xml: str, namespace: str) -> Iterator[tuple[int, str]]:
+    """Broken rules (number, what) of one document."""
+    try:
+        root = ElementTree.fromstring(xml)
+    except ElementTree.ParseError as e:
+        yield 0, str(e)
+        return
+    if root.tag != f"{{{namespace}}}lei":
+        yield 15, root.tag
+        return
+    diverges = lambda f: (f.get("diverge") or "").strip() in ("true", "1")
+    whole = _one(root, "revogacao") is not None
+    for node in root.iter():
+        kind = _tag(node)
+        if kind == "versao":
+            # an xs:boolean: true, false, 1 or 0
+            yield from ((1, f.get("ia-id", "?")) for f in _all(node, "fonte") if diverges(f) != (_one(f, "texto") is not None))
+        elif kind in ("inicio", "revogacao"):
+            yield from ((1, f.get("ia-id", "?")) for f in _all(node, "fonte") if f.get("diverge") is not None)
+        if kind == "revogacao" and node.get("tipo") and (node.get("tipo") == "caducidade") == (node.get("por") is not None):
+            yield 3, node.get("em", "?")
+        if kind == "dispositivo" and whole and _one(node, "revogacao") is not None:
+            yield 2, node.get("path", "?")
+
+
+def broken_rules(docs: DataFrame, namespace: str) -> DataFrame:
+    """docs (lei_id, xml) -> file, rule, message: what only the tree shows.
+    Rule 0 is a document that cannot be parsed, 15 one with another root; both
+    end its checks."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = [(lei, rule, said) for lei, xml in zip(frame["lei_id"], frame["xml"]) for rule, said in _rules(xml or "", namespace)]
+            yield pd.DataFrame(rows, columns=["file", "rule", "message"], dtype=object)
+
+    return docs.select("lei_id", "xml").mapInPandas(run, "file string, rule int, message string")
+
+
 def consolidate(docs: DataFrame, prefix: str = "norma") -> DataFrame:
-    """flatten(), and a version id must not repeat."""
-    return require_unique(flatten(docs, prefix), "versao_id")
+    """flatten(), and a version id must not repeat. The rows are stored before
+    they are checked, so documents are walked once."""
+    return require_unique(stored(flatten(docs, prefix)), "versao_id")
 
 

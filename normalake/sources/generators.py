@@ -23,12 +23,13 @@ def sequential(spark: SparkSession, templates: list[str], start: int, end: int,
     return out.join(known.select("url").distinct(), "url", "left_anti") if known is not None else out
 
 
-def state_portal(spark: SparkSession, kind: str, start: int, end: int, base: str) -> DataFrame:
-    if kind not in PORTAL_KINDS:
+def state_portal(spark: SparkSession, kind: str, start: int, end: int, base: str, prefix: str | None = None, place: str = "Rondônia") -> DataFrame:
+    """A prefix of file names admits kinds that are not known."""
+    if kind not in PORTAL_KINDS and prefix is None:
         raise ValueError(f"unknown kind: {kind}")
-    head, label = PORTAL_KINDS[kind]
-    n = F.col("num")
-    return numbers(spark, start, end).select(F.format_string("%s-%05d", F.lit(kind), n).alias("chave"), F.format_string("%s nº %d", F.lit(label), n).alias("titulo"), F.format_string("%s%s%d.pdf", F.lit(base), F.lit(head), n).alias("url"))
+    head, label = PORTAL_KINDS.get(kind, (None, kind.capitalize()))
+    head, n = prefix if prefix is not None else head, F.col("num")
+    return numbers(spark, start, end).select(F.format_string("%s-%05d", F.lit(kind), n).alias("chave"), F.format_string("%s nº %d (%s)", F.lit(label), n, F.lit(place)).alias("titulo"), F.format_string("%s%s%d.pdf", F.lit(base), F.lit(head), n).alias("url"))
 
 
 def federal(numbered: DataFrame, years: DataFrame, base: str) -> DataFrame:

@@ -15,11 +15,12 @@ OCR_MOST, HTML_MOST, CONFIDENCE = 8_000, 32_000, 0.5
 
 def first_object(text: str | None) -> dict | None:
     """The whole text as a JSON object, else the first that starts at any
-    brace; lists are not objects."""
+    brace, also within a list."""
     text = text or ""
     try:
         whole = json.loads(text)
-        return whole if isinstance(whole, dict) else None
+        if isinstance(whole, dict):
+            return whole
     except ValueError:
         pass
     decoder = json.JSONDecoder()

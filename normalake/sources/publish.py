@@ -12,11 +12,12 @@ from collections.abc import Callable, Iterator
 from xml.sax.saxutils import escape, quoteattr
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from normalake.functions import law
 from normalake.schema import EXPORT_COLUMNS
+from normalake.sources.tables import stored
 
 
 def write_versions(df: DataFrame, path: str, files: int | None = None) -> None:
@@ -52,8 +53,19 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_pool(df: DataFrame, path: str) -> int:
-    df.write.mode("overwrite").json(path)
-    return df.count()
+    """JSON lines; the count is taken as they are written."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").json(path)
+    return seen.get["n"]
+
+
+def write_manifest(manifest: DataFrame, path: str, **about) -> None:
+    """The pool's manifest (a row for each source, so a few rows) as one JSON
+    file: what is said about the draw, totals and the sources."""
+    rows = [r.asDict() for r in manifest.orderBy(manifest.columns[0]).collect()]
+    totals = {c: sum(r[c] for r in rows) for c in manifest.columns[1:]}
+    text = json.dumps({**about, **totals, "sources": rows}, ensure_ascii=False, indent=2)
+    manifest.sparkSession.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
 def raw_meta(df: DataFrame, captured: str, bundle: str) -> DataFrame:
@@ -95,10 +107,21 @@ def run_command(args: list[str]) -> tuple[bool, str]:
 def triggers(spark: SparkSession, path: str, probe_ms: float, most_mb: float = 100, most_rows: int = 2_000_000, most_ms: float = 1000) -> list[str]:
     """Which limits a dataset is over; two or more ask for a split."""
     size = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).agg(F.sum("length")).collect()[0][0] or 0
-    checks = (("size", size / 1e6 > most_mb), ("rows", spark.read.parquet(path).count() > most_rows), ("latency", probe_ms > most_ms))
+    checks = (("size", size / 2**20 > most_mb), ("rows", spark.read.parquet(path).count() > most_rows), ("latency", probe_ms > most_ms))
     return [name for name, over in checks if over]
 
 
+def numbered(df: DataFrame, by: str, name: str) -> DataFrame:
+    """df with each row's place, from 1, in the order of ``by``: ranges of it
+    are counted, then each numbers its own rows."""
+    ranged = stored(df.repartitionByRange(by).withColumn("_part", F.spark_partition_id()))
+    counts = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
+    # one row a partition
+    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy(by))
+    return ranged.join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + inside).drop("_part", "_before")
+
+
 def summary(counts: dict[str, int], most_percent: float = 20.0) -> str:
     """Markdown of a batch's counters and its failure rate."""
     total = sum(counts.values())

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from normalake.operators.scoring import missing, out_of_order
+from normalake.operators.scoring import counts, errors, metrics
 
 # The patterns and word lists that define each category.
 _ORD = r"(?:\s*[ºo°ªa])?"
@@ -87,14 +87,24 @@ def segment(docs: DataFrame) -> DataFrame:
 
 def structure(docs: DataFrame) -> DataFrame:
     """Findings (doc, kind, numbers): no articles, gaps in 1 to the last,
-    articles out of order, no summary, no clause on entry into force."""
-    found = segment(docs)
-    articles = found.where("category = 'art_marcador'").select("doc", F.col("start").alias("pos"), F.col("number").alias("n"))
-    seen = found.groupBy("doc").agg(*[F.count_if(F.col("category") == k).alias(k) for k in ("art_marcador", "ementa", "vigencia")])
+    articles out of order, no summary, no clause on entry into force. One pass
+    over the texts; a document's articles come together as one array."""
+    is_article = F.col("category") == "art_marcador"
+    articles = F.transform(F.sort_array(F.collect_list(F.when(is_article, F.struct("start", "number")))), lambda x: x["number"])
+    seen = segment(docs).groupBy("doc").agg(articles.alias("n"), *[F.count_if(F.col("category") == k).alias(k) for k in ("art_marcador", "ementa", "vigencia")])
     whole = docs.select("doc").join(seen, "doc", "left")
-    lacks = F.array(*[F.when(F.coalesce(k, F.lit(0)) == 0, F.lit(name)) for k, name in (("art_marcador", "no_articles"), ("ementa", "no_ementa"), ("vigencia", "no_vigencia"))])
-    absent = whole.select("doc", F.explode(F.array_compact(lacks)).alias("kind")).withColumn("numbers", F.array().cast("array<bigint>"))
-    listed = lambda df, kind, order: df.groupBy("doc").agg(F.transform(F.sort_array(F.collect_list(F.struct(order, "n"))), lambda x: x["n"]).alias("numbers")).select("doc", F.lit(kind).alias("kind"), "numbers")
-    gaps = listed(missing(articles), "missing_articles", F.col("n").alias("o"))
-    wrong = listed(out_of_order(articles), "out_of_order", F.col("pos").alias("o"))
-    return absent.unionByName(gaps).unionByName(wrong)
+    none, most = "CAST(array() AS ARRAY<BIGINT>)", "coalesce(array_max(n), 0L)"
+    wrong = f"aggregate(n, named_struct('top', 0L, 'out', {none}), (a, x) -> named_struct('top', greatest(a.top, x), 'out', if(x < a.top, concat(a.out, array(x)), a.out))).out"
+    lack = lambda k, name: f"if(coalesce({k}, 0) = 0, named_struct('kind', '{name}', 'numbers', {none}), NULL)"
+    some = lambda name, numbers: f"if(size({numbers}) > 0, named_struct('kind', '{name}', 'numbers', {numbers}), NULL)"
+    gaps = f"if({most} > 0, array_except(sequence(1L, {most}), n), {none})"
+    every = ", ".join([lack("art_marcador", "no_articles"), lack("ementa", "no_ementa"), lack("vigencia", "no_vigencia"), some("missing_articles", gaps), some("out_of_order", wrong)])
+    return whole.select("doc", F.explode(F.expr(f"array_compact(array({every}))")).alias("f")).select("doc", "f.*")
+
+
+def against_gold(gold: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """gold (doc, text, label) -> the segmenter's metrics by category and its
+    errors, over the categories that gold marks."""
+    known = gold.select("doc", F.explode("label").alias("s")).select("doc", "s.category", "s.start", "s.end")
+    found = segment(gold).select("doc", "category", "start", "end").join(known.select("category").distinct(), "category", "left_semi").select("doc", "category", "start", "end")
+    return metrics(counts(known, found)), errors(known, found)

@@ -8,7 +8,6 @@ through such a run and return the sink.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -16,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from normalake.operators import ledger
+from normalake.sources.tables import shared_folder
 
 
 def source(spark: SparkSession, path: str, files: int | None = None) -> DataFrame:
@@ -62,8 +62,7 @@ def upsert_batches(stream: DataFrame, path: str, key: str, order: str, checkpoin
 
 
 def _checkpoint(spark: SparkSession) -> str:
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or f"file://{tempfile.mkdtemp(prefix='normalake-')}"
-    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
 
 
 def _run(spark: SparkSession, out: DataFrame, mode: str) -> DataFrame:
