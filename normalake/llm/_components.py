@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from normalake.llm._skew import per_salt, salt, salts_seen
-from normalake.llm._store import stored
+from normalake.llm._store import dropped, renamed, stored
 
 
 def _star(pairs: DataFrame, large: bool) -> DataFrame:
@@ -40,5 +40,6 @@ def components(edges: DataFrame) -> DataFrame:
     its component's smallest, with that smallest node."""
     pairs = stored(_star(edges.select("u", "v").where(F.col("u") != F.col("v")), False))
     while _unfinished(pairs):
-        pairs = stored(_star(_star(pairs, True), False))
-    return pairs.select(F.col("u").alias("node"), F.col("v").alias("root"))
+        last, pairs = pairs, stored(_star(_star(pairs, True), False))
+        dropped(last)
+    return renamed(pairs, "node", "root")

@@ -1,4 +1,5 @@
-"""Joining rows with a value of their own group, however large the group."""
+"""Joining rows with a value of their own group, however large the group and
+whatever columns they have."""
 
 from __future__ import annotations
 
@@ -23,3 +24,18 @@ def per_salt(groups: DataFrame, seen: str, column: str) -> DataFrame:
     than the groups' members, and 64 a group at most."""
     bits = F.expr(f"filter(sequence(0, {SALTS - 1}), i -> (shiftright({seen}, i) & 1L) = 1L)")
     return groups.withColumn(column, F.explode(bits)).drop(seen)
+
+
+def attached(rows: DataFrame, key: str, by: str, table: DataFrame, how: str = "inner") -> DataFrame:
+    """rows joined with table on key, where many rows may have the same key:
+    they are dealt by a salt of column ``by``, and the table's row goes to each
+    salt seen."""
+    salted = rows.withColumn("_s", salt(by))
+    keys = per_salt(salted.groupBy(key).agg(salts_seen("_s").alias("_seen")), "_seen", "_s")
+    return salted.join(keys.join(table, key, how), [key, "_s"]).drop("_s")
+
+
+def unclashed(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """docs under names that clash with none, and these by the old ones."""
+    names = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names

@@ -9,18 +9,18 @@ sets depend on each other, it is 1.9e-4 for 3 of 4 shingles, 2.3e-5 for 6 of 8
 and 1.2e-5 for 9 of 12.  Every link is then confirmed on the full sets.
 
 Equal sets are one class from the start; classes meet in buckets (band, key).
-In a bucket the smallest class is the hub and is compared with all others:
-linear in the bucket.  What remains are pairs of members that are neither the
-hub nor already in one component.  Buckets with up to SMALL such pairs a member list
-them, but for those whose distances from the hub rule a link out (Jaccard
-distance is a metric).  In others only shingles that several components have
-count, as only these can be in a new link's intersection.  Pairs that share a
-rare one (in up to RARE open documents) are found by it.  All other pairs meet
-in frequent shingles alone: a member with too few of them for the bucket's
-smallest set goes, one further hub (the member with most) is compared, and then
-members outside a bucket's largest component meet only members of the set sizes
-that their frequent shingles allow.  No bound loses a link.  Components are
-found by star contraction.
+In a bucket the smallest class is the hub and meets all others: linear in the
+bucket.  Each class is compared with the hub it meets most often, and with its
+other hubs only where that leaves a bucket in several components.  Sets whose
+sizes rule a link out are not compared.  What remains are pairs of members in
+different components of a bucket.  Only shingles that several components have
+count for these, as only such can be in a new link's intersection.  Pairs that
+share a rare one (in up to RARE open documents) are found by it.  All others
+meet in frequent shingles alone: a member with too few of them for the bucket's
+smallest set goes, and members outside a bucket's largest component meet those
+members whose set sizes their frequent shingles allow.  No bound loses a link.  Components are found by
+star contraction.  The sets of documents that meet another are made once and
+kept as Parquet in the shared folder; tables that no later step reads go.
 No step gathers a bucket, group or component in one task or on the driver.
 
 Defined cases: fewer than 5 words: the whole sequence is one shingle; no words,
@@ -39,13 +39,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from normalake.llm._components import components
-from normalake.llm._skew import per_salt, salt, salts_seen
-from normalake.llm._store import stored
+from normalake.llm._skew import attached, per_salt, salt, salts_seen
+from normalake.llm._store import dropped, stored
 from normalake.llm._text import grams, hashed_words, joined, mix, small_batches, word_ranges
 
 WORDS, BANDS, ROWS = 5, 64, 6
 PERMUTATIONS = BANDS * ROWS // 2
-SMALL, RARE = 8, 16
+RARE = 16
+#: Set sizes that differ by less than a hundredth are mostly in one cell.
+CELLS = 100
 #: Links have 100 * intersection >= PERCENT * union.
 PERCENT = 75
 
@@ -127,57 +129,71 @@ def _list_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         offsets = np.zeros(len(sets) + 1, np.int32)
         np.cumsum([len(x) for x in sets], out=offsets[1:])
         values = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], names=["id", "shingles"])
+        columns = {"id": batch.column("doc_id"), "n": pa.array(np.diff(offsets).astype(np.int64)), "shingles": pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))}
+        yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
-def _compared(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (u, v) with the sizes of their full sets' intersection and
-    union (common, every). Many pairs may have
-    the same u: its set goes to a salt only if a pair with it is there."""
-    pairs = stored(pairs.distinct())
-    ids = pairs.select(F.col("u").alias("doc_id")).union(pairs.select(F.col("v").alias("doc_id"))).distinct()
+def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The shingles of the documents with these ids (doc_id): id, n, shingles."""
     # the ids are the small side, and texts are not sorted for this join
     texts = docs.join(ids.hint("shuffle_hash"), "doc_id", "left_semi")
-    sets = stored(texts.mapInArrow(_list_sets, "id long, shingles array<long>"))
-    salted = pairs.withColumn("s", salt("v"))
-    hubs = per_salt(salted.groupBy("u").agg(salts_seen("s").alias("seen")), "seen", "s")
-    ones = hubs.join(sets.select(F.col("id").alias("u"), F.col("shingles").alias("one")), "u")
-    others = salted.join(sets.select(F.col("id").alias("v"), F.col("shingles").alias("other")), "v")
-    met = others.join(ones, ["u", "s"]).select("u", "v", F.size(F.array_intersect("one", "other")).alias("common"), (F.size("one") + F.size("other")).alias("both"))
-    return met.select("u", "v", "common", (F.col("both") - F.col("common")).alias("every"))
+    return texts.mapInArrow(_list_sets, "id long, n long, shingles array<long>")
+
+
+def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (u, v) that are links by their full sets."""
+    pairs = stored(pairs.select("u", "v").distinct())
+    others = pairs.join(sets.select(F.col("id").alias("v"), F.col("shingles").alias("other")), "v")
+    met = attached(others, "u", "v", sets.select(F.col("id").alias("u"), F.col("shingles").alias("one"))).select("u", "v", F.size(F.array_intersect("one", "other")).alias("common"), (F.size("one") + F.size("other")).alias("both"))
+    found = stored(met.where(f"100 * common >= {PERCENT} * (both - common)").select("u", "v"))
+    dropped(pairs)
+    return found
+
 
+def _rooted(rows: DataFrame, roots: DataFrame, of: str, to: str) -> DataFrame:
+    """rows with the component's root of column ``of`` as column ``to``."""
+    found = rows.join(roots.select(F.col("node").alias(of), F.col("root").alias(to)), of, "left")
+    return found.withColumn(to, F.coalesce(to, of))
 
-def _links(compared: DataFrame) -> DataFrame:
-    return compared.where(100 * F.col("common") >= PERCENT * F.col("every")).select("u", "v")
 
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs (u, v) of different components, with their roots a and b."""
+    of_u = roots.select(F.col("node").alias("u"), F.col("root").alias("a"))
+    found = _rooted(attached(pairs, "u", "v", of_u, "left"), roots, "v", "b")
+    return found.withColumn("a", F.coalesce("a", "u")).where("a != b")
 
-def _placed(rest: DataFrame, compared: DataFrame) -> DataFrame:
-    """rest (key, hub, id) with the distance from the hub."""
-    far = compared.groupBy(F.col("u").alias("hub"), F.col("v").alias("id")).agg(F.min(1 - F.col("common") / F.col("every")).alias("far"))
-    return rest.join(far, ["hub", "id"]).drop("hub")
 
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """roots (node, root) after more links (u, v): only the components that
+    these meet are joined up anew."""
+    if not links.take(1):
+        dropped(links)
+        return roots
+    new = components(_apart(links, roots).select(F.col("a").alias("u"), F.col("b").alias("v")).distinct())
+    moved = roots.join(new.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+    out = stored(moved.union(new))
+    dropped(roots, links, new)
+    return out
 
-def _hub_pairs(members: DataFrame, hub: str = "min(id)") -> tuple[DataFrame, DataFrame]:
-    """members (key, id) -> the pairs of each key's hub with the others, and the members of keys with three or more, with their hub."""
+
+def _hubs(members: DataFrame) -> DataFrame:
+    """members (key, id, n) -> key, hub, id, size: the members of each key with
+    two or more, but for its hub, the smallest id; many: three or more."""
     members = members.withColumn("s", salt("id"))
-    keys = members.groupBy("key").agg(F.expr(hub).alias("hub"), F.min("id").alias("least"), F.max("id").alias("last"), F.count("*").alias("size"), salts_seen("s").alias("seen")).where("size > 1")
-    larger = per_salt(keys.where("size > 2").select("key", "hub", "seen"), "seen", "s")
-    rest = members.join(larger.hint("shuffle_hash"), ["key", "s"]).where("id != hub").select("key", "hub", "id")
-    two = keys.where("size = 2").select(F.col("least").alias("u"), F.col("last").alias("v"))
-    return two, rest
+    keys = members.groupBy("key").agg(F.min("id").alias("hub"), F.min_by("n", "id").alias("hub_n"), F.count("*").alias("many"), salts_seen("s").alias("seen")).where("many > 1")
+    keys = keys.select("key", "hub", "hub_n", (F.col("many") > 2).alias("many"), "seen")
+    return members.join(per_salt(keys, "seen", "s").hint("shuffle_hash"), ["key", "s"]).where("id != hub").select("key", "hub", "id", "many", F.expr(f"100 * least(n, hub_n) >= {PERCENT} * greatest(n, hub_n)").alias("may"))
 
 
 def _labelled(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """members (key, id, ...) of the keys whose members are in several
-    components, with their component's root, whether that is not the key's
-    largest (apart), and the key's open pairs by member (load)."""
-    own = members.drop("root", "load", "apart").join(roots.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    own = own.withColumn("s", salt("id"))
+    """members (key, id) of the keys whose members are in several components,
+    with their component's root and whether that is not the key's largest
+    (apart)."""
+    own = _rooted(members.select("key", "id"), roots, "id", "root").withColumn("s", salt("id"))
     each = own.groupBy("key", "root").agg(F.count("*").alias("m"), salts_seen("s").alias("seen"))
-    keys = each.groupBy("key").agg(F.count("*").alias("roots"), F.sum("m").alias("size"), F.sum(F.col("m") * F.col("m")).alias("squares"), F.max(F.struct("m", "root")).alias("most"), F.bit_or("seen").alias("seen")).where("roots > 1")
-    # pairs of different components for each member
-    keys = keys.select("key", "seen", F.col("most.root").alias("main"), F.expr("(size * size - squares) div (2 * size)").alias("load"))
-    return own.join(per_salt(keys, "seen", "s").hint("shuffle_hash"), ["key", "s"]).withColumn("apart", F.expr("root != main")).drop("s", "main")
+    keys = each.groupBy("key").agg(F.count("*").alias("roots"), F.max(F.struct("m", "root")).alias("most"), F.bit_or("seen").alias("seen")).where("roots > 1")
+    keys = keys.select("key", "seen", F.col("most.root").alias("main"))
+    return own.join(per_salt(keys, "seen", "s").hint("shuffle_hash"), ["key", "s"]).select("key", "id", "root", F.expr("root != main").alias("apart"))
 
 
 def _sides(members: DataFrame, *names: str) -> tuple[DataFrame, DataFrame]:
@@ -185,90 +201,79 @@ def _sides(members: DataFrame, *names: str) -> tuple[DataFrame, DataFrame]:
     return one, other
 
 
-_NEAR = f"root_u != root_v AND abs(far_u - far_v) <= {1 - PERCENT / 100 + 1e-9}"
 _PAIR = ["least(id_u, id_v) AS u", "greatest(id_u, id_v) AS v"]
 
 
-def _listed(members: DataFrame) -> DataFrame:
-    """Pairs of different components in each key."""
-    one, other = _sides(members.select("key", "id", "root", "far"), "key")
-    return one.join(other, "key").where(f"id_u < id_v AND {_NEAR}").selectExpr(*_PAIR)
-
-
-def _shared(members: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """members (key, id, root, ...) -> ids with their set's size n and q, how
-    many of its frequent shingles other components have too; and the pairs
-    that share rare shingles and may be linked."""
-    ids = members.select(F.col("id").alias("doc_id")).distinct()
-    sets = docs.join(ids.hint("shuffle_hash"), "doc_id", "left_semi").mapInArrow(_list_sets, "id long, shingles array<long>")
-    listed = members.select("id", "root").distinct().join(stored(sets), "id").select("id", "root", F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("shingle"))
+def _apart_with_all(members: DataFrame) -> DataFrame:
+    """Pairs (u, v) of members (key, id, root, apart, ...) in different
+    components of a key whose sizes allow each other: of such two, at least one
+    is outside the key's largest component (apart). A key's members are dealt
+    by salt, and those apart go to each salt seen, so a key of any size loads
+    no single task; sizes meet by cells, of which a member has about 60."""
+    members = members.select("key", "id", "root", "apart", "n", "big", "low", "high").withColumn("s", salt("id"))
+    one, other = _sides(members, "key", "s")
+    salts = members.groupBy("key").agg(salts_seen("s").alias("seen"))
+    one = per_salt(attached(one.where("apart_u").drop("s"), "key", "id_u", salts), "seen", "s")
+    cell = lambda n: f"CAST(floor(ln({n}) * {CELLS}) AS INT)"
+    one = one.withColumn("cell", F.explode(F.expr(f"sequence({cell('low_u')}, {cell('high_u')})")))
+    other = other.withColumn("cell", F.explode(F.expr(f"sequence({cell('n_v')}, {cell('big_v')})")))
+    met = other.join(one, ["key", "s", "cell"])
+    allowed = "n_u <= high_v AND big_u >= low_v AND n_v <= high_u AND big_v >= low_u"
+    # both apart: once
+    return met.where(f"root_u != root_v AND (NOT apart_v OR id_u < id_v) AND {allowed}").selectExpr(*_PAIR)
+
+
+def _shared(members: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """members (key, id, root, ...) -> ids with their set's size (least, most:
+    n, big, as an id may have several texts) and q, how many of its frequent
+    shingles other components have too; and the pairs that share rare shingles
+    and may be linked."""
+    listed = members.select("id", "root").distinct().join(sets, "id").select("id", "root", "n", F.explode("shingles").alias("shingle"))
     listed = listed.withColumn("s", salt("id"))
     often = listed.groupBy("shingle").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("often"), salts_seen("s").alias("seen")).where("a != b").select("shingle", "often", "seen")
     found = stored(listed.join(per_salt(often, "seen", "s").hint("shuffle_hash"), ["shingle", "s"]).drop("s"))
-    # an id with several texts has the looser figures of these
-    sizes = found.groupBy("id", "n").agg(F.count(F.expr(f"CASE WHEN often > {RARE} THEN 1 END")).alias("q")).groupBy("id").agg(F.min("n").alias("n"), F.max("q").alias("q"))
-    sizes = stored(sizes)
-    one, other = _sides(found.where(f"often <= {RARE}").select("shingle", "id", "root"), "shingle")
+    sizes = found.groupBy("id", "n").agg(F.count(F.expr(f"CASE WHEN often > {RARE} THEN 1 END")).alias("q"))
+    sizes = stored(sizes.groupBy("id").agg(F.min("n").alias("n"), F.max("n").alias("big"), F.max("q").alias("q")))
+    one, other = _sides(found.where(f"often <= {RARE}").select("shingle", "id", "root").distinct(), "shingle")
     pairs = one.join(other, "shingle").where("id_u < id_v AND root_u != root_v").groupBy("id_u", "id_v").agg(F.count("*").alias("rare"))
     one, other = _sides(sizes)
     pairs = pairs.join(one, "id_u").join(other, "id_v").where(f"{100 + PERCENT} * (rare + least(q_u, q_v)) >= {PERCENT} * (n_u + n_v)")
-    return sizes, pairs.selectExpr(*_PAIR)
+    pairs = stored(pairs.selectExpr(*_PAIR))
+    dropped(found)
+    return sizes, pairs
 
 
 def _ranged(members: DataFrame) -> DataFrame:
-    """members (key, id, n, q, ...) that may still have a link by frequent
+    """members (key, id, n, big, q, ...) that may still have a link by frequent
     shingles, with the sizes, low to high, that its partner can have."""
     own = members.drop("low", "high").withColumn("s", salt("id"))
-    ends = own.groupBy("key").agg(F.min("n").alias("least"), F.max("n").alias("most"), salts_seen("s").alias("seen"))
+    ends = own.groupBy("key").agg(F.min("n").alias("least"), F.max("big").alias("most"), salts_seen("s").alias("seen"))
     own = own.join(per_salt(ends, "seen", "s").hint("shuffle_hash"), ["key", "s"])
     own = own.withColumn("low", F.expr(f"greatest(least, (n * {PERCENT} + 99) div 100)"))
-    own = own.withColumn("high", F.expr(f"least(most, n * 100 div {PERCENT}, q * {100 + PERCENT} div {PERCENT} - n)"))
+    own = own.withColumn("high", F.expr(f"least(most, big * 100 div {PERCENT}, q * {100 + PERCENT} div {PERCENT} - n)"))
     return own.where("low <= high").drop("s", "least", "most")
 
 
-def _probed(members: DataFrame) -> DataFrame:
-    """Pairs of a member outside its key's largest component with one of
-    another component, where each has a size that the other allows."""
-    one, other = _sides(members.select("key", "id", "root", "far", "n", "low", "high", "apart"), "key")
-    one = one.where("apart_u").withColumn("size", F.explode(F.expr("sequence(low_u, high_u)")))
-    met = one.join(other.withColumn("size", F.col("n_v")), ["key", "size"])
-    return met.where(f"{_NEAR} AND n_u BETWEEN low_v AND high_v").selectExpr(*_PAIR)
-
-
-def _most(open_: DataFrame) -> int:
-    """The largest load (-1: none)."""
-    most = open_.agg(F.max("load")).collect()[0][0]
-    return -1 if most is None else most
-
-
-def _as_edges(roots: DataFrame) -> DataFrame:
-    return roots.select(F.col("node").alias("u"), F.col("root").alias("v"))
-
-
 def near_links(reps: DataFrame, docs: DataFrame) -> DataFrame:
-    """reps (doc_id, bands), docs (doc_id, text) -> (node, root) of linked ids."""
-    members = reps.select(F.explode("bands").alias("key"), F.col("doc_id").alias("id"))
-    two, rest = _hub_pairs(members)
-    rest = stored(rest)
-    compared = stored(_compared(two.union(rest.select(F.col("hub").alias("u"), F.col("id").alias("v"))), docs))
-    roots = components(_links(compared))
-    open_ = stored(_labelled(_placed(rest, compared), roots))
-    pairs = _listed(open_.where(f"load <= {SMALL}"))
-    if _most(open_) > SMALL:
-        large = open_.where(f"load > {SMALL}")
-        sizes, sharing = _shared(large, docs)
-        large = stored(_labelled(_ranged(large.join(sizes, "id")), roots))
-        two, more = _hub_pairs(large.select("key", "id", "q"), "max(struct(q, id)).id")
-        more = stored(more)
-        compared = stored(_compared(two.union(more.select(F.col("hub").alias("u"), F.col("id").alias("v"))), docs))
-        roots = components(_as_edges(roots).union(_links(compared)))
-        large = stored(_labelled(_placed(more, compared).join(sizes, "id"), roots))
-        pairs = pairs.union(sharing).union(_probed(_ranged(large)))
-    pairs = stored(pairs.distinct())
-    if not pairs.take(1):
-        return roots
-    new = stored(_links(_compared(pairs, docs)))
-    return components(_as_edges(roots).union(new)) if new.take(1) else roots
+    """reps (doc_id, n, bands), docs (doc_id, text) -> (node, root) of linked ids."""
+    members = stored(_hubs(reps.select(F.explode("bands").alias("key"), F.col("doc_id").alias("id"), F.col("n").cast("int").alias("n"))))
+    met = stored(members.where("may").groupBy(F.col("hub").alias("u"), F.col("id").alias("v")).agg(F.count("*").alias("often")))
+    sets = stored(_sets(docs, members.select(F.col("hub").alias("doc_id")).union(members.select("id")).distinct()))
+    # each id with the hub it meets most often; this joins up most of a group
+    first = _links(met.groupBy("v").agg(F.max_by("u", "often").alias("u")), sets)
+    roots = components(first)
+    # the other hubs, where that leaves several components
+    roots = _joined(roots, _links(_apart(met.drop("often"), roots), sets))
+    open_ = stored(_labelled(members.where("many"), roots))
+    dropped(members, met, first)
+    if open_.take(1):
+        sizes, sharing = _shared(open_, sets)
+        able = stored(_ranged(open_.join(sizes, "id")))
+        pairs = _apart(_apart_with_all(able).union(sharing).distinct(), roots)
+        roots = _joined(roots, _links(pairs, sets))
+        dropped(sizes, sharing, able)
+    dropped(sets, open_)
+    return roots
 
 
 def near_dedup(docs: DataFrame) -> DataFrame:
