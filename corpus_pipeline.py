@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from normalake.llm import decontaminate, exact_dedup, langid, near_dedup, packing
-from normalake.llm._store import stored
+from normalake.llm._skew import unclashed
+from normalake.llm._store import dropped, stored
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,17 +21,23 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts only the document that op4 keeps stays."""
-    gone = exact_dedup.exact_dedup(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
-    sha = F.sha2(F.translate(F.coalesce(docs["text"], F.lit("")), exact_dedup.WHITE, ""), 256)
-    same = docs["doc_id"].cast("long").eqNullSafe(gone["_id"]) & (sha == gone["_sha"])
-    return docs.join(gone.hint("shuffle_hash"), same, "left_anti")
+    """Of equal texts only the document that op4 keeps stays, as one row."""
+    found = stored(exact_dedup.repeats(docs).where("NOT best OR copies > 1").selectExpr("doc_id AS _id", "n_cp AS _n", "text_sha256 AS _sha", "best AS _best"))
+    own, of = unclashed(docs)
+    text = F.coalesce(F.col(of["text"]), F.lit(""))
+    body = F.sha2(F.translate(text, exact_dedup.WHITE, ""), 256)
+    same = F.col(of["doc_id"]).cast("long").eqNullSafe(F.col("_id")) & (F.char_length(text) == F.col("_n")) & (body == F.col("_sha"))
+    alone = own.join(found.hint("shuffle_hash"), same, "left_anti")
+    # of rows that repeat both doc_id and text, the least by all columns stays
+    many = own.join(found.where("_best").hint("shuffle_hash"), same).groupBy("_id", "_n", "_sha").agg(F.min(F.struct(*of.values())).alias("r")).select("r.*")
+    return alone.union(many).toDF(*docs.columns) if found.where("_best").take(1) else alone.toDF(*docs.columns)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies only its smallest doc_id stays."""
+    own, of = unclashed(docs)
     gone = near_dedup.near_dedup(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(gone.hint("shuffle_hash"), docs["doc_id"].cast("long") == gone["_id"], "left_anti")
+    return own.join(gone.hint("shuffle_hash"), F.col(of["doc_id"]).cast("long") == F.col("_id"), "left_anti").toDF(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,5 +65,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir))
+        before, docs = docs, stored(stage(spark, docs, sf_dir))
+        dropped(before)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -4,11 +4,13 @@ Method: texts without white space are grouped by their MD5 (128 bits) together
 with the bytes themselves, so equal hashes of unequal bytes stay apart.  The
 grouping combines on the map side: a group of any size leaves each task as one
 row, and no task gathers a group.  Each row then meets its group's result under
-a salted key.
+a salted key; rows that repeat doc_id, length and normalised text are one row
+with their number until then, so that exactly one of them stays.
 
 Defined cases: a null text counts as empty, and all empty texts are one group.
-A null doc_id comes after every other in ties.  Rows that repeat both doc_id
-and text are one document: they stay or go together.  Other columns are
+A null doc_id comes after every other in ties.  Of rows that repeat doc_id,
+length and normalised text one stays, whichever, as they give the same result.
+Other columns are
 neither read nor needed; columns of the result's names in the input are
 replaced.
 """
@@ -36,7 +38,16 @@ def _rank() -> Column:
 
 
 def exact_dedup(docs: DataFrame) -> DataFrame:
-    """docs (doc_id, text) -> doc_id, keep_id, group_size, kept, text_sha256."""
+    """docs (doc_id, text) -> doc_id, keep_id, group_size, kept, text_sha256,
+    one row for each row of docs."""
+    found = repeats(docs).withColumn("i", F.explode(F.expr("sequence(1L, copies)")))
+    return found.select("doc_id", "keep_id", "group_size", (F.col("best") & (F.col("i") == 1)).alias("kept"), "text_sha256")
+
+
+def repeats(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, text) -> doc_id, n_cp (the text's code points), text_sha256,
+    copies (the number of rows equal in these), keep_id, group_size, and best:
+    of these copies one stays."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.char_length(text).alias("n_cp"), F.translate(text, WHITE, "").alias("body"))
     rows = rows.withColumn("h", F.md5("body")).withColumn("s", salt("doc_id", "n_cp"))
@@ -47,10 +58,10 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
     groups = groups.where(F.when(F.col("texts") > 1, F.raise_error(F.lit("two texts share MD5 and SHA-256"))).otherwise(F.lit(True)))
     left = F.col("best") - F.floor(F.col("best") / F.lit(_SHIFT).cast("decimal(21,0)")).cast("decimal(18,0)") * F.lit(_SHIFT).cast("decimal(21,0)")
     ident = left.cast("decimal(38,0)") - F.lit("9223372036854775808").cast("decimal(19,0)")
-    groups = groups.select("h", "sha", F.when(ident < F.lit("9223372036854775808").cast("decimal(19,0)"), ident.cast("long")).alias("keep_id"), "group_size", "seen")
-    narrow = rows.select("doc_id", "h", F.sha2("body", 256).alias("sha"), "s")
+    groups = groups.select("h", "sha", "best", F.when(ident < F.lit("9223372036854775808").cast("decimal(19,0)"), ident.cast("long")).alias("keep_id"), "group_size", "seen")
+    narrow = rows.select("doc_id", "n_cp", "h", F.sha2("body", 256).alias("sha"), "s").groupBy("doc_id", "n_cp", "h", "sha", "s").agg(F.count("*").alias("copies"))
     out = narrow.join(per_salt(groups, "seen", "s"), ["h", "sha", "s"])
-    return out.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("sha").alias("text_sha256"))
+    return out.select("doc_id", "n_cp", F.col("sha").alias("text_sha256"), "copies", "keep_id", "group_size", (_rank() == F.col("best")).alias("best"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +76,8 @@ WITH d AS (
 w AS (
   SELECT doc_id, text_sha256,
          first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY n_cp DESC, doc_id) AS keep_id,
+         row_number() OVER (PARTITION BY text_sha256 ORDER BY n_cp DESC, doc_id) AS place,
          count(*) OVER (PARTITION BY text_sha256) AS group_size
   FROM d)
-SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM w
+SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM w
 """

@@ -28,6 +28,16 @@ def corpus(tmp_path_factory, spark):
     return d, {r[0]: r for r in rows}, len(texts)
 
 
+def test_exact_stage_leaves_one_row_of_repeats(spark, corpus):
+    """Repeated rows, rows that differ in other columns, clashing names."""
+    rows = [(1, "a  b", "x"), (1, "ab", "y"), (2, "zz", "p"), (2, "zz", "q"), (2, "zz", "q"), (None, "n", "r"), (None, "n", "r"), (3, None, "s"), (4, "", "t")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _n string").selectExpr("*", "_n AS best", "1 AS _sha")
+    got = corpus_pipeline.exact(spark, docs, "")
+    assert got.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text or "", r._n) for r in got.collect()) == [(0, "n", "r"), (1, "a  b", "x"), (2, "zz", "p"), (3, "", "s")]
+    assert corpus_pipeline.exact(spark, docs.where("false"), "").count() == 0
+
+
 def test_stages_take_effect(spark, corpus, tmp_path):
     d, rows, n = corpus
     docs, left = spark.read.parquet(f"{d}/documents.parquet"), {}
