@@ -14,8 +14,10 @@ bounded, so is its memory, and a lost block is packed again by itself.
 Defined cases: null or empty texts have length 0 and one empty piece that takes
 no room (but respects conflicts).  A null source conflicts with nothing.
 Duplicate clusters are equal texts apart from white space; empty texts are
-none.  Rows that repeat are packed each.  Blocks depend on the partitioning of
-the input only where rows repeat a doc_id.
+none.  Rows that repeat are packed each.  A null doc_id is packed like any
+other.  A table without a source column has no source conflicts.  Blocks depend
+on the rows alone, not on how they are dealt out: rows equal in all that counts
+are numbered.
 """
 
 from __future__ import annotations
@@ -59,7 +61,7 @@ def pack(lengths: list[int], sources: list, clusters: list, capacity: int = CAPA
 
 
 def _pack_block(frame: pd.DataFrame, capacity: int) -> pd.DataFrame:
-    frame = frame.sort_values(["doc_id", "row"], na_position="last", kind="stable").reset_index(drop=True)
+    frame = frame.sort_values(["doc_id", "n_words", "source", "cluster", "copy"], na_position="last", kind="stable").reset_index(drop=True)
     n = frame["n_words"].to_numpy()
     full = np.maximum(0, (n - 1) // capacity)  # full pieces before the last
     piece = pd.DataFrame({"at": np.repeat(np.arange(len(n)), full + 1)})
@@ -81,10 +83,13 @@ def best_fit(docs: DataFrame, capacity: int = CAPACITY, block: int = BLOCK) -> D
         raise ValueError("capacity and block must be at least 1")
     text = F.coalesce(F.col("text"), F.lit(""))
     body = F.translate(text, " \t\n\x0b\x0c\r", "")
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("n_words"), F.col("source").cast("string").alias("source"), F.when(F.length(body) > 0, F.xxhash64(body)).alias("cluster"))
+    source = F.col("source").cast("string") if "source" in docs.columns else F.lit(None).cast("string")
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("n_words"), source.alias("source"), F.when(F.length(body) > 0, F.xxhash64(body)).alias("cluster"))
     blocks = max(1, -(-docs.count() // block))
-    # equal ids are spread by their row
-    slim = slim.withColumn("block", F.pmod(F.xxhash64("doc_id", "row"), F.lit(blocks)))
+    # a task that runs again gives the same rows: copies differ by their number alone
+    key = ["doc_id", "n_words", "source", "cluster"]
+    slim = slim.groupBy(*key).agg(F.count("*").alias("copies")).withColumn("copy", F.explode(F.expr("sequence(1L, copies)"))).drop("copies")
+    slim = slim.withColumn("block", F.pmod(F.xxhash64(*key, "copy"), F.lit(blocks)))
     schema = "doc_id long, piece int, start_word long, n_words long, block long, bin int, bin_start long"
     return slim.groupBy("block").applyInPandas(lambda frame: _pack_block(frame, capacity), schema)
 
