@@ -15,19 +15,22 @@ break this are not counted as covered, and where one was changed, canonical
 matches over it and those that overlap them are left out.  A document is
 contaminated by an item if an occurrence covers at least COVER of its words.
 
-The item windows are broadcast if they are at most MAX_WINDOWS (their number is
-checked); documents are then judged where they are read, without a shuffle.
-Beyond that the windows of both sides meet in a shuffled join, with the same
-result.
+Documents are judged where they are read, by an index of the items' windows that
+goes to the tasks; there is no shuffle.  An index holds up to MAX_CHARS
+characters of items (their number is checked).  A larger benchmark comes in
+blocks of that size, each a pass over the documents, with the same result: a
+row's text alone decides which items it holds.
 
 Defined cases: items with fewer than SHORTEST words match nothing; items with
 fewer than WINDOW words are one window as long as they are.  A canonical
 window that is all placeholders is not used.  Null texts have no words.
-Items without item_id are left out.  Rows of one doc_id are judged together.
+Items without item_id are left out.  Each row is judged by itself, so rows that
+repeat a doc_id or have none stay or go by their own text.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -38,10 +41,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from normalake.llm._skew import SALTS, salt, unclashed
+from normalake.llm._store import stored
 from normalake.llm._text import grams, hash_of, hashed_words, joined, mix, small_batches, word_ranges
 
 WINDOW, SHORTEST, COVER = 8, 5, 0.5
-MAX_WINDOWS = 2_000_000
+MAX_CHARS = 4_000_000
 UNITS = (
     "mm cm km m mg g kg lb lbs oz ml l litre litres liter liters inch inches foot feet yard yards mile miles "
     "second seconds minute minutes hour hours day days week weeks month months year years "
@@ -306,80 +311,58 @@ def _placed(x: tuple, to: np.ndarray, used: set[int]) -> bool:
     return True
 
 
-def _index(benchmark: DataFrame) -> Index | None:
-    """None if there are more windows than may be broadcast."""
+def _blocks(benchmark: DataFrame, most: int) -> Iterator[Index]:
+    """The items in blocks by hash, of about ``most`` characters at the most.
+    Only one block is on the driver at a time."""
     items = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), "text")
-    if (items.agg(F.sum(F.char_length("text"))).collect()[0][0] or 0) > 2 * MAX_WINDOWS:  # a word and a gap take two characters
-        return None
-    return Index(sorted((r.item_id, r.text) for r in items.collect()))
+    total = items.agg(F.sum(F.char_length("text").cast("long"))).collect()[0][0] or 0
+    many = 1 if total <= most else -(-2 * total // most)  # by hash a block of half the size hardly comes to the whole
+    for k in range(many):
+        part = items if many == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(many)) == k)
+        yield Index(sorted((r.item_id, r.text) for r in part.collect()))
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, max_windows: int = MAX_WINDOWS) -> DataFrame:
-    """docs (doc_id, text), benchmark (item_id, text) -> doc_id, item_id,
-    coverage: one row for each contaminated row and item."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    index = _index(benchmark) if max_windows else None
-    if index is None:
-        return _leaks_joined(docs, benchmark)
+def _matched(docs: DataFrame, index: Index) -> DataFrame:
+    """docs (doc_id, text) -> doc_id, item_id, coverage, text_sha256."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text"):
             found = index.matches(words_of(batch.column("text")))
-            ids = batch.column("doc_id").take(pa.array([t for t, _ in found], pa.int64()))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(index.ids[[i for _, i in found]] if found else [], pa.int64()), pa.array(list(found.values()), pa.float64())], names=["doc_id", "item_id", "coverage"])
+            rows = pa.array([t for t, _ in found], pa.int64())
+            shas = [hashlib.sha256(x.as_py().encode()).hexdigest() for x in batch.column("text").take(rows)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(rows), pa.array(index.ids[[i for _, i in found]] if found else [], pa.int64()), pa.array(list(found.values()), pa.float64()), pa.array(shas, pa.string())], names=["doc_id", "item_id", "coverage", "text_sha256"])
 
-    return docs.mapInArrow(run, "doc_id long, item_id long, coverage double")
+    return docs.mapInArrow(run, "doc_id long, item_id long, coverage double, text_sha256 string")
 
 
-def _windows_listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every window of 5 to WINDOW tokens of each stream, with its tokens."""
-    for batch in small_batches(batches, "text", 1 << 18):
-        words = words_of(batch.column("text"))
-        first = words["first"]
-        for k, stream in enumerate(streams(words)):
-            many = tokens_in(words, stream)
-            for size in range(SHORTEST, WINDOW + 1):
-                at, h = windows(words, stream, size, k > 0)
-                if not len(at):
-                    continue
-                row = np.searchsorted(first, stream["start"][at], side="right") - 1
-                each = [np.lib.stride_tricks.sliding_window_view(stream[c], size)[at] for c in ("start", "n", "val", "slot")]
-                each[0] = each[0] - first[row][:, None]
-                each = [pa.FixedSizeListArray.from_arrays(pa.array(x.ravel().view(np.int64) if x.dtype != bool else x.ravel()), size) for x in each]
-                each = [x.cast(pa.list_(x.type.value_type)) for x in each]
-                yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(row)), batch.column("row").take(pa.array(row)), pa.array(h.view(np.int64)), pa.array(np.full(len(at), size, np.int32)), pa.array(np.full(len(at), k, np.int32)), pa.array(many[row]), pa.array(first[row + 1] - first[row]), *each], names=["id", "row", "h", "size", "k", "tokens", "length", "start", "n", "val", "slot"])
-
-
-_LISTED = "id long, row long, h long, size int, k int, tokens long, length long, start array<long>, n array<long>, val array<long>, slot array<boolean>"
-
-
-def _judged(frame: pd.DataFrame) -> pd.DataFrame:
-    """The coverage of one occurrence."""
-    columns = [[np.array(v) for v in frame[c]] for c in ("start", "n", "their_start", "their_n", "val", "their_val", "slot", "their_slot")]
-    listed = list(zip(map(kind_of, frame["k"], frame["their_k"]), *columns))
-    return frame[["doc_id", "t", "item_id", "i"]].head(1).assign(coverage=covered(int(frame["length"].iloc[0]), listed))
-
-
-def _leaks_joined(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The same by a shuffled hash join, for benchmarks of any size."""
-    theirs = docs.select(F.col("doc_id").alias("id"), F.monotonically_increasing_id().alias("row"), "text").mapInArrow(_windows_listed, _LISTED)
-    items = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(F.col("item_id").cast("long").alias("id"), F.monotonically_increasing_id().alias("row"), "text")
-    ours = items.mapInArrow(_windows_listed, _LISTED).where(f"size = least(tokens, {WINDOW})")
-    a = theirs.select(F.col("id").alias("doc_id"), F.col("row").alias("t"), "h", "size", *[F.col(c).alias(f"their_{c}") for c in ("k", "start", "n", "val", "slot")])
-    b = ours.select(F.col("id").alias("item_id"), F.col("row").alias("i"), "h", "size", "k", "length", "start", "n", "val", "slot")
-    band = F.expr("cast(floor((their_start[0] - start[0]) / length) AS long)")
-    met = a.join(b, ["h", "size"]).withColumn("band", F.explode(F.array(band, band - 1)))
-    seen = met.groupBy("t", "i", "band").applyInPandas(_judged, "doc_id long, t long, item_id long, i long, coverage double")
-    return seen.where(f"coverage >= {COVER}").groupBy("doc_id", "t", "item_id", "i").agg(F.max("coverage").alias("coverage")).select("doc_id", "item_id", "coverage")
-
-
-def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs, in their columns, that no item contaminates. Rows are
-    judged where they are read unless the benchmark is too large for that."""
-    index = _index(benchmark)
-    if index is None:
-        found = _leaks_joined(docs, benchmark).select("doc_id").distinct()
-        return docs.join(found, docs["doc_id"].cast("long") == found["doc_id"], "left_anti")
+def leaks(docs: DataFrame, benchmark: DataFrame, most: int = MAX_CHARS) -> DataFrame:
+    """docs (doc_id, text), benchmark (item_id, text) -> doc_id, item_id,
+    coverage: one row for each contaminated row and item."""
+    return _leaks(docs, benchmark, most).drop("text_sha256")
+
+
+def _leaks(docs: DataFrame, benchmark: DataFrame, most: int) -> DataFrame:
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    blocks = _blocks(benchmark, most)
+    index, later = next(blocks), next(blocks, None)
+    if later is None:
+        return _matched(docs, index)
+    out = stored(_matched(docs, index)).union(stored(_matched(docs, later)))
+    for index in blocks:
+        out = out.union(stored(_matched(docs, index)))
+    return out
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, most: int = MAX_CHARS) -> DataFrame:
+    """The rows of docs, in their columns, that no item contaminates. What a
+    row's text holds decides, so rows of equal text stay or go together."""
+    blocks = _blocks(benchmark, most)
+    index, more = next(blocks), next(blocks, None)
+    if more is not None:
+        own, of = unclashed(docs)
+        bad = _leaks(docs, benchmark, most).select("text_sha256").distinct().withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        same = (F.sha2(F.col(of["text"]).cast("binary"), 256) == F.col("text_sha256")) & (salt(of["doc_id"]) == F.col("s"))
+        return own.join(bad, same, "left_anti").toDF(*docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text"):
