@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 
@@ -15,3 +15,30 @@ def smallest_hashes(rows: DataFrame, n: int, *by: str) -> DataFrame:
     """The n rows whose hash of the given columns is smallest: a fixed
     pseudo-random sample. Rows must be narrow; each task sends n at most."""
     return rows.withColumn("_h", F.xxhash64(*by, F.lit(17))).orderBy("_h", *by).limit(n).drop("_h")
+
+
+def labelled_sample(rows: DataFrame, label: str, each: int, longest: int, most_chars: int) -> list[Row]:
+    """rows (doc_id, text, label) -> a sample of (doc_id, text, label) for the
+    driver: of each label the rows of smallest hash, up to ``each`` rows and to
+    its share of ``most_chars`` characters. Texts over ``longest`` characters
+    are left out, repeated rows count once. The hashes decide, so it is the
+    same however the rows are dealt out.
+
+    Each task sends at most ``each`` narrow rows a label (the rank's limit is
+    taken before the shuffle); texts come for the chosen rows only."""
+    rows = rows.where(F.col("text").isNotNull() & F.col(label).isNotNull() & (F.char_length("text") <= longest))
+    rows = rows.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("doc_id"), F.xxhash64("text").alias("c"), F.char_length("text").alias("n"), F.col(label).alias("label"), "text")
+    order = [F.xxhash64("doc_id", "c", F.lit(17)), F.col("doc_id"), F.col("c")]
+    ranked = rows.drop("text").distinct().withColumn("place", F.row_number().over(Window.partitionBy("label").orderBy(*order)))
+    found = ranked.where(f"place <= {each}").collect()
+    share, chosen, used = most_chars // max(1, len({r.label for r in found})), [], {}
+    for r in sorted(found, key=lambda r: (r.label, r.place)):
+        used[r.label] = used.get(r.label, 0) + r.n
+        if used[r.label] <= share:
+            chosen.append((r.doc_id, r.c, r.label, r.place))
+    if not chosen:
+        return []
+    kind = rows.schema["label"].dataType.simpleString()
+    ids = rows.sparkSession.createDataFrame(chosen, f"doc_id long, c long, label {kind}, place int")
+    texts = rows.join(F.broadcast(ids), ["doc_id", "c", "label"]).groupBy("place", "doc_id", "c", "label").agg(F.min("text").alias("text"))
+    return sorted(texts.select("doc_id", "text", "label", "place").collect(), key=lambda r: (r.place, r.label))

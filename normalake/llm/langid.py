@@ -1,7 +1,7 @@
 """Language ID: averaged hashed subword embeddings with a linear softmax.
 
-Method: a text's letter runs give hashed byte 3- and 4-grams (with word
-edges); the mean of their embeddings feeds a linear softmax.  Embeddings and
+Method: a text's letter runs (letters and marks by Unicode; all else parts
+words) give hashed byte 3- and 4-grams (with word edges); the mean of their embeddings feeds a linear softmax.  Embeddings and
 weights are trained by stochastic gradient descent in numpy on a bounded
 sample, on slices of random length so that short texts do as well as long
 ones.  A temperature and a rejection threshold are calibrated on held-back
@@ -9,13 +9,14 @@ sample rows.  As the model is linear after averaging, scoring adds one
 precomputed logit row for each gram.
 
 Learns from text and lang only, of rows with a lang and crc32(doc_id as text)
-mod 4 other than 2; the sample is the SAMPLE rows of smallest id hash among
-those, with texts over LONGEST characters left out of training (never of
-prediction).  Prediction reads the whole text and nothing else.
-
-Defined cases: null text or no letters (ASCII or any byte above 0x7F): ``und``
-with score 0, rejected.  No rows to learn from: ``und`` everywhere.  A null
-doc_id is not held out.
+mod 4 other than 2: of each lang up to EACH rows of smallest hash, together up
+to MOST_CHARS characters, so that a rare language is learned as well.  Texts
+over LONGEST characters are left out of training (never of prediction).
+Prediction reads the whole text and nothing else.
+
+Defined cases: null text, or no letter (Unicode category L): ``und`` with score
+0, rejected.  No rows to learn from: ``und`` with score 0 everywhere, and only
+texts without letters are rejected.  A null doc_id is not held out.
 """
 
 from __future__ import annotations
@@ -24,20 +25,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from normalake.llm._sample import id_crc, smallest_hashes
+from normalake.llm._sample import id_crc, labelled_sample
 from normalake.llm._text import joined, small_batches
 
-SAMPLE, LONGEST = 3000, 20_000
+EACH, LONGEST, MOST_CHARS = 900, 20_000, 16_000_000
 BUCKETS, DIM, EPOCHS, RATE = 1 << 16, 16, 6, 0.4
 #: A text is rejected if its score is under the score that this share of the
 #: calibration rows stays under, but never above REJECT_MOST.
 REJECT_SHARE, REJECT_MOST = 0.001, 0.5
 
 
+def only_letters(texts: pa.Array) -> pa.Array:
+    """The texts with a space for each run of characters above 0x7F that are
+    neither letters nor marks."""
+    return pc.replace_substring_regex(texts.cast(pa.large_string()), r"[^\x00-\x7F\p{L}\p{M}]+", " ")
+
+
 def _letters() -> np.ndarray:
     """Letter bytes in lower case; all others become a space."""
     t = np.full(256, 32, np.uint32)
@@ -76,7 +84,7 @@ def train(texts: list[str], langs: list[str], seed: int = 7) -> dict:
     """The model: languages, a logit row for each bucket, bias, temperature,
     threshold. Every fifth row is kept for calibration."""
     names = sorted(set(langs))
-    docs = [listed(t) for t in texts]
+    docs = [listed(t) for t in only_letters(pa.array(texts, pa.string())).to_pylist()]
     y = np.array([names.index(x) for x in langs])
     rng = np.random.default_rng(seed)
     usable = [i for i in range(len(docs)) if len(docs[i])]
@@ -120,12 +128,12 @@ def train(texts: list[str], langs: list[str], seed: int = 7) -> dict:
 
 def fit(docs: DataFrame) -> dict | None:
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.coalesce(id_crc() % 4, F.lit(0)) != 2))
-    ids = smallest_hashes(known.where(F.char_length("text") <= LONGEST).select(F.col("doc_id").cast("long").alias("doc_id"), F.crc32(F.col("text").cast("binary")).alias("c")), SAMPLE, "doc_id", "c")
-    ids = ids.distinct()
-    rows = known.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", F.crc32(F.col("text").cast("binary")).alias("c"))
-    got = rows.where(F.char_length("text") <= LONGEST).join(F.broadcast(ids), ["doc_id", "c"], "left_semi").limit(2 * SAMPLE).collect()  # SAMPLE ids at most are broadcast
-    got.sort(key=lambda r: (r.doc_id is None, r.doc_id or 0, r.c, r.lang))
-    return train([r.text for r in got], [r.lang for r in got]) if got else None
+    got = labelled_sample(known, "lang", EACH, LONGEST, MOST_CHARS)
+    return train([r.text for r in got], [r.label for r in got]) if got else None
+
+
+def has_letters(texts: pa.Array) -> np.ndarray:
+    return pc.fill_null(pc.match_substring_regex(texts, r"\p{L}"), False).to_numpy(zero_copy_only=False)
 
 
 def score_texts(texts: pa.Array, model: dict | None) -> tuple[np.ndarray, np.ndarray]:
@@ -133,7 +141,8 @@ def score_texts(texts: pa.Array, model: dict | None) -> tuple[np.ndarray, np.nda
     n = len(texts)
     if model is None:
         return np.full(n, -1), np.zeros(n)
-    data, at = joined(texts)
+    letters = has_letters(texts)
+    data, at = joined(only_letters(texts))
     sums, counts = np.zeros((n, len(model["names"]))), np.zeros(n)
     tables = [np.append(np.ascontiguousarray(model["table"][:, k]), np.float32(0)) for k in range(sums.shape[1])]
     step = 1 << 18
@@ -153,8 +162,7 @@ def score_texts(texts: pa.Array, model: dict | None) -> tuple[np.ndarray, np.nda
     z = (sums / np.maximum(counts, 1)[:, None] + model["bias"]) / model["temperature"]
     p = np.exp(z - z.max(1, keepdims=True))
     p /= p.sum(1, keepdims=True)
-    best = np.where(counts > 0, p.argmax(1), -1)
-    return best, np.where(counts > 0, p.max(1), 0.0)
+    return np.where(letters, p.argmax(1), -1), np.where(letters, p.max(1), 0.0)
 
 
 def language_id(docs: DataFrame, model: dict | None) -> DataFrame:
@@ -167,7 +175,7 @@ def language_id(docs: DataFrame, model: dict | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text"):
             best, score = score_texts(batch.column("text"), model)
-            rejected = (best < 0) | (score < (model["threshold"] if model else 1))
+            rejected = (best < 0) | (score < model["threshold"]) if model else ~has_letters(batch.column("text"))
             more = [pa.array(names[best], pa.string()), pa.array(score), pa.array(rejected)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, *new])
 

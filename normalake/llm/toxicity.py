@@ -9,13 +9,16 @@ rows held back from that calibrate the document score where it is not 0.
 Sentences with p >= 0.5 are then the located ones.
 
 Learns labels only of rows with crc32(doc_id as text) mod 5 other than 0: of
-each class the SAMPLE / 2 ids of smallest hash, texts over LONGEST characters
-left out of training (never of scoring).  Only words in at least MIN_DF
-sample texts get a weight; weights under LEAST become 0.
+each class up to EACH ids of smallest hash, and of their texts up to half of
+MOST_CHARS characters, with texts over LONGEST characters left out of training
+(never of scoring).  Only words in at least MIN_DF sample texts get a weight;
+weights under LEAST become 0.
 
 Defined cases: null and empty texts, or no word at all: score 0, predicted 0.
 No labels to learn from: score 0 everywhere.  A null doc_id is not held out.
-Rows of labels without doc_id or toxic are ignored; repeated ones count again.
+Rows of labels without doc_id or toxic are ignored; an id with labels of both
+kinds is learned as both, equal rows count once, and of an id's several texts
+the smallest is learned.
 """
 
 from __future__ import annotations
@@ -25,14 +28,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from normalake.llm._sample import id_crc, smallest_hashes
 from normalake.llm._text import hashed_words, joined, small_batches
 
-SAMPLE, LONGEST = 6000, 20_000
+EACH, LONGEST, MOST_CHARS = 3000, 20_000, 30_000_000
 BITS, MIN_DF, MIN_Z, ROUNDS, RATE, DECAY = 18, 5, 4.0, 500, 1.0, 2e-3
 FIRST_BIAS, LEAST = -8.0, 0.05
 
@@ -124,13 +127,14 @@ def _train(texts: list[str], toxic: list[int]) -> dict:
 
 def fit(docs: DataFrame, labels: DataFrame) -> dict | None:
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (id_crc() % 5 != 0)).select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("toxic") != 0).cast("int").alias("toxic"))
-    ids = None
-    for kind in (0, 1):
-        part = smallest_hashes(known.where(F.col("toxic") == kind), SAMPLE // 2, "doc_id")
-        ids = part if ids is None else ids.union(part)
-    texts = docs.where(F.char_length("text") <= LONGEST).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    got = texts.join(F.broadcast(ids), "doc_id").limit(2 * SAMPLE).collect()  # SAMPLE ids at most are broadcast
-    got.sort(key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.doc_id, r.toxic, r.text))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    known = known.distinct()
+    ids = smallest_hashes(known.where("toxic = 0"), EACH, "doc_id").union(smallest_hashes(known.where("toxic = 1"), EACH, "doc_id"))
+    # 2 * EACH ids at most are broadcast; what comes back is cut to MOST_CHARS before it is collected
+    found = texts.where(F.char_length("text") <= LONGEST).join(F.broadcast(ids), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    upto = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id")
+    got = found.withColumn("used", F.sum(F.char_length("text").cast("long")).over(upto)).where(f"used <= {MOST_CHARS // 2}").collect()
+    got.sort(key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.doc_id, r.toxic))
     if not got:
         return None
     counts = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
