@@ -1,27 +1,29 @@
 """License scans by a positional index of rare words.
 
-Method: each licence template is indexed by its ANCHORS words of highest
-inverse document frequency over all documents, as postings (template,
-position).  A file's words are looked up; each posting votes for the offset at
-which the template would start, and an offset with at least VOTES of the
-template's anchors is a candidate.  It is accepted if a mandatory key phrase of
-the template stands, word for word, within the template's reach there.  The
-score is the largest accepted share of votes.
+Method: every word of the licence passages (TEMPLATES) is indexed with its
+postings (passage, position).  In each SEGMENT words of a file its CHOSEN licence
+words of highest inverse document frequency over all documents are looked up;
+each posting votes for the place at which the passage would start.  Places that
+differ by less than SLACK agree, so words put in or left out do not part the
+votes.  A place with VOTES passage positions is a candidate.  It is accepted if
+COVER of the passage's words stand there, each within the slack, and one of its
+mandatory key phrases stands there word for word.  The score is the largest
+accepted share of words.
 
 Base places (a phrase's words standing consecutively) are found on the same
 word hashes; their labels stay, with score 1.
 
-Words: ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the text with A-Z
+Words: ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` of the text with A-Z
 lower-cased.  Defined cases: a null text counts as empty and has no words; with
 no base place first_word and last_word are null.  Document frequencies are
-counted over all rows; an empty table gives no rows.
+counted over all rows; an empty table gives no rows.  Columns of docs with the
+names of the result's are replaced.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,25 +34,36 @@ from pyspark.sql.types import StructType
 
 from normalake.llm._text import hash_of, hashed_words, joined, small_batches, word_ranges
 
-ANCHORS, VOTES = 5, 0.6
+SEGMENT, CHOSEN, SLACK, VOTES, COVER = 256, 32, 4, 3, 0.7
 PHRASES = (("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit"))
-#: label, text, mandatory key phrases (one of them must stand there)
+#: label, passage of the licence or of its usual notice, mandatory key phrases (one of them must stand there)
 TEMPLATES = (
     ("apache", "Licensed under the Apache License, Version 2.0", ("apache license",)),
-    ("apache", "you may not use this file except in compliance with the License. You may obtain a copy of the License at http www apache org licenses LICENSE 2.0", ("except in compliance with the license",)),
+    ("apache", "you may not use this file except in compliance with the License. You may obtain a copy of the License at http www apache org licenses LICENSE 2.0", ("except in compliance with the license", "apache org licenses")),
+    ("apache", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.", ("warranties or conditions of any kind", "language governing permissions and limitations")),
     ("mit", "Released under the MIT License", ("mit license",)),
-    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files", ("permission is hereby granted free of charge",)),
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so", ("deal in the software without restriction", "use copy modify merge publish distribute sublicense")),
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files", ("permission is hereby granted", "software and associated documentation files")),
+    ("mit", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.", ("copies or substantial portions of the software",)),
     ("gpl", "This work is licensed under the GNU General Public License, version 3", ("gnu general public license",)),
     ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License", ("gnu general public license",)),
+    ("gpl", "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.", ("gnu general public license for more details",)),
     ("lgpl", "licensed under the GNU Lesser General Public License", ("gnu lesser general public license",)),
+    ("lgpl", "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation", ("gnu lesser general public license",)),
     ("agpl", "licensed under the GNU Affero General Public License", ("gnu affero general public license",)),
+    ("agpl", "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation", ("gnu affero general public license",)),
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0", ("mozilla public license",)),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met", ("redistribution and use in source and binary forms",)),
-    ("isc", "Permission to use, copy, modify, and or distribute this software for any purpose with or without fee is hereby granted", ("for any purpose with or without fee is hereby granted",)),
+    ("bsd", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.", ("redistributions of source code must retain",)),
+    ("bsd", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.", ("redistributions in binary form must reproduce",)),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.", ("with or without fee is hereby granted", "distribute this software for any purpose")),
+    ("zlib", "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions", ("to alter it and redistribute it freely",)),
     ("unlicense", "This is free and unencumbered software released into the public domain", ("free and unencumbered software",)),
     ("cc-by", "Licensed under CC BY 4.0", ("cc by 4 0", "cc by 3 0", "cc by 2 0")),
+    ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License", ("creative commons attribution 4 0", "creative commons attribution 3 0")),
     ("cc-by-nc", "Licensed under CC BY-NC 4.0", ("cc by nc",)),
     ("cc-by-sa", "Licensed under CC BY-SA 4.0", ("cc by sa",)),
+    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution ShareAlike 4.0 International License", ("creative commons attribution sharealike",)),
     ("cc0", "CC0 1.0 Universal Public Domain Dedication", ("cc0 1 0",)),
 )
 
@@ -103,19 +116,48 @@ def document_frequencies(docs: DataFrame, templates=TEMPLATES) -> tuple[int, dic
 
 class Index:
     def __init__(self, n: int, df: dict[str, int], templates=TEMPLATES, phrases=PHRASES):
-        idf = {w: math.log((n + 1) / (df.get(w, 0) + 1)) for w in vocabulary(templates)}
-        self.templates = []
-        postings: dict[str, list[tuple[int, int]]] = defaultdict(list)
-        for t, (label, text, keys) in enumerate(templates):
-            ws = words(text)
-            best = sorted(range(len(ws)), key=lambda q: (-idf[ws[q]], q))[:ANCHORS]
-            for q in best:
-                postings[ws[q]].append((t, q))
-            self.templates.append((label, len(ws), len(best), [hash_of(words(k)) for k in keys]))
-        self.vocab = sorted(postings)
-        self.postings = [postings[w] for w in self.vocab]
+        self.vocab = vocabulary(templates)
+        idf = np.array([math.log((n + 1) / (df.get(w, 0) + 1)) for w in self.vocab])
+        #: each word's place among all, the highest inverse document frequency first
+        self.place = np.empty(len(self.vocab), np.int64)
+        self.place[np.argsort(-idf, kind="stable")] = np.arange(len(self.vocab))
+        number = {w: k for k, w in enumerate(self.vocab)}
+        self.templates = [(label, hash_of(words(text)), [hash_of(words(k)) for k in keys]) for label, text, keys in templates]
+        posted = sorted((number[w], t, q) for t, (_, text, _) in enumerate(templates) for q, w in enumerate(words(text)))
+        self.post_t, self.post_q = np.array([t for _, t, _ in posted], np.int64), np.array([q for _, _, q in posted], np.int64)
+        self.post_at = np.searchsorted(np.array([w for w, _, _ in posted], np.int64), np.arange(len(self.vocab) + 1))
+        self.lookup = _Lookup(self.vocab)
         self.phrases = [(hash_of(words(p)), label) for p, label in phrases]
 
+    def candidates(self, h: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int]]:
+        """(text, passage, place) with VOTES positions of the passage that agree
+        on a place from there to SLACK words on."""
+        where, which = self.lookup(h)
+        if not len(where):
+            return []
+        doc = np.searchsorted(first, where, side="right") - 1
+        part = first[doc] + (where - first[doc]) // SEGMENT * SEGMENT  # a segment is named by its first word
+        # the distinct words of each segment by place; the first CHOSEN of them stay
+        pairs, back = np.unique(np.stack((part, self.place[which])), axis=1, return_inverse=True)
+        new = np.flatnonzero(np.diff(pairs[0], prepend=-1))
+        chosen = (np.arange(pairs.shape[1]) - np.repeat(new, np.diff(new, append=pairs.shape[1])) < CHOSEN)[back.ravel()]
+        where, which, doc = where[chosen], which[chosen], doc[chosen]
+        many = self.post_at[which + 1] - self.post_at[which]
+        post = np.repeat(self.post_at[which], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        t, q = self.post_t[post], self.post_q[post]
+        place = (np.repeat(where, many) - q) // SLACK
+        votes = np.stack((np.tile(np.repeat(doc, many), 2), np.tile(t, 2), np.concatenate((place, place - 1)), np.tile(q, 2)))
+        found, count = np.unique(np.unique(votes, axis=1)[:3], axis=1, return_counts=True)
+        return [(int(d), int(t), int(b) * SLACK) for d, t, b in found[:, count >= VOTES].T]
+
+    def covered(self, h: np.ndarray, lo: int, hi: int, t: int, start: int) -> float:
+        """The share of the passage's words that stand in words lo to hi at
+        their place from start, within twice the slack."""
+        own = self.templates[t][1]
+        at = start + np.arange(len(own))[:, None] + np.arange(2 * SLACK)
+        inside = (at >= lo) & (at < hi)
+        return float((inside & (h[np.clip(at, 0, len(h) - 1)] == own[:, None])).any(1).mean())
+
     def scan(self, texts: pa.Array) -> list[list]:
         """Columns: n_words, n_base, first_word, last_word, base_labels, labels, score."""
         data, at = joined(texts)
@@ -130,19 +172,15 @@ class Index:
                 if i + len(phrase) <= first[d + 1]:
                     places[d].append(int(i - first[d]))
                     base[d].add(label)
-        votes: dict[tuple[int, int, int], int] = defaultdict(int)
-        where, which = _Lookup(self.vocab)(h)
-        for i, w, d in zip(where.tolist(), which.tolist(), doc_of(where).tolist()):
-            for t, q in self.postings[w]:
-                votes[d, t, i - q] += 1
         labels, score = [set(x) for x in base], [1.0 if x else 0.0 for x in base]
-        for (d, t, start), count in votes.items():
-            label, size, anchors, keys = self.templates[t]
-            if count >= VOTES * anchors:
-                lo, hi = max(start - 2, first[d]), min(start + size + 2, first[d + 1])
+        for d, t, start in self.candidates(h, first):
+            label, own, keys = self.templates[t]
+            share = self.covered(h, int(first[d]), int(first[d + 1]), t, start)
+            if share >= COVER:
+                lo, hi = max(start, first[d]), min(start + len(own) + 2 * SLACK, first[d + 1])
                 if any(len(_standing(h[lo:hi], k)) for k in keys):
                     labels[d].add(label)
-                    score[d] = max(score[d], min(1.0, count / anchors))
+                    score[d] = max(score[d], share)
         line = lambda x: ",".join(sorted(x))
         return [np.diff(first).tolist(), [len(p) for p in places], [min(p) if p else None for p in places], [max(p) if p else None for p in places], [line(x) for x in base], [line(x) for x in labels], score]
 
