@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from normalake.llm._skew import per_salt, salt, salts_seen
-from normalake.llm._store import dropped, renamed, stored
+from normalake.sources.tables import dropped, renamed, stored
 
 
 def _star(pairs: DataFrame, large: bool) -> DataFrame:

@@ -61,7 +61,7 @@ TARGETS = {"card": "number", "phone": "number", "email": "mail", "ip": "address"
 _MAY = {
     "number": "digits",
     "mail": "(contains(t, '@') OR t RLIKE '(?i)[\\\\[({] ?at ?[\\\\])}]|\\\\bdot\\\\b')",
-    "address": "digits AND (t RLIKE '[0-9] ?[.(\\\\[]+[.d]|[0-9A-Fa-f]:')",
+    "address": "digits AND t RLIKE '[0-9](?: \\\\.|\\\\. |[(\\\\[])|[0-9A-Fa-f]:'",
     "opaque": "digits AND t RLIKE '[A-Za-z0-9_+/=-]{16}'",
     "identifier": "digits AND t RLIKE '[0-9]-[0-9]{2}-[0-9]|[A-Z]{2}[0-9]{2}'",
 }
@@ -187,7 +187,7 @@ def _examples(seed: int = 11) -> list[tuple[str, str]]:
 
     word = lambda: "".join(r.choice("abcdehilnorstuéäñ") for _ in range(r.randint(2, 8)))
     name = lambda: "".join(r.choice("abcdehilnorstu") for _ in range(r.randint(2, 8))) + r.choice(["", "", ".", "_"]) + r.choice(["", d(2), "x"])
-    part = lambda: str(r.randint(0, 255))
+    part = lambda: str(r.choice([r.randint(0, 255), r.randint(0, 255), r.randint(0, 9), 10, 0]))
     point = lambda: r.choice([" . ", "[.]", "(.)", " .", "[dot]"])
     token = lambda: r.choice([of("0123456789abcdef", r.choice([32, 40, 64])), of(low + high + "0123456789", r.choice([20, 24, 32, 40])), "AKIA" + of(high + "0123456789", 16), "ghp_" + of(low + high + "0123456789", 36), "sk-" + of(low + high + "0123456789", 32), of(low + high + "0123456789+/", 40) + "=="])
     out = []

@@ -20,9 +20,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from normalake.llm._store import stored
+from normalake.sources.tables import stored
 
-SHARDS = 8
+SHARDS, RANGE_ROWS = 8, 500_000
 
 
 def shard_by_bytes(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
@@ -34,7 +34,8 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     # the row number spreads equal rows over ranges
     slim = slim.withColumn("tie", F.monotonically_increasing_id())
     order = ["doc_id", "size", "text_crc32", "tie"]
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # a range's rows are sorted in one task, so their number is bounded
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-docs.count() // RANGE_ROWS))
     ranged = stored(slim.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()))
     totals = ranged.groupBy("part").agg(F.sum("size").alias("part_size"), F.count("*").alias("part_rows"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

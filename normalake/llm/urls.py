@@ -1,8 +1,8 @@
 """URL filters: a weighted vocabulary found by Aho-Corasick, under host rules.
 
 Method: one automaton finds strict and soft terms in the lower-cased url; a hit
-counts only between characters other than a-z and 0-9 (or the ends).  Distinct
-hits add up, a strict term with weight SEVERAL, a soft one with 1; from SEVERAL
+counts only between characters other than letters and digits (or the ends).
+Terms are given as words or come from a table.  Distinct hits add up, a strict term with weight SEVERAL, a soft one with 1; from SEVERAL
 the url is blocked, so one strict or several distinct soft terms suffice.
 
 Rules (verdict, host, path) come first: a rule fits its host and all
@@ -23,8 +23,9 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-SEVERAL = 2
+SEVERAL, MOST_TERMS = 2, 500_000
 STRICT = ("casino", "porn", "porno", "xxx", "sexcam", "escorts", "hentai", "viagra", "adult")
 SOFT = ("ads", "bet", "bets", "betting", "cheap", "click", "deal", "farm", "free", "jackpot", "loan", "pills", "poker", "slots", "spam", "track", "tracker", "win", "winner", "warez")
 RULES = (("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/"))
@@ -50,8 +51,7 @@ def automaton(strict: tuple[str, ...] = STRICT, soft: tuple[str, ...] = SOFT):
 
 
 def _alone(url: str, start: int, end: int) -> bool:
-    plain = lambda c: "a" <= c <= "z" or "0" <= c <= "9"
-    return not (start and plain(url[start - 1])) and not (end < len(url) and plain(url[end]))
+    return not (start and url[start - 1].isalnum()) and not (end < len(url) and url[end].isalnum())
 
 
 def terms(url: str | None, found) -> dict[str, int]:
@@ -60,6 +60,19 @@ def terms(url: str | None, found) -> dict[str, int]:
     return {term: weight for last, (term, weight) in found.iter(low) if _alone(low, last - len(term) + 1, last + 1)}
 
 
+def vocabulary(table: DataFrame) -> tuple[tuple[str, ...], tuple[str, ...]]:
+    """table (term, weight) -> strict and soft terms: a weight of SEVERAL or more
+    is strict. Terms are lower-cased, empty and null ones left out, and of a
+    term's weights the largest counts. Up to MOST_TERMS go to the tasks; more
+    are an error."""
+    best = table.where("term IS NOT NULL AND term <> '' AND weight > 0").groupBy(F.lower("term").alias("term")).agg(F.max("weight").alias("weight"))
+    found = best.limit(MOST_TERMS + 1).collect()
+    if len(found) > MOST_TERMS:
+        raise ValueError(f"more than {MOST_TERMS} terms")
+    strict = sorted(r.term for r in found if r.weight >= SEVERAL)
+    return tuple(strict), tuple(sorted(r.term for r in found if r.weight < SEVERAL))
+
+
 def by_host(rules) -> dict[str, list[tuple[str, str, str]]]:
     """Each host's rules (text, path, verdict), longest first."""
     out: dict[str, list] = {}
@@ -108,7 +121,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sql() -> str:
     low = "translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-    hit = lambda t: f"regexp_matches(low, '(^|[^a-z0-9]){t}($|[^a-z0-9])')"
+    hit = lambda t: f"regexp_matches(low, '(^|[^\\p{{L}}\\p{{N}}]){t}($|[^\\p{{L}}\\p{{N}}])')"
     every = sorted({*STRICT, *SOFT})
     score = " + ".join(f"CASE WHEN {hit(t)} THEN {SEVERAL if t in STRICT else 1} ELSE 0 END" for t in every)
     hits = ", ".join(f"CASE WHEN {hit(t)} THEN '{t}' END" for t in every)

@@ -57,3 +57,25 @@ def test_stages_take_effect(spark, corpus, tmp_path):
     assert left[names[3]] == left[names[4]]
     assert {r.doc_id for r in corpus_pipeline.run(spark, d).collect()} == left[names[4]]
     assert langid.fit(spark.read.parquet(f"{d}/documents.parquet"))["names"] == ["en", "fr"]
+
+
+def test_stages_of_awkward_tables(spark, corpus, tmp_path):
+    """Every stage on no rows, without a benchmark, and on nulls, repeated rows,
+    ties, a very long text and clashing names."""
+    d = corpus[0]
+    bare = str(tmp_path / "sf")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{bare}/benchmark.parquet")
+    like = spark.read.parquet(f"{d}/documents.parquet")
+    for where in (d, bare):
+        for _, stage in corpus_pipeline.STAGES:
+            assert stage(spark, like.where("false"), where).count() == 0
+    text = "the and of to with nation being " * 30
+    rows = [(1, text, "en", "s"), (1, text, "en", "s"), (2, text + " ", "en", None), (None, text.upper(), None, "s"), (3, "la que aux des moment eau " * 5000, "fr", "s"), (4, None, "en", "s"), (None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").selectExpr("*", "1 AS lang_pred", "2 AS _id", "3 AS n", "4 AS _c0", "5 AS block")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, bare)
+        assert out.columns == docs.columns and out.count() <= docs.count()
+        out.write.mode("overwrite").parquet(str(tmp_path / stage.__name__))
+        docs = spark.read.parquet(str(tmp_path / stage.__name__))
+    assert {r.doc_id for r in docs.collect()} - {None} == {2, 3}
+    assert {r.doc_id for r in corpus_pipeline.packed(spark, docs, bare).collect()} - {None} == {2, 3}
