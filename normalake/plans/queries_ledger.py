@@ -179,10 +179,12 @@ def index_rows(spark, d):
     return e.select(c("event_type").alias("tipo"), F.when(c("user_id") % 10 == 0, "").otherwise(c("user_id").cast("string")).alias("numero"), F.lit("").alias("rendicao"), F.lit("pdf").alias("formato"), F.substring(h, 1, 8).alias("uuid5"), h.alias("sha256"), c("ts").cast("string").alias("captured_at"), F.concat(F.lit("src-"), (c("event_id") % 7).cast("string")).alias("source"), "event_id")
 
 
-@query("snk6_append_index", _C + "SELECT tipo, numero, sha256, source, event_id FROM i o WHERE event_id < 5000 UNION ALL SELECT tipo, numero, sha256, source, event_id FROM i n WHERE event_id >= 5000 AND NOT EXISTS (SELECT 1 FROM i o WHERE o.event_id < 5000 AND o.tipo = n.tipo AND o.numero = n.numero AND o.sha256 = n.sha256 AND (n.numero <> '' OR o.source = n.source))")
+@query("snk6_append_index", _C + "SELECT tipo, numero, sha256, source, event_id FROM i o WHERE event_id < 5000 UNION ALL SELECT tipo, numero, sha256, source, event_id FROM (SELECT *, row_number() OVER (PARTITION BY tipo, numero, sha256, CASE WHEN numero = '' THEN source END ORDER BY event_id) AS rn FROM i WHERE event_id >= 5000) n WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM i o WHERE o.event_id < 5000 AND o.tipo = n.tipo AND o.numero = n.numero AND o.sha256 = n.sha256 AND (n.numero <> '' OR o.source = n.source))")
 def _(spark, d):
-    i = index_rows(spark, d)
-    return captures.append(i.where("event_id < 5000"), i.where("event_id >= 5000")).select("tipo", "numero", "sha256", "source", "event_id")
+    """New rows, each also with a later copy in the same batch."""
+    i = index_rows(spark, d).withColumn("captured_at", F.lit("2024"))
+    new = i.where("event_id >= 5000")
+    return captures.append(i.where("event_id < 5000"), new.union(new.withColumn("captured_at", F.lit("2025")).withColumn("event_id", -c("event_id")))).select("tipo", "numero", "sha256", "source", "event_id")
 
 
 @query("snk7_remove_promoted", _C + "SELECT event_id FROM i WHERE NOT EXISTS (SELECT 1 FROM i p WHERE p.numero = '' AND p.uuid5 = i.uuid5 AND p.source = i.source)")

@@ -129,11 +129,14 @@ def _(spark, d):
     return files.missing_files(p.select(c("p_name").alias("id")), p.where("p_partkey % 3 = 0").select(F.concat("p_name", F.lit(".xml")).alias("name")))[0]
 
 
-@query("txt28_resolve_capture")
+@query("txt28_resolve_capture", """WITH i AS (SELECT event_type AS tipo, CAST(user_id AS BIGINT) AS numero, arg_max(sha256(props), event_id) AS sha FROM events WHERE user_id % 10 <> 0 GROUP BY 1, 2)
+SELECT 'ro' AS ente, 'portal' AS fonte, tipo, numero, 'https://archive.org/download/norma_ro_portal_' || tipo || '_' || printf('%04d-%04d', (numero - 1) // 1000 * 1000 + 1, (numero - 1) // 1000 * 1000 + 1000) || '/' || substr(sha1(from_hex('6ba7b8109dad11d180b400c04fd430c8') || encode(sha)), 1, 8) || '.pdf' AS url FROM i""")
 def _(spark, d):
+    """The newest of each number's captures, html ones passed over."""
     idx = index_rows(spark, d)
     raw = idx.where("numero != ''").select(F.lit("ro").alias("ente"), F.lit("portal").alias("fonte"), "tipo", c("numero").cast("bigint").alias("numero")).distinct()
-    return captures.resolve(raw, idx.where("numero != ''"), "event_id")
+    other = idx.where("numero != ''").withColumn("formato", F.lit("html")).withColumn("event_id", c("event_id") + 10**9)
+    return captures.resolve(raw, idx.where("numero != ''").union(other), "event_id", suffix=".pdf")
 
 
 @query("law4_law_fields", "SELECT o_orderkey, CASE o_orderkey % 3 WHEN 2 THEN 'desconhecido' ELSE 'lei' END AS tipo, CASE o_orderkey % 3 WHEN 0 THEN CAST(o_orderkey AS VARCHAR) END AS numero, CAST(CASE o_orderkey % 3 WHEN 0 THEN year(o_orderdate) ELSE 0 END AS INT) AS ano FROM orders")
@@ -159,7 +162,17 @@ def _(spark, d):
     return norm_versions(spark, d).groupBy(F.size(law.sources(c("fontes"))).alias("n")).agg(F.count("*").alias("versoes"))
 
 
-@query("snk15_exchange_documents")
+_MARKS = "(VALUES ('ementa', 'ementa', 'Ementa'), ('art-1', 'art1', 'Art. 1º'), ('art-1-par-1', 'art1_par1', '§ 1º'), ('art-1-par-2', 'art1_par2', '§ 2º'), ('art-2', 'art2', 'Art. 2º'), ('art-2-inc-1', 'art2_cpt_inc1', 'I'), ('art-2-inc-1-ali-a', 'art2_cpt_inc1_alia', 'a)')) m(path, id, rotulo)"
+
+
+@query("snk15_exchange_documents", V + f""", l AS (SELECT lei_id, urn_lex_lei AS urn, dispositivo_path AS path, dispositivo_parent_path AS up, dispositivo_ordem AS ordem, arg_max(texto, versao_id) AS body FROM versoes GROUP BY 1, 2, 3, 4, 5),
+h AS (SELECT l.*, '<Dispositivo id="' || id || '"><Rotulo>' || rotulo || '</Rotulo><p>' || body || '</p>' AS head FROM l JOIN {_MARKS} USING (path)),
+w3 AS (SELECT *, head || '</Dispositivo>' AS xml FROM h WHERE path = 'art-2-inc-1-ali-a'),
+w2 AS (SELECT *, head || coalesce((SELECT xml FROM w3 WHERE w3.lei_id = h.lei_id AND w3.up = h.path), '') || '</Dispositivo>' AS xml FROM h WHERE path IN ('art-1-par-1', 'art-1-par-2', 'art-2-inc-1')),
+w1 AS (SELECT *, head || coalesce((SELECT string_agg(xml, '' ORDER BY ordem, path) FROM w2 WHERE w2.lei_id = h.lei_id AND w2.up = h.path), '') || '</Dispositivo>' AS xml FROM h WHERE path IN ('ementa', 'art-1', 'art-2')),
+a AS (SELECT * FROM w1 UNION ALL SELECT * FROM w2 UNION ALL SELECT * FROM w3)
+SELECT lei_id, '<LexML><Metadado><Identificacao URN="' || coalesce(urn, '') || '"/></Metadado><Norma>' || string_agg(xml, '' ORDER BY ordem, path) || '</Norma></LexML>' AS xml
+FROM a WHERE up IS NULL OR NOT EXISTS (SELECT 1 FROM l WHERE l.lei_id = a.lei_id AND l.path = a.up) GROUP BY lei_id, urn""")
 def _(spark, d):
     return publish.lexml(norm_versions(spark, d))
 
