@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from normalake.functions.identity import BUCKET, bucket_start, content_name
+from normalake.functions.identity import BUCKET, bucket_start, content_name, flip_scheme
 
 KEY = ["tipo", "numero", "rendicao", "formato", "sha256"]
 
@@ -33,6 +33,15 @@ def newest(index: DataFrame, seq: str, *key: str) -> DataFrame:
     return index.groupBy(*key).agg(F.max_by(F.struct(*index.columns), seq).alias("r")).select("r.*")
 
 
+def first_hit(wanted: DataFrame, snapshots: DataFrame, value: str) -> DataFrame:
+    """wanted (url, ...) with the value that snapshots (url, value) have for the
+    address, else for it under the other scheme, else null."""
+    other = flip_scheme(F.col("url"))
+    own = wanted.join(snapshots.withColumnRenamed(value, "_own"), "url", "left").withColumn("_other_url", other)
+    met = own.join(snapshots.select(F.col("url").alias("_other_url"), F.col(value).alias("_other")), "_other_url", "left")
+    return met.withColumn(value, F.coalesce("_own", "_other")).drop("_own", "_other", "_other_url")
+
+
 def collisions(index: DataFrame) -> DataFrame:
     """Short names of more than one content."""
     return index.groupBy("uuid5").agg(F.countDistinct("sha256").alias("conteudos")).where("conteudos > 1")

@@ -44,3 +44,8 @@ def pending(table: DataFrame, ente: str | None = None, kind: str | None = None,
 
 def skip_existing(wanted: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     return wanted.join(existing.select(key).distinct(), key, "left_anti")
+
+
+def without_sidecar(ids: DataFrame, sidecars: DataFrame, prefix: str) -> DataFrame:
+    """ids (raw_id) with the prefix that sidecars (raw_id) lack."""
+    return skip_existing(ids.where(F.startswith("raw_id", F.lit(prefix))), sidecars, "raw_id")

@@ -154,6 +154,17 @@ def _(spark, d):
     return streams.replay_latest(spark, f"{d}/events.parquet")
 
 
+_KIND = "CASE event_id % 7 WHEN 0 THEN NULL WHEN 1 THEN 'downloaded' WHEN 2 THEN 'bundled' WHEN 3 THEN 'failed' ELSE 'pending' END"
+
+
+@query("str1_ledger_states", f"""WITH l AS (SELECT user_id AS url, event_id AS hora, {_KIND} AS status, CASE WHEN event_id % 14 = 1 THEN 'snap-' || event_id END AS snapshot FROM events),
+b AS (SELECT url, min(hora) AS born FROM l WHERE status IS NULL GROUP BY 1), u AS (SELECT l.* FROM l JOIN b USING (url) WHERE status IS NOT NULL AND hora > born)
+SELECT url, coalesce((SELECT arg_max(status, hora) FROM u WHERE u.url = b.url), 'pending') AS status, (SELECT arg_max(snapshot, hora) FROM u WHERE u.url = b.url AND snapshot IS NOT NULL) AS snapshot, (SELECT max(hora) FROM u WHERE u.url = b.url) AS ultima_tentativa FROM b""")
+def _(spark, d):
+    log = lambda s: s.selectExpr("user_id AS url", "event_id AS hora", f"{_KIND} AS status", "CASE WHEN event_id % 14 = 1 THEN concat('snap-', event_id) END AS snapshot")
+    return streams.replay(spark, f"{d}/events.parquet", lambda s: streams.states(log(s), ["hora"]), "complete")
+
+
 @query("str3_first_seen_stream", "SELECT DISTINCT user_id FROM events")
 def _(spark, d):
     return streams.replay_distinct(spark, f"{d}/events.parquet", "user_id")

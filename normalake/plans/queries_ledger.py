@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from normalake.functions import identity as I
 from normalake.operators import captures, coverage, ledger
 from normalake.plans.base import query, table
+from normalake.sources import generators
 
 c = F.col
 
@@ -108,9 +109,10 @@ def _(spark, d):
     return table(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").alias("k")).where("k IS NOT NULL")
 
 
-@query("jn1_skip_existing", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)")
+@query("jn1_skip_existing", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey % 4 <> 0)")
 def _(spark, d):
-    return ledger.skip_existing(table(spark, d, "customer").select("c_custkey"), table(spark, d, "orders").select(c("o_custkey").alias("c_custkey")), "c_custkey")
+    done = table(spark, d, "orders").where("o_custkey % 4 <> 0").select(c("o_custkey").alias("c_custkey"))
+    return ledger.skip_existing(table(spark, d, "customer").select("c_custkey"), done, "c_custkey")
 
 
 @query("jn2_identity_map", "SELECT o_orderkey, c_name, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey")
@@ -124,10 +126,14 @@ def _(spark, d):
     return table(spark, d, "customer").join(last, c("c_custkey") == c("o_custkey"), "left").select("c_custkey", "snapshot")
 
 
-@query("jn10_two_schemes", "WITH s AS (SELECT regexp_replace(url, '^https?://', '') AS k, min(page_id) AS snap FROM pages GROUP BY 1) SELECT page_id, snap FROM pages JOIN s ON k = regexp_replace(url, '^https?://', '')")
+@query("jn10_two_schemes", """WITH w AS (SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'http://' ELSE 'https://' END || regexp_replace(url, '^https?://', '') AS url FROM pages WHERE url LIKE 'http%'),
+s AS (SELECT url, min(page_id) AS snap FROM w WHERE page_id % 3 = 0 GROUP BY 1)
+SELECT page_id, coalesce(a.snap, b.snap) AS snap FROM w LEFT JOIN s a ON a.url = w.url LEFT JOIN s b ON b.url = CASE WHEN w.url LIKE 'https:%' THEN 'http:' || substr(w.url, 7) ELSE 'https:' || substr(w.url, 6) END""")
 def _(spark, d):
-    p = table(spark, d, "pages").select("page_id", I.without_scheme(c("url")).alias("k"))
-    return p.join(p.groupBy("k").agg(F.min("page_id").alias("snap")), "k").select("page_id", "snap")
+    """The snapshot under the address itself, else under its other scheme."""
+    http = F.when(c("page_id") % 2 == 0, "http://").otherwise("https://")
+    w = table(spark, d, "pages").where("url LIKE 'http%'").select("page_id", F.concat(http, I.without_scheme(c("url"))).alias("url"))
+    return captures.first_hit(w, w.where("page_id % 3 = 0").groupBy("url").agg(F.min("page_id").alias("snap")), "snap").select("page_id", "snap")
 
 
 @query("jn11_label_lookup", "SELECT n_nationkey, coalesce(r_name, 'Norma') AS rotulo FROM nation LEFT JOIN region ON n_regionkey = r_regionkey")
@@ -136,16 +142,20 @@ def _(spark, d):
     return table(spark, d, "nation").join(r, c("n_regionkey") == c("r_regionkey"), "left").select("n_nationkey", F.coalesce("r_name", F.lit("Norma")).alias("rotulo"))
 
 
-@query("jn12_prefix_filter", "SELECT p_partkey, p_name FROM part WHERE starts_with(p_name, 'small')")
+@query("jn12_prefix_filter", "SELECT 'raw-ro-' || CASE WHEN c_custkey % 3 = 0 THEN 'portal' ELSE 'diario' END || '-lei-' || c_custkey AS raw_id FROM customer WHERE c_custkey % 3 = 0 AND c_custkey % 2 = 1")
 def _(spark, d):
-    return table(spark, d, "part").where(F.startswith("p_name", F.lit("small"))).select("p_partkey", "p_name")
+    """Raw ids of a place and source that have no sidecar yet."""
+    raw = F.concat(F.lit("raw-ro-"), F.when(c("c_custkey") % 3 == 0, "portal").otherwise("diario"), F.lit("-lei-"), c("c_custkey").cast("string")).alias("raw_id")
+    ids = table(spark, d, "customer")
+    return ledger.without_sidecar(ids.select(raw), ids.where("c_custkey % 2 = 0").select(raw), "raw-ro-portal-")
 
 
-@query("jn14_highest_number", "SELECT t, coalesce(max(CASE WHEN regexp_matches(url, '/' || t || '/[0-9]+') THEN CAST(regexp_extract(url, '/[a-z]{2}/([0-9]+)', 1) AS BIGINT) END), 0) AS mais FROM pages, (VALUES ('en'), ('de'), ('xx')) v(t) GROUP BY 1")
+@query("jn14_highest_number", """SELECT t AS template, coalesce(max(CASE t WHEN 'https://a.example/{num}.pdf' THEN CASE WHEN c_custkey % 2 = 0 THEN c_custkey END WHEN 'https://b.example/x{num}' THEN CASE WHEN c_custkey % 2 = 1 THEN c_custkey END END), 0) AS numero
+FROM customer, (VALUES ('https://a.example/{num}.pdf'), ('https://b.example/x{num}'), ('https://c.example/{num}')) v(t) GROUP BY 1""")
 def _(spark, d):
-    n = lambda t: F.coalesce(F.max(F.when(c("url").rlike(f"/{t}/[0-9]+"), F.regexp_extract("url", "/[a-z]{2}/([0-9]+)", 1).cast("bigint"))), F.lit(0)).alias(t)
-    one = table(spark, d, "pages").agg(*[n(t) for t in ("en", "de", "xx")])
-    return one.unpivot([], ["en", "de", "xx"], "t", "mais")
+    k = c("c_custkey").cast("string")
+    urls = table(spark, d, "customer").select(F.when(c("c_custkey") % 2 == 0, F.concat(F.lit("https://a.example/"), k, F.lit(".pdf"))).otherwise(F.concat(F.lit("https://b.example/x"), k)).alias("url"))
+    return generators.highest(urls, ["https://a.example/{num}.pdf", "https://b.example/x{num}", "https://c.example/{num}"])
 
 
 @query("snk3_insert_or_ignore", "WITH old AS (SELECT event_type AS k, min(event_id) AS v FROM events WHERE event_type < 'd' GROUP BY 1), new AS (SELECT event_type AS k, min(event_id) + 1000000 AS v FROM events GROUP BY 1) SELECT * FROM old UNION ALL SELECT * FROM new WHERE k NOT IN (SELECT k FROM old)")
@@ -182,9 +192,10 @@ def index_rows(spark, d):
 @query("snk6_append_index", _C + "SELECT tipo, numero, sha256, source, event_id FROM i o WHERE event_id < 5000 UNION ALL SELECT tipo, numero, sha256, source, event_id FROM (SELECT *, row_number() OVER (PARTITION BY tipo, numero, sha256, CASE WHEN numero = '' THEN source END ORDER BY event_id) AS rn FROM i WHERE event_id >= 5000) n WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM i o WHERE o.event_id < 5000 AND o.tipo = n.tipo AND o.numero = n.numero AND o.sha256 = n.sha256 AND (n.numero <> '' OR o.source = n.source))")
 def _(spark, d):
     """New rows, each also with a later copy in the same batch."""
-    i = index_rows(spark, d).withColumn("captured_at", F.lit("2024"))
+    i = index_rows(spark, d).withColumn("captured_at", F.lpad(c("event_id").cast("string"), 12, "0"))
     new = i.where("event_id >= 5000")
-    return captures.append(i.where("event_id < 5000"), new.union(new.withColumn("captured_at", F.lit("2025")).withColumn("event_id", -c("event_id")))).select("tipo", "numero", "sha256", "source", "event_id")
+    again = new.withColumn("captured_at", F.concat(F.lit("9"), "captured_at")).withColumn("event_id", -c("event_id"))
+    return captures.append(i.where("event_id < 5000"), new.union(again)).select("tipo", "numero", "sha256", "source", "event_id")
 
 
 @query("snk7_remove_promoted", _C + "SELECT event_id FROM i WHERE NOT EXISTS (SELECT 1 FROM i p WHERE p.numero = '' AND p.uuid5 = i.uuid5 AND p.source = i.source)")

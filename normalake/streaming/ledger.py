@@ -33,6 +33,23 @@ def latest_by(stream: DataFrame, key: str, order: str, value: str) -> DataFrame:
     return stream.groupBy(F.col(key).alias("url")).agg(F.count("*").alias("tentativas"), F.max_by(value, F.struct(order, value)).alias("ultima"))
 
 
+def states(stream: DataFrame, order: list[str]) -> DataFrame:
+    """A log (url, status, snapshot, and the columns of order) to the ledger's
+    state of each url. A row without a status registers the url, the first one
+    counts; it is pending until a row with a status updates it (downloaded,
+    bundled, failed, or pending again), the last one counts. The last snapshot
+    that an update carries stays. Updates before the registration, or without
+    one, are of no row and change nothing."""
+    at = F.struct(*order)
+    born = F.min(F.when(F.col("status").isNull(), at))
+    last = F.max(F.when(F.col("status").isNotNull(), F.struct(at.alias("at"), "status")))
+    seen = F.max(F.when(F.col("status").isNotNull() & F.col("snapshot").isNotNull(), F.struct(at.alias("at"), "snapshot")))
+    each = stream.groupBy("url").agg(born.alias("born"), last.alias("last"), seen.alias("seen"))
+    known = F.col("last.at") > F.col("born")
+    out = each.where("born IS NOT NULL").select("url", F.when(known, F.col("last.status")).otherwise("pending").alias("status"), F.when(F.col("seen.at") > F.col("born"), F.col("seen.snapshot")).alias("snapshot"), F.when(known, F.col(f"last.at.{order[0]}")).alias("ultima_tentativa"))
+    return out
+
+
 def first_seen(stream: DataFrame, key: str) -> DataFrame:
     return stream.select(key).dropDuplicates([key])
 
