@@ -53,8 +53,41 @@ def _normal(form: str):
     return normal
 
 
+_SCRIPTS = 0x2100  # Latin, Greek, Cyrillic and general punctuation lie below
+
+
+@functools.lru_cache(None)
+def _unsettled() -> str:
+    """A class of the characters that composition may change, or that join one
+    before: all beyond _SCRIPTS, and below it by the Unicode rule."""
+    odd = [n for n in range(_SCRIPTS) if unicodedata.normalize("NFC", chr(n)) != chr(n) or unicodedata.category(chr(n))[0] == "M" or 0x1100 <= n < 0x1200]
+    return _class(odd)
+
+
+@functools.lru_cache(None)
+def _searchable() -> tuple[str, str, str]:
+    """For normalize_search: characters whose compatibility form is one other
+    character and marks, these, and a class of those that need more."""
+    old, new, odd = [], [], []
+    for n in range(0xA0, _SCRIPTS):
+        form = "".join(x for x in unicodedata.normalize("NFKD", chr(n)) if unicodedata.category(x)[0] != "M")
+        if len(form) == 1 and form != chr(n):
+            old.append(chr(n)), new.append(form)
+        elif len(form) > 1 and any(x.isalnum() or x.isspace() for x in form):
+            odd.append(n)
+    return "".join(old), "".join(new), _class(odd)
+
+
+def _class(odd: list[int]) -> str:
+    ends = [(n, m) for n, m in zip([n for n in odd if n - 1 not in odd], [n for n in odd if n + 1 not in odd])]
+    return "[" + "".join(f"\\x{{{n:X}}}-\\x{{{m:X}}}" for n, m in ends) + rf"\x{{{_SCRIPTS:X}}}-\x{{10FFFF}}]"
+
+
 def nfc(c: Column) -> Column:
-    return _normal("NFC")(c)
+    """Composed form. Only rows with a character that it may change go to
+    Python; the others are what they are."""
+    odd = c.rlike(_unsettled())
+    return F.when(odd, _normal("NFC")(F.when(odd, c))).otherwise(c)
 
 
 def nfkd(c: Column) -> Column:
@@ -63,8 +96,13 @@ def nfkd(c: Column) -> Column:
 
 def normalize_search(c: Column) -> Column:
     """For the staging table: NFKD without marks, lower case, one space for
-    white space, then all but a-z, 0-9 and white space goes."""
-    t = F.lower(F.regexp_replace(nfkd(F.coalesce(c, F.lit(""))), r"\p{M}+", ""))
+    white space, then all but a-z, 0-9 and white space goes. A character map
+    serves most rows; those with one that needs more go to Python."""
+    old, new, odd_class = _searchable()
+    text = F.coalesce(c, F.lit(""))
+    odd = text.rlike(odd_class)
+    plain = F.when(odd, nfkd(F.when(odd, text))).otherwise(F.translate(text, old, new))
+    t = F.lower(F.regexp_replace(plain, r"\p{M}+", ""))
     return strip(F.regexp_replace(F.regexp_replace(t, r"(?U)\s+", " "), r"[^a-z0-9\s]", ""))
 
 

@@ -107,3 +107,29 @@ def test_sources_list(spark):
 def test_join_url(spark):
     j = lambda link: one(spark, link, lambda c: I.join_url(F.lit("https://h.example/a/b.html?x=1"), c))
     assert [j(x) for x in ("c.pdf", "/c.pdf", "//k.example/c", "http://z/")] == ["https://h.example/a/c.pdf", "https://h.example/c.pdf", "https://k.example/c", "http://z/"]
+
+
+def test_normal_forms_by_map_and_by_python(spark):
+    """Every character below U+2200 alone, and mixtures, as the Unicode
+    database has them."""
+    import random
+    import re
+    import unicodedata
+
+    from pyspark.sql import functions as F
+
+    from normalake.functions import text
+
+    rng = random.Random(3)
+    chars = [chr(n) for n in range(1, 0x2200)] + list("ﬁ①日本가각Å\U0001F600\U0001D400")
+    rows = [f"a{x}b {x}" for x in chars] + ["".join(rng.choice(chars) for _ in range(12)) for _ in range(500)] + ["e\u0301 ñ", "", None]
+    df = spark.createDataFrame(list(enumerate(rows)), "i int, t string")
+
+    def searched(t):
+        t = "".join(x for x in unicodedata.normalize("NFKD", t or "") if unicodedata.category(x)[0] != "M").lower()
+        return re.sub(r"[^a-z0-9\s]", "", re.sub(r"\s+", " ", t), flags=re.A).strip()
+
+    for r in df.select("t", text.nfc(F.col("t")).alias("c"), text.normalize_search(F.col("t")).alias("s")).collect():
+        assert r.c == (None if r.t is None else unicodedata.normalize("NFC", r.t))
+        if not set(r.t or "") & set("\x1c\x1d\x1e\x1f\x85\u0130"):  # engines differ on white space among control characters and on dotted I
+            assert r.s == searched(r.t), repr(r.t)
