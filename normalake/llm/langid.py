@@ -33,7 +33,7 @@ from pyspark.sql.types import StructType
 from normalake.llm._sample import id_crc, labelled_sample
 from normalake.llm._text import joined, small_batches
 
-EACH, LONGEST, MOST_CHARS = 900, 20_000, 16_000_000
+EACH, LONGEST, MOST_CHARS = 900, 20_000, 6_000_000
 BUCKETS, DIM, EPOCHS, RATE = 1 << 16, 16, 6, 0.4
 #: A text is rejected if its score is under the score that this share of the
 #: calibration rows stays under, but never above REJECT_MOST.
@@ -69,9 +69,9 @@ def grams(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
 
 
 def listed(text: str) -> np.ndarray:
-    """The buckets of a text's grams, in text order."""
+    """The buckets of a text's grams, in text order, in two bytes each."""
     b3, in3, b4, in4 = grams(np.frombuffer(f" {text} ".encode(), np.uint8))
-    return np.stack((b3, b4), 1).ravel()[np.stack((in3, in4), 1).ravel()].astype(np.int64)
+    return np.stack((b3, b4), 1).ravel()[np.stack((in3, in4), 1).ravel()].astype(np.uint16)
 
 
 def _slice(g: np.ndarray, rng: np.random.Generator) -> np.ndarray:

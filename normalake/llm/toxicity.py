@@ -35,7 +35,7 @@ from pyspark.sql.types import StructType
 from normalake.llm._sample import id_crc, smallest_hashes
 from normalake.llm._text import hashed_words, joined, small_batches
 
-EACH, LONGEST, MOST_CHARS = 3000, 20_000, 30_000_000
+EACH, LONGEST, MOST_CHARS = 3000, 20_000, 20_000_000
 BITS, MIN_DF, MIN_Z, ROUNDS, RATE, DECAY = 18, 5, 4.0, 500, 1.0, 2e-3
 FIRST_BIAS, LEAST = -8.0, 0.05
 
