@@ -40,8 +40,8 @@ from pyspark.sql import functions as F
 
 from normalake.llm._components import components
 from normalake.llm._skew import attached, per_salt, salt, salts_seen
-from normalake.sources.tables import dropped, stored
 from normalake.llm._text import grams, hashed_words, joined, mix, small_batches, word_ranges
+from normalake.sources.tables import dropped, stored
 
 WORDS, BANDS, ROWS = 5, 64, 6
 PERMUTATIONS = BANDS * ROWS // 2
@@ -209,8 +209,10 @@ def _apart_with_all(members: DataFrame) -> DataFrame:
     components of a key whose sizes allow each other: of such two, at least one
     is outside the key's largest component (apart). A key's members are dealt
     by salt, and those apart go to each salt seen, so a key of any size loads
-    no single task; sizes meet by cells, of which a member has about 60."""
-    members = members.select("key", "id", "root", "apart", "n", "big", "low", "high").withColumn("s", salt("id"))
+    no single task; sizes meet by cells, of which a member has about 60. Two
+    that share several of their keys (a key for each band at most) meet in the
+    least of these alone."""
+    members = members.select("key", "id", "root", "apart", "n", "big", "low", "high", "keys").withColumn("s", salt("id"))
     one, other = _sides(members, "key", "s")
     salts = members.groupBy("key").agg(salts_seen("s").alias("seen"))
     one = per_salt(attached(one.where("apart_u").drop("s"), "key", "id_u", salts), "seen", "s")
@@ -218,9 +220,10 @@ def _apart_with_all(members: DataFrame) -> DataFrame:
     one = one.withColumn("cell", F.explode(F.expr(f"sequence({cell('low_u')}, {cell('high_u')})")))
     other = other.withColumn("cell", F.explode(F.expr(f"sequence({cell('n_v')}, {cell('big_v')})")))
     met = other.join(one, ["key", "s", "cell"])
+    first = "key = array_min(array_intersect(keys_u, keys_v))"
     allowed = "n_u <= high_v AND big_u >= low_v AND n_v <= high_u AND big_v >= low_u"
     # both apart: once
-    return met.where(f"root_u != root_v AND (NOT apart_v OR id_u < id_v) AND {allowed}").selectExpr(*_PAIR)
+    return met.where(f"root_u != root_v AND (NOT apart_v OR id_u < id_v) AND {allowed} AND {first}").selectExpr(*_PAIR)
 
 
 def _shared(members: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -269,7 +272,8 @@ def near_links(reps: DataFrame, docs: DataFrame) -> DataFrame:
     if open_.take(1):
         sizes, sharing = _shared(open_, sets)
         able = stored(_ranged(open_.join(sizes, "id")))
-        pairs = _apart(_apart_with_all(able).union(sharing).distinct(), roots)
+        keys = able.groupBy("id").agg(F.collect_set("key").alias("keys"))
+        pairs = _apart(_apart_with_all(able.join(keys, "id")).union(sharing).distinct(), roots)
         roots = _joined(roots, _links(pairs, sets))
         dropped(sizes, sharing, able)
     dropped(sets, open_)
