@@ -46,8 +46,8 @@ from normalake.sources.tables import dropped, stored
 WORDS, BANDS, ROWS = 5, 64, 6
 PERMUTATIONS = BANDS * ROWS // 2
 RARE = 16
-#: Set sizes that differ by less than a hundredth are mostly in one cell.
-CELLS = 100
+#: Set sizes that differ by less than a tenth are mostly in one cell.
+CELLS = 10
 #: Links have 100 * intersection >= PERCENT * union.
 PERCENT = 75
 
@@ -209,7 +209,7 @@ def _apart_with_all(members: DataFrame) -> DataFrame:
     components of a key whose sizes allow each other: of such two, at least one
     is outside the key's largest component (apart). A key's members are dealt
     by salt, and those apart go to each salt seen, so a key of any size loads
-    no single task; sizes meet by cells, of which a member has about 60. Two
+    no single task; sizes meet by cells, of which a member has about 6. Two
     that share several of their keys (a key for each band at most) meet in the
     least of these alone."""
     members = members.select("key", "id", "root", "apart", "n", "big", "low", "high", "keys").withColumn("s", salt("id"))
