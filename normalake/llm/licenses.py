@@ -138,17 +138,22 @@ class Index:
         doc = np.searchsorted(first, where, side="right") - 1
         part = first[doc] + (where - first[doc]) // SEGMENT * SEGMENT  # a segment is named by its first word
         # the distinct words of each segment by place; the first CHOSEN of them stay
-        pairs, back = np.unique(np.stack((part, self.place[which])), axis=1, return_inverse=True)
-        new = np.flatnonzero(np.diff(pairs[0], prepend=-1))
-        chosen = (np.arange(pairs.shape[1]) - np.repeat(new, np.diff(new, append=pairs.shape[1])) < CHOSEN)[back.ravel()]
+        pairs, back = np.unique(part * len(self.vocab) + self.place[which], return_inverse=True)
+        new = np.flatnonzero(np.diff(pairs // len(self.vocab), prepend=-1))
+        chosen = (np.arange(len(pairs)) - np.repeat(new, np.diff(new, append=len(pairs))) < CHOSEN)[back]
         where, which, doc = where[chosen], which[chosen], doc[chosen]
         many = self.post_at[which + 1] - self.post_at[which]
         post = np.repeat(self.post_at[which], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
         t, q = self.post_t[post], self.post_q[post]
         place = (np.repeat(where, many) - q) // SLACK
-        votes = np.stack((np.tile(np.repeat(doc, many), 2), np.tile(t, 2), np.concatenate((place, place - 1)), np.tile(q, 2)))
-        found, count = np.unique(np.unique(votes, axis=1)[:3], axis=1, return_counts=True)
-        return [(int(d), int(t), int(b) * SLACK) for d, t, b in found[:, count >= VOTES].T]
+        doc, t, q, place = np.tile(np.repeat(doc, many), 2), np.tile(t, 2), np.tile(q, 2), np.concatenate((place, place - 1))
+        # one number for (text, passage, place, position)
+        low, ts, qs = int(place.min()), len(self.templates), int(q.max()) + 1
+        places = int(place.max()) - low + 1
+        votes = np.unique(((doc * ts + t) * places + place - low) * qs + q)
+        found, count = np.unique(votes // qs, return_counts=True)
+        found = found[count >= VOTES]
+        return [(int(x // places // ts), int(x // places % ts), (int(x % places) + low) * SLACK) for x in found]
 
     def covered(self, h: np.ndarray, lo: int, hi: int, t: int, start: int) -> float:
         """The share of the passage's words that stand in words lo to hi at
