@@ -15,6 +15,9 @@ _MODULES = {
     "op8_license_scan": "licenses",
     "op9_decontamination": "decontaminate",
     "op10_near_dedup": "near_dedup",
+    "op11_fill_in_middle": "fill_in_middle",
+    "op12_collocations": "collocations",
+    # "op13_suffix_dedup": "suffix_dedup",
 }
 
 
