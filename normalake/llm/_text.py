@@ -53,7 +53,7 @@ def classes(kind: str) -> np.ndarray:
 
 
 @Memo
-def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def hash_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     rng = np.random.Generator(np.random.PCG64(20240229))
     values = rng.integers(1, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
     values[65:91] = values[97:123]
@@ -98,7 +98,7 @@ def _cut(member: np.ndarray) -> int:
 
 def hashed_words(data: np.ndarray, kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end (exclusive) in bytes and the hash of each word."""
-    values, power, back = _tables()
+    values, power, back = hash_tables()
     table, n = classes(kind), len(data)
     starts, ends, hashes = [], [], []
     lo, carry = 0, None  # carry: an unfinished word as (start, hash, length)

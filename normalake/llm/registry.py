@@ -17,7 +17,7 @@ _MODULES = {
     "op10_near_dedup": "near_dedup",
     "op11_fill_in_middle": "fill_in_middle",
     "op12_collocations": "collocations",
-    # "op13_suffix_dedup": "suffix_dedup",
+    "op13_suffix_dedup": "suffix_dedup",
 }
 
 
