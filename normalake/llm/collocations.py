@@ -162,9 +162,9 @@ def pair_hashes(one: np.ndarray, other: np.ndarray) -> np.ndarray:
 _ROWS = "lang string, n int, phrase string, f long"
 
 
-def _phrases(docs: DataFrame, step: int, *frequent: Bloom) -> DataFrame:
-    """(lang, n, phrase, f) of phrases with LEAST occurrences, and those of the
-    empty phrase at step 1."""
+def _phrases(docs: DataFrame, least: int, step: int, *frequent: Bloom) -> DataFrame:
+    """(lang, n, phrase, f) of phrases with ``least`` occurrences, and those of
+    the empty phrase at step 1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text", BLOCK):
@@ -175,7 +175,7 @@ def _phrases(docs: DataFrame, step: int, *frequent: Bloom) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * m), pa.array(np.full(m, n, np.int32)), phrases.cast(pa.string()), pa.array(count.astype(np.int64))], names=["lang", "n", "phrase", "f"])
 
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text").mapInArrow(run, _ROWS)
-    return stored(rows.groupBy("lang", "n", "phrase").agg(F.sum("f").alias("f")).where(f"f >= {LEAST} OR n = 0"))
+    return stored(rows.groupBy("lang", "n", "phrase").agg(F.sum("f").alias("f")).where(f"f >= {least} OR n = 0"))
 
 
 def _bloom(phrases: DataFrame, n: int) -> Bloom:
@@ -217,12 +217,12 @@ def scored(counts: DataFrame) -> DataFrame:
     return cuts.groupBy("lang", "phrase", "a", "n").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut")).select("lang", "phrase", "a", "cut.l", "cut.r", "n", "cut.score")
 
 
-def collocations(docs: DataFrame, top: int = TOP) -> DataFrame:
+def collocations(docs: DataFrame, top: int = TOP, least: int = LEAST) -> DataFrame:
     """docs (lang, text) -> lang, rank, phrase, a, l, r, n, score."""
-    words = _phrases(docs, 1)
+    words = _phrases(docs, least, 1)
     one = _bloom(words, 1)
-    pairs = _phrases(docs, 2, one)
-    longer = _phrases(docs, 3, one, _bloom(pairs, 2))
+    pairs = _phrases(docs, least, 2, one)
+    longer = _phrases(docs, least, 3, one, _bloom(pairs, 2))
     counts = words.unionByName(pairs).unionByName(longer)
     # what a phrase of one word more holds as often
     within = longer.select("lang", F.col("f").alias("a"), F.explode(F.expr("array(substring(phrase, instr(phrase, ' ') + 1), substring_index(phrase, ' ', n - 1))")).alias("phrase"))
@@ -240,7 +240,8 @@ SQL = r"""
 WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
--]')) AS piece
+-
+]')) AS piece
   FROM documents),
 w AS (SELECT lang, list_filter(string_split_regex(piece, '[ 	]+'), lambda x: x <> '') AS ws FROM pieces),
 rows_ AS (

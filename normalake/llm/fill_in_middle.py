@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from normalake.llm._skew import unclashed
 from normalake.llm._text import Memo, joined, small_batches
 from normalake.sources.tables import stored
 
@@ -156,30 +157,31 @@ def _bytes(texts: pa.Array) -> list[bytes]:
 
 def fill_in_middle(docs: DataFrame, seed: int = 1, chunk: int = CHUNK, giant: int = GIANT) -> DataFrame:
     """All columns of docs (doc_id, text, ...), then those of COLUMNS."""
-    more = StructType.fromDDL(COLUMNS)
-    docs = docs.select(*[c for c in docs.columns if c not in more.names])
-    keep, schema = docs.columns, StructType([*docs.schema.fields, *more.fields])
-    length = F.coalesce(F.octet_length("text"), F.lit(0))
+    docs = docs.drop(*[c for c in docs.columns if c in _KINDS])
+    own, of = unclashed(docs)
+    keep, text = list(of.values()), of["text"]
+    schema = StructType([*own.schema.fields, *StructType.fromDDL(COLUMNS).fields])
+    length = F.coalesce(F.octet_length(text), F.lit(0))
 
     def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text"):
-            texts, ids = batch.column("text"), batch.column("_id").to_pylist()
+        for batch in small_batches(batches, text):
+            texts, ids = batch.column(text), batch.column("_id").to_pylist()
             yield _out(batch, keep, [(n, *arranged(t, lo, hi, rolls)) for t, (n, lo, hi, rolls) in zip(_bytes(texts), cuts(texts, ids, seed, chunk))])
 
-    own = docs.withColumn("_id", F.col("doc_id").cast("long"))
+    own = own.withColumn("_id", F.col(of["doc_id"]).cast("long"))
     some = own.where(length <= giant).mapInArrow(small, schema)
-    return some.union(_giants(own.where(length > giant), keep, schema, seed, chunk))
+    return some.union(_giants(own.where(length > giant), keep, text, schema, seed, chunk)).toDF(*docs.columns, *_KINDS)
 
 
-def _giants(docs: DataFrame, keep: list[str], schema: StructType, seed: int, chunk: int) -> DataFrame:
+def _giants(docs: DataFrame, keep: list[str], text: str, schema: StructType, seed: int, chunk: int) -> DataFrame:
     """The same of documents whose chunks are spread over all tasks. Texts and
     ids that repeat have their chunks once."""
-    docs = docs.withColumn("_sha", F.sha2("text", 256))
+    docs = docs.withColumn("_sha", F.sha2(text, 256))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text"):
-            for doc_id, sha, text in zip(batch.column("_id"), batch.column("_sha"), batch.column("text")):
-                whole = text.cast(pa.large_binary()).as_buffer()
+        for batch in small_batches(batches, "_text"):
+            for doc_id, sha, value in zip(batch.column("_id"), batch.column("_sha"), batch.column("_text")):
+                whole = value.cast(pa.large_binary()).as_buffer()
                 for c, lo in enumerate(range(0, len(whole), chunk)):
                     yield pa.RecordBatch.from_pylist([{"_id": doc_id.as_py(), "_sha": sha.as_py(), "c": c, "part": whole[lo : lo + chunk].to_pybytes()}], schema=pa.schema([("_id", pa.int64()), ("_sha", pa.string()), ("c", pa.int64()), ("part", pa.binary())]))
 
@@ -212,12 +214,12 @@ def _giants(docs: DataFrame, keep: list[str], schema: StructType, seed: int, chu
             yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in keys), pa.array(at, pa.int64())], names=[*keys, "at"])
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, text):
             more = zip(*(batch.column(x).to_pylist() for x in ("n", "lo", "hi", "roll", "order")))
-            yield _out(batch, keep, [(n, *arranged(t, lo, hi, (roll, order))) for t, (n, lo, hi, roll, order) in zip(_bytes(batch.column("text")), more)])
+            yield _out(batch, keep, [(n, *arranged(t, lo, hi, (roll, order))) for t, (n, lo, hi, roll, order) in zip(_bytes(batch.column(text)), more)])
 
     key = "_id long, _sha string"
-    parts = docs.select("_id", "_sha", "text").mapInArrow(split, f"{key}, c long, part binary")
+    parts = docs.select("_id", "_sha", F.col(text).alias("_text")).mapInArrow(split, f"{key}, c long, part binary")
     parts = stored(parts.repartition("_id", "_sha", "c"))
     found = parts.mapInArrow(summed, f"{key}, c long, summary array<long>, size long")
     picked = found.groupBy("_id", "_sha").applyInPandas(chosen, f"{key}, c long, which int, state int, nth long, n long, roll int, order int")
@@ -225,7 +227,7 @@ def _giants(docs: DataFrame, keep: list[str], schema: StructType, seed: int, chu
     met = parts.dropDuplicates(["_id", "_sha", "c"]).alias("p").join(picked.alias("q"), same & (F.col("p.c") == F.col("q.c")))
     at = met.select("p._id", "p._sha", "p.c", "part", "which", "state", "nth", "n", "roll", "order").mapInArrow(placed, f"{key}, which int, n long, roll int, order int, at long")
     at = at.groupBy("_id", "_sha", "n", "roll", "order").agg(F.min("at").alias("lo"), F.max("at").alias("hi"))
-    own = docs.alias("p").join(at.alias("q"), same).select(*(F.col(f"p.`{c}`") for c in keep), "n", "lo", "hi", "roll", "order")
+    own = docs.alias("p").join(at.alias("q"), same).select(*(f"p.{c}" for c in keep), "n", "lo", "hi", "roll", "order")
     return own.mapInArrow(put, schema)
 
 

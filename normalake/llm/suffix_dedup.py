@@ -372,34 +372,33 @@ ADDED = [StructField("removed", _RANGES), StructField("kept", BinaryType())]
 def suffix_dedup(docs: DataFrame) -> DataFrame:
     """All columns of docs (doc_id, text, ...), then removed (the ranges of
     bytes that go) and kept (the other bytes)."""
-    docs = docs.select(*[c for c in docs.columns if c not in ("removed", "kept")])
-    names = docs.columns
+    docs = docs.drop("removed", "kept")
     own, of = unclashed(docs)
-    own = own.withColumn("o", F.coalesce(F.col(of["doc_id"]).cast("long"), F.lit((1 << 63) - 1)))
-    own = own.withColumn("text", F.coalesce(F.col(of["text"]), F.lit(""))).withColumn("t", F.xxhash64("text"))
-    goes = removed(own.where(F.octet_length("text") >= WINDOW).select("o", "t", "text"))
+    text = of["text"]
+    own = own.withColumn("o", F.coalesce(F.col(of["doc_id"]).cast("long"), F.lit((1 << 63) - 1))).withColumn("t", F.xxhash64(F.coalesce(text, F.lit(""))))
+    goes = removed(own.where(F.octet_length(text) >= WINDOW).select("o", "t", F.col(text).alias("text")))
     goes = stored(goes.groupBy("o", "t").agg(F.collect_set(F.struct("lo", "hi")).alias("goes")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, text):
             ranges, kept = [], []
-            for text, found in zip(batch.column("text").cast(pa.large_binary()).to_pylist(), batch.column("goes")):
-                spans, left, at = [], [], 0
+            for raw, found in zip(batch.column(text).cast(pa.large_binary()).to_pylist(), batch.column("goes")):
+                raw, spans, left, at = raw or b"", [], [], 0
                 if found.is_valid and len(found.values):
                     lo, hi = (found.values.field(k).to_numpy() for k in (0, 1))
                     _, lo, hi = merged(np.zeros(len(lo), np.int64), lo, hi)
                     spans = [{"lo": a, "hi": b} for a, b in zip(lo.tolist(), hi.tolist())]
                 for span in spans:
-                    left.append(text[at : span["lo"]])
+                    left.append(raw[at : span["lo"]])
                     at = span["hi"]
                 ranges.append(spans)
-                kept.append(b"".join([*left, text[at:]]))
+                kept.append(b"".join([*left, raw[at:]]))
             kind = pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in of.values()), pa.array(ranges, kind), pa.array(kept, pa.binary())], names=[*of.values(), "removed", "kept"])
 
-    joined_ = own.join(goes.hint("shuffle_hash"), ["o", "t"], "left")
-    schema = StructType([*(StructField(of[f.name], f.dataType) for f in docs.schema.fields), *ADDED])
-    return joined_.select(*of.values(), "text", "goes").mapInArrow(cut, schema).toDF(*names, "removed", "kept")
+    schema = StructType([*(own.schema[c] for c in of.values()), *ADDED])
+    dealt = own.join(goes.hint("shuffle_hash"), ["o", "t"], "left").select(*of.values(), "goes")
+    return dealt.mapInArrow(cut, schema).toDF(*docs.columns, "removed", "kept")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
