@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Lets Spark delete the shuffle files of a query when it has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _local: dict[str, str] = {}
 _views: dict[tuple, DataFrame] = {}
 
@@ -34,10 +36,16 @@ def _path(spark: SparkSession, path: str):
 def stored(df: DataFrame) -> DataFrame:
     """The same rows, written as Parquet to the shared folder and read from
     there: a step that is run again starts at the files. The files go when the
-    application ends, or before by dropped()."""
+    application ends, or before by dropped(); the shuffle files of the step go
+    as soon as the table is written."""
     spark = df.sparkSession
     where = f"{shared_folder(spark)}/normalake-{uuid.uuid4().hex}"
-    df.write.parquet(where)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(where)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     path, fs = _path(spark, where)
     fs.deleteOnExit(path)
     out = spark.read.schema(df.schema).parquet(where)
