@@ -213,7 +213,7 @@ def scored(counts: DataFrame) -> DataFrame:
     whole = counts.where("n = 0").select("lang", F.col("f").alias("n"))
     big = lambda x: f"CAST({x} AS DECIMAL(38, 0))"
     score = F.expr(f"(CAST(1000 * {big('a')} * {big('n')} AS DECIMAL(38, 0))) div {big('l')} div {big('r')}")
-    cuts = cuts.join(whole, "lang").withColumn("score", score)
+    cuts = attached(cuts, "lang", "phrase", whole).withColumn("score", score)
     return cuts.groupBy("lang", "phrase", "a", "n").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut")).select("lang", "phrase", "a", "cut.l", "cut.r", "n", "cut.score")
 
 
