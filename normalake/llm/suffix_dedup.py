@@ -52,6 +52,8 @@ MOST = 32
 #: Texts, and characters of each, that show very common anchors; contexts of one anchor among them that make it so.
 SAMPLED, SAMPLED_CHARS, COMMON = 1024, 20_000, 8
 BLOCK, AT_ONCE = 1 << 18, 16
+#: Contexts whose suffixes are sorted at a time.
+SORTED = 2048
 _U = np.uint64
 _LOW = _U((1 << 20) - 1)
 
@@ -206,6 +208,7 @@ def _met(rows: DataFrame, *same: str) -> DataFrame:
     """rows (goes, key, o, meta, ...), contexts equal if they are in the
     columns: with how many different ones their key has (many), whether a row
     stands for its context (best), and whether it goes."""
+    rows = rows.repartition("goes", "key")  # serves both windows
     key = Window.partitionBy("goes", "key")
     each = Window.partitionBy("goes", "key", *same).orderBy("o", F.expr(_START))
     rows = rows.withColumn("best", F.row_number().over(each) == 1)
@@ -312,6 +315,7 @@ def _sorted_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Contexts in the order of their keys -> the ranges that go. A key's
     contexts may continue in the next batch."""
     rest: list[pa.RecordBatch] = []
+    batches = (whole.slice(k, SORTED) for whole in batches for k in range(0, whole.num_rows, SORTED))
 
     def done(rows: pa.Table) -> pa.RecordBatch:
         key, o, t, meta = (rows.column(c).to_numpy() for c in ("key", "o", "t", "meta"))
