@@ -1,15 +1,18 @@
 """License scans by a positional index of rare words.
 
-Method: every word of the licence passages (TEMPLATES) is indexed with its
-postings (passage, position).  In each SEGMENT words of a file its CHOSEN licence
-words of highest inverse document frequency over all documents are looked up;
-each posting votes for the place at which the passage would start.  Places that
-differ by less than SLACK agree, so words put in or left out do not part the
-votes.  A place with VOTES passage positions is a candidate.  It is accepted if
-COVER of the passage's words stand there, each within the slack, and one of its
+Method: the licence passages (TEMPLATES) are indexed by their rarest positions,
+those of highest inverse document frequency over all documents, with their
+postings (passage, position).  Each licence word of a file votes for the places
+at which its passages would start.  Places that differ by less than SLACK agree,
+so words put in or left out do not part the votes.  A passage is accepted at a
+place if COVER of its words stand there, each within the slack, and each of its
 mandatory key phrases stands there word for word.  The score is the largest
 accepted share of words.
 
+Two filters lose nothing.  Key phrases are found first, and only passages whose
+phrases a text has are looked up in it.  Of a passage's rarest positions so many
+are indexed that any place with COVER of all its words has VOTES of these.
+
 Base places (a phrase's words standing consecutively) are found on the same
 word hashes; their labels stay, with score 1.
 
@@ -34,9 +37,11 @@ from pyspark.sql.types import StructType
 
 from normalake.llm._text import hash_of, hashed_words, joined, small_batches, word_ranges
 
-SEGMENT, CHOSEN, SLACK, VOTES, COVER = 256, 32, 4, 3, 0.7
+SLACK, VOTES, COVER = 4, 3, 0.7
+#: Passages that a table may give.
+MOST_TEMPLATES = 10_000
 PHRASES = (("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit"))
-#: label, passage of the licence or of its usual notice, mandatory key phrases (one of them must stand there)
+#: label, passage of the licence or of its usual notice, mandatory key phrases (all must stand there)
 TEMPLATES = (
     ("apache", "Licensed under the Apache License, Version 2.0", ("apache license",)),
     ("apache", "you may not use this file except in compliance with the License. You may obtain a copy of the License at http www apache org licenses LICENSE 2.0", ("except in compliance with the license", "apache org licenses")),
@@ -59,8 +64,11 @@ TEMPLATES = (
     ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.", ("with or without fee is hereby granted", "distribute this software for any purpose")),
     ("zlib", "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions", ("to alter it and redistribute it freely",)),
     ("unlicense", "This is free and unencumbered software released into the public domain", ("free and unencumbered software",)),
-    ("cc-by", "Licensed under CC BY 4.0", ("cc by 4 0", "cc by 3 0", "cc by 2 0")),
-    ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License", ("creative commons attribution 4 0", "creative commons attribution 3 0")),
+    ("cc-by", "Licensed under CC BY 4.0", ("cc by 4 0",)),
+    ("cc-by", "Licensed under CC BY 3.0", ("cc by 3 0",)),
+    ("cc-by", "Licensed under CC BY 2.0", ("cc by 2 0",)),
+    ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License", ("creative commons attribution 4 0",)),
+    ("cc-by", "This work is licensed under a Creative Commons Attribution 3.0 Unported License", ("creative commons attribution 3 0",)),
     ("cc-by-nc", "Licensed under CC BY-NC 4.0", ("cc by nc",)),
     ("cc-by-sa", "Licensed under CC BY-SA 4.0", ("cc by sa",)),
     ("cc-by-sa", "This work is licensed under a Creative Commons Attribution ShareAlike 4.0 International License", ("creative commons attribution sharealike",)),
@@ -122,46 +130,90 @@ class Index:
         self.place = np.empty(len(self.vocab), np.int64)
         self.place[np.argsort(-idf, kind="stable")] = np.arange(len(self.vocab))
         number = {w: k for k, w in enumerate(self.vocab)}
-        self.templates = [(label, hash_of(words(text)), [hash_of(words(k)) for k in keys]) for label, text, keys in templates]
-        posted = sorted((number[w], t, q) for t, (_, text, _) in enumerate(templates) for q, w in enumerate(words(text)))
+        self.templates, self.needed, posted = [], [], []
+        keys: dict[str, int] = {}
+        for t, (label, text, phrases_of) in enumerate(templates):
+            own = words(text)
+            self.templates.append((label, hash_of(own), [keys.setdefault(" ".join(words(k)), len(keys)) for k in phrases_of]))
+            # of any COVER of the positions, VOTES are among these
+            need = max(VOTES, math.ceil(COVER * len(own) - 1e-9))
+            rare = sorted(range(len(own)), key=lambda q: (self.place[number[own[q]]], q))[: len(own) - need + VOTES]
+            self.needed.append(need)
+            posted += [(number[own[q]], t, q) for q in rare]
+        posted.sort()
+        self.keys = [hash_of(k.split(" ")) for k in keys]
         self.post_t, self.post_q = np.array([t for _, t, _ in posted], np.int64), np.array([q for _, _, q in posted], np.int64)
         self.post_at = np.searchsorted(np.array([w for w, _, _ in posted], np.int64), np.arange(len(self.vocab) + 1))
         self.lookup = _Lookup(self.vocab)
         self.phrases = [(hash_of(words(p)), label) for p, label in phrases]
 
-    def candidates(self, h: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int]]:
-        """(text, passage, place) with VOTES positions of the passage that agree
-        on a place from there to SLACK words on."""
-        where, which = self.lookup(h)
-        if not len(where):
-            return []
-        doc = np.searchsorted(first, where, side="right") - 1
-        part = first[doc] + (where - first[doc]) // SEGMENT * SEGMENT  # a segment is named by its first word
-        # the distinct words of each segment by place; the first CHOSEN of them stay
-        pairs, back = np.unique(part * len(self.vocab) + self.place[which], return_inverse=True)
-        new = np.flatnonzero(np.diff(pairs // len(self.vocab), prepend=-1))
-        chosen = (np.arange(len(pairs)) - np.repeat(new, np.diff(new, append=len(pairs))) < CHOSEN)[back]
-        where, which, doc = where[chosen], which[chosen], doc[chosen]
+    def possible(self, h: np.ndarray, first: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+        """Where each key phrase stands, and whether text d has all those of
+        passage t: (texts, passages)."""
+        places, n = [], len(first) - 1
+        there = np.zeros((n, len(self.keys)), bool)
+        for k, phrase in enumerate(self.keys):
+            at = _standing(h, phrase)
+            doc = np.searchsorted(first, at, side="right") - 1
+            inside = at + len(phrase) <= first[doc + 1]
+            places.append(at[inside])
+            there[doc[inside], k] = True
+        return places, np.stack([there[:, keys].all(1) for _, _, keys in self.templates], 1)
+
+    def candidates(self, h: np.ndarray, first: np.ndarray, possible: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Text, passage and place where VOTES of the passage's rarest
+        positions agree on a place from there to SLACK words on."""
+        texts = np.flatnonzero(possible.any(1))
+        part, at = _within(first, texts)
+        where, which = self.lookup(h[at]) if len(at) else (at, at)
+        doc, where = part[where], at[where]
         many = self.post_at[which + 1] - self.post_at[which]
         post = np.repeat(self.post_at[which], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        t, q = self.post_t[post], self.post_q[post]
-        place = (np.repeat(where, many) - q) // SLACK
-        doc, t, q, place = np.tile(np.repeat(doc, many), 2), np.tile(t, 2), np.tile(q, 2), np.concatenate((place, place - 1))
+        doc, t, q, place = np.repeat(doc, many), self.post_t[post], self.post_q[post], (np.repeat(where, many) - self.post_q[post]) // SLACK
+        ok = possible[doc, t]
+        doc, t, q, place = (x[ok] for x in (doc, t, q, place))
+        if not len(doc):
+            return doc, t, place
+        doc, t, q, place = np.tile(doc, 2), np.tile(t, 2), np.tile(q, 2), np.concatenate((place, place - 1))
         # one number for (text, passage, place, position)
         low, ts, qs = int(place.min()), len(self.templates), int(q.max()) + 1
-        places = int(place.max()) - low + 1
-        votes = np.unique(((doc * ts + t) * places + place - low) * qs + q)
+        span = int(place.max()) - low + 1
+        votes = np.unique(((doc * ts + t) * span + place - low) * qs + q)
         found, count = np.unique(votes // qs, return_counts=True)
         found = found[count >= VOTES]
-        return [(int(x // places // ts), int(x // places % ts), (int(x % places) + low) * SLACK) for x in found]
-
-    def covered(self, h: np.ndarray, lo: int, hi: int, t: int, start: int) -> float:
-        """The share of the passage's words that stand in words lo to hi at
-        their place from start, within twice the slack."""
-        own = self.templates[t][1]
-        at = start + np.arange(len(own))[:, None] + np.arange(2 * SLACK)
-        inside = (at >= lo) & (at < hi)
-        return float((inside & (h[np.clip(at, 0, len(h) - 1)] == own[:, None])).any(1).mean())
+        return found // span // ts, found // span % ts, (found % span + low) * SLACK
+
+    def accepted(self, h: np.ndarray, first: np.ndarray) -> list[tuple[int, str, float]]:
+        """(text, label, share) of the passages that are there."""
+        places, possible = self.possible(h, first)
+        out = []
+        doc, which, start = self.candidates(h, first, possible) if possible.any() else (np.zeros(0, np.int64),) * 3
+        for t in np.unique(which):
+            label, own, keys = self.templates[t]
+            at = np.flatnonzero(which == t)
+            d, begin = doc[at], start[at]
+            lo, hi = np.maximum(begin, first[d]), np.minimum(begin + len(own) + 2 * SLACK, first[d + 1])
+            ok = np.ones(len(at), bool)
+            for k in keys:  # the first of its places from lo on must end by hi
+                next_ = np.searchsorted(places[k], lo)
+                ok &= next_ < len(places[k])
+                ok[ok] = places[k][next_[ok]] + len(self.keys[k]) <= hi[ok]
+            d, begin = d[ok], begin[ok]
+            for part in range(0, len(d), 1 << 12):
+                e, b = d[part : part + (1 << 12)], begin[part : part + (1 << 12)]
+                share = self.covered(h, first[e], first[e + 1], t, b)
+                out += [(int(x), label, float(y)) for x, y in zip(e[share >= self.needed[t]], share[share >= self.needed[t]] / len(own))]
+        return out
+
+    def covered(self, h: np.ndarray, lo: np.ndarray, hi: np.ndarray, t: int, start: np.ndarray) -> np.ndarray:
+        """How many of the passage's words stand in words lo to hi at their
+        place from start, within twice the slack: for many places at once."""
+        own, found = self.templates[t][1], np.zeros(len(start), np.int64)
+        for q, word in enumerate(own):
+            at = start[:, None] + q + np.arange(2 * SLACK)
+            inside = (at >= lo[:, None]) & (at < hi[:, None])
+            found += (inside & (h[np.clip(at, 0, len(h) - 1)] == word)).any(1)
+        return found
 
     def scan(self, texts: pa.Array) -> list[list]:
         """Columns: n_words, n_base, first_word, last_word, base_labels, labels, score."""
@@ -178,18 +230,20 @@ class Index:
                     places[d].append(int(i - first[d]))
                     base[d].add(label)
         labels, score = [set(x) for x in base], [1.0 if x else 0.0 for x in base]
-        for d, t, start in self.candidates(h, first):
-            label, own, keys = self.templates[t]
-            share = self.covered(h, int(first[d]), int(first[d + 1]), t, start)
-            if share >= COVER:
-                lo, hi = max(start, first[d]), min(start + len(own) + 2 * SLACK, first[d + 1])
-                if any(len(_standing(h[lo:hi], k)) for k in keys):
-                    labels[d].add(label)
-                    score[d] = max(score[d], share)
+        for d, label, share in self.accepted(h, first):
+            labels[d].add(label)
+            score[d] = max(score[d], share)
         line = lambda x: ",".join(sorted(x))
         return [np.diff(first).tolist(), [len(p) for p in places], [min(p) if p else None for p in places], [max(p) if p else None for p in places], [line(x) for x in base], [line(x) for x in labels], score]
 
 
+def _within(first: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words of some texts: which text, which word."""
+    many = first[texts + 1] - first[texts]
+    nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+    return np.repeat(texts, many), np.repeat(first[texts], many) + nth
+
+
 def _standing(h: np.ndarray, phrase: np.ndarray) -> np.ndarray:
     m = len(h) - len(phrase) + 1
     if m <= 0:
@@ -203,6 +257,16 @@ def _standing(h: np.ndarray, phrase: np.ndarray) -> np.ndarray:
 COLUMNS = "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
 
 
+def templates_of(table: DataFrame) -> tuple[tuple[str, str, tuple[str, ...]], ...]:
+    """Passages of a table (label, passage, keys array<string>), in the form of
+    TEMPLATES. More than MOST_TEMPLATES rows, or a row without label, passage
+    or key phrase, is an error."""
+    rows = table.select("label", "passage", "keys").limit(MOST_TEMPLATES + 1).collect()
+    if len(rows) > MOST_TEMPLATES or any(not (r.label and words(r.passage or "") and r.keys and all(words(k or "") for k in r.keys)) for r in rows):
+        raise ValueError(f"up to {MOST_TEMPLATES} rows, each with a label, a passage and key phrases")
+    return tuple(sorted((r.label, r.passage, tuple(r.keys)) for r in rows))
+
+
 def license_scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES) -> DataFrame:
     """All columns of docs, then those of COLUMNS."""
     more = StructType.fromDDL(COLUMNS)

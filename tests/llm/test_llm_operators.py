@@ -455,11 +455,30 @@ def brute_labels(text):
             near = lambda q: w[max(0, start + q) : max(0, start + q + 2 * licenses.SLACK)]  # noqa: E731, B023
             hits = sum(x in near(q) for q, x in enumerate(own))
             region = " " + " ".join(w[max(0, start) : max(0, start + len(own) + 2 * licenses.SLACK)]) + " "
-            if hits >= licenses.VOTES and hits >= licenses.COVER * len(own) and any(" " + " ".join(licenses.words(k)) + " " in region for k in keys):
+            if hits >= licenses.VOTES and hits >= licenses.COVER * len(own) - 1e-9 and all(" " + " ".join(licenses.words(k)) + " " in region for k in keys):
                 found.add(label)
     return found | {label for p, label in licenses.PHRASES if " " + p + " " in " " + " ".join(w) + " "}
 
 
+def test_license_passages_from_a_table_in_crowded_text(spark):
+    """Thousands of licence words crowd around: none is left out, and every
+    key phrase is mandatory."""
+    table = spark.createDataFrame([("own", "you may hum the tune but you must not sell the tune to a third person", ["hum the tune", "sell the tune"])], "label string, passage string, keys array<string>")
+    found = licenses.templates_of(table)
+    assert found == (("own", "you may hum the tune but you must not sell the tune to a third person", ("hum the tune", "sell the tune")),)
+    rng = random.Random(6)
+    vocab = licenses.vocabulary(found)
+    noise = lambda n: " ".join(rng.choice(vocab) for _ in range(n))
+    texts = [f"{noise(4000)} {found[0][1]} {noise(4000)}", found[0][1].replace("sell the tune", "sell a tune"), noise(300)]
+    got = [r.labels for r in licenses.license_scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), found).orderBy("doc_id").collect()]
+    assert got == ["own", "", ""]
+    for bad in ([(None, "x", ["x"])], [("a", ".", ["x"])], [("a", "x", [])], [("a", "x", ["."])]):
+        with pytest.raises(ValueError):
+            licenses.templates_of(spark.createDataFrame(bad, table.schema))
+    apache = licenses.TEMPLATES[1][1].replace("except in compliance with the License", "except in compliance with that text")
+    assert licenses.license_scan(spark.createDataFrame([(1, apache)], "doc_id long, text string")).first().labels == ""
+
+
 def test_licenses_with_words_put_in_or_left_out(spark):
     """Every passage, whole and changed a little, in other text; against brute
     force, and without labels where there is no licence."""
@@ -648,3 +667,21 @@ def test_sql_of_the_queries(spark, name):
     assert sorted(columns) == sorted(got.columns)
     rows = got.select(*columns).collect()
     assert rows and Counter(map(tuple, rows)) == Counter(found.fetchall())
+
+
+def test_samples_lose_no_label(spark):
+    """Many labels, and labels whose first texts are long."""
+    from normalake.llm._sample import labelled_sample
+
+    many = spark.range(6000).selectExpr("id AS doc_id", "concat('l', id % 5000) AS lang", "repeat('ab ', 3000) AS text")
+    got = labelled_sample(many, "lang", 900, 20_000, 6_000_000)
+    assert len({r.label for r in got}) == 5000 == len(got)
+    mixed = spark.range(400).selectExpr("id AS doc_id", "concat('l', id % 4) AS lang", "repeat('x', int(CASE WHEN id % 4 = 0 THEN 19000 WHEN id % 3 = 0 THEN 15000 ELSE 10 END)) AS text").union(spark.createDataFrame([(None, "rare", "one text"), (9999, "rare", None), (9998, None, "no label")], "doc_id long, lang string, text string"))
+    got = labelled_sample(mixed, "lang", 50, 20_000, 60_000)
+    share = 60_000 // 5
+    by = {label: [len(r.text) for r in got if r.label == label] for label in ("l0", "l1", "l2", "l3", "rare")}
+    assert by["l0"] == [19000] and by["rare"] == [8] and all(len(by[x]) >= 20 and sum(by[x]) <= share for x in ("l1", "l2", "l3"))
+    assert labelled_sample(mixed.repartition(7), "lang", 50, 20_000, 60_000) == got
+    assert labelled_sample(mixed.limit(0), "lang", 50, 20_000, 60_000) == []
+    five = spark.range(3000).selectExpr("id AS doc_id", "concat('l', id % 500) AS lang", "repeat(concat(char(97 + id % 20), char(98 + id % 23), ' '), 5000) AS text")
+    assert langid.fit(five) is not None
