@@ -46,6 +46,8 @@ from normalake.sources.tables import dropped, stored
 WORDS, BANDS, ROWS = 5, 64, 6
 PERMUTATIONS = BANDS * ROWS // 2
 RARE = 16
+#: Members of a key that meet each other in one task.
+TOGETHER = 4096
 #: Set sizes that differ by less than a tenth are mostly in one cell.
 CELLS = 10
 #: Links have 100 * intersection >= PERCENT * union.
@@ -207,15 +209,18 @@ _PAIR = ["least(id_u, id_v) AS u", "greatest(id_u, id_v) AS v"]
 def _apart_with_all(members: DataFrame) -> DataFrame:
     """Pairs (u, v) of members (key, id, root, apart, ...) in different
     components of a key whose sizes allow each other: of such two, at least one
-    is outside the key's largest component (apart). A key's members are dealt
-    by salt, and those apart go to each salt seen, so a key of any size loads
-    no single task; sizes meet by cells, of which a member has about 6. Two
-    that share several of their keys (a key for each band at most) meet in the
-    least of these alone."""
-    members = members.select("key", "id", "root", "apart", "n", "big", "low", "high", "keys").withColumn("s", salt("id"))
-    one, other = _sides(members, "key", "s")
-    salts = members.groupBy("key").agg(salts_seen("s").alias("seen"))
-    one = per_salt(attached(one.where("apart_u").drop("s"), "key", "id_u", salts), "seen", "s")
+    is outside the key's largest component (apart). A key of more than TOGETHER
+    members is dealt to as many tasks as it needs, 64 at most, and those apart
+    go to each, so a key of any size loads no single task and one of usual size
+    is not copied; sizes meet by cells, of which a member has about 6. Two that
+    share several of their keys (a key for each band at most) meet in the least
+    of these alone."""
+    members = members.select("key", "id", "root", "apart", "n", "big", "low", "high", "keys")
+    tasks = members.groupBy("key").agg(F.expr(f"CAST(least(64, pow(2, ceil(log2(greatest(1, count(*) / {TOGETHER}))))) AS INT)").alias("tasks"))
+    members = attached(members, "key", "id", tasks).withColumn("s", F.col("tasks") - 1)
+    one, other = _sides(members.drop("tasks"), "key", "s")
+    other = other.withColumn("s", salt("id_v").bitwiseAND(F.col("s")))
+    one = one.where("apart_u").withColumn("s", F.explode(F.expr("sequence(0, s)")))
     cell = lambda n: f"CAST(floor(ln({n}) * {CELLS}) AS INT)"
     one = one.withColumn("cell", F.explode(F.expr(f"sequence({cell('low_u')}, {cell('high_u')})")))
     other = other.withColumn("cell", F.explode(F.expr(f"sequence({cell('n_v')}, {cell('big_v')})")))
