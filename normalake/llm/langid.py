@@ -10,7 +10,8 @@ precomputed logit row for each gram.
 
 Learns from text and lang only, of rows with a lang and crc32(doc_id as text)
 mod 4 other than 2: of each lang up to EACH rows of smallest hash, together up
-to MOST_CHARS characters, so that a rare language is learned as well.  Texts
+to MOST_CHARS characters (or one text of each lang, if these are more), so that
+a rare language is learned as well.  Texts
 over LONGEST characters are left out of training (never of prediction).
 Prediction reads the whole text and nothing else.
 
