@@ -28,6 +28,14 @@ def shared_folder(spark: SparkSession) -> str:
     return _local[app]
 
 
+def unique_folder(spark: SparkSession, name: str) -> str:
+    """A new folder there, gone when the application ends."""
+    where = f"{shared_folder(spark)}/normalake-{name}-{uuid.uuid4().hex}"
+    path, fs = _path(spark, where)
+    fs.deleteOnExit(path)
+    return where
+
+
 def _path(spark: SparkSession, path: str):
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
