@@ -28,8 +28,9 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     body = F.sha2(F.translate(text, exact_dedup.WHITE, ""), 256)
     same = F.col(of["doc_id"]).cast("long").eqNullSafe(F.col("_id")) & (F.char_length(text) == F.col("_n")) & (body == F.col("_sha"))
     alone = own.join(found.hint("shuffle_hash"), same, "left_anti")
-    # of rows that repeat both doc_id and text, the least by all columns stays
-    many = own.join(found.where("_best").hint("shuffle_hash"), same).groupBy("_id", "_n", "_sha").agg(F.min(F.struct(*of.values())).alias("r")).select("r.*")
+    # of rows that repeat both doc_id and text, the least by all columns stays (as JSON, as maps have no order)
+    row = F.struct(*of.values())
+    many = own.join(found.where("_best").hint("shuffle_hash"), same).groupBy("_id", "_n", "_sha").agg(F.min_by(row, F.to_json(row)).alias("r")).select("r.*")
     return alone.union(many).toDF(*docs.columns) if found.where("_best").take(1) else alone.toDF(*docs.columns)
 
 

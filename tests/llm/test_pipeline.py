@@ -79,3 +79,9 @@ def test_stages_of_awkward_tables(spark, corpus, tmp_path):
         docs = spark.read.parquet(str(tmp_path / stage.__name__))
     assert {r.doc_id for r in docs.collect()} - {None} == {2, 3}
     assert {r.doc_id for r in corpus_pipeline.packed(spark, docs, bare).collect()} - {None} == {2, 3}
+
+
+def test_exact_stage_takes_columns_that_have_no_order(spark):
+    docs = spark.createDataFrame([(1, "same text", {"a": 1}), (1, "same text", {"b": 2}), (2, "same text", {"c": 3}), (3, "other", None)], "doc_id long, text string, info map<string, int>")
+    got = corpus_pipeline.exact(spark, docs, "").collect()
+    assert sorted(r.doc_id for r in got) == [1, 3] and docs.schema == corpus_pipeline.exact(spark, docs, "").schema
