@@ -16,7 +16,7 @@ TITLE_KINDS = (
 )
 FILE_PREFIXES = {"PORT": "portaria", "RES": "resolucao", "DEC": "decreto", "LC": "lc", "EC": "ec", "DL": "decreto-lei", "L": "lei", "D": "decreto"}
 NOT_IDENTIFYING = ("coddoc", "documento", "fallback", "seq")
-ENDINGS = {"_djvu.txt": "pdf"}
+ENDINGS = {"_djvu.txt": "pdf", ".pdf": "pdf", ".html": "html", ".docx": "docx"}
 
 
 def _first(pattern: str, c: Column, group: int = 1) -> Column:
@@ -40,21 +40,24 @@ def title_identity(title: Column) -> Column:
 
 
 def file_identity(name: Column) -> Column:
-    """struct(tipo, chave) from a file name such as L5120.pdf, or null."""
+    """struct(tipo, chave) from a file name such as L5120.pdf, or null, also
+    for a number beyond a long."""
     stem = F.upper(strip(F.regexp_replace(name, r"\.[^.]*$", "")))
     pattern = r"^(PORT|RES|DEC|LC|EC|DL|L|D)(\d+)$"
     # a longer prefix that fits decides, whether digits follow or not
     kind = _mapped(_first(pattern, stem), FILE_PREFIXES)
-    number = _first(pattern, stem, 2).cast("bigint")
-    return F.when(kind.isNotNull(), F.struct(kind.alias("tipo"), F.concat(kind, F.lit("-"), F.format_string("%05d", number)).alias("chave")))
+    number = _first(pattern, stem, 2).try_cast("bigint")
+    return F.when(kind.isNotNull() & number.isNotNull(), F.struct(kind.alias("tipo"), F.concat(kind, F.lit("-"), F.format_string("%05d", number)).alias("chave")))
 
 
 def key_identity(key: Column) -> Column:
-    """struct(tipo, numero) from a key such as lei-05120, or null."""
+    """struct(tipo, numero) from a key such as lei-05120, or null, also for a
+    number beyond a long."""
     k = F.lower(strip(key))
     pattern = r"^([a-z][a-z0-9-]*)-(\d+)$"
     ok = k.rlike(pattern) & ~F.element_at(F.split(k, "-"), 1).isin(*NOT_IDENTIFYING)
-    return F.when(ok, F.struct(F.regexp_extract(k, pattern, 1).alias("tipo"), F.regexp_extract(k, pattern, 2).cast("bigint").alias("numero")))
+    number = F.regexp_extract(k, pattern, 2).try_cast("bigint")
+    return F.when(ok & number.isNotNull(), F.struct(F.regexp_extract(k, pattern, 1).alias("tipo"), number.alias("numero")))
 
 
 def raw_id_parts(raw_id: Column, slugs: list[str], prefix: str = "raw") -> Column:

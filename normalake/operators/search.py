@@ -32,7 +32,7 @@ def predicates(term: str = "", ente: str | None = None, kinds=None, year: int |
 
 def valid_year(given: str) -> int | None:
     """A year from 1900 to 2099, else None, which filters nothing."""
-    return int(given) if given.isdigit() and 1900 <= int(given) <= 2099 else None
+    return int(given) if given.isdecimal() and 1900 <= int(given[:9]) <= 2099 and len(given) < 10 else None
 
 
 def clamp(page: float = 0, size: float = PAGE_SIZE) -> tuple[int, int]:
@@ -93,7 +93,8 @@ def places(df: DataFrame) -> DataFrame:
 
 
 def recent(df: DataFrame, limit: float = 8) -> DataFrame:
-    n = min(50, max(1, math.trunc(limit)))
+    """The latest laws; a limit that is no finite number counts as 8."""
+    n = min(50, max(1, math.trunc(limit))) if math.isfinite(limit) else 8
     return representative(df.where("ate IS NULL")).orderBy(F.col("data_publicacao").desc_nulls_last(), F.col("ano_lei").desc_nulls_last(), F.col("lei_id").desc()).limit(n)
 
 

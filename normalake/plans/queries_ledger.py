@@ -224,12 +224,19 @@ def _(spark, d):
     return index_rows(spark, d).groupBy("tipo").agg(F.max(F.nullif("numero", F.lit("")).cast("bigint")).alias("mais"))
 
 
-@query("snk19_reconcile", _C + ", k AS (SELECT 'src-' || n AS source, 'lei' AS tipo, CAST(n AS VARCHAR) AS numero FROM range(0, 4) r(n)), f AS (SELECT k.tipo, k.numero, h.sha256, h.source FROM i h JOIN k USING (source) WHERE h.numero = '') SELECT count(*) AS restantes FROM i h WHERE h.numero = '' AND NOT EXISTS (SELECT 1 FROM k WHERE k.source = h.source)")
+@query("snk19_reconcile", _C + """, k AS (SELECT 'src-' || n AS source, 'lei' AS tipo, CAST(n AS VARCHAR) AS numero FROM range(0, 4) r(n)),
+h AS (SELECT * FROM i WHERE numero = ''), f AS (SELECT k.tipo, k.numero, h.sha256, h.source, min(h.captured_at) AS captured_at FROM h JOIN k USING (source) GROUP BY 1, 2, 3, 4)
+SELECT 'index' AS area, tipo, numero, sha256, source, count(*) AS n FROM i WHERE numero <> '' GROUP BY ALL
+UNION ALL SELECT 'promoted', tipo, numero, sha256, source, 1 FROM f WHERE NOT EXISTS (SELECT 1 FROM i WHERE i.numero = f.numero AND i.tipo = f.tipo AND i.sha256 = f.sha256)
+UNION ALL SELECT 'holding', tipo, numero, sha256, source, count(*) FROM h WHERE NOT EXISTS (SELECT 1 FROM k WHERE k.source = h.source) AND NOT EXISTS (SELECT 1 FROM f WHERE f.source = h.source AND substr(f.sha256, 1, 8) = h.uuid5) GROUP BY ALL""")
 def _(spark, d):
+    """Both areas afterwards: what was promoted, and what is still held."""
     i = index_rows(spark, d)
     known = spark.range(4).select(F.concat(F.lit("src-"), c("id").cast("string")).alias("source"), F.lit("lei").alias("tipo"), c("id").cast("string").alias("numero"))
-    _, left = captures.reconcile(i.where("numero = ''"), known, i.where("numero != ''"))
-    return left.agg(F.count("*").alias("restantes"))
+    index, left = captures.reconcile(i.where("numero = ''"), known, i.where("numero != ''"))
+    area = F.when(c("tipo") == "lei", "promoted").otherwise("index")
+    both = index.select(area.alias("area"), "tipo", "numero", "sha256", "source").union(left.select(F.lit("holding"), "tipo", "numero", "sha256", "source"))
+    return both.groupBy("area", "tipo", "numero", "sha256", "source").agg(F.count("*").alias("n"))
 
 
 @query("set1_union_all", "SELECT 'c' AS k, c_name AS n FROM customer UNION ALL SELECT 's', s_name FROM supplier")

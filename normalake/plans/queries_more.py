@@ -123,10 +123,10 @@ def _(spark, d):
     return files.raw_ids([lambda: index(0), lambda: None, lambda: index(1)], "ro", "portal")
 
 
-@query("str9_full_rebuild", "SELECT p_name AS id FROM (SELECT DISTINCT p_name FROM part) WHERE p_name NOT IN (SELECT p_name FROM part WHERE p_partkey % 3 = 0)")
+@query("str9_full_rebuild", "SELECT p_name AS id FROM (SELECT DISTINCT p_name || '-' || p_partkey % 10 AS p_name FROM part) WHERE p_name NOT IN (SELECT p_name || '-' || p_partkey % 10 FROM part WHERE p_partkey % 10 < 3)")
 def _(spark, d):
-    p = table(spark, d, "part")
-    return files.missing_files(p.select(c("p_name").alias("id")), p.where("p_partkey % 3 = 0").select(F.concat("p_name", F.lit(".xml")).alias("name")))[0]
+    p = table(spark, d, "part").selectExpr("concat(p_name, '-', p_partkey % 10) AS id", "p_partkey")
+    return files.missing_files(p.select("id"), p.where("p_partkey % 10 < 3").select(F.concat("id", F.lit(".xml")).alias("name")))[0]
 
 
 @query("txt28_resolve_capture", """WITH i AS (SELECT event_type AS tipo, CAST(user_id AS BIGINT) AS numero, arg_max(sha256(props), event_id) AS sha FROM events WHERE user_id % 10 <> 0 GROUP BY 1, 2)
@@ -139,6 +139,28 @@ def _(spark, d):
     return captures.resolve(raw, idx.where("numero != ''").union(other), "event_id", suffix=".pdf")
 
 
+_RAW = "CASE c_custkey % 5 WHEN 0 THEN 'raw-ro-portal-click-' || c_custkey % 200 WHEN 1 THEN 'raw-ro-porto-velho-casa-view-' || c_custkey % 90 WHEN 2 THEN 'raw-ro-portal-coddoc-' || c_custkey WHEN 3 THEN 'item-' || c_custkey ELSE 'raw-sp-portal-error-99999999999999999999' END"
+
+
+@query("jn15_lineage", f"""WITH r AS (SELECT {_RAW} AS raw_id, c_custkey FROM customer),
+p AS (SELECT *, CASE WHEN raw_id LIKE 'raw-%' THEN CASE WHEN raw_id LIKE 'raw-ro-porto-velho-%' THEN 'ro-porto-velho' ELSE split_part(raw_id, '-', 2) END END AS ente,
+  CASE WHEN raw_id LIKE '%-casa-%' THEN 'casa' WHEN raw_id LIKE 'raw-%' THEN 'portal' END AS fonte,
+  CASE WHEN raw_id LIKE '%-click-%' THEN 'click' WHEN raw_id LIKE '%-view-%' THEN 'view' END AS tipo,
+  CASE WHEN c_custkey % 5 < 2 THEN CAST(regexp_extract(raw_id, '[0-9]+$') AS BIGINT) END AS numero FROM r),
+i AS (SELECT event_type AS tipo, CAST(user_id AS BIGINT) AS numero, arg_max(substr(sha256(props), 1, 8), event_id) AS uuid5, arg_max('src-' || (event_id % 7), event_id) AS source FROM events WHERE user_id % 10 <> 0 GROUP BY 1, 2),
+m AS (SELECT p.*, i.uuid5, i.source, CASE WHEN p.numero IS NOT NULL THEN 'norma_' || ente || '_' || fonte || '_' || p.tipo || '_' || printf('%04d-%04d', greatest(p.numero - 1, 0) // 1000 * 1000 + 1, greatest(p.numero - 1, 0) // 1000 * 1000 + 1000) END AS item
+  FROM p LEFT JOIN i ON i.tipo = p.tipo AND i.numero = p.numero)
+SELECT c_custkey, raw_id, ente, fonte, tipo, numero, item, uuid5, source,
+  CASE WHEN ente IS NULL THEN 'https://archive.org/download/' || raw_id || '/' || raw_id || '_djvu.txt' WHEN uuid5 IS NOT NULL THEN 'https://archive.org/download/' || item || '/' || tipo || '-' || printf('%05d', numero) || '_' || uuid5 || '_djvu.txt' END AS url,
+  CASE WHEN ente IS NULL THEN 'external' WHEN numero IS NULL THEN 'unidentified' WHEN uuid5 IS NULL THEN 'uncaptured' ELSE 'found' END AS hop FROM m""")
+def _(spark, d):
+    """From raw ids to recognised text: slug, key, bucket, newest pdf, source."""
+    raw = table(spark, d, "customer").selectExpr(f"{_RAW} AS raw_id", "c_custkey")
+    idx = index_rows(spark, d)
+    pages = idx.withColumn("formato", F.lit("html")).withColumn("event_id", c("event_id") + 10**9)
+    return captures.lineage(raw, idx.union(pages), "event_id", ["ro", "ro-porto-velho", "sp"], suffix="_djvu.txt")
+
+
 @query("law4_law_fields", "SELECT o_orderkey, CASE o_orderkey % 3 WHEN 2 THEN 'desconhecido' ELSE 'lei' END AS tipo, CASE o_orderkey % 3 WHEN 0 THEN CAST(o_orderkey AS VARCHAR) END AS numero, CAST(CASE o_orderkey % 3 WHEN 0 THEN year(o_orderdate) ELSE 0 END AS INT) AS ano FROM orders")
 def _(spark, d):
     k, y = c("o_orderkey"), F.year("o_orderdate")

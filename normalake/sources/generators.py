@@ -49,8 +49,9 @@ def parse_all(spark: SparkSession, kind: str, start: int, end: int) -> DataFrame
 
 def highest(archived: DataFrame, templates: list[str]) -> DataFrame:
     """archived (url) -> template, numero: the largest number that stands for
-    {num} in each template, else 0. One pass serves all templates."""
+    {num} in each template, else 0; numbers beyond a long are passed over. One
+    pass serves all templates."""
     pattern = lambda t: "^" + r"(\d+)".join(re.escape(x) for x in t.split("{num}", 1)) + "$"
-    most = [F.max(F.nullif(F.regexp_extract("url", pattern(t), 1), F.lit("")).cast("bigint")).alias(f"_{i}") for i, t in enumerate(templates)]
+    most = [F.max(F.nullif(F.regexp_extract("url", pattern(t), 1), F.lit("")).try_cast("bigint")).alias(f"_{i}") for i, t in enumerate(templates)]
     rows = [F.struct(F.lit(t).alias("template"), F.coalesce(F.col(f"_{i}"), F.lit(0)).cast("bigint").alias("numero")) for i, t in enumerate(templates)]
     return archived.agg(*most).select(F.explode(F.array(*rows)).alias("r")).select("r.*")

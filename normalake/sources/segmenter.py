@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from normalake.operators.scoring import counts, errors, metrics
+from normalake.operators.scoring import MOST_NUMBER, counts, errors, metrics
 
 # The patterns and word lists that define each category.
 _ORD = r"(?:\s*[ºo°ªa])?"
@@ -53,32 +53,53 @@ def sentences(text: str) -> Iterator[tuple[int, int]]:
         start = stop
 
 
+def _no_reference(text: str, m: re.Match) -> bool:
+    """Whether what stands before does not make the marker a reference."""
+    return not REFERS_LEFT.search(text[max(0, m.start() - LEFT) : m.start()])
+
+
+def _own_paragraph(text: str, m: re.Match) -> bool:
+    return _no_reference(text, m) and not REFERS_RIGHT.match(text[m.end() : m.end() + RIGHT])
+
+
+#: category, pattern, and what a match must pass
+MARKERS = (
+    ("ali_marcador", LETTER_ITEM, None),
+    ("art_marcador", ARTICLE, None),
+    ("inc_marcador", ROMAN_ITEM, _no_reference),
+    ("par_marcador", PARAGRAPH, _own_paragraph),
+    ("par_marcador", SOLE, None),
+)
+CLAUSES = (("revogacao", REVOKES), ("vigencia", IN_FORCE))
+
+
 def spans(text: str) -> list[tuple[str, int, int]]:
     """(category, start, end) in order of position."""
-    found = [("art_marcador", *m.span()) for m in ARTICLE.finditer(text)]
-    refers = lambda i: REFERS_LEFT.search(text[max(0, i - LEFT) : i])
-    found += [("par_marcador", *m.span()) for m in PARAGRAPH.finditer(text) if not refers(m.start()) and not REFERS_RIGHT.match(text[m.end() : m.end() + RIGHT])]
-    found += [("par_marcador", *m.span()) for m in SOLE.finditer(text)]
-    found += [("inc_marcador", *m.span()) for m in ROMAN_ITEM.finditer(text) if not refers(m.start())]
-    found += [("ali_marcador", *m.span()) for m in LETTER_ITEM.finditer(text)]
-    for lo, hi in sentences(text):
+    found = [(name, *m.span()) for name, pattern, guard in MARKERS for m in pattern.finditer(text) if guard is None or guard(text, m)]
+    cues = [(name, cue) for name, cue in CLAUSES if cue.search(text)]
+    for lo, hi in sentences(text) if cues else ():
         marker = LEADING.match(text[lo:hi])
         if marker and marker.end() < hi - lo:
             lo += marker.end()
-        found += [(name, lo, hi) for name, cue in (("vigencia", IN_FORCE), ("revogacao", REVOKES)) if cue.search(text[lo:hi])]
-    summary = SUMMARY.search(text)
-    if summary:
+        found += [(name, lo, hi) for name, cue in cues if cue.search(text[lo:hi])]
+    if summary := SUMMARY.search(text):
         found.append(("ementa", *summary.span("ementa")))
-    return sorted(found, key=lambda s: s[1:])
+    return sorted(found, key=lambda s: (s[1], s[2], s[0]))
+
+
+def article_number(marker: str) -> int | None:
+    """Null beyond a long."""
+    digits = ARTICLE.match(marker)[1]
+    return int(digits) if len(digits) < 19 else None
 
 
 def segment(docs: DataFrame) -> DataFrame:
-    """docs (doc, text) -> doc, category, start, end, number (of an article).
-    A null text has no spans."""
+    """docs (doc, text) -> doc, category, start, end, number (of an article,
+    null beyond a long). A null text has no spans."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            rows = [(doc, k, a, b, int(ARTICLE.match(t[a:b])[1]) if k == "art_marcador" else None) for doc, t in zip(frame["doc"], frame["text"]) if t for k, a, b in spans(t)]
+            rows = [(doc, k, a, b, article_number(t[a:b]) if k == "art_marcador" else None) for doc, t in zip(frame["doc"], frame["text"]) if t for k, a, b in spans(t)]
             yield pd.DataFrame(rows, columns=["doc", "category", "start", "end", "number"], dtype=object)
 
     kind = docs.schema["doc"].dataType.simpleString()
@@ -88,9 +109,11 @@ def segment(docs: DataFrame) -> DataFrame:
 def structure(docs: DataFrame) -> DataFrame:
     """Findings (doc, kind, numbers): no articles, gaps in 1 to the last,
     articles out of order, no summary, no clause on entry into force. One pass
-    over the texts; a document's articles come together as one array."""
+    over the texts; a document's articles come together as one array. Numbers
+    over MOST_NUMBER are misread ones: such an article is there, but neither
+    opens a gap nor stands out of order."""
     is_article = F.col("category") == "art_marcador"
-    articles = F.transform(F.sort_array(F.collect_list(F.when(is_article, F.struct("start", "number")))), lambda x: x["number"])
+    articles = F.transform(F.sort_array(F.collect_list(F.when(is_article & (F.col("number") <= MOST_NUMBER), F.struct("start", "number")))), lambda x: x["number"])
     seen = segment(docs).groupBy("doc").agg(articles.alias("n"), *[F.count_if(F.col("category") == k).alias(k) for k in ("art_marcador", "ementa", "vigencia")])
     whole = docs.select("doc").join(seen, "doc", "left")
     none, most = "CAST(array() AS ARRAY<BIGINT>)", "coalesce(array_max(n), 0L)"
