@@ -27,13 +27,30 @@ def tree(df: DataFrame) -> DataFrame:
     return now.join(parents, met, "left").withColumn("is_root", F.col("_p").isNull()).drop("_l", "_p")
 
 
-def ordered_tree(df: DataFrame) -> DataFrame:
-    """tree() with depth and a sort key that puts siblings by order and path.
+def sibling_ranks(nodes: DataFrame, locale: str) -> DataFrame:
+    """nodes (lei_id, dispositivo_parent_path, dispositivo_ordem,
+    dispositivo_path) with rank, a provision's place among its siblings from 1:
+    by order (none comes last), then by path as the locale sorts it, where case
+    and accents part only what is else the same, then by code points. Digits
+    are characters, so art-10 comes before art-2 there as well."""
+    path = F.collate("dispositivo_path", locale)
+    by = Window.partitionBy("lei_id", "dispositivo_parent_path").orderBy(F.col("dispositivo_ordem").asc_nulls_last(), path, "dispositivo_path")
+    return nodes.withColumn("rank", F.row_number().over(by))
+
+
+def ordered_tree(df: DataFrame, locale: str | None = None) -> DataFrame:
+    """tree() with depth and a sort key that puts siblings by order and path,
+    paths by code points or as a locale sorts them.
     Levels are joined from the roots down until one is empty, whatever the
     depth. Provisions on a cycle of parents, and what hangs on one, no root
     reaches: they come with a null depth and sort key."""
     step = F.format_string("%08d:%s", F.coalesce("dispositivo_ordem", F.lit(99_999_999)), "dispositivo_path")
-    nodes = stored(tree(df).withColumn("_step", step))
+    whole = tree(df)
+    if locale:
+        top = F.when(F.col("is_root"), F.lit(None).cast("string")).otherwise(F.col("dispositivo_parent_path"))
+        ranked = sibling_ranks(whole.withColumn("_parent", F.col("dispositivo_parent_path")).withColumn("dispositivo_parent_path", top), locale)
+        whole, step = ranked.withColumn("dispositivo_parent_path", F.col("_parent")), F.format_string("%08d", "rank")
+    nodes = stored(whole.withColumn("_step", step).drop("rank", "_parent"))
     level = nodes.where("is_root").withColumn("depth", F.lit(0)).withColumn("sort_key", F.col("_step"))
     levels, depth = [level], 0
     while True:

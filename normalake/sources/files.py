@@ -33,6 +33,38 @@ def xml_documents(spark: SparkSession, path: str, ente: str) -> DataFrame:
     return files.select(F.regexp_replace("_metadata.file_name", r"\.xml$", "").alias("lei_id"), F.lit(ente).alias("ente"), F.col("value").alias("xml"))
 
 
+def checked(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """found (lei_id, ente, content: bytes) -> the sound documents (lei_id,
+    ente, xml) and the refused ones (lei_id, reason): ``unread`` (no bytes could
+    be had), ``empty``, ``encoding`` (not UTF-8). Sound ones may still fail to
+    parse; flatten.walked() says so."""
+    text = F.col("content").cast("string")
+    reason = F.when(F.col("content").isNull(), "unread").when(F.octet_length("content") == 0, "empty").when(~F.is_valid_utf8(text), "encoding")
+    rows = found.select("lei_id", "ente", text.alias("xml"), reason.alias("reason"))
+    return rows.where("reason IS NULL").drop("reason"), rows.where("reason IS NOT NULL").select("lei_id", "reason")
+
+
+def xml_documents_checked(spark: SparkSession, path: str, ente: str) -> tuple[DataFrame, DataFrame]:
+    """checked() of the *.xml files of a folder, as bytes (2 GB a file at
+    most). A folder without such files is an error."""
+    raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.xml").load(path)
+    if not raw.select("path").take(1):
+        raise FileNotFoundError(f"no .xml files in {path}")
+    name = F.regexp_extract(F.url_decode("path"), r"([^/]+)\.xml$", 1)
+    return checked(raw.select(name.alias("lei_id"), F.lit(ente).alias("ente"), "content"))
+
+
+def batch_report(sound: DataFrame, refused: DataFrame, unparsed: DataFrame) -> DataFrame:
+    """One row: total, converted, refused and unparsed documents, and the exit
+    code of the batch: 1 if one could not be read, or none is left, else 0.
+    unparsed (lei_id) are those among the sound that gave no rows."""
+    one, zero = F.lit(1), F.lit(0)
+    rows = sound.select(one.alias("s"), zero.alias("r"), zero.alias("u")).union(refused.select(zero, one, zero)).union(unparsed.select("lei_id").distinct().select(zero, zero, one))
+    n = rows.agg(*[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in "sru"])
+    code = F.when((F.col("r") > 0) | (F.col("s") == 0), 1).otherwise(0)
+    return n.select((F.col("s") + F.col("r")).alias("total"), (F.col("s") - F.col("u")).alias("converted"), F.col("r").alias("refused"), F.col("u").alias("unparsed"), code.alias("exit_code"))
+
+
 def capture_index(spark: SparkSession, path: str) -> DataFrame:
     """Columns by name; one that is missing, or empty, is an empty string."""
     raw = spark.read.option("header", True).option("escape", '"').csv(path)

@@ -75,14 +75,34 @@ def raw_meta(df: DataFrame, captured: str, bundle: str) -> DataFrame:
     return df.select("id", F.to_json(body, {"ignoreNullFields": "false"}).alias("json"))
 
 
-def dataset_meta(spark: SparkSession, path: str, version: str, created: str, git_sha: str | None = None) -> str:
-    """row_count, bytes and a digest of a dataset's files: each file's digest,
-    computed where it is read, in the order of names."""
+def _streamed_digest(spark: SparkSession, path: str) -> str:
+    """SHA-256 of a file of any size, read as a stream by the file system."""
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    stream = at.getFileSystem(spark._jsc.hadoopConfiguration()).open(at)
+    try:
+        return jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(stream)
+    finally:
+        stream.close()
+
+
+def file_digests(spark: SparkSession, path: str, whole: int = 1 << 28) -> list[tuple[str, int, str]]:
+    """(name, bytes, SHA-256) of a dataset's files by name. Files up to
+    ``whole`` bytes are digested by tasks, in memory; larger ones, which no
+    task should hold, one after the other as streams."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
-    each = files.select(F.regexp_extract("path", "[^/]+$", 0).alias("name"), "length", F.sha2("content", 256).alias("sha"))
-    found = sorted(each.collect(), key=lambda r: r.name)  # one row a file
-    digest = found[0].sha if len(found) == 1 else hashlib.sha256("".join(r.sha for r in found).encode()).hexdigest()
-    meta = {"dataset_version": version, "created_at": created, "row_count": spark.read.parquet(path).count(), "file_size_bytes": sum(r.length for r in found), "hash_parquet": f"sha256:{digest}"}
+    few = files.where(F.col("length") <= whole).select("path", "length", F.sha2("content", 256).alias("sha"))
+    found = {r.path: (r.length, r.sha) for r in few.collect()}  # one row a file
+    found |= {r.path: (r.length, _streamed_digest(spark, r.path)) for r in files.where(F.col("length") > whole).select("path", "length").collect()}
+    return sorted((p.rpartition("/")[2], n, sha) for p, (n, sha) in found.items())
+
+
+def dataset_meta(spark: SparkSession, path: str, version: str, created: str, git_sha: str | None = None, whole: int = 1 << 28) -> str:
+    """row_count, bytes and a digest of a dataset's files: of several, the
+    digest of their digests in the order of names."""
+    found = file_digests(spark, path, whole)
+    digest = found[0][2] if len(found) == 1 else hashlib.sha256("".join(sha for _, _, sha in found).encode()).hexdigest()
+    meta = {"dataset_version": version, "created_at": created, "row_count": spark.read.parquet(path).count(), "file_size_bytes": sum(n for _, n, _ in found), "hash_parquet": f"sha256:{digest}"}
     return json.dumps(meta | ({"git_sha": git_sha} if git_sha else {}), ensure_ascii=False, indent=2)
 
 

@@ -59,25 +59,39 @@ def tumbling(stream: DataFrame, every: str = "1 day", late: str = "1 hour") -> D
     return stream.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late).groupBy(F.window("ts", every), "event_type").agg(F.count("*").alias("n")).select(F.col("window.start").alias("day"), "event_type", "n")
 
 
+#: Parts of a ledger by hash of the key.
+BUCKETS = 64
+
+
 def upsert_batches(stream: DataFrame, path: str, key: str, order: str, checkpoint: str):
     """Insert-or-ignore of each batch into the Parquet ledger at path: keys
-    there stay, new ones are appended. A batch that is run again appends
-    nothing twice, as its keys are there by then."""
+    there stay, new ones are appended. The ledger lies in folders by a hash of
+    the key, and a batch reads the folders its keys are in. A batch that is run
+    again appends nothing twice, as its keys are there by then."""
+    bucket = F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
 
     def write(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
+        rows = batch.withColumn("_bucket", bucket)
+        first = rows.groupBy(key).agg(F.min_by(F.struct(*rows.columns), order).alias("r")).select("r.*")
+        met = [r[0] for r in first.select("_bucket").distinct().collect()]  # BUCKETS at most
         try:
-            old = spark.read.parquet(path)
+            old = spark.read.schema(rows.schema).parquet(path).where(F.col("_bucket").isin(met))
         except Exception as e:  # noqa: BLE001
             if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
                 raise
-            old = spark.createDataFrame([], batch.schema)
-        first = batch.groupBy(key).agg(F.min_by(F.struct(*batch.columns), order).alias("r")).select("r.*")
-        ledger.skip_existing(first, old, key).write.mode("append").parquet(path)
+            old = spark.createDataFrame([], rows.schema)
+        new = ledger.skip_existing(first, old.select(key), key)
+        new.repartition(F.col("_bucket")).write.mode("append").partitionBy("_bucket").parquet(path)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def ledger_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a ledger that upsert_batches() keeps."""
+    return spark.read.parquet(path).drop("_bucket")
+
+
 def _checkpoint(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
 
