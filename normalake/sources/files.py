@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from normalake.functions.identity import join_url, without_scheme
 from normalake.operators.captures import identities
 from normalake.schema import CAPTURES, VERSIONS
+from normalake.sources.tables import _path, stored
 
 SPANS = "text STRING, label ARRAY<STRUCT<category: STRING, start: BIGINT, end: BIGINT>>, info MAP<STRING, STRING>"
 
@@ -46,12 +47,17 @@ def checked(found: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def xml_documents_checked(spark: SparkSession, path: str, ente: str) -> tuple[DataFrame, DataFrame]:
     """checked() of the *.xml files of a folder, as bytes (2 GB a file at
-    most). A folder without such files is an error."""
-    raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.xml").load(path)
-    if not raw.select("path").take(1):
+    most). A folder without such files is an error. Readers pass over files
+    without a byte, so these are taken from the folder's listing."""
+    at, fs = _path(spark, f"{path.rstrip('/')}/*.xml")
+    listed = fs.globStatus(at) or []
+    if not listed:
         raise FileNotFoundError(f"no .xml files in {path}")
+    none = [(f.getPath().getName()[:-4], ente, b"") for f in listed if f.getLen() == 0]
+    raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.xml").load(path)
     name = F.regexp_extract(F.url_decode("path"), r"([^/]+)\.xml$", 1)
-    return checked(raw.select(name.alias("lei_id"), F.lit(ente).alias("ente"), "content"))
+    found = raw.select(name.alias("lei_id"), F.lit(ente).alias("ente"), "content")
+    return checked(found.union(spark.createDataFrame(none, "lei_id string, ente string, content binary")))
 
 
 def batch_report(sound: DataFrame, refused: DataFrame, unparsed: DataFrame) -> DataFrame:
@@ -119,18 +125,19 @@ def archived_urls(listing: DataFrame) -> DataFrame:
 def raw_ids(read: list[Callable[[], DataFrame | None]], ente: str, fonte: str, prefix: str = "") -> DataFrame | None:
     """The raw ids of all capture indexes of a place and source. Each reader
     gives an index (tipo, numero) or None where there is none. All or nothing:
-    if one fails, None, so that the caller takes the whole range instead of a
-    part that looks like all."""
+    if one fails, also when its rows are read, None, so that the caller takes
+    the whole range instead of a part that looks like all."""
     found = []
     for f in read:
         try:
-            found.append(f())
+            index = f()
+            if index is not None:
+                found.append(stored(identities(index)))
         except Exception:  # noqa: BLE001
             return None
-    some = [i for i in found if i is not None]
-    if not some:
+    if not found:
         return None
-    keys = reduce(lambda a, b: a.union(b), [identities(i) for i in some]).distinct()
+    keys = reduce(lambda a, b: a.union(b), found).distinct()
     return keys.select(F.concat(F.lit(f"{prefix}raw-{ente}-{fonte}-"), "chave").alias("raw_id"))
 
 
@@ -164,20 +171,22 @@ def robots_allowed(urls: DataFrame, robots: DataFrame, agent: str) -> DataFrame:
     pattern = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)(/[^#]*)?"
     own = urls.select("url").distinct().withColumn("host", F.nullif(F.regexp_extract("url", pattern, 1), F.lit(""))).withColumn("path_of", F.coalesce(F.nullif(F.regexp_extract("url", pattern, 2), F.lit("")), F.lit("/")))
     rules = robots_rules(robots).where((F.col("agent") == "*") | F.contains(F.lit(agent.lower()), F.col("agent")))
-    named = F.max((F.col("agent") != "*").cast("int")).over(Window.partitionBy("host"))
-    rules = rules.withColumn("named", named).where((F.col("agent") != "*").cast("int") == F.col("named"))
-    met = own.join(rules, ["host"], "left").where(F.col("path").isNull() | F.startswith("path_of", "path"))
-    first = met.groupBy("url").agg(F.min_by("allow", "at").alias("allow"))
-    return own.join(first, "url", "left").select("url", (F.col("host").isNotNull() & F.coalesce("allow", F.lit(True))).alias("allowed"))
+    # a host's rules for the agent as one array, in order: an address stays one row
+    of = lambda k: F.sort_array(F.collect_list(F.when(k, F.struct("at", "path", "allow"))))
+    hosts = rules.groupBy("host").agg(of(F.col("agent") != "*").alias("own"), of(F.col("agent") == "*").alias("all"))
+    hosts = hosts.select("host", F.when(F.size("own") > 0, F.col("own")).otherwise(F.col("all")).alias("rules"))
+    met = own.join(hosts, "host", "left")  # a large host's urls are split, as its rules are one row
+    first = F.try_element_at(F.filter("rules", lambda r: F.startswith(F.col("path_of"), r["path"])), F.lit(1))["allow"]
+    return met.select("url", (F.col("host").isNotNull() & F.coalesce(first, F.lit(True))).alias("allowed"))
 
 
 def union_tolerant(strategies: list) -> tuple[DataFrame | None, list[str]]:
     """The rows of all strategies (functions without arguments) that work, and
-    what went wrong with the others."""
+    what went wrong with the others, be it when their rows are read."""
     found, failed = [], []
     for f in strategies:
         try:
-            found.append(f())
+            found.append(stored(f()))
         except Exception as e:  # noqa: BLE001
             failed.append(str(e))
     return (reduce(lambda a, b: a.unionByName(b), found) if found else None), failed
