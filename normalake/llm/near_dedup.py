@@ -278,9 +278,10 @@ def near_links(reps: DataFrame, docs: DataFrame) -> DataFrame:
         sizes, sharing = _shared(open_, sets)
         able = stored(_ranged(open_.join(sizes, "id")))
         keys = able.groupBy("id").agg(F.collect_set("key").alias("keys"))
-        pairs = _apart(_apart_with_all(able.join(keys, "id")).union(sharing).distinct(), roots)
+        members = stored(able.join(keys, "id"))
+        pairs = _apart(_apart_with_all(members).union(sharing).distinct(), roots)
         roots = _joined(roots, _links(pairs, sets))
-        dropped(sizes, sharing, able)
+        dropped(sizes, sharing, able, members)
     dropped(sets, open_)
     return roots
 
