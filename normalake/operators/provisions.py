@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,19 +49,23 @@ def ordered_tree(df: DataFrame, locale: str | None = None) -> DataFrame:
         ranked = sibling_ranks(whole.withColumn("_parent", F.col("dispositivo_parent_path")).withColumn("dispositivo_parent_path", top), locale)
         whole, step = ranked.withColumn("dispositivo_parent_path", F.col("_parent")), F.format_string("%08d", "rank")
     nodes = stored(whole.withColumn("_step", step).drop("rank", "_parent"))
-    level = nodes.where("is_root").withColumn("depth", F.lit(0)).withColumn("sort_key", F.col("_step"))
-    levels, depth = [level], 0
+    below = nodes.where("NOT is_root")
+    level = stored(nodes.where("is_root").withColumn("depth", F.lit(0)).withColumn("sort_key", F.col("_step")))
+    out, levels, depth = level, [level], 0
     while True:
         above = level.select(F.col("lei_id").alias("_l"), F.col("dispositivo_path").alias("_p"), F.col("sort_key").alias("_k"))
         under = (F.col("lei_id") == F.col("_l")) & (F.col("dispositivo_parent_path") == F.col("_p"))
         depth += 1
-        level = stored(nodes.where("NOT is_root").join(above, under).withColumn("depth", F.lit(depth)).withColumn("sort_key", F.concat("_k", F.lit("/"), "_step")).drop("_l", "_p", "_k"))
+        level = stored(below.join(above, under).withColumn("depth", F.lit(depth)).withColumn("sort_key", F.concat("_k", F.lit("/"), "_step")).drop("_l", "_p", "_k"))
         if not level.take(1):
+            dropped(level)
             break
         levels.append(level)
-    out = reduce(lambda a, b: a.unionByName(b), levels)
+        out = out.unionByName(level)
     lost = nodes.join(out.select("lei_id", "dispositivo_path"), ["lei_id", "dispositivo_path"], "left_anti").select(*nodes.columns, F.lit(None).cast("int").alias("depth"), F.lit(None).cast("string").alias("sort_key"))
-    return out.unionByName(lost).drop("_step")
+    whole = stored(out.unionByName(lost).drop("_step"))
+    dropped(nodes, *levels)
+    return whole
 
 
 def history(df: DataFrame) -> DataFrame:

@@ -164,20 +164,21 @@ def _(spark, d):
     return generators.sequential(spark, ["https://a.example/{num}.pdf", "https://b.example/{num}"], 1, 5000, known).select("num", "url")
 
 
-@query("src15_state_portal", "SELECT printf('lc-%05d', n) AS chave, 'Lei Complementar nº ' || n || ' (Rondônia)' AS titulo, 'https://portal.example/LC' || n || '.pdf' AS url FROM range(1, 2001) r(n)")
+@query("src15_state_portal", "SELECT printf('lc-%05d', n) AS chave, 'Lei Complementar nº ' || n || ' (Rondônia)' AS titulo, 'https://portal.example/LC' || n || '.pdf' AS url FROM range(1, (SELECT max(c_custkey) FROM customer) + 1) r(n)")
 def _(spark, d):
-    return generators.state_portal(spark, "lc", 1, 2000, "https://portal.example/")
+    last = table(spark, d, "customer").agg(F.max("c_custkey")).first()[0]
+    return generators.state_portal(spark, "lc", 1, last, "https://portal.example/")
 
 
-@query("src16_federal", "SELECT o_orderkey AS num, CAST(year(o_orderdate) + 5 AS INT) AS year, CASE WHEN year(o_orderdate) + 5 >= 2003 THEN printf('https://f.example/_ato%d-%d/%d/lei/l%d.htm', 2003 + ((year(o_orderdate) + 5 - 2003) // 4) * 4, 2006 + ((year(o_orderdate) + 5 - 2003) // 4) * 4, year(o_orderdate) + 5, o_orderkey) ELSE 'https://f.example/leis/l' || o_orderkey || '.htm' END AS url FROM orders")
+@query("src16_federal", "SELECT o_orderkey AS num, CAST(year(o_orderdate) + 5 AS INT) AS year, CASE WHEN year(o_orderdate) + 5 >= 2003 THEN printf('https://f.example/_ato%d-%d/%d/lei/l%d.htm', 2003 + ((year(o_orderdate) + 5 - 2003) // 4) * 4, 2006 + ((year(o_orderdate) + 5 - 2003) // 4) * 4, year(o_orderdate) + 5, o_orderkey) ELSE 'https://f.example/leis/L' || o_orderkey || '.htm' END AS url FROM orders")
 def _(spark, d):
     o = table(spark, d, "orders").select(c("o_orderkey").alias("num"), (F.year("o_orderdate") + 5).cast("int").alias("year"))
     return generators.federal(o.select("num"), o, "https://f.example/")
 
 
-@query("src17_parse_all", "SELECT printf('lei-%05d', n) AS chave FROM range(1, 3001) r(n)")
+@query("src17_parse_all", "SELECT printf('lei-%05d', n) AS chave FROM range(1, (SELECT max(p_partkey) FROM part) + 1) r(n)")
 def _(spark, d):
-    return generators.parse_all(spark, "lei", 1, 3000)
+    return generators.parse_all(spark, "lei", 1, table(spark, d, "part").agg(F.max("p_partkey")).first()[0])
 
 
 @query("jn9_year_segment", "SELECT o_orderkey, CASE WHEN y >= 2003 THEN (2003 + ((y - 2003) // 4) * 4) || '-' || (2006 + ((y - 2003) // 4) * 4) END AS faixa FROM (SELECT o_orderkey, year(o_orderdate) + 5 AS y FROM orders)")

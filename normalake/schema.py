@@ -66,4 +66,3 @@ STATES = {
     "pa": "Pará", "pb": "Paraíba", "pe": "Pernambuco", "pi": "Piauí", "pr": "Paraná", "rj": "Rio de Janeiro", "rn": "Rio Grande do Norte",
     "ro": "Rondônia", "rr": "Roraima", "rs": "Rio Grande do Sul", "sc": "Santa Catarina", "se": "Sergipe", "sp": "São Paulo", "to": "Tocantins",
 }
-JURISDICTIONS = [("federal", "União Federal", "federal", "BR")] + [(k, v, "estadual", k.upper()) for k, v in STATES.items()]

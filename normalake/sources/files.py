@@ -82,6 +82,18 @@ def spans_json(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SPANS + ", _corrupt_record STRING").option("mode", "PERMISSIVE").json(path)
 
 
+def span_splits(spark: SparkSession, folder: str, splits: tuple[str, ...] = ("train", "val", "test")) -> tuple[DataFrame, list[str]]:
+    """The records of a folder's splits (split.jsonl each) with their split,
+    and the splits that are not there."""
+    there, missing = [], []
+    for name in splits:
+        at, fs = _path(spark, f"{folder.rstrip('/')}/{name}.jsonl")
+        (there if fs.exists(at) else missing).append(name)
+    found = [spans_json(spark, f"{folder.rstrip('/')}/{name}.jsonl").withColumn("split", F.lit(name)) for name in there]
+    none = spark.createDataFrame([], SPANS + ", _corrupt_record STRING, split STRING")
+    return reduce(lambda a, b: a.unionByName(b), found, none), missing
+
+
 def label_space(spark: SparkSession, path: str) -> list[str]:
     """The category names; the background O must come first."""
     row = spark.read.option("multiLine", True).json(path).first()

@@ -12,6 +12,12 @@ from normalake.functions.identity import year_segment
 # File-name heads and labels of the state portal's kinds.
 PORTAL_KINDS = {"lei": ("L", "Lei"), "lc": ("LC", "Lei Complementar"), "decreto": ("D", "Decreto"), "decreto-lei": ("DL", "Decreto-Lei"), "ec": ("EC", "Emenda Constitucional"), "resolucao": ("Res", "Resolução"), "portaria": ("Port", "Portaria")}
 
+# A federal kind's folder in a year, how its files begin, and its old address.
+FEDERAL_KINDS = {
+    "lei": ("lei", "l", "leis/L%d.htm"), "lcp": ("lei", "lcp", "leis/lcp/Lcp%d.htm"), "decreto": ("decreto", "d", "decreto/D%d.htm"),
+    "decreto-lei": ("decreto-lei", "del", "Decreto-Lei/Del%d.htm"), "emc": ("Emenda", "emc", "Constituicao/Emendas/Emc/emc%02d.htm"), "mpv": ("Mpv", "mpv", "MPV/Antigas_2001/%d.htm"),
+}
+
 
 def numbers(spark: SparkSession, start: int, end: int) -> DataFrame:
     return spark.range(start, end + 1).withColumnRenamed("id", "num") if end >= start else spark.range(0).withColumnRenamed("id", "num")
@@ -34,13 +40,16 @@ def state_portal(spark: SparkSession, kind: str, start: int, end: int, base: str
     return numbers(spark, start, end).select(F.format_string("%s-%05d", F.lit(kind), n).alias("chave"), F.format_string("%s nº %d (%s)", F.lit(label), n, F.lit(place)).alias("titulo"), F.format_string("%s%s%d.pdf", F.lit(base), F.lit(head), n).alias("url"))
 
 
-def federal(numbered: DataFrame, years: DataFrame, base: str) -> DataFrame:
-    """numbered (num), years (num, year): from 2003 the year's folder, before
-    it or without a year the old one."""
+def federal(numbered: DataFrame, years: DataFrame, base: str, kind: str = "lei") -> DataFrame:
+    """numbered (num), years (num, year): from 2003 the folder of the year and
+    kind, before it or without a year the kind's old address."""
+    if kind not in FEDERAL_KINDS:
+        raise ValueError(f"unknown kind: {kind}")
+    folder, head, old = FEDERAL_KINDS[kind]
     met = numbered.join(years, "num", "left")
-    folder = year_segment(F.col("year"))
-    new = F.format_string("%s_ato%s/%d/lei/l%d.htm", F.lit(base), folder, F.col("year"), F.col("num"))
-    return met.select("num", "year", F.when(folder.isNotNull(), new).otherwise(F.format_string("%sleis/l%d.htm", F.lit(base), F.col("num"))).alias("url"))
+    segment = year_segment(F.col("year"))
+    new = F.format_string(f"%s_ato%s/%d/{folder}/{head}%d.htm", F.lit(base), segment, F.col("year"), F.col("num"))
+    return met.select("num", "year", F.when(segment.isNotNull(), new).otherwise(F.format_string(f"%s{old}", F.lit(base), F.col("num"))).alias("url"))
 
 
 def parse_all(spark: SparkSession, kind: str, start: int, end: int) -> DataFrame:

@@ -12,10 +12,11 @@ from collections.abc import Callable, Iterator
 from xml.sax.saxutils import escape, quoteattr
 
 import pandas as pd
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from normalake.functions import law
+from normalake.functions.identity import bundle_id, snapshot_stamp
 from normalake.schema import EXPORT_COLUMNS
 from normalake.sources.tables import stored
 
@@ -75,6 +76,18 @@ def raw_meta(df: DataFrame, captured: str, bundle: str) -> DataFrame:
     return df.select("id", F.to_json(body, {"ignoreNullFields": "false"}).alias("json"))
 
 
+def raw_sidecar(df: DataFrame, captured: str, day: Column, agent: str, html: bool = False) -> DataFrame:
+    """df (ente, fonte, chave, fonte_url, content, fetched_from, wayback_url,
+    blocked) -> chave, json: what is kept beside a captured file. A page says so
+    and its digest is of its text; a snapshot's time is read from its address."""
+    kind = "html" if html else "pdf"
+    digest = F.concat(F.lit("sha256:"), F.sha2(F.col("content").cast("binary"), 256)).alias(f"hash_{kind}")
+    origin = F.struct("fetched_from", "wayback_url", snapshot_stamp(F.col("wayback_url")).alias("wayback_timestamp"), F.coalesce("blocked", F.lit(False)).alias("wayback_blocked_robots")).alias("provenance_wayback")
+    head = [F.lit("0.1").alias("meta_version"), *([F.lit("html").alias("content_type")] if html else [])]
+    body = F.struct(*head, "ente", "fonte", "chave", "fonte_url", F.lit(captured).alias("data_captura"), digest, F.lit(agent).alias("user_agent"), bundle_id(F.col("ente"), F.col("fonte"), day).alias("id_bundle"), origin)
+    return df.select("chave", F.to_json(body, {"ignoreNullFields": "false"}).alias("json"))
+
+
 def _streamed_digest(spark: SparkSession, path: str) -> str:
     """SHA-256 of a file of any size, read as a stream by the file system."""
     jvm = spark._jvm
