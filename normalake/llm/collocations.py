@@ -30,12 +30,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from normalake.llm._bloom import BITS, Bloom, set_bits
 from normalake.llm._skew import attached
-from normalake.llm._text import Memo, grams, hashed_words, joined, mix, small_batches
+from normalake.llm._text import Memo, grams, hashed_words, joined, small_batches
 from normalake.sources.tables import stored
 
 MOST, LEAST, TOP = 5, 100, 2000
-BITS = 1 << 26
 BLOCK = 8 << 20
 _U = np.uint64
 
@@ -90,24 +90,6 @@ def _coded(part: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray,
     return coded.indices.to_numpy().astype(np.int64), coded.dictionary
 
 
-class Bloom:
-    """Which 64-bit hashes are in a set; none of it is missed."""
-
-    def __init__(self, words: np.ndarray):
-        self.words = words
-
-    def __call__(self, h: np.ndarray) -> np.ndarray:
-        found = np.ones(len(h), bool)
-        for at in bloom_bits(h, len(self.words) * 64):
-            found &= (self.words[at >> 6] >> (at & 63).astype(_U) & _U(1)).astype(bool)
-        return found
-
-
-def bloom_bits(h: np.ndarray, bits: int) -> list[np.ndarray]:
-    """Each hash's three places among so many (a power of 2)."""
-    return [(mix(h + _U(k)) & _U(bits - 1)).astype(np.int64) for k in range(3)]
-
-
 def _of_lang(lang: str) -> np.uint64:
     return _U(int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "big"))
 
@@ -189,15 +171,10 @@ def _bloom(phrases: DataFrame, n: int) -> Bloom:
             langs = batch.column("lang").dictionary_encode()
             salt = np.array([_of_lang(x) for x in langs.dictionary.to_pylist()], _U)[langs.indices.to_numpy()] if len(langs) else np.zeros(0, _U)
             h = grams(_word_hashes(batch.column("phrase")), n)[::n] + salt
-            at = np.unique(np.concatenate(bloom_bits(h, bits)))
-            place, first = np.unique(at >> 6, return_index=True)
-            words = np.bitwise_or.reduceat(_U(1) << (at & 63).astype(_U), first) if len(at) else np.zeros(0, _U)
-            yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(words.view(np.int64))], names=["place", "bits"])
-
-    found = many.select("lang", "phrase").mapInArrow(run, "place long, bits long").groupBy("place").agg(F.bit_or("bits").alias("bits")).toArrow()
-    words = np.zeros(bits // 64, _U)
-    words[found.column("place").to_numpy()] = found.column("bits").to_numpy().view(_U)
-    return Bloom(words)
+            place, words = set_bits(h, bits)
+            yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(words)], names=["place", "bits"])
+
+    return Bloom.of(many.select("lang", "phrase").mapInArrow(run, "place long, bits long"), bits)
 
 
 def scored(counts: DataFrame) -> DataFrame:

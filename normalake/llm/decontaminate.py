@@ -16,10 +16,12 @@ matches over it and those that overlap them are left out.  A document is
 contaminated by an item if an occurrence covers at least COVER of its words.
 
 Documents are judged where they are read, by an index of the items' windows that
-goes to the tasks; there is no shuffle.  An index holds up to MAX_CHARS
-characters of items (their number is checked).  A larger benchmark comes in
-blocks of that size, each a pass over the documents, with the same result: a
-row's text alone decides which items it holds.
+goes to the tasks, if the items have up to MAX_CHARS characters (their number is
+checked); there is no shuffle.  The windows of a larger benchmark are rows: a
+Bloom filter of bounded size (8 MB) lets through the documents' windows that may
+be an item's, these are joined by hash under salted keys, and each pair of a
+text and an item that meet is judged as above, in groups of about TOGETHER items.
+Either way a row's text alone decides which items it holds.
 
 Defined cases: items with fewer than SHORTEST words match nothing; items with
 fewer than WINDOW words are one window as long as they are.  A canonical
@@ -41,12 +43,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from normalake.llm._skew import SALTS, salt, unclashed
-from normalake.sources.tables import stored
+from normalake.llm._bloom import BITS, Bloom, set_bits
+from normalake.llm._skew import SALTS, attached, salt, unclashed
 from normalake.llm._text import grams, hash_of, hashed_words, joined, mix, small_batches, word_ranges
+from normalake.sources.tables import dropped, stored
 
 WINDOW, SHORTEST, COVER = 8, 5, 0.5
 MAX_CHARS = 4_000_000
+#: Items that a text is judged by at a time, if the benchmark is large.
+TOGETHER = 64
 UNITS = (
     "mm cm km m mg g kg lb lbs oz ml l litre litres liter liters inch inches foot feet yard yards mile miles "
     "second seconds minute minutes hour hours day days week weeks month months year years "
@@ -311,15 +316,82 @@ def _placed(x: tuple, to: np.ndarray, used: set[int]) -> bool:
     return True
 
 
-def _blocks(benchmark: DataFrame, most: int) -> Iterator[Index]:
-    """The items in blocks by hash, of about ``most`` characters at the most.
-    Only one block is on the driver at a time."""
-    items = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), "text")
+def _items(benchmark: DataFrame) -> DataFrame:
+    return benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), "text")
+
+
+def _index(benchmark: DataFrame, most: int) -> Index | None:
+    """All items, or None if they have more than ``most`` characters."""
+    items = _items(benchmark)
     total = items.agg(F.sum(F.char_length("text").cast("long"))).collect()[0][0] or 0
-    many = 1 if total <= most else -(-2 * total // most)  # by hash a block of half the size hardly comes to the whole
-    for k in range(many):
-        part = items if many == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(many)) == k)
-        yield Index(sorted((r.item_id, r.text) for r in part.collect()))
+    return Index(sorted((r.item_id, r.text) for r in items.collect())) if total <= most else None
+
+
+def _all_windows(words: dict, of_items: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(text, hash) of the windows of some texts. An item has those of WINDOW
+    words, or of all if it has fewer; a document may hold any of these sizes."""
+    for k, stream in enumerate(streams(words)):
+        many = tokens_in(words, stream)
+        for size in range(SHORTEST, WINDOW + 1):
+            at, h = windows(words, stream, size, k > 0)
+            text = np.searchsorted(words["first"], stream["start"][at], side="right") - 1
+            use = np.minimum(many[text], WINDOW) == size if of_items else np.ones(len(at), bool)
+            yield text[use], mix(h[use] + np.uint64(size))
+
+
+def _windows_of(rows: DataFrame, key: str, bloom: Bloom | None) -> DataFrame:
+    """rows (key, text) -> (key, w): the hashes of windows, of items, or of
+    documents where a filter is given: those that pass it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, "text"):
+            words = words_of(batch.column("text"))
+            for text, h in _all_windows(words, bloom is None):
+                ok = np.ones(len(h), bool) if bloom is None else bloom(h)
+                pairs = pd.DataFrame({"t": text[ok], "w": h[ok].view(np.int64)}).drop_duplicates()
+                yield pa.RecordBatch.from_arrays([batch.column(key).take(pa.array(pairs["t"].to_numpy())), pa.array(pairs["w"].to_numpy())], names=[key, "w"])
+
+    return rows.select(key, "text").mapInArrow(run, f"{key} {rows.schema[key].dataType.simpleString()}, w long")
+
+
+def _bloom(windows_: DataFrame) -> Bloom:
+    """Of the window hashes, in about 16 bits each but BITS at most."""
+    bits = min(BITS, max(1 << 10, 1 << (16 * windows_.count()).bit_length()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place, words = set_bits(batch.column("w").to_numpy().view(np.uint64), bits)
+            yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(words)], names=["place", "bits"])
+
+    return Bloom.of(windows_.select("w").mapInArrow(run, "place long, bits long"), bits)
+
+
+def _joined(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """docs (doc_id, text) -> doc_id, item_id, coverage, text_sha256, by a join
+    of windows. Equal texts are judged once."""
+    items = stored(_items(benchmark).withColumn("i", F.xxhash64("item_id", "text")))
+    theirs = stored(_windows_of(items, "i", None).distinct())
+    named = docs.where("text IS NOT NULL").withColumn("sha", F.sha2(F.col("text").cast("binary"), 256))
+    hits = stored(_windows_of(named, "sha", _bloom(theirs)).distinct())
+    pairs = stored(attached(hits, "w", "sha", theirs).select("sha", "i").distinct())
+    parts = pairs.groupBy("sha").agg(F.expr(f"CAST(ceil(count(*) / {TOGETHER}) AS INT)").alias("parts"))
+    dealt = attached(pairs, "sha", "i", parts).withColumn("c", F.pmod(F.xxhash64("i"), F.col("parts")))
+    wanted = attached(dealt.select("sha", "i", "c"), "i", "sha", items.withColumnRenamed("text", "item"))
+    groups = wanted.groupBy("sha", "c").agg(F.collect_list(F.struct("item_id", "item")).alias("items"))
+    texts = named.join(parts.select("sha").hint("shuffle_hash"), "sha", "left_semi").groupBy("sha").agg(F.first("text").alias("text"))
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, "text"):
+            out = []
+            for sha, text, own in zip(*(batch.column(c) for c in ("sha", "text", "items"))):
+                index = Index(sorted((x["item_id"], x["item"]) for x in own.as_py()))
+                found = index.matches(words_of(pa.array([text.as_py()], pa.large_string())))
+                out += [(sha.as_py(), int(index.ids[i]), float(share)) for (_, i), share in found.items()]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], kind) for k, kind in enumerate((pa.string(), pa.int64(), pa.float64()))], names=["sha", "item_id", "coverage"])
+
+    judged = stored(texts.join(groups, "sha").mapInArrow(judge, "sha string, item_id long, coverage double"))
+    dropped(theirs, hits, pairs, items)
+    return attached(named.select("doc_id", "sha"), "sha", "doc_id", judged).select("doc_id", "item_id", "coverage", F.col("sha").alias("text_sha256"))
 
 
 def _matched(docs: DataFrame, index: Index) -> DataFrame:
@@ -343,24 +415,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, most: int = MAX_CHARS) -> DataF
 
 def _leaks(docs: DataFrame, benchmark: DataFrame, most: int) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    blocks = _blocks(benchmark, most)
-    index, later = next(blocks), next(blocks, None)
-    if later is None:
-        return _matched(docs, index)
-    out = stored(_matched(docs, index)).union(stored(_matched(docs, later)))
-    for index in blocks:
-        out = out.union(stored(_matched(docs, index)))
-    return out
+    index = _index(benchmark, most)
+    return _joined(docs, benchmark) if index is None else _matched(docs, index)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, most: int = MAX_CHARS) -> DataFrame:
     """The rows of docs, in their columns, that no item contaminates. What a
     row's text holds decides, so rows of equal text stay or go together."""
-    blocks = _blocks(benchmark, most)
-    index, more = next(blocks), next(blocks, None)
-    if more is not None:
+    index = _index(benchmark, most)
+    if index is None:
         own, of = unclashed(docs)
-        bad = _leaks(docs, benchmark, most).select("text_sha256").distinct().withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        bad = _joined(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), benchmark).select("text_sha256").distinct().withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         same = (F.sha2(F.col(of["text"]).cast("binary"), 256) == F.col("text_sha256")) & (salt(of["doc_id"]) == F.col("s"))
         return own.join(bad, same, "left_anti").toDF(*docs.columns)
 
