@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from normalake.sources.tables import numbered
+
 
 def insert_or_ignore(table: DataFrame, rows: DataFrame, key: str, order: str) -> DataFrame:
     """The first row of a key stays: what is there, then the first that comes."""
@@ -49,3 +51,14 @@ def skip_existing(wanted: DataFrame, existing: DataFrame, key: str) -> DataFrame
 def without_sidecar(ids: DataFrame, sidecars: DataFrame, prefix: str) -> DataFrame:
     """ids (raw_id) with the prefix that sidecars (raw_id) lack."""
     return skip_existing(ids.where(F.startswith("raw_id", F.lit(prefix))), sidecars, "raw_id")
+
+
+def paced(rows: DataFrame, host: str, order: str, seconds: float) -> DataFrame:
+    """rows with wait, the seconds after the start at which each may be asked
+    for, so that no host is asked more often than once in so many; of a host in
+    the order of a column. Places come from one range sort of all rows, so a
+    host with most of them loads no single task."""
+    placed = numbered(rows.withColumn("_k", F.struct(host, order)), "_k", "_place")
+    first = placed.groupBy(F.col(host).alias("_h")).agg(F.min("_place").alias("_first"))
+    met = placed.join(first, F.col(host).eqNullSafe(F.col("_h")))
+    return met.withColumn("wait", (F.col("_place") - F.col("_first")) * F.lit(seconds)).drop("_k", "_place", "_h", "_first")

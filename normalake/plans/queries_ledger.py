@@ -277,3 +277,9 @@ def _(spark, d):
 def _(spark, d):
     done = table(spark, d, "customer").where("c_acctbal > 0").select(c("c_custkey").alias("o_custkey"))
     return ledger.skip_existing(table(spark, d, "orders"), done, "o_custkey").select("o_orderkey").orderBy("o_orderkey").limit(25)
+
+
+@query("str7_paced_hosts", "WITH u AS (SELECT DISTINCT regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS host, url FROM pages) SELECT host, url, CAST(row_number() OVER (PARTITION BY host ORDER BY url) - 1 AS DOUBLE) * 1.5 AS wait FROM u")
+def _(spark, d):
+    u = table(spark, d, "pages").select(F.regexp_extract("url", "^[a-z]+://([^/?#]+)", 1).alias("host"), "url").distinct()
+    return ledger.paced(u, "host", "url", 1.5)

@@ -12,13 +12,13 @@ from collections.abc import Callable, Iterator
 from xml.sax.saxutils import escape, quoteattr
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from normalake.functions import law
 from normalake.functions.identity import bundle_id, snapshot_stamp
 from normalake.schema import EXPORT_COLUMNS
-from normalake.sources.tables import stored
+from normalake.sources.tables import numbered  # noqa: F401
 
 
 def write_versions(df: DataFrame, path: str, files: int | None = None) -> None:
@@ -144,17 +144,6 @@ def triggers(spark: SparkSession, path: str, probe_ms: float, most_mb: float = 1
     return [name for name, over in checks if over]
 
 
-def numbered(df: DataFrame, by: str, name: str) -> DataFrame:
-    """df with each row's place, from 1, in the order of ``by``: ranges of it
-    are counted, then each numbers its own rows."""
-    ranged = stored(df.repartitionByRange(by).withColumn("_part", F.spark_partition_id()))
-    counts = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
-    # one row a partition
-    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    inside = F.row_number().over(Window.partitionBy("_part").orderBy(by))
-    return ranged.join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + inside).drop("_part", "_before")
-
-
 def summary(counts: dict[str, int], most_percent: float = 20.0) -> str:
     """Markdown of a batch's counters and its failure rate."""
     total = sum(counts.values())

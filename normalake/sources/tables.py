@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 #: Lets Spark delete the shuffle files of a query when it has ended.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _local: dict[str, str] = {}
 _views: dict[tuple, DataFrame] = {}
+_scopes: list[list[DataFrame]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -58,9 +63,33 @@ def stored(df: DataFrame) -> DataFrame:
     fs.deleteOnExit(path)
     out = spark.read.schema(df.schema).parquet(where)
     out._stored_at = where
+    if _scopes:
+        _scopes[-1].append(out)
     return out
 
 
+@contextmanager
+def released() -> Iterator[None]:
+    """Tables that are stored within go at its end: for a caller who has
+    written a result, which reads them, elsewhere by then."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        dropped(*_scopes.pop())
+
+
+def swept(spark: SparkSession, hours: float = 48) -> list[str]:
+    """Deletes this library's folders in the shared folder that are older than
+    so many hours, as applications leave them that were killed."""
+    at, fs = _path(spark, f"{shared_folder(spark)}/normalake-*")
+    before = (time.time() - hours * 3600) * 1000
+    old = [f.getPath() for f in fs.globStatus(at) or [] if f.getModificationTime() < before]
+    for path in old:
+        fs.delete(path, True)
+    return sorted(path.getName() for path in old)
+
+
 def dropped(*frames: DataFrame) -> None:
     """Delete the files of stored frames that no later step reads."""
     for frame in frames:
@@ -86,4 +115,17 @@ def stored_once(spark: SparkSession, name: str, inputs: list[str], make) -> Data
     key = (spark.sparkContext.applicationId, name, tuple(seen))
     if key not in _views:
         _views[key] = stored(make())
+        for scope in _scopes:  # later queries read it
+            scope[:] = [x for x in scope if x is not _views[key]]
     return _views[key]
+
+
+def numbered(df: DataFrame, by: str, name: str) -> DataFrame:
+    """df with each row's place, from 1, in the order of ``by``: ranges of it
+    are counted, then each numbers its own rows."""
+    ranged = stored(df.repartitionByRange(by).withColumn("_part", F.spark_partition_id()))
+    counts = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
+    # one row a partition
+    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy(by))
+    return ranged.join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + inside).drop("_part", "_before")

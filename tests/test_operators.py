@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from normalake.functions import law
-from normalake.operators import captures, provisions, quality, scoring, search
+from normalake.operators import captures, ledger, provisions, quality, scoring, search
 from normalake.sources import files, parse, publish, tables
 
 NODES = "lei_id string, dispositivo_path string, dispositivo_parent_path string, dispositivo_ordem int, versao_id string, em date, ate date"
@@ -122,3 +122,21 @@ def test_stored_views_follow_their_inputs(spark, tmp_path):
     kept = tables.stored(spark.range(4))
     assert kept.count() == 4
     tables.dropped(kept, kept)
+
+
+def test_stored_tables_are_released_and_swept(spark):
+    with tables.released():
+        a = tables.stored(spark.range(3))
+        where = a._stored_at
+        assert a.count() == 3
+    path, fs = tables._path(spark, where)
+    assert not fs.exists(path)
+    b = tables.stored(spark.range(2))
+    name = b._stored_at.rpartition("/")[2]
+    assert name not in tables.swept(spark, 1) and b.count() == 2
+    assert name in tables.swept(spark, -1)
+
+
+def test_hosts_are_paced(spark):
+    rows = spark.createDataFrame([("a", "1"), ("a", "3"), ("a", "2"), ("b", "9"), (None, "5")], "host string, url string")
+    assert {(r.host, r.url): r.wait for r in ledger.paced(rows, "host", "url", 2.0).collect()} == {("a", "1"): 0.0, ("a", "2"): 2.0, ("a", "3"): 4.0, ("b", "9"): 0.0, (None, "5"): 0.0}
