@@ -685,3 +685,22 @@ def test_samples_lose_no_label(spark):
     assert labelled_sample(mixed.limit(0), "lang", 50, 20_000, 60_000) == []
     five = spark.range(3000).selectExpr("id AS doc_id", "concat('l', id % 500) AS lang", "repeat(concat(char(97 + id % 20), char(98 + id % 23), ' '), 5000) AS text")
     assert langid.fit(five) is not None
+
+
+def test_pii_recall_and_precision_by_kind(spark, pii_model):
+    """Lines of another draw than the trees were trained on, among sentences of
+    the given documents: what is found of each kind, and how much of what the
+    method adds to the base is right."""
+    lines = pii._examples(seed=990)[:1500]
+    split = [s.strip() for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect() for s in re.split(r"(?<=[.!?])\s", r.text or "")]
+    around = [s for s in split if s and not re.search(r"[0-9@]|dot", s) and len(s) < 300][:1000]
+    rows = [(i, f"{around[i % len(around)]} {t} {around[(i * 7 + 1) % len(around)]}") for i, (t, _) in enumerate(lines)]
+    found = pii.pii_spans(spark.createDataFrame(rows, "doc_id long, text string"), pii_model).collect()
+    least = {"email": 0.75, "ip": 0.95, "card": 0.98, "phone": 0.98, "secret": 0.95, "national": 0.88}
+    for kind, recall in least.items():
+        some = {r.doc_id: len((r.spans if kind in pii.KINDS else r.others)[kind]) for r in found}
+        base = {r.doc_id: len(r.base[kind]) if kind in pii.KINDS else 0 for r in found}
+        own = [i for i, (_, k) in enumerate(lines) if k == kind]
+        added = [i for i in some if some[i] > base[i]]
+        assert sum(some[i] > 0 for i in own) >= recall * len(own), kind
+        assert sum(lines[i][1] == kind for i in added) >= 0.97 * len(added) > 0, kind
