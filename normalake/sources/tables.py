@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import time
 import uuid
@@ -91,11 +92,13 @@ def swept(spark: SparkSession, hours: float = 48) -> list[str]:
 
 
 def dropped(*frames: DataFrame) -> None:
-    """Delete the files of stored frames that no later step reads."""
+    """Delete the files of stored frames that no later step reads. Python's
+    garbage goes as well, as plans that it still refers to stay on the driver."""
     for frame in frames:
         if where := frame.__dict__.pop("_stored_at", None):
             path, fs = _path(frame.sparkSession, where)
             fs.delete(path, True)
+    gc.collect()
 
 
 def renamed(frame: DataFrame, *names: str) -> DataFrame:
