@@ -72,7 +72,7 @@ def history(df: DataFrame) -> DataFrame:
     """Provisions with more than one wording, or one ended or amended, and
     their wordings from the earliest; provisions by the order and path of their
     first wording."""
-    item = F.struct(date_ms(F.col("em")).alias("ms"), F.col("versao_id"), F.col("em"), F.col("ate"))
+    item = F.struct(date_ms(F.col("em")).alias("ms"), F.col("versao_id"))
     order = F.coalesce(F.min_by("dispositivo_ordem", F.struct(date_ms(F.col("em")), "versao_id")), F.lit(2**31 - 1))
     groups = df.groupBy("lei_id", "dispositivo_path").agg(F.count("*").alias("versoes"), F.bool_or(F.col("ate").isNotNull() | F.col("alterado_por").isNotNull()).alias("mudou"), F.min("dispositivo_ordem").alias("ordem"), order.alias("_at"), F.sort_array(F.collect_list(item)).alias("itens"))
     listed = groups.where("versoes > 1 OR mudou").orderBy("lei_id", "_at", "dispositivo_path")

@@ -196,7 +196,7 @@ def _(spark, d):
 
 @query("win7_current_rows", V + "SELECT versao_id FROM (SELECT *, row_number() OVER (PARTITION BY lei_id, dispositivo_path ORDER BY (ate IS NULL) DESC, em DESC, versao_id DESC) AS rn FROM versoes) WHERE rn = 1")
 def _(spark, d):
-    return provisions.current(norm_versions(spark, d)).select("versao_id")
+    return provisions.current(norm_versions(spark, d).select("lei_id", "dispositivo_path", "versao_id", "em", "ate")).select("versao_id")
 
 
 _CUR = "cur AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lei_id, dispositivo_path ORDER BY (ate IS NULL) DESC, em DESC, versao_id DESC) AS rn FROM versoes) WHERE rn = 1)"
@@ -204,7 +204,8 @@ _CUR = "cur AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lei_id,
 
 @query("jn4_tree_roots", V + f", {_CUR} SELECT c.versao_id, c.dispositivo_parent_path AS parent, p.dispositivo_path IS NULL AS is_root FROM cur c LEFT JOIN cur p ON c.lei_id = p.lei_id AND c.dispositivo_parent_path = p.dispositivo_path")
 def _(spark, d):
-    return provisions.tree(norm_versions(spark, d)).select("versao_id", F.col("dispositivo_parent_path").alias("parent"), "is_root")
+    v = norm_versions(spark, d).select("lei_id", "dispositivo_path", "dispositivo_parent_path", "versao_id", "em", "ate")
+    return provisions.tree(v).select("versao_id", F.col("dispositivo_parent_path").alias("parent"), "is_root")
 
 
 @query("srt6_tree_order", f"WITH RECURSIVE {CTE}, {_CUR}, n AS (SELECT c.*, p.dispositivo_path IS NULL AS is_root FROM cur c LEFT JOIN cur p ON c.lei_id = p.lei_id AND c.dispositivo_parent_path = p.dispositivo_path)," + """
@@ -212,7 +213,8 @@ t AS (SELECT lei_id, dispositivo_path, 0 AS depth, printf('%08d:%s', dispositivo
   UNION ALL SELECT n.lei_id, n.dispositivo_path, t.depth + 1, t.sort_key || '/' || printf('%08d:%s', n.dispositivo_ordem, n.dispositivo_path) FROM n JOIN t ON n.lei_id = t.lei_id AND n.dispositivo_parent_path = t.dispositivo_path AND NOT n.is_root)
 SELECT * FROM t""")
 def _(spark, d):
-    return provisions.ordered_tree(norm_versions(spark, d)).select("lei_id", "dispositivo_path", "depth", "sort_key")
+    v = norm_versions(spark, d).select("lei_id", "dispositivo_path", "dispositivo_parent_path", "dispositivo_ordem", "versao_id", "em", "ate")
+    return provisions.ordered_tree(v).select("lei_id", "dispositivo_path", "depth", "sort_key")
 
 
 @query("agg14_history", V + "SELECT lei_id, dispositivo_path, min(dispositivo_ordem) AS ordem, count(*) AS versoes, string_agg(versao_id, ';' ORDER BY em, versao_id) AS ids FROM versoes GROUP BY 1, 2 HAVING count(*) > 1 OR bool_or(ate IS NOT NULL OR alterado_por IS NOT NULL)")
