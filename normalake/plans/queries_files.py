@@ -31,7 +31,7 @@ c = F.col
 def _(spark, d):
     """JSON lines without a null column, read under the pinned schema."""
     where = unique_folder(spark, "json")
-    norm_versions(spark, d).write.json(where)
+    publish.write_json(norm_versions(spark, d), where)
     return files.versions_json(spark, where).select("versao_id", "em", "ate", "num_fontes", "tem_divergencia", "quality")
 
 
@@ -69,7 +69,7 @@ def _(spark, d):
 @query("snk1_write_versions", V + "SELECT tipo_lei, count(*) AS n, count(DISTINCT lei_id) AS leis FROM versoes GROUP BY 1")
 def _(spark, d):
     where = unique_folder(spark, "versions")
-    publish.write_versions(norm_versions(spark, d), where, files=4)
+    publish.write_versions(norm_versions(spark, d), where)
     return files.versions_parquet(spark, where).groupBy("tipo_lei").agg(F.count("*").alias("n"), F.countDistinct("lei_id").alias("leis"))
 
 
@@ -110,7 +110,7 @@ def _(spark, d):
 def _(spark, d):
     """Commas, quotes and nulls come back from the file as they were."""
     where = unique_folder(spark, "csv")
-    publish.write_csv(norm_versions(spark, d), where)
+    publish.write_csv(norm_versions(spark, d), where, "gzip")
     return spark.read.option("header", True).option("escape", '"').option("lineSep", "\r\n").csv(where).select("versao_id", "texto", "fontes", "em", "ate")
 
 
