@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from normalake.operators import provisions
 from normalake.plans.base import query, table
-from normalake.plans.queries_documents import _LEI, _URN, documents
+from normalake.plans.queries_documents import _LEI, _URN, numbered_documents
 from normalake.sources import annotation, exchange, files, flatten, listings, parse, publish
 from normalake.sources.tables import unique_folder
 
@@ -68,31 +68,25 @@ def _(spark, d):
 _BAD = "CASE WHEN k % 50 = 0 THEN 'unparsed' WHEN k % 50 = 2 THEN 'empty' WHEN k % 50 = 3 THEN 'encoding' WHEN k % 50 = 4 THEN 'unparsed' WHEN k % 50 = 5 THEN 'unread' END"
 
 
-def _part_of(lei_id):
-    """The part number that a document's id was made of."""
-    canonical = F.nullif(F.regexp_extract(lei_id, r"^norma-ro-(?:lei|lc)-(\d+)-\d{4}$", 1), F.lit(""))
-    return F.coalesce(canonical, F.regexp_extract(lei_id, r"(\d+)$", 1)).cast("bigint")
-
-
 def _raw_files(spark, d):
     """lei_id, ente, content; some empty, cut off, in another encoding, unread."""
-    k = _part_of(c("lei_id")) % 50
+    k = c("k") % 50
     raw = c("xml").cast("binary")
     content = F.when(k == 2, F.lit(b"")).when(k == 3, F.concat(raw, F.lit(b"\xe9\xff"))).when(k == 4, F.expr("substring(CAST(xml AS BINARY), 1, 40)")).when(k == 5, F.lit(None).cast("binary")).otherwise(raw)
-    return documents(spark, d).select("lei_id", "ente", content.alias("content"))
+    return numbered_documents(spark, d).select("lei_id", "ente", content.alias("content"))
 
 
 @query("src4_checked_documents", f"""WITH n AS (SELECT DISTINCT l_partkey AS k FROM lineitem), i AS (SELECT {_LEI} AS lei_id, {_BAD} AS reason FROM n) SELECT * FROM i WHERE reason IS NOT NULL""")
 def _(spark, d):
     sound, refused = files.checked(_raw_files(spark, d))
-    return refused.union(flatten.walked(sound).where("error IS NOT NULL").select("lei_id", F.lit("unparsed")))
+    return refused.union(flatten.unparsed(sound).select("lei_id", F.lit("unparsed")))
 
 
 @query("src4_batch_report", f"""WITH n AS (SELECT DISTINCT l_partkey AS k FROM lineitem), i AS (SELECT {_BAD} AS reason FROM n), t AS (SELECT count(*) AS total, count(*) FILTER (reason <> 'unparsed') AS refused, count(*) FILTER (reason = 'unparsed') AS unparsed FROM i)
 SELECT total, total - refused - unparsed AS converted, refused, unparsed, CAST(CASE WHEN refused > 0 THEN 1 ELSE 0 END AS INT) AS exit_code FROM t""")
 def _(spark, d):
     sound, refused = files.checked(_raw_files(spark, d))
-    return files.batch_report(sound, refused, flatten.walked(sound).where("error IS NOT NULL"))
+    return files.batch_report(sound, refused, flatten.unparsed(sound))
 
 
 _FINDS = "('a', substr(text, 4, 2), 1), ('b', substr(text, 4, 2), 3), ('c', substr(text, 4, 2), 6), ('d', substr(text, 10, 1), 4), ('e', 'zz~zz', 1)"
@@ -145,7 +139,7 @@ UNION ALL SELECT lei_id, 'anexo-' || a, '<LexML><Metadado><Identificacao URN="'
 def _(spark, d):
     """Norms with and without annexes, the last wording by document order."""
     more = '<dispositivo path="anexo-1"><versao><texto>velho</texto></versao><versao><texto>Tabela &lt;1&gt;</texto></versao></dispositivo><dispositivo path="anexo-2"/></lei>'
-    docs = documents(spark, d).withColumn("xml", F.when(_part_of(c("lei_id")) % 2 == 0, F.replace("xml", F.lit("</lei>"), F.lit(more))).otherwise(F.col("xml")))
+    docs = numbered_documents(spark, d).withColumn("xml", F.when(c("k") % 2 == 0, F.replace("xml", F.lit("</lei>"), F.lit(more))).otherwise(F.col("xml")))
     return exchange.documents(docs)
 
 

@@ -19,16 +19,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from normalake.sources.flatten import _all, _one, _tag
+from normalake.sources.flatten import _all, _one, _tag, in_batches
 
-_NODE = "lei_id string, urn string, places array<int>, paths array<string>, texto string, revogado boolean"
+_NODE = "doc long, lei_id string, urn string, places array<int>, paths array<string>, texto string, revogado boolean"
 #: Organisational tokens, the last that a path has decides; how their ids begin.
 GROUPS = (("subsec", "Subsecao", "sub"), ("sec", "Secao", "sec"), ("cap", "Capitulo", "cap"), ("tit", "Titulo", "tit"), ("liv", "Livro", "liv"), ("parte", "Parte", "prt"))
 OPENING = (("titulo-lei", "Epigrafe", "epi1"), ("ementa", "Ementa", "ementa1"), ("preambulo", "Preambulo", "pre1"))
 FALLBACK_URN = "urn:lex:br;norma;fallback:0000-00-00;0"
 
 
-def _nodes(lei: str, xml: str) -> Iterator[tuple]:
+def _nodes(doc: int, lei: str, xml: str) -> Iterator[tuple]:
     root = ElementTree.fromstring(xml)
     if _tag(root) != "lei":
         return
@@ -38,25 +38,27 @@ def _nodes(lei: str, xml: str) -> Iterator[tuple]:
         node, places, paths = todo.pop()
         versions = _all(node, "versao")
         body = _one(versions[-1], "texto") if versions else None
-        yield lei, urn, places, paths, "" if body is None else "".join(body.itertext()), _one(node, "revogacao") is not None
+        yield doc, lei, urn, places, paths, "" if body is None else "".join(body.itertext()), _one(node, "revogacao") is not None
         todo += [(x, [*places, i], [*paths, x.get("path", "")]) for i, x in enumerate(_all(node, "dispositivo"))][::-1]
 
 
 def nodes(docs: DataFrame) -> DataFrame:
-    """docs (lei_id, xml) -> a row for each provision; documents that cannot be
-    parsed, or with another root, have none."""
+    """docs (lei_id, xml) -> a row for each provision, with a number of its
+    document for this run; documents that cannot be parsed, or with another
+    root, have none."""
+
+    def rows(frame: pd.DataFrame) -> Iterator[tuple]:
+        for doc, lei, xml in zip(frame["doc"], frame["lei_id"], frame["xml"]):
+            try:
+                yield from _nodes(doc, lei, xml or "")
+            except ElementTree.ParseError:
+                pass
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            rows = []
-            for lei, xml in zip(frame["lei_id"], frame["xml"]):
-                try:
-                    rows += list(_nodes(lei, xml or ""))
-                except ElementTree.ParseError:
-                    pass
-            yield pd.DataFrame(rows, columns=["lei_id", "urn", "places", "paths", "texto", "revogado"], dtype=object)
+            yield from in_batches(rows(frame), ["doc", "lei_id", "urn", "places", "paths", "texto", "revogado"])
 
-    return docs.select("lei_id", "xml").mapInPandas(run, _NODE)
+    return docs.select(F.monotonically_increasing_id().alias("doc"), "lei_id", "xml").mapInPandas(run, _NODE)
 
 
 def _escaped(c: Column) -> Column:
@@ -129,7 +131,7 @@ def _label(path: Column, kind: Column, text: Column) -> Column:
 
 
 def _pieces(rows: DataFrame) -> DataFrame:
-    """Provisions with a place in the document: lei_id, place (an order key)
+    """Provisions with a place in the document: doc, place (an order key)
     and piece: what the provision opens, and what closes before the next."""
     c = F.col
     state = "struct<kind: string, path: string, ok: boolean, elements: array<string>, place: array<struct<late: int, at: int>>, n: int>"
@@ -145,8 +147,8 @@ def _pieces(rows: DataFrame) -> DataFrame:
         late = F.struct(F.when(kind == "Paragrafo", 1).otherwise(0).alias("late"), at.alias("at"))
         return F.struct(kind.alias("kind"), path.alias("path"), (s["ok"] & kind.isNotNull()).alias("ok"), F.concat(caput, own).alias("elements"), F.concat(s["place"], F.array(late)).alias("place"), (s["n"] + 1).alias("n")).cast(state)
 
-    met = rows.withColumn("s", F.aggregate("paths", start, down)).where("s.ok").select("lei_id", "texto", "revogado", "s.kind", "s.path", "s.elements", "s.place")
-    following = F.lead("elements").over(Window.partitionBy("lei_id").orderBy("place"))
+    met = rows.withColumn("s", F.aggregate("paths", start, down)).where("s.ok").select("doc", "texto", "revogado", "s.kind", "s.path", "s.elements", "s.place")
+    following = F.lead("elements").over(Window.partitionBy("doc").orderBy("place"))
     met = met.withColumn("next", F.coalesce(following, F.array().cast("array<string>")))
     differs = F.array_position(F.zip_with("elements", "next", lambda a, b: a.eqNullSafe(b)), F.lit(False))
     shut = F.when(differs == 0, F.array().cast("array<string>")).otherwise(F.slice("elements", differs.cast("int"), F.size("elements")))
@@ -157,12 +159,12 @@ def _pieces(rows: DataFrame) -> DataFrame:
     body = F.concat(F.lit("<p>"), _escaped(c("texto")), F.lit("</p>"))
     body = F.when(grouped, "").when(c("kind") == "Artigo", F.concat(F.lit('<Caput id="'), own_id, F.lit('_cpt">'), body)).otherwise(body)
     piece = F.concat(F.lit("<"), c("kind"), F.lit(' id="'), own_id, F.lit('"'), gone, F.lit("><Rotulo>"), _escaped(_label(c("path"), c("kind"), c("texto"))), F.lit("</Rotulo>"), body, closing)
-    return met.select("lei_id", "place", piece.alias("piece"))
+    return met.select("doc", "place", piece.alias("piece"))
 
 
 def documents(docs: DataFrame) -> DataFrame:
     """docs (lei_id, xml) -> lei_id, document (empty for the norm's own, else
-    the annex's path), xml."""
+    the annex's path), xml. Norms that share an id stay apart."""
     from normalake.sources.tables import stored
 
     c = F.col
@@ -175,11 +177,11 @@ def documents(docs: DataFrame) -> DataFrame:
     text = _escaped(c("texto"))
     opening = [F.min_by(F.when(c("path") == "preambulo", F.concat(F.lit("<p>"), text, F.lit("</p>"))).otherwise(text), F.when(c("path") == p, c("at"))).alias(f"_{i}") for i, (p, _, _) in enumerate(OPENING)]
     links = F.sort_array(F.collect_list(F.when(annex, F.struct("at", F.concat(F.lit('<ReferenciaAnexo AlvoURN="'), _quoted(F.concat(urn, F.lit("!"), "path")), F.lit('"/>')).alias("x")))))
-    heads = top.groupBy("lei_id", "urn").agg(*opening, F.array_join(F.transform(links, lambda x: x["x"]), "").alias("annexes"))
+    heads = top.groupBy("doc", "lei_id", "urn").agg(*opening, F.array_join(F.transform(links, lambda x: x["x"]), "").alias("annexes"))
     first = [F.coalesce(F.concat(F.lit(f'<{name} id="{key}">'), c(f"_{i}"), F.lit(f"</{name}>")), F.lit("")) for i, (_, name, key) in enumerate(OPENING)]
     initial = F.concat(*first)
-    pieces = _pieces(rows).groupBy("lei_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("place", "piece"))), lambda x: x["piece"]), "").alias("body"))
-    whole = heads.join(pieces, "lei_id", "left")
+    pieces = _pieces(rows).groupBy("doc").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("place", "piece"))), lambda x: x["piece"]), "").alias("body"))
+    whole = heads.join(pieces, "doc", "left")
     annexes = F.when(c("annexes") != "", F.concat(F.lit("<Anexos>"), "annexes", F.lit("</Anexos>"))).otherwise("")
     start = F.when(initial != "", F.concat(F.lit("<ParteInicial>"), initial, F.lit("</ParteInicial>"))).otherwise("")
     xml = F.concat(identity(urn), F.lit("<Norma>"), start, F.lit("<Articulacao>"), F.coalesce("body", F.lit("")), F.lit("</Articulacao>"), annexes, F.lit("</Norma></LexML>"))

@@ -63,9 +63,10 @@ def xml_documents_checked(spark: SparkSession, path: str, ente: str) -> tuple[Da
 def batch_report(sound: DataFrame, refused: DataFrame, unparsed: DataFrame) -> DataFrame:
     """One row: total, converted, refused and unparsed documents, and the exit
     code of the batch: 1 if one could not be read, or none is left, else 0.
-    unparsed (lei_id) are those among the sound that gave no rows."""
+    unparsed (lei_id) are those among the sound that gave no rows, one row each:
+    documents may share an id."""
     one, zero = F.lit(1), F.lit(0)
-    rows = sound.select(one.alias("s"), zero.alias("r"), zero.alias("u")).union(refused.select(zero, one, zero)).union(unparsed.select("lei_id").distinct().select(zero, zero, one))
+    rows = sound.select(one.alias("s"), zero.alias("r"), zero.alias("u")).union(refused.select(zero, one, zero)).union(unparsed.select(zero, zero, one))
     n = rows.agg(*[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in "sru"])
     code = F.when((F.col("r") > 0) | (F.col("s") == 0), 1).otherwise(0)
     return n.select((F.col("s") + F.col("r")).alias("total"), (F.col("s") - F.col("u")).alias("converted"), F.col("r").alias("refused"), F.col("u").alias("unparsed"), code.alias("exit_code"))

@@ -11,6 +11,7 @@ import datetime
 import json
 import re
 from collections.abc import Iterator
+from itertools import islice
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -87,17 +88,26 @@ def walk(xml: str) -> Iterator[dict]:
         todo += [(x, i, path, below, own_end or end) for i, x in enumerate(_all(node, "dispositivo"))][::-1]
 
 
+def in_batches(rows: Iterator[tuple], names: list[str], most: int = 2000) -> Iterator[pd.DataFrame]:
+    """Frames of so many rows at most: a batch of documents is not held as rows
+    all at once, however many each document has."""
+    while batch := list(islice(rows, most)):
+        # plain objects: a string column of several Arrow chunks is not taken back
+        yield pd.DataFrame(batch, columns=names, dtype=object)
+
+
 def _walk_all(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        rows = []
+    def rows(frame: pd.DataFrame) -> Iterator[tuple]:
         for lei, ente, xml in zip(frame["lei_id"], frame["ente"], frame["xml"]):
             base = {"lei_id": lei, "ente": ente}
             try:
-                rows += [base | row for row in walk(xml or "")]
+                for row in walk(xml or ""):
+                    yield tuple(map((base | row).get, _NAMES))
             except ElementTree.ParseError as e:
-                rows.append(base | {"error": str(e)})
-        # plain objects: a string column of several Arrow chunks is not taken back
-        yield pd.DataFrame(rows, columns=_NAMES, dtype=object)
+                yield tuple(map((base | {"error": str(e)}).get, _NAMES))
+
+    for frame in frames:
+        yield from in_batches(rows(frame), _NAMES)
 
 
 def walked(docs: DataFrame) -> DataFrame:
@@ -106,6 +116,24 @@ def walked(docs: DataFrame) -> DataFrame:
     return docs.select("lei_id", "ente", "xml").mapInPandas(_walk_all, _WALKED)
 
 
+def unparsed(docs: DataFrame) -> DataFrame:
+    """docs (lei_id, xml) -> lei_id, error: those that cannot be parsed, without
+    the rows of the others."""
+
+    def failed(frame: pd.DataFrame) -> Iterator[tuple]:
+        for lei, xml in zip(frame["lei_id"], frame["xml"]):
+            try:
+                ElementTree.fromstring(xml or "")
+            except ElementTree.ParseError as e:
+                yield lei, str(e)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield from in_batches(failed(frame), ["lei_id", "error"])
+
+    return docs.select("lei_id", "xml").mapInPandas(run, "lei_id string, error string")
+
+
 def law_fields(lei_id, urn, prefix: str = "norma"):
     """struct(tipo, numero, ano): from the URN, else from the id's fallback
     form, else from its canonical form, else unknown."""
@@ -171,8 +199,8 @@ def broken_rules(docs: DataFrame, namespace: str) -> DataFrame:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            rows = [(lei, rule, said) for lei, xml in zip(frame["lei_id"], frame["xml"]) for rule, said in _rules(xml or "", namespace)]
-            yield pd.DataFrame(rows, columns=["file", "rule", "message"], dtype=object)
+            rows = ((lei, rule, said) for lei, xml in zip(frame["lei_id"], frame["xml"]) for rule, said in _rules(xml or "", namespace))
+            yield from in_batches(rows, ["file", "rule", "message"])
 
     return docs.select("lei_id", "xml").mapInPandas(run, "file string, rule int, message string")
 
