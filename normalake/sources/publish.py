@@ -168,21 +168,27 @@ def lexml(df: DataFrame) -> DataFrame:
     """versions -> lei_id, xml: a reduced exchange document for each norm with
     each provision's last wording. A norm's provisions are a bounded tree."""
     last = df.groupBy("lei_id", "urn_lex_lei", "dispositivo_path", "dispositivo_parent_path", "dispositivo_ordem").agg(F.max_by("texto", F.struct(law.date_ms(F.col("em")), "versao_id")).alias("texto"))
-    last = last.withColumn("id", law.lexml_id(F.col("dispositivo_path"))).withColumn("rotulo", law.short_label(F.col("dispositivo_path")))
+    # ids and labels depend on the path alone, so each path has them made once
+    paths = df.select(F.col("dispositivo_path").alias("_p")).distinct().select("_p", law.lexml_id(F.col("_p")).alias("id"), law.short_label(F.col("_p")).alias("rotulo"))
+    labelled = last.join(paths, F.col("dispositivo_path").eqNullSafe(F.col("_p")))
+    one = F.struct(F.col("dispositivo_ordem").isNull(), "dispositivo_ordem", "dispositivo_path", "dispositivo_parent_path", "id", "rotulo", "texto")
+    norms = labelled.groupBy("lei_id").agg(F.min("urn_lex_lei").alias("urn"), F.to_json(F.sort_array(F.collect_list(one)), {"ignoreNullFields": "false"}).alias("rows"))
 
-    def build(frame: pd.DataFrame) -> pd.DataFrame:
+    def build(urn: str | None, rows: list[list]) -> str:
         children: dict = {}
-        paths = set(frame["dispositivo_path"])
-        for r in frame.sort_values(["dispositivo_ordem", "dispositivo_path"]).itertuples():
-            parent = r.dispositivo_parent_path if r.dispositivo_parent_path in paths and r.dispositivo_parent_path != r.dispositivo_path else None
-            children.setdefault(parent, []).append(r)
+        there = {path for path, *_ in rows}
+        for path, parent, *what in rows:
+            children.setdefault(parent if parent in there and parent != path else None, []).append((path, *what))
 
         def render(parent) -> Iterator[str]:
-            for r in children.get(parent, []):
-                yield f"<Dispositivo id={quoteattr(r.id)}><Rotulo>{escape(r.rotulo)}</Rotulo><p>{escape(r.texto or '')}</p>{''.join(render(r.dispositivo_path))}</Dispositivo>"
+            for path, name, label, body in children.get(parent, []):
+                yield f"<Dispositivo id={quoteattr(name)}><Rotulo>{escape(label)}</Rotulo><p>{escape(body or '')}</p>{''.join(render(path))}</Dispositivo>"
 
-        urn = frame["urn_lex_lei"].iloc[0]
-        xml = f"<LexML><Metadado><Identificacao URN={quoteattr(urn or '')}/></Metadado><Norma>{''.join(render(None))}</Norma></LexML>"
-        return pd.DataFrame({"lei_id": [frame["lei_id"].iloc[0]], "xml": [xml]})
+        return f"<LexML><Metadado><Identificacao URN={quoteattr(urn or '')}/></Metadado><Norma>{''.join(render(None))}</Norma></LexML>"
 
-    return last.groupBy("lei_id").applyInPandas(build, "lei_id string, xml string")
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            xml = [build(urn, [list(r.values())[2:] for r in json.loads(rows)]) for urn, rows in zip(frame["urn"], frame["rows"])]
+            yield pd.DataFrame({"lei_id": frame["lei_id"], "xml": xml}, dtype=object)
+
+    return norms.mapInPandas(run, "lei_id string, xml string")
