@@ -20,7 +20,7 @@ from normalake.plans.queries_text import _SEG, norm_texts
 from normalake.schema import CAPTURES, EXPORT_COLUMNS, VERSIONS
 from normalake.sources import files, generators, parse, publish
 from normalake.sources.segmenter import against_gold
-from normalake.sources.tables import unique_folder
+from normalake.sources.tables import stored, unique_folder
 from normalake.streaming import captures as streams
 from normalake.streaming import ledger
 
@@ -148,11 +148,7 @@ _YEAR = "CAST(year(o_orderdate) + 8 AS INT)"
 @query("src16_federal_kinds", " UNION ALL ".join(f"SELECT '{k}' AS kind, o_orderkey AS num, CASE WHEN {_YEAR} >= 2003 THEN printf('https://f.example/_ato%d-%d/%d/{f}/{h}%d.htm', 2003 + (({_YEAR} - 2003) // 4) * 4, 2006 + (({_YEAR} - 2003) // 4) * 4, {_YEAR}, o_orderkey) ELSE printf('https://f.example/{old}.htm', o_orderkey) END AS url FROM orders" for k, (f, h, old) in _FEDERAL.items()))
 def _(spark, d):
     o = table(spark, d, "orders").select(c("o_orderkey").alias("num"), F.expr(_YEAR).alias("year"))
-    kinds = [generators.federal(o.select("num"), o, "https://f.example/", k).select(F.lit(k).alias("kind"), "num", "url") for k in generators.FEDERAL_KINDS]
-    out = kinds[0]
-    for k in kinds[1:]:
-        out = out.union(k)
-    return out
+    return generators.federal_kinds(o.select("num"), o, "https://f.example/", list(generators.FEDERAL_KINDS)).select("kind", "num", "url")
 
 
 @query("flt12_folded_current", V + "SELECT lei_id, dispositivo_path, versao_id FROM (SELECT *, row_number() OVER (PARTITION BY lei_id, dispositivo_path ORDER BY ate IS NULL DESC, coalesce(epoch_ms(CAST(em AS TIMESTAMP)), 0) DESC, versao_id DESC) AS rn FROM versoes) WHERE rn = 1 AND contains(strip_accents(lower(texto)), 'dispositivo art-1-par')")
@@ -199,7 +195,7 @@ def _off_gold(spark, d):
     end = F.when((c("doc") % 4 == 1) & (c("category") == "ementa"), c("end") - 3).otherwise(c("end"))
     more = texts.where("doc % 4 = 3").select("doc", F.lit("vigencia"), F.lit(0).cast("long"), F.lit(2).cast("long"))
     label = found.select("doc", "category", "start", end.alias("end")).union(more).groupBy("doc").agg(F.collect_list(F.struct("category", "start", "end")).alias("label"))
-    return texts.join(label, "doc")
+    return texts.join(stored(label), "doc")
 
 
 @query("seg12_all_metrics", _OFF + _COUNTS + f""", a AS (SELECT * FROM n UNION ALL SELECT 'MICRO', sum(gold), sum(pred), sum(exact_tp), sum(overlap_tp_pred), sum(overlap_tp_gold) FROM n),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from normalake.functions.identity import year_segment
@@ -40,16 +40,27 @@ def state_portal(spark: SparkSession, kind: str, start: int, end: int, base: str
     return numbers(spark, start, end).select(F.format_string("%s-%05d", F.lit(kind), n).alias("chave"), F.format_string("%s nº %d (%s)", F.lit(label), n, F.lit(place)).alias("titulo"), F.format_string("%s%s%d.pdf", F.lit(base), F.lit(head), n).alias("url"))
 
 
-def federal(numbered: DataFrame, years: DataFrame, base: str, kind: str = "lei") -> DataFrame:
-    """numbered (num), years (num, year): from 2003 the folder of the year and
-    kind, before it or without a year the kind's old address."""
+def _federal_url(base: str, kind: str) -> Column:
     if kind not in FEDERAL_KINDS:
         raise ValueError(f"unknown kind: {kind}")
     folder, head, old = FEDERAL_KINDS[kind]
-    met = numbered.join(years, "num", "left")
     segment = year_segment(F.col("year"))
     new = F.format_string(f"%s_ato%s/%d/{folder}/{head}%d.htm", F.lit(base), segment, F.col("year"), F.col("num"))
-    return met.select("num", "year", F.when(segment.isNotNull(), new).otherwise(F.format_string(f"%s{old}", F.lit(base), F.col("num"))).alias("url"))
+    return F.when(segment.isNotNull(), new).otherwise(F.format_string(f"%s{old}", F.lit(base), F.col("num")))
+
+
+def federal(numbered: DataFrame, years: DataFrame, base: str, kind: str = "lei") -> DataFrame:
+    """numbered (num), years (num, year): from 2003 the folder of the year and
+    kind, before it or without a year the kind's old address."""
+    return federal_kinds(numbered, years, base, [kind]).drop("kind")
+
+
+def federal_kinds(numbered: DataFrame, years: DataFrame, base: str, kinds: list[str]) -> DataFrame:
+    """federal() of several kinds, with the kind: the years are joined once."""
+    each = F.array(*[F.struct(F.lit(k).alias("kind"), _federal_url(base, k).alias("url")) for k in kinds])
+    # numbers compress so well that files seem small: years sent whole to each task would not fit
+    met = numbered.join(years.hint("merge"), "num", "left")
+    return met.select("num", "year", F.explode(each).alias("k")).select("k.kind", "num", "year", "k.url")
 
 
 def parse_all(spark: SparkSession, kind: str, start: int, end: int) -> DataFrame:
