@@ -3,8 +3,11 @@
 Each step keeps its own state by key (``applyInPandasWithState``), so state is
 split over tasks, kept in the state store and resumed from the checkpoint by
 the next run.  Rows of a key come in frames; what a step remembers of a key is
-said with it.  Whether a row counts as late depends on what earlier
-micro-batches brought, as it does in the order in which captures arrive.
+said with it.  Keys of the holding area are dealt to GROUPS
+groups, so a call of Python serves many keys and the number of calls
+does not grow with theirs; a group's state is an Arrow table.  Whether a row
+counts as late depends on what earlier micro-batches brought, as it does in the
+order in which captures arrive.
 """
 
 from __future__ import annotations
@@ -14,7 +17,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
@@ -22,13 +26,36 @@ from pyspark.sql.types import StructType
 from normalake.operators.captures import KEY
 from normalake.sources.tables import unique_folder
 
-#: The rows of one source are held in so many states, so that no source loads one task.
+#: The rows of one source are held in so many groups, so that no source loads one task.
 HELD_IN = 16
+#: Groups of keys; a checkpoint is resumed with the number it was made with. A
+#: group's state and its rows of a micro-batch must fit a task: more for more.
+GROUPS = 512
 _JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+_KNOWN = pa.schema([("of", pa.binary()), ("tipo", pa.string()), ("numero", pa.string()), ("since", pa.int64())])
+_HELD = pa.schema([("of", pa.binary()), ("row", pa.string()), ("time", pa.int64())])
+#: A time that is null, as NaT is in numpy.
+_NEVER = np.iinfo(np.int64).min
 
 
-def _ms(at: pd.Series) -> np.ndarray:
-    return (at - pd.Timestamp(0)).to_numpy().astype("timedelta64[ms]").astype(np.int64)
+def _us(at: pd.Series) -> np.ndarray:
+    return (at - pd.Timestamp(0)).to_numpy().astype("timedelta64[us]").astype(np.int64)
+
+
+def _name(*columns: str | Column) -> Column:
+    """128 bits of SHA-256 that name these values."""
+    return F.substring(F.unhex(F.sha2(F.to_json(F.array(*columns)), 256)), 1, 16)
+
+
+def _packed(df: pd.DataFrame, schema: pa.Schema) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(pa.Table.from_pandas(df, schema, preserve_index=False))
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(data: bytes | None, schema: pa.Schema) -> pd.DataFrame:
+    return (pa.ipc.open_stream(bytes(data)).read_all() if data else schema.empty_table()).to_pandas()
 
 
 def append_log(captures: DataFrame, at: str = "captured_at") -> DataFrame:
@@ -70,44 +97,45 @@ def promoted(holding: DataFrame, identities: DataFrame, horizon: datetime.timede
     of a source that came first stays, of one batch the earliest. Times that
     are null never come to an end. State: the rows held, and known identities."""
     held = holding.drop("tipo", "numero")
-    limit = int(horizon.total_seconds() * 1000)
+    limit = round(horizon / datetime.timedelta(microseconds=1))
     none = F.lit(None).cast("string")
-    rows = held.withWatermark("at", late).select("source", F.pmod(F.xxhash64(*held.columns), F.lit(HELD_IN)).cast("int").alias("_s"), "at", none.alias("tipo"), none.alias("numero"), F.to_json(F.struct(*held.columns), _JSON).alias("_row"))
+    part = F.pmod(F.xxhash64(*held.columns), F.lit(HELD_IN)).cast("int")
+    rows = held.withWatermark("at", late).select("source", part.alias("_s"), "at", none.alias("tipo"), none.alias("numero"), F.to_json(F.struct(*held.columns), _JSON).alias("_row"))
     known = identities.withWatermark("at", late).select("source", F.explode(F.sequence(F.lit(0), F.lit(HELD_IN - 1))).alias("_s"), "at", F.col("tipo").cast("string").alias("tipo"), F.col("numero").cast("string").alias("numero"), none.alias("_row"))
+    every = rows.union(known).select(F.pmod(F.xxhash64("source", "_s"), F.lit(GROUPS)).alias("_group"), _name("source", F.col("_s").cast("string")).alias("_of"), "at", "tipo", "numero", "_row")
 
-    def out(some: list[str], tipo: str | None, numero: str | None, decision: str) -> pd.DataFrame:
-        return pd.DataFrame({"_row": some, "tipo": tipo, "numero": numero, "decision": decision}, columns=["_row", "tipo", "numero", "decision"], dtype=object)
+    def out(some: pd.DataFrame, decision: str) -> pd.DataFrame:
+        ids = some[["tipo", "numero"]] if decision == "promoted" else pd.DataFrame(None, some.index, ["tipo", "numero"], object)
+        return pd.DataFrame({"_row": some["row"], "tipo": ids["tipo"], "numero": ids["numero"], "decision": decision})
 
     def step(_: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        tipo, numero, since, waiting, times = state.get if state.exists else (None, None, None, [], [])
-        waiting, times = list(waiting), list(times)
-        for f in [] if state.hasTimedOut else frames:
-            ids = f[f["_row"].isna()].sort_values(["at", "tipo", "numero"])
-            if since is None and len(ids):
-                first = ids.iloc[0]
-                tipo, numero, since = first["tipo"], first["numero"], int(_ms(ids["at"][:1])[0])
-            some = f[~f["_row"].isna()]
-            waiting += some["_row"].tolist()
-            times += _ms(some["at"]).tolist()
-        if since is not None and waiting:
-            ok = [since <= t + limit for t in times]
-            yield out([r for r, x in zip(waiting, ok) if x], tipo, numero, "promoted")
-            yield out([r for r, x in zip(waiting, ok) if not x], None, None, "expired")
-            waiting, times = [], []
+        ids, waiting = (_unpacked(data, schema) for data, schema in zip(state.get if state.exists else (None, None), (_KNOWN, _HELD)))
+        if not state.hasTimedOut:
+            f = pd.concat(frames)
+            f = f.assign(time=_us(f["at"]))
+            new = f[f["_row"].isna()].sort_values(["at", "tipo", "numero"]).drop_duplicates("_of")
+            new = new[~new["_of"].isin(ids["of"])].rename(columns={"_of": "of", "time": "since"})
+            ids = pd.concat([ids, new[_KNOWN.names]])
+            some = f[~f["_row"].isna()].rename(columns={"_of": "of", "_row": "row"})
+            waiting = pd.concat([waiting, some[_HELD.names]])
+        met = waiting.merge(ids, "left", "of", indicator="_met")
+        there = (met["_met"] == "both").to_numpy()
+        ok = there & (met["since"].fillna(0).astype(np.int64) <= met["time"] + limit).to_numpy()
         now = state.getCurrentWatermarkMs()
-        over = [t + limit < now for t in times]
-        if any(over):
-            yield out([r for r, x in zip(waiting, over) if x], None, None, "expired")
-            waiting, times = ([v for v, x in zip(part, over) if not x] for part in (waiting, times))
-        if since is None and not waiting:
+        over = ~there & ((met["time"] != _NEVER) & (met["time"] + limit < now * 1000)).to_numpy()
+        yield out(met[ok], "promoted")
+        yield out(met[over | there & ~ok], "expired")
+        waiting = met[~there & ~over]
+        if ids.empty and waiting.empty:
             if state.exists:
                 state.remove()
             return
-        state.update((tipo, numero, since, waiting, times))
-        if times:
-            state.setTimeoutTimestamp(max(min(times) + limit, now) + 1)
+        state.update((_packed(ids, _KNOWN), _packed(waiting[_HELD.names], _HELD)))
+        times = waiting["time"][waiting["time"] != _NEVER]
+        if len(times):
+            state.setTimeoutTimestamp(max((int(times.min()) + limit) // 1000, now) + 1)
 
-    found = rows.union(known).groupBy("source", "_s").applyInPandasWithState(step, "_row string, tipo string, numero string, decision string", "tipo string, numero string, since long, held array<string>, times array<long>", "append", GroupStateTimeout.EventTimeTimeout)
+    found = every.groupBy("_group").applyInPandasWithState(step, "_row string, tipo string, numero string, decision string", "known binary, held binary", "append", GroupStateTimeout.EventTimeTimeout)
     return found.select(F.from_json("_row", held.schema, _JSON).alias("r"), "tipo", "numero", "decision").select("r.*", "tipo", "numero", "decision")
 
 

@@ -64,3 +64,44 @@ def test_snapshots_are_fresh_for_a_day_whatever_the_order_of_files(spark):
 @pytest.mark.parametrize("step", [streams.append_log])
 def test_empty_runs(spark, step):
     assert runs(spark, [[], [capture("1", "a", "x", 1)], []], CAPTURE, step)[0].event_id == 1
+
+
+def calls_of(monkeypatch, tmp_path, step):
+    """Runs of step's stream, whose calls of Python each leave a line in a file."""
+    from pyspark.sql import GroupedData
+
+    real, where = GroupedData.applyInPandasWithState, str(tmp_path / "calls")
+
+    def counted(self, func, *more):
+        def called(key, frames, state):
+            with open(where, "a") as f:
+                f.write("call\n")
+            yield from func(key, frames, state)
+
+        return real(self, called, *more)
+
+    monkeypatch.setattr(GroupedData, "applyInPandasWithState", counted)
+    got = step()
+    return got, len(open(where).readlines())
+
+
+def test_calls_of_the_holding_area_do_not_grow_with_the_sources(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(streams, "GROUPS", 8, raising=False)
+    held, ids = "source string, at timestamp, note string", "source string, at timestamp, tipo string, numero string"
+    h = [(f"s{n}", T(1, n % 24), str(n)) for n in range(60)]
+    # the identities come a run later, each third too late and each fourth never
+    i = [(f"s{n}", T(9 if n % 3 == 0 else 2), "lei", str(n)) for n in range(60) if n % 4]
+    frames = [{"h": spark.createDataFrame(h, held), "i": spark.createDataFrame([], ids)}, {"h": spark.createDataFrame([], held), "i": spark.createDataFrame(i, ids)}]
+    step = lambda: streams.in_runs(spark, frames, lambda s: streams.promoted(s["h"], s["i"], datetime.timedelta(days=3), "20 days")).collect()
+    got, calls = calls_of(monkeypatch, tmp_path, step)
+    assert sorted((int(r.note), r.numero, r.decision) for r in got) == [(n, str(n) if n % 3 else None, "promoted" if n % 3 else "expired") for n in range(60) if n % 4]
+    assert calls <= 8 * 4
+
+
+def test_a_held_row_without_a_time_never_expires(spark):
+    held, ids = "source string, at timestamp, note string", "source string, at timestamp, tipo string, numero string"
+    parts = [([("a", None, "no time"), ("b", T(1), "over")], []), ([("c", T(20), "moves time on")], []), ([("c", T(20), "again")], [])]
+    frames = [{"h": spark.createDataFrame(h, held), "i": spark.createDataFrame(i, ids)} for h, i in parts]
+    got = streams.in_runs(spark, frames, lambda s: streams.promoted(s["h"], s["i"], datetime.timedelta(days=1), "1 day")).collect()
+    # time moves on where both streams have moved
+    assert {r.note for r in got} <= {"over"}
