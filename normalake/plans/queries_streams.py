@@ -35,7 +35,7 @@ def _(spark, d):
         F.sha2("props", 256).alias("sha256"), F.concat(F.lit("src-"), (c("event_id") % 7).cast("string")).alias("source"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("captured_at"), "event_id", "part",
     )
     runs = [{"rows": rows.where(c("part") == k).drop("part")} for k in range(PARTS)]
-    return streams.in_runs(spark, runs, lambda s: streams.append_log(s["rows"])).select("tipo", "numero", "sha256", "source", "captured_at", "event_id")
+    return streams.in_runs(spark, runs, lambda s: streams.append_log(s["rows"], then="event_id")).select("tipo", "numero", "sha256", "source", "captured_at", "event_id")
 
 
 _WAIT = f"""h AS (SELECT 'u-' || user_id AS source, ts AS at, event_id FROM events WHERE event_type = 'error'),

@@ -3,8 +3,8 @@
 Each step keeps its own state by key (``applyInPandasWithState``), so state is
 split over tasks, kept in the state store and resumed from the checkpoint by
 the next run.  Rows of a key come in frames; what a step remembers of a key is
-said with it.  Keys of the holding area are dealt to GROUPS
-groups, so a call of Python serves many keys and the number of calls
+said with it.  Keys of the append log and of the holding area are dealt to
+GROUPS groups, so a call of Python serves many keys and the number of calls
 does not grow with theirs; a group's state is an Arrow table.  Whether a row
 counts as late depends on what earlier micro-batches brought, as it does in the
 order in which captures arrive.
@@ -32,6 +32,8 @@ HELD_IN = 16
 #: group's state and its rows of a micro-batch must fit a task: more for more.
 GROUPS = 512
 _JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+_NORMS = pa.schema([("norm", pa.binary()), ("newest", pa.string())])
+_CONTENTS = pa.schema([("content", pa.binary())])
 _KNOWN = pa.schema([("of", pa.binary()), ("tipo", pa.string()), ("numero", pa.string()), ("since", pa.int64())])
 _HELD = pa.schema([("of", pa.binary()), ("row", pa.string()), ("time", pa.int64())])
 #: A time that is null, as NaT is in numpy.
@@ -58,32 +60,34 @@ def _unpacked(data: bytes | None, schema: pa.Schema) -> pd.DataFrame:
     return (pa.ipc.open_stream(bytes(data)).read_all() if data else schema.empty_table()).to_pandas()
 
 
-def append_log(captures: DataFrame, at: str = "captured_at") -> DataFrame:
+def append_log(captures: DataFrame, at: str = "captured_at", then: str | None = None) -> DataFrame:
     """A stream of captures (KEY, source, at, ...) -> the rows that the append
     log takes, newest wins. Captures of a norm (KEY without the content, for
     those without a number also the source) that are older than one which an
     earlier batch brought are refused; of equal contents, also within a batch,
-    the earliest is taken, once for all runs. A capture without a time is the
-    oldest. State: a norm's newest time and the contents it has."""
+    the earliest is taken, once for all runs; of one time the least by the
+    number ``then``, if given. A capture without a time is the oldest. State: a
+    norm's newest time and the contents it has, by name."""
     norm = [k for k in KEY if k != "sha256"]
-    rows = captures.select(*[F.coalesce(k, F.lit("")).alias(k) for k in KEY], F.coalesce(at, F.lit("")).alias("_at"), F.coalesce("source", F.lit("")).alias("_source"), F.to_json(F.struct(*captures.columns), _JSON).alias("_row"))
+    rows = captures.select(*[F.coalesce(k, F.lit("")).alias(k) for k in KEY], F.coalesce(at, F.lit("")).alias("_at"), F.coalesce("source", F.lit("")).alias("_source"), (F.col(then) if then else F.lit(0)).cast("long").alias("_then"), F.to_json(F.struct(*captures.columns), _JSON).alias("_row"))
     rows = rows.withColumn("_of", F.when(F.col("numero") == "", F.col("_source")).otherwise(""))
+    rows = rows.select(_name(*norm, "_of").alias("_norm"), _name(*norm, "_of", "sha256").alias("_content"), "_at", "_then", "_row")
 
     def step(_: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        newest, seen = state.get if state.exists else (None, [])
-        seen, found, top = set(seen), pd.DataFrame(), newest
+        norms, contents = (_unpacked(data, schema) for data, schema in zip(state.get if state.exists else (None, None), (_NORMS, _CONTENTS)))
+        newest = dict(zip(norms["norm"], norms["newest"]))
+        top, parts = dict(newest), []
         for f in frames:
-            f = f if newest is None else f[f["_at"] >= newest]
-            if not len(f):
-                continue
-            top = max(f["_at"].max(), top or "")
-            f = pd.concat([found, f[~f["sha256"].isin(seen)]])
-            found = f.sort_values(["_at", "_row"]).drop_duplicates("sha256")
-        if top is not None:
-            state.update((top, sorted(seen | set(found["sha256"] if len(found) else []))))
-        yield found[["_row"]] if len(found) else pd.DataFrame({"_row": []}, dtype=object)
-
-    taken = rows.groupBy(*norm, "_of").applyInPandasWithState(step, "_row string", "newest string, seen array<string>", "append", GroupStateTimeout.NoTimeout)
+            f = f[np.array([t >= newest.get(k, "") for k, t in zip(f["_norm"], f["_at"])], bool)]
+            for k, t in f.groupby("_norm")["_at"].max().items():
+                top[k] = max(t, top.get(k, ""))
+            parts.append(f[~f["_content"].isin(contents["content"])])
+        found = pd.concat(parts).sort_values(["_at", "_then", "_row"]).drop_duplicates("_content")
+        contents = pd.DataFrame({"content": [*contents["content"], *found["_content"]]})
+        state.update((_packed(pd.DataFrame({"norm": list(top), "newest": list(top.values())}), _NORMS), _packed(contents, _CONTENTS)))
+        yield found[["_row"]]
+
+    taken = rows.withColumn("_group", F.pmod(F.xxhash64("_norm"), F.lit(GROUPS))).groupBy("_group").applyInPandasWithState(step, "_row string", "norms binary, contents binary", "append", GroupStateTimeout.NoTimeout)
     return taken.select(F.from_json("_row", captures.schema, _JSON).alias("r")).select("r.*")
 
 

@@ -85,6 +85,27 @@ def calls_of(monkeypatch, tmp_path, step):
     return got, len(open(where).readlines())
 
 
+def test_calls_of_the_log_do_not_grow_with_the_norms(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(streams, "GROUPS", 8, raising=False)
+    parts = [[capture(str(n), "a", "2024-01-02", n) for n in range(1, 301)], [capture(str(n), "b", f"2024-01-0{1 + n % 3}", n + 1000) for n in range(1, 301)]]
+    got, calls = calls_of(monkeypatch, tmp_path, lambda: runs(spark, parts, CAPTURE, streams.append_log))
+    assert sorted(r.event_id for r in got) == [*range(1, 301), *(n + 1000 for n in range(1, 301) if n % 3)]
+    assert calls <= 16
+
+
+def test_the_log_knows_each_of_many_contents(spark):
+    """Also those whose name ends in a zero byte."""
+    rows = [capture("1", f"content {n}", "2024-01-02", n) for n in range(2000)]
+    got = runs(spark, [rows, [(*r[:6], "2024-01-03", r[7]) for r in rows]], CAPTURE, streams.append_log)
+    assert len(got) == 2000
+
+
+def test_of_one_time_the_log_takes_the_least_number(spark):
+    parts = [[capture("1", "a", "2024-01-02", 799_999), capture("1", "a", "2024-01-02", 99_999), capture("1", "b", "2024-01-02", 5)]]
+    got = runs(spark, parts, CAPTURE, lambda s: streams.append_log(s, then="event_id"))
+    assert sorted(r.event_id for r in got) == [5, 99_999]
+
+
 def test_calls_of_the_holding_area_do_not_grow_with_the_sources(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(streams, "GROUPS", 8, raising=False)
     held, ids = "source string, at timestamp, note string", "source string, at timestamp, tipo string, numero string"
