@@ -35,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from normalake.llm._components import components
@@ -251,14 +251,19 @@ def _shared(members: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     return sizes, pairs
 
 
+#: The sizes that the partner in a link by frequent shingles can have at all.
+_LEAST, _MOST = f"(n * {PERCENT} + 99) div 100", f"q * {100 + PERCENT} div {PERCENT} - n"
+
+
 def _ranged(members: DataFrame) -> DataFrame:
-    """members (key, id, n, big, q, ...) that may still have a link by frequent
-    shingles, with the sizes, low to high, that its partner can have."""
+    """members (key, id, root, n, big, q, ...) that may still have a link by
+    frequent shingles, with the sizes, low to high, that its partner can have;
+    keys whose members left are of one component go."""
     own = members.drop("low", "high").withColumn("s", salt("id"))
-    ends = own.groupBy("key").agg(F.min("n").alias("least"), F.max("big").alias("most"), salts_seen("s").alias("seen"))
+    ends = own.groupBy("key").agg(F.min("n").alias("least"), F.max("big").alias("most"), F.min("root").alias("a"), F.max("root").alias("b"), salts_seen("s").alias("seen")).where("a != b").drop("a", "b")
     own = own.join(per_salt(ends, "seen", "s").hint("shuffle_hash"), ["key", "s"])
-    own = own.withColumn("low", F.expr(f"greatest(least, (n * {PERCENT} + 99) div 100)"))
-    own = own.withColumn("high", F.expr(f"least(most, big * 100 div {PERCENT}, q * {100 + PERCENT} div {PERCENT} - n)"))
+    own = own.withColumn("low", F.expr(f"greatest(least, {_LEAST})"))
+    own = own.withColumn("high", F.expr(f"least(most, big * 100 div {PERCENT}, {_MOST})"))
     return own.where("low <= high").drop("s", "least", "most")
 
 
@@ -276,9 +281,10 @@ def near_links(reps: DataFrame, docs: DataFrame) -> DataFrame:
     dropped(members, met, first)
     if open_.take(1):
         sizes, sharing = _shared(open_, sets)
-        able = stored(_ranged(open_.join(sizes, "id")))
-        keys = able.groupBy("id").agg(F.collect_set("key").alias("keys"))
-        members = stored(able.join(keys, "id"))
+        # each membership is joined once, of documents with enough frequent shingles
+        able = stored(open_.join(sizes.where(f"{_LEAST} <= {_MOST}"), "id"))
+        # an id has a key for each band at most
+        members = stored(_ranged(able).withColumn("keys", F.collect_set("key").over(Window.partitionBy("id"))))
         pairs = _apart(_apart_with_all(members).union(sharing).distinct(), roots)
         roots = _joined(roots, _links(pairs, sets))
         dropped(sizes, sharing, able, members)

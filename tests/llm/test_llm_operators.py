@@ -174,6 +174,26 @@ def test_near_dedup_in_crowded_buckets(spark, monkeypatch):
         assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_dedup.near_dedup(df).collect()} == want
 
 
+def test_near_dedup_joins_each_membership_once(spark, monkeypatch):
+    """Open members go through one join by id, and only with enough shingles."""
+    rng = random.Random(8)
+    passage = text_of(rng, 60).split()
+    rows = list(enumerate(" ".join([*passage, *text_of(rng, 15).split()]) for _ in range(40)))
+    real, plans = near_dedup.stored, []
+
+    def kept(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return real(df)
+
+    monkeypatch.setattr(near_dedup, "stored", kept)
+    monkeypatch.setattr(near_dedup, "RARE", 0)
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_dedup.near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_near(rows)
+    joins = [line for plan in plans for line in plan.splitlines() if re.search(r"Join Inner, \(id#\d+L? = id#\d+L?\)", line)]
+    # documents with their sets, pairs by rare shingles with sizes, members with sizes
+    assert len(joins) == 3, joins
+
+
 def test_near_dedup_meets_a_large_bucket_from_one_side(spark):
     """20,000 members of one component and 5 others: 5 times the members whose
     size they allow, and no pair of members."""
