@@ -24,7 +24,7 @@ from normalake.schema import VERSIONS
 from normalake.sources.tables import stored
 
 _WALKED = (
-    "lei_id string, ente string, urn_lex_lei string, vigente string, rev_em string, rev_por string, rev_tipo string, lei_revogada boolean, path string, ordem int, parent string, "
+    "lei_id string, name string, ente string, urn_lex_lei string, vigente string, rev_em string, rev_por string, rev_tipo string, lei_revogada boolean, path string, ordem int, parent string, "
     "d_rev boolean, d_rev_em string, d_rev_por string, d_rev_tipo string, em date, ate date, alterado_por string, has_start boolean, declared string, texto string, fontes string, error string"
 )
 _NAMES = [x.strip().split(" ")[0] for x in _WALKED.split(",")]
@@ -98,8 +98,8 @@ def in_batches(rows: Iterator[tuple], names: list[str], most: int = 2000) -> Ite
 
 def _walk_all(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     def rows(frame: pd.DataFrame) -> Iterator[tuple]:
-        for lei, ente, xml in zip(frame["lei_id"], frame["ente"], frame["xml"]):
-            base = {"lei_id": lei, "ente": ente}
+        for lei, name, ente, xml in zip(frame["lei_id"], frame.get("name", frame["lei_id"]), frame["ente"], frame["xml"]):
+            base = {"lei_id": lei, "name": name, "ente": ente}
             try:
                 for row in walk(xml or ""):
                     yield tuple(map((base | row).get, _NAMES))
@@ -111,9 +111,10 @@ def _walk_all(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def walked(docs: DataFrame) -> DataFrame:
-    """docs (lei_id, ente, xml); a document that cannot be parsed gives one row
-    with its error."""
-    return docs.select("lei_id", "ente", "xml").mapInPandas(_walk_all, _WALKED)
+    """docs (lei_id, ente, xml and perhaps name); a document that cannot be
+    parsed gives one row with its error."""
+    name = F.col("name" if "name" in docs.columns else "lei_id").alias("name")
+    return docs.select("lei_id", name, "ente", "xml").mapInPandas(_walk_all, _WALKED)
 
 
 def unparsed(docs: DataFrame) -> DataFrame:
@@ -151,9 +152,11 @@ def law_fields(lei_id, urn, prefix: str = "norma"):
 
 
 def flatten(docs: DataFrame, prefix: str = "norma") -> DataFrame:
-    """The versions rows of all documents that can be parsed, in VERSIONS."""
+    """The versions rows of all documents that can be parsed, in VERSIONS. What
+    an id says of its law is read from the document's name, if docs have one: an
+    id may be too short for the whole number."""
     c = F.col
-    rows = walked(docs).where("error IS NULL").withColumn("f", law_fields(c("lei_id"), c("urn_lex_lei"), prefix)).withColumn("s", law.sources(c("fontes")))
+    rows = walked(docs).where("error IS NULL").withColumn("f", law_fields(c("name"), c("urn_lex_lei"), prefix)).withColumn("s", law.sources(c("fontes")))
     filled = F.when(c("texto") != "", c("texto"))
     new = {
         "tipo_lei": c("f.tipo"), "numero_lei": c("f.numero"), "ano_lei": c("f.ano"), "data_publicacao": law.publication_date(c("urn_lex_lei")), "vigente_em": law.parse_date(c("vigente")),

@@ -29,6 +29,14 @@ def test_parts_that_share_an_id(spark, shifted, name):
     assert ordered(df.collect(), df.columns) == ordered(r.fetchall(), [x[0] for x in r.description])
 
 
+def test_numbers_of_more_digits_than_an_id_holds(spark, shifted):
+    where, con = shifted
+    df = registry.queries()["src5_flatten_documents"](spark, where)
+    r = con.execute(registry.oracle_sql()["src5_flatten_documents"])
+    assert ordered(df.collect(), df.columns) == ordered(r.fetchall(), [x[0] for x in r.description])
+    assert df.where("numero_lei = '1000008' AND lei_id LIKE '%-100000-1990'").count() > 0
+
+
 def test_documents_that_share_an_id_stay_apart(spark):
     xml = '<lei><dispositivo path="art-1"><versao><texto>{}</texto></versao></dispositivo></lei>'
     docs = spark.createDataFrame([("l", xml.format("one")), ("l", xml.format("two")), ("l", xml.format("two"))], "lei_id string, xml string")
