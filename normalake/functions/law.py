@@ -61,7 +61,7 @@ def publication_date(urn: Column) -> Column:
 
 
 def version_id(law: Column, path: Column, em: Column) -> Column:
-    return F.concat(law, F.lit("#"), path, F.lit("#"), F.coalesce(F.date_format(em, "yyyy-MM-dd"), F.lit("unknown")))
+    return F.concat(law, F.lit("#"), path, F.lit("#"), F.coalesce(em.cast("date").cast("string"), F.lit("unknown")))
 
 
 def start_kind(declared: Column, has_start: Column, amended_by: Column) -> Column:

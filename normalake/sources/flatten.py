@@ -2,7 +2,8 @@
 
 The document is recursive, so no finite schema describes it: one Arrow-batched
 Python stage walks the tree and hands down what provisions inherit; derived
-columns that need no tree are expressions over its rows.
+columns that need no tree are expressions, over documents where a document has
+one value, else over its rows.
 """
 
 from __future__ import annotations
@@ -10,29 +11,44 @@ from __future__ import annotations
 import datetime
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from itertools import islice
+from unicodedata import normalize
 from xml.etree import ElementTree
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from normalake.functions import law, text
 from normalake.operators.quality import require_unique
-from normalake.schema import VERSIONS
+from normalake.schema import NORMATIVE_TOKENS, ORGANISING_TOKENS, VERSIONS, WHOLE_PATHS
 from normalake.sources.tables import stored
 
-_WALKED = (
-    "lei_id string, name string, ente string, urn_lex_lei string, vigente string, rev_em string, rev_por string, rev_tipo string, lei_revogada boolean, path string, ordem int, parent string, "
-    "d_rev boolean, d_rev_em string, d_rev_por string, d_rev_tipo string, em date, ate date, alterado_por string, has_start boolean, declared string, texto string, fontes string, error string"
+#: What a whole law has, and what each wording has.
+_LAW = "lei_id string, name string, ente string, urn_lex_lei string, vigente_em date, lei_revogada boolean, lei_revogada_em date, lei_revogada_por string, lei_revogada_tipo string, error string"
+_WORDING = (
+    "path string, kind string, ordem int, parent string, d_rev boolean, d_rev_em date, d_rev_por string, d_rev_tipo string, em date, ate date, alterado_por string, "
+    "has_start boolean, declared string, texto string, normal string, fontes string, num_fontes int, diverges boolean"
 )
-_NAMES = [x.strip().split(" ")[0] for x in _WALKED.split(",")]
+_ARROW = {"string": pa.string(), "date": pa.date32(), "int": pa.int32(), "boolean": pa.bool_()}
+_fields = lambda ddl: [pa.field(n, _ARROW[t]) for n, t in (x.split() for x in ddl.split(","))]
+_LAW_FIELDS, _WORDING_FIELDS = _fields(_LAW), _fields(_WORDING)
+_NO_WORDING = (None,) * len(_WORDING_FIELDS)
 _URN_DATE = re.compile(r":(\d{4}-\d{2}-\d{2})(?:;[a-z0-9.\-]+)?(?:![a-z0-9._\-]+)*$")
+_quoted = json.encoder.encode_basestring
+
+
+@lru_cache(1000)
+def _local(tag: str) -> str:
+    return tag.rpartition("}")[2]
 
 
 def _tag(node) -> str:
-    return node.tag.rpartition("}")[2]
+    return _local(node.tag)
 
 
 def _all(node, name: str) -> list:
@@ -43,6 +59,7 @@ def _one(node, name: str):
     return next(iter(_all(node, name)), None)
 
 
+@lru_cache(10_000)
 def day(s: str | None) -> datetime.date | None:
     try:
         return datetime.date.fromisoformat(re.sub(r"([+-]\d{2}:\d{2}|Z)$", "", s)) if s else None
@@ -50,42 +67,80 @@ def day(s: str | None) -> datetime.date | None:
         return None
 
 
-def _sources(version) -> str:
-    out = []
-    for f in _all(version, "fonte"):
+def _patterns() -> Iterator[tuple[re.Pattern, list[tuple[re.Pattern, str]]]]:
+    """Of each class of tokens: whole paths, and paths that end in each token."""
+    # $ as Java's has it
+    compiled = lambda p: re.compile(p + r"(?=(?:\r\n|[\n\r\x85\u2028\u2029])?\Z)", re.ASCII)
+    for tokens in ({**NORMATIVE_TOKENS, "titulo-lei": "titulo-lei"}, ORGANISING_TOKENS):
+        every = "|".join(tokens)
+        yield compiled(rf"(?:{every})(?:-(?:{every}))*"), [(compiled(rf"(?:(?:{every})-)*(?:{t})"), kind) for t, kind in tokens.items()]
+
+
+_PATTERNS = list(_patterns())
+
+
+@lru_cache(10_000)
+def _kind(path: str) -> str | None:
+    """law.path_kind() of one path, for a walk that meets the same ones over and
+    over."""
+    for whole, ends in _PATTERNS:
+        if whole.match(path) and (kind := next((k for p, k in ends if p.match(path)), None)):
+            return WHOLE_PATHS.get(path, kind)
+    return WHOLE_PATHS.get(path)
+
+
+def _sources(found: list) -> tuple[str, int, bool]:
+    """The sources as JSON, their number, and whether one diverges."""
+    out, some = [], False
+    for f in found:
         diverges = (f.get("diverge") or "").strip().lower() in ("true", "1")
         other = _one(f, "texto") if diverges else None
-        out.append({"ia_id": f.get("ia-id", ""), "diverge": diverges, "texto_divergente": None if other is None else other.text})
-    return json.dumps(out, ensure_ascii=False)
+        said = "null" if other is None or other.text is None else _quoted(other.text)
+        out.append(f'{{"ia_id": {_quoted(f.get("ia-id", ""))}, "diverge": {"true" if diverges else "false"}, "texto_divergente": {said}}}')
+        some = some or diverges
+    return f"[{', '.join(out)}]", len(out), some
 
 
-def walk(xml: str) -> Iterator[dict]:
-    """A row for each wording, parents before children."""
+def _parts(node, *names: str) -> list[list]:
+    """The children of each name, in one pass."""
+    out = {n: [] for n in names}
+    for x in node:
+        if (at := out.get(_local(x.tag))) is not None:
+            at.append(x)
+    return list(out.values())
+
+
+def walk(xml: str) -> tuple[tuple, Iterator[tuple]]:
+    """What the whole law has from its URN on, and a row for each wording,
+    parents before children."""
     root = ElementTree.fromstring(xml)
     urn, gone = root.get("urn-lex"), _one(root, "revogacao")
     m = _URN_DATE.search(urn or "")
     published = day(m[1]) if m and (urn or "").startswith("urn:lex:br") else None
     get = lambda node, name: None if node is None else node.get(name)
-    whole = {"urn_lex_lei": urn, "vigente": root.get("vigente-em"), "lei_revogada": gone is not None, "rev_em": get(gone, "em"), "rev_por": get(gone, "por"), "rev_tipo": get(gone, "tipo")}
     law_end = day(get(gone, "em"))
+    return (urn, day(root.get("vigente-em")), gone is not None, law_end, get(gone, "por"), get(gone, "tipo")), _wordings(root, published, law_end)
+
+
+def _wordings(root, published: datetime.date | None, law_end: datetime.date | None) -> Iterator[tuple]:
     # (element, its place, parent's path, inherited start, inherited end); a stack, as nesting may be deep
     todo = [(x, i, None, published, None) for i, x in enumerate(_all(root, "dispositivo"))][::-1]
     while todo:
         node, place, parent, start, end = todo.pop()
-        path, own = node.get("path", ""), _one(node, "revogacao")
-        own_end = day(get(own, "em"))
-        versions = _all(node, "versao")
+        versions, gone, inner = _parts(node, "versao", "revogacao", "dispositivo")
+        path, own = node.get("path", ""), gone[0].get if gone else {}.get
+        own_end = day(own("em"))
         starts = [day(v.get("em")) if v.get("em") else start or published for v in versions]
-        for i, v in enumerate(versions):
-            begin = _one(v, "inicio")
-            body = _one(v, "texto")
-            yield whole | {
-                "path": path, "ordem": place, "parent": parent, "d_rev": own is not None, "d_rev_em": get(own, "em"), "d_rev_por": get(own, "por"), "d_rev_tipo": get(own, "tipo"),
-                "em": starts[i], "ate": starts[i + 1] if i + 1 < len(versions) else own_end or end or law_end, "alterado_por": v.get("alterado-por"),
-                "has_start": begin is not None, "declared": get(begin, "tipo"), "texto": None if body is None else body.text, "fontes": _sources(v),
-            }
+        ends = [*starts[1:], own_end or end or law_end]
+        provision = (path, _kind(path), place, parent, bool(gone), own_end, own("por"), own("tipo"))
+        for v, em, ate in zip(versions, starts, ends):
+            begin, body, sources = _parts(v, "inicio", "texto", "fonte")
+            said = body[0].text if body else None
+            # as text.normalize_text has it; null if it is the text itself
+            normal = " ".join(normalize("NFC", said).split()) if said else None
+            yield *provision, em, ate, v.get("alterado-por"), bool(begin), begin[0].get("tipo") if begin else None, said, None if normal == said else normal, *_sources(sources)
         below = starts[0] if starts else start
-        todo += [(x, i, path, below, own_end or end) for i, x in enumerate(_all(node, "dispositivo"))][::-1]
+        todo += [(x, i, path, below, own_end or end) for i, x in enumerate(inner)][::-1]
 
 
 def in_batches(rows: Iterator[tuple], names: list[str], most: int = 2000) -> Iterator[pd.DataFrame]:
@@ -96,25 +151,53 @@ def in_batches(rows: Iterator[tuple], names: list[str], most: int = 2000) -> Ite
         yield pd.DataFrame(batch, columns=names, dtype=object)
 
 
-def _walk_all(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    def rows(frame: pd.DataFrame) -> Iterator[tuple]:
-        for lei, name, ente, xml in zip(frame["lei_id"], frame.get("name", frame["lei_id"]), frame["ente"], frame["xml"]):
-            base = {"lei_id": lei, "name": name, "ente": ente}
-            try:
-                for row in walk(xml or ""):
-                    yield tuple(map((base | row).get, _NAMES))
-            except ElementTree.ParseError as e:
-                yield tuple(map((base | {"error": str(e)}).get, _NAMES))
+def _walk_all(frames: Iterable, most: int = 2000) -> Iterator[pa.RecordBatch]:
+    """A row for each wording, of so many at most in a batch; ``doc`` counts the
+    batch's documents. Columns are filled from lists, without frames between."""
 
-    for frame in frames:
-        yield from in_batches(rows(frame), _NAMES)
+    def rows() -> Iterator[tuple[tuple, tuple]]:
+        for frame in frames:
+            for lei, name, ente, xml in zip(frame["lei_id"], frame.get("name", frame["lei_id"]), frame["ente"], frame["xml"]):
+                try:
+                    law, wordings = walk(xml or "")
+                except ElementTree.ParseError as e:
+                    yield (lei, name, ente, *[None] * 6, str(e)), _NO_WORDING
+                    continue
+                law = (lei, name, ente, *law, None)
+                for row in wordings:
+                    yield law, row
+
+    every = rows()
+    while batch := list(islice(every, most)):
+        laws, doc = [], []
+        for law, _ in batch:
+            if not laws or law is not laws[-1]:
+                laws.append(law)
+            doc.append(len(laws) - 1)
+        at = pa.array(doc, pa.int32())
+        whole = [pa.array(x, f.type).take(at) for x, f in zip(zip(*laws), _LAW_FIELDS)]
+        each = [pa.array(x, f.type) for x, f in zip(zip(*[row for _, row in batch]), _WORDING_FIELDS)]
+        yield pa.RecordBatch.from_arrays([*whole, *each, at], schema=pa.schema([*_LAW_FIELDS, *_WORDING_FIELDS, pa.field("doc", pa.int32())]))
+
+
+def _walk_laws(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each document of a batch, with its wordings there as a list."""
+    # a few documents at once are Python's strings
+    frames = (b.slice(i, 200).to_pydict() for b in batches for i in range(0, b.num_rows, 200))
+    for found in _walk_all(frames):
+        first = np.flatnonzero(np.diff(found["doc"].to_numpy(), prepend=-1))
+        wordings = pa.StructArray.from_arrays([found[f.name] for f in _WORDING_FIELDS], fields=_WORDING_FIELDS)
+        lists = pa.ListArray.from_arrays(pa.array([*first, found.num_rows], pa.int32()), wordings)
+        yield pa.RecordBatch.from_arrays([*[found[f.name].take(pa.array(first)) for f in _LAW_FIELDS], lists], names=[*[f.name for f in _LAW_FIELDS], "wordings"])
 
 
 def walked(docs: DataFrame) -> DataFrame:
-    """docs (lei_id, ente, xml and perhaps name); a document that cannot be
-    parsed gives one row with its error."""
+    """docs (lei_id, ente, xml and perhaps name) -> a row for each document, with
+    its wordings, or several if they are many; for one that cannot be parsed, a
+    row with its error. A document without wordings gives none."""
     name = F.col("name" if "name" in docs.columns else "lei_id").alias("name")
-    return docs.select("lei_id", name, "ente", "xml").mapInPandas(_walk_all, _WALKED)
+    within = ", ".join(":".join(x.split()) for x in _WORDING.split(","))
+    return docs.select("lei_id", name, "ente", "xml").mapInArrow(_walk_laws, f"{_LAW}, wordings array<struct<{within}>>")
 
 
 def unparsed(docs: DataFrame) -> DataFrame:
@@ -156,16 +239,18 @@ def flatten(docs: DataFrame, prefix: str = "norma") -> DataFrame:
     an id says of its law is read from the document's name, if docs have one: an
     id may be too short for the whole number."""
     c = F.col
-    rows = walked(docs).where("error IS NULL").withColumn("f", law_fields(c("name"), c("urn_lex_lei"), prefix)).withColumn("s", law.sources(c("fontes")))
-    filled = F.when(c("texto") != "", c("texto"))
+    # once for each document, before its wordings are rows
+    fields = law_fields(c("name"), c("urn_lex_lei"), prefix)
+    laws = walked(docs).where("error IS NULL").withColumn("f", fields).withColumn("day", law.urn_part(c("urn_lex_lei"), "data"))
+    laws = laws.withColumn("data_publicacao", F.when(F.length("day") == 10, F.try_to_date("day", "yyyy-MM-dd")))
+    rows = laws.select("*", F.inline("wordings"))
     new = {
-        "tipo_lei": c("f.tipo"), "numero_lei": c("f.numero"), "ano_lei": c("f.ano"), "data_publicacao": law.publication_date(c("urn_lex_lei")), "vigente_em": law.parse_date(c("vigente")),
-        "lei_revogada_em": law.parse_date(c("rev_em")), "lei_revogada_por": c("rev_por"), "lei_revogada_tipo": c("rev_tipo"),
-        "dispositivo_path": c("path"), "dispositivo_tipo": F.coalesce(law.path_kind(c("path")), F.lit("desconhecido")), "dispositivo_ordem": c("ordem"), "dispositivo_parent_path": c("parent"),
-        "dispositivo_revogado": c("d_rev"), "dispositivo_revogado_em": law.parse_date(c("d_rev_em")), "dispositivo_revogado_por": c("d_rev_por"), "dispositivo_revogado_tipo": c("d_rev_tipo"),
+        "tipo_lei": c("f.tipo"), "numero_lei": c("f.numero"), "ano_lei": c("f.ano"),
+        "dispositivo_path": c("path"), "dispositivo_tipo": F.coalesce("kind", F.lit("desconhecido")), "dispositivo_ordem": c("ordem"), "dispositivo_parent_path": c("parent"),
+        "dispositivo_revogado": c("d_rev"), "dispositivo_revogado_em": c("d_rev_em"), "dispositivo_revogado_por": c("d_rev_por"), "dispositivo_revogado_tipo": c("d_rev_tipo"),
         "urn_dispositivo": F.when(c("urn_lex_lei") != "", F.concat("urn_lex_lei", F.lit("!"), "path")), "versao_id": law.version_id(c("lei_id"), c("path"), c("em")),
-        "inicio_tipo": law.start_kind(c("declared"), c("has_start"), c("alterado_por")), "texto_normalizado": text.normalize_text(filled), "hash_texto": text.hash_text(c("texto")),
-        "num_fontes": F.size("s"), "tem_divergencia": F.exists("s", lambda x: x["diverge"]), "quality": F.lit(None).cast("string"),
+        "inicio_tipo": law.start_kind(c("declared"), c("has_start"), c("alterado_por")), "texto_normalizado": F.when(c("texto") != "", F.coalesce("normal", "texto")), "hash_texto": text.hash_text(c("texto")),
+        "tem_divergencia": c("diverges"), "quality": F.lit(None).cast("string"),
     }
     return rows.select(*[new.get(f.name, c(f.name)).cast(f.dataType).alias(f.name) for f in VERSIONS])
 
