@@ -7,13 +7,17 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: No norm has so many articles; a larger number comes from a misread marker.
 MOST_NUMBER = 100_000
 SPAN = ["doc", "category", "start", "end"]
+COUNTS = ["gold", "pred", "exact_tp", "overlap_tp_pred", "overlap_tp_gold"]
 
 
 def _overlapping(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -44,6 +48,61 @@ def counts(gold: DataFrame, pred: DataFrame) -> DataFrame:
     return parts.groupBy("category").agg(*[F.sum(F.when(F.col("what") == n, F.col("n")).otherwise(0)).alias(n) for n in names])
 
 
+def _batch_counts(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The figures of counts() over a batch of whole documents."""
+    sides, categories = [], []
+    for name in ("label", "found"):
+        lists = batch[name]
+        doc = pc.list_parent_indices(lists).to_numpy()
+        flat = lists.flatten()
+        category, start, end = (flat.field(flat.type.get_field_index(n)) for n in ("category", "start", "end"))
+        # a span with a null is like no other
+        whole = np.logical_and.reduce([x.is_valid().to_numpy(zero_copy_only=False) for x in (category, start, end, batch["doc"].take(pa.array(doc)))])
+        sides.append((doc, whole, *(pc.fill_null(x, 0).to_numpy(zero_copy_only=False) for x in (start, end))))
+        categories.append(category.cast(pa.string()))
+    both = pa.chunked_array(categories).combine_chunks().dictionary_encode(null_encoding="encode")
+    codes, n = both.indices.to_numpy(), len(both.dictionary)
+    cut = len(categories[0])
+    # places as ranks, so that a document, a category and a place are one number
+    values, ranks = np.unique(np.concatenate([x for s in sides for x in s[2:]]), return_inverse=True)
+    most, at, marked = len(values) + 1, 0, []
+    for (doc, whole, *_), kind in zip(sides, (codes[:cut], codes[cut:])):
+        start, end = ranks[at : at + len(doc)], ranks[at + len(doc) : at + 2 * len(doc)]
+        at += 2 * len(doc)
+        marked.append((kind, whole, (doc.astype(np.int64) * n + kind) * most, start, end))
+
+    def overlapping(a, b) -> np.ndarray:
+        """Which of a begin before a span of b ends that begins before they end:
+        the furthest end of those that do is enough."""
+        (_, some, key, start, end), (_, other, of, begins, ends) = a, b
+        order = np.argsort((of + begins)[other], kind="stable")
+        begun, furthest = (of + begins)[other][order], np.maximum.accumulate((of + ends)[other][order])
+        last = np.searchsorted(begun, key + end) - 1
+        met = some & (last >= 0)
+        met[met] = furthest[last[met]] > (key + start)[met]
+        return met
+
+    gold, pred = marked
+    joint = np.unique(np.concatenate([gold[2] + gold[3], pred[2] + pred[3]]), return_inverse=True)[1] * most + np.concatenate([gold[4], pred[4]])
+    exact = pred[1] & np.isin(joint[cut:], joint[:cut][gold[1]])
+    sums = lambda kind, which: pa.array(np.bincount(kind[which], minlength=n).astype(np.int64))
+    every = lambda side: np.ones(len(side[0]), bool)
+    figures = [sums(gold[0], every(gold)), sums(pred[0], every(pred)), sums(pred[0], exact), sums(pred[0], overlapping(pred, gold)), sums(gold[0], overlapping(gold, pred))]
+    return pa.RecordBatch.from_arrays([both.dictionary, *figures], names=["category", *COUNTS])
+
+
+def counts_by_doc(rows: DataFrame) -> DataFrame:
+    """counts() of stored rows (doc, label, found) that have a document's gold
+    and predicted spans as lists: they meet within the row, so only figures are
+    shuffled. Rows of one document become one first."""
+    if not rows.groupBy("doc").count().where("count > 1").isEmpty():
+        one = lambda n: F.flatten(F.collect_list(n)).alias(n)
+        rows = rows.groupBy("doc").agg(one("label"), one("found"))
+    lists = rows.select("doc", *[F.coalesce(n, F.array().cast(rows.schema[n].dataType)).alias(n) for n in ("label", "found")])
+    parts = lists.mapInArrow(lambda batches: map(_batch_counts, batches), "category string, " + ", ".join(f"{n} long" for n in COUNTS))
+    return parts.groupBy("category").agg(*[F.sum(n).alias(n) for n in COUNTS])
+
+
 def _ratio(a: Column, b: Column) -> Column:
     return F.when(b == 0, F.lit(0.0)).otherwise(a / b)
 

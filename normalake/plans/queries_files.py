@@ -19,7 +19,7 @@ from normalake.plans.queries_read import V
 from normalake.plans.queries_text import _SEG, norm_texts
 from normalake.schema import CAPTURES, EXPORT_COLUMNS, VERSIONS
 from normalake.sources import files, generators, parse, publish
-from normalake.sources.segmenter import against_gold
+from normalake.sources.segmenter import against_gold, segmented
 from normalake.sources.tables import stored, unique_folder
 from normalake.streaming import captures as streams
 from normalake.streaming import ledger
@@ -188,14 +188,15 @@ p AS (SELECT doc, category, "start", "end" FROM t) """
 
 
 def _off_gold(spark, d):
-    from normalake.sources.segmenter import segment
-
-    texts = norm_texts(spark, d)
-    found = segment(texts).where("category IN ('art_marcador', 'ementa', 'vigencia') AND NOT (doc % 4 = 2 AND category = 'art_marcador')")
-    end = F.when((c("doc") % 4 == 1) & (c("category") == "ementa"), c("end") - 3).otherwise(c("end"))
-    more = texts.where("doc % 4 = 3").select("doc", F.lit("vigencia"), F.lit(0).cast("long"), F.lit(2).cast("long"))
-    label = found.select("doc", "category", "start", end.alias("end")).union(more).groupBy("doc").agg(F.collect_list(F.struct("category", "start", "end")).alias("label"))
-    return texts.join(stored(label), "doc")
+    """doc, label, found: texts are segmented once, for what is found and for
+    the gold that is made from it."""
+    rows = segmented(norm_texts(spark, d), {"art_marcador", "ementa", "vigencia"})
+    end = lambda s: F.when((c("doc") % 4 == 1) & (s["category"] == "ementa"), s["end"] - 3).otherwise(s["end"])
+    kept = F.filter("found", lambda s: ~((c("doc") % 4 == 2) & (s["category"] == "art_marcador")))
+    span = lambda category, start, end: F.struct(category.alias("category"), start.alias("start"), end.alias("end"))
+    more = F.array(span(F.lit("vigencia"), F.lit(0).cast("long"), F.lit(2).cast("long")))
+    label = F.transform(kept, lambda s: span(s["category"], s["start"], end(s)))
+    return rows.withColumn("label", F.when(c("doc") % 4 == 3, F.concat(label, more)).otherwise(label))
 
 
 @query("seg12_all_metrics", _OFF + _COUNTS + f""", a AS (SELECT * FROM n UNION ALL SELECT 'MICRO', sum(gold), sum(pred), sum(exact_tp), sum(overlap_tp_pred), sum(overlap_tp_gold) FROM n),

@@ -266,11 +266,18 @@ _PIECES = [
 ]
 
 
+#: Texts that a task makes and segments.
+TEXTS_OF_A_TASK = 50_000
+
+
 def norm_texts(spark, d):
     """doc, text: a norm for each order; every seventh has no text, and every
     seventh but one no structure."""
     whole = "concat(" + ", ".join(t for t, _, _ in _PIECES) + ")"
-    return table(spark, d, "orders").selectExpr("o_orderkey AS k").selectExpr("k AS doc", f"CASE k % 7 WHEN 0 THEN NULL WHEN 1 THEN 'Nada aqui.' ELSE {whole} END AS text")
+    keys = table(spark, d, "orders").selectExpr("o_orderkey AS k")
+    # keys are small in files, texts are long work: tasks by number of rows, not by size of files
+    keys = keys.repartition(max(spark.sparkContext.defaultParallelism, -(-keys.count() // TEXTS_OF_A_TASK)), "k")
+    return keys.selectExpr("k AS doc", f"CASE k % 7 WHEN 0 THEN NULL WHEN 1 THEN 'Nada aqui.' ELSE {whole} END AS text")
 
 
 def _pieces_sql() -> str:
